@@ -1,0 +1,299 @@
+"""Streaming source over the log: ``spark.readStream.format("shard_log")``.
+
+The offset of a shard is the number of its records that were read. Planning touches the index
+only; one task is planned per data file, so a large shard is read by many tasks. ``idx`` is
+the arrival index of a record on its shard, also when reading starts in the middle.
+"""
+
+from __future__ import annotations
+
+from bisect import bisect_right
+from dataclasses import dataclass
+
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+
+from tidelog.functions import errors
+from tidelog.functions import positions as P
+from tidelog.schema import MAX_SEQUENCE_DIGITS, SHARD_END
+from tidelog.sources.descriptor import RESUME, LogStream
+
+_DDL = (
+    "stream string, shard_id string, sequence_number string, partition_key string, "
+    "arrival_ts timestamp, data binary, seq_key string, idx long, error string"
+)
+_ARROW = pa.schema(
+    [
+        ("stream", pa.string()),
+        ("shard_id", pa.string()),
+        ("sequence_number", pa.string()),
+        ("partition_key", pa.string()),
+        ("arrival_ts", pa.timestamp("us", tz="UTC")),
+        ("data", pa.binary()),
+        ("seq_key", pa.string()),
+        ("idx", pa.int64()),
+        ("error", pa.string()),
+    ]
+)
+_IN_FILE = ["sequence_number", "partition_key", "arrival_ts", "data", "seq_key"]
+
+
+def _key(sequence: str) -> str:
+    """Same order key as ``functions.sequence.order_key``, for one number on the driver."""
+    digits = sequence.lstrip("0")
+    if len(digits) > MAX_SEQUENCE_DIGITS:
+        raise errors.LogError("sequence number too long")
+    return f"{len(digits):03d}{digits}"
+
+
+@dataclass
+class _File:
+    segment: int
+    path: str
+    rows: int
+    first_key: str
+    last_key: str
+    last_ts_us: int
+    start: int = 0
+
+
+@dataclass
+class _Slice(InputPartition):
+    """Rows [skip, skip + take) of a file, whose first row has arrival index ``start``.
+
+    ``opens`` is how the file that holds the starting position is trimmed.
+    """
+
+    shard_id: str
+    path: str
+    start: int
+    skip: int
+    take: int
+    opens: tuple | None
+
+
+class ShardLog(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "shard_log"
+
+    def schema(self) -> str:
+        return _DDL
+
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        if not self.options.get("path"):
+            raise errors.LogError("path must be set")
+        return ShardLogReader(self.options["path"], LogStream.from_options(self.options))
+
+
+class ShardLogReader(DataSourceStreamReader):
+    def __init__(self, path: str, source: LogStream) -> None:
+        self.path = path.rstrip("/")
+        self.source = source
+        self._seen: set[str] = set()
+        self._shards: dict[str, list[_File]] = {}
+        self._opened: dict | None = None
+        self._planned: dict | None = None
+
+    # Index and lineage -------------------------------------------------------------------
+
+    def _refresh(self) -> None:
+        """Takes in the segments indexed since the last call."""
+        filesystem, root = fs.FileSystem.from_uri(_uri(f"{self.path}/index"))
+        listing = filesystem.get_file_info(fs.FileSelector(root, allow_not_found=True))
+        found = {int(i.base_name.partition("=")[2]): i.path for i in listing if "segment=" in i.path}
+        for segment, folder in sorted(found.items()):
+            if folder in self._seen:
+                continue
+            if filesystem.get_file_info(f"{folder}/_SUCCESS").type == fs.FileType.NotFound:
+                break
+            rows = pq.read_table(
+                folder, filesystem=filesystem, filters=[("stream", "=", self.source.stream)]
+            ).to_pylist()
+            self._seen.add(folder)
+            for row in sorted(rows, key=lambda r: r["first_key"]):
+                files = self._shards.setdefault(row["shard_id"], [])
+                start = files[-1].start + files[-1].rows if files else 0
+                files.append(
+                    _File(
+                        segment, row["file"], row["rows"], row["first_key"], row["last_key"],
+                        row["last_ts_us"], start,
+                    )
+                )
+
+    def _end(self, shard: str) -> int:
+        files = self._shards.get(shard)
+        return files[-1].start + files[-1].rows if files else 0
+
+    def _waiting(self, at: dict[str, int]) -> set[str]:
+        """Shards with a listed parent that is open or not read to its end."""
+        if not self.source.shards:
+            return set()
+        filesystem, root = fs.FileSystem.from_uri(_uri(self.source.shards))
+        rows = pq.read_table(
+            root, filesystem=filesystem, filters=[("stream", "=", self.source.stream)]
+        ).to_pylist()
+        closed = {r["shard_id"]: r["ending_sequence"] is not None for r in rows}
+        waiting = set()
+        for row in rows:
+            for parent in (row["parent_id"], row["adjacent_parent_id"]):
+                if parent in closed:
+                    read = at.get(parent, 0) >= self._end(parent)
+                    if not (closed[parent] and read):
+                        waiting.add(row["shard_id"])
+        return waiting
+
+    # Positions ---------------------------------------------------------------------------
+
+    def _points(self) -> dict[str, str]:
+        if not self.source.checkpoints:
+            return {}
+        filesystem, root = fs.FileSystem.from_uri(_uri(self.source.checkpoints))
+        rows = pq.read_table(
+            root, filesystem=filesystem, filters=[("stream", "=", self.source.stream)]
+        ).to_pylist()
+        return {r["shard_id"]: r["checkpoint"] for r in rows if r["checkpoint"] is not None}
+
+    def _opening(self, shard: str, points: dict[str, str], late: bool) -> dict:
+        """Where a shard opens: an arrival index, and how the file there is trimmed.
+
+        The index is that of the first record of a file. The exact record inside it is found
+        by the task that reads the file. All of a shard that appears ``late`` lies past the tip.
+        """
+        files, source, point = self._shards.get(shard, []), self.source, points.get(shard)
+        end = self._end(shard)
+        if point == SHARD_END:
+            return {"start": end}
+        if source.kind == P.HORIZON:
+            return {"start": 0}
+        if source.kind == P.TIMESTAMP:
+            how, bound = "ts", source.ts_ms * 1000
+            at = next((f.start for f in files if f.last_ts_us >= bound), end)
+        elif source.kind == P.SEQUENCE and shard == source.shard_id:
+            how, bound = "from", _key(source.sequence)
+            at = next((f.start for f in files if f.last_key >= bound), end)
+        elif source.kind in (RESUME, P.SEQUENCE) and point is not None:
+            how, bound = "after", _key(point)
+            at = next((f.start for f in files if f.last_key > bound), end)
+        else:
+            return {"start": 0 if late else end}
+        return {"start": at, "how": how, "bound": bound}
+
+    # Offsets -----------------------------------------------------------------------------
+    # {"at": records read per shard, "opens": where each shard was opened}
+
+    def _extended(self, offset: dict, late: bool) -> dict:
+        """The offset with an opening for every shard it does not know yet."""
+        fresh = [shard for shard in self._shards if shard not in offset["at"]]
+        points = self._points() if fresh else {}
+        opens = {shard: self._opening(shard, points, late) for shard in fresh}
+        starts = {shard: opening["start"] for shard, opening in opens.items()}
+        return {"at": {**offset["at"], **starts}, "opens": {**offset["opens"], **opens}}
+
+    def initialOffset(self) -> dict:
+        self._refresh()
+        return self._first()
+
+    def _first(self) -> dict:
+        if self._opened is None:
+            self._opened = self._extended({"at": {}, "opens": {}}, late=False)
+        return self._opened
+
+    def latestOffset(self) -> dict:
+        self._refresh()
+        begun = self._planned if self._planned is not None else self._first()
+        begun = self._extended(begun, late=True)
+        waiting = self._waiting(begun["at"])
+        end = {}
+        for shard, at in begun["at"].items():
+            end[shard] = at if shard in waiting else self._end(shard)
+            if self.source.max_records is not None:
+                end[shard] = min(end[shard], at + self.source.max_records)
+        self._planned = {"at": end, "opens": begun["opens"]}
+        return self._planned
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        self._refresh()
+        if self._planned is None:
+            self._planned = end
+        slices = []
+        for shard, stop in end["at"].items():
+            opening = end["opens"][shard]
+            begin = start["at"].get(shard, opening["start"])
+            files = self._shards.get(shard, [])
+            if begin >= stop:
+                continue
+            first = bisect_right([f.start for f in files], begin) - 1
+            for file in files[first:]:
+                if file.start >= stop:
+                    break
+                skip = max(begin - file.start, 0)
+                take = min(stop, file.start + file.rows) - file.start - skip
+                opens_here = "how" in opening and file.start == opening["start"]
+                trim = (opening["how"], opening["bound"]) if opens_here else None
+                slices.append(_Slice(shard, file.path, file.start, skip, take, trim))
+        return slices
+
+    # Reading -----------------------------------------------------------------------------
+
+    def read(self, partition: _Slice):
+        stream, shard = self.source.stream, partition.shard_id
+        filesystem, path = fs.FileSystem.from_uri(partition.path)
+        try:
+            source = filesystem.open_input_file(path)
+        except FileNotFoundError:
+            yield _failure(stream, shard, partition.start + partition.skip)
+            return
+        with source, pq.ParquetFile(source) as file:
+            position, stop = 0, partition.skip + partition.take
+            opened = partition.opens is None
+            for batch in file.iter_batches(batch_size=self.source.batch, columns=_IN_FILE):
+                begin, position = position, position + batch.num_rows
+                low = max(partition.skip - begin, 0)
+                high = min(stop - begin, batch.num_rows)
+                if begin >= stop:
+                    return
+                if not opened:
+                    at = _opening_row(batch, partition.opens)
+                    opened = at is not None
+                    low = max(low, batch.num_rows if at is None else at)
+                if low < high:
+                    rows = batch.slice(low, high - low)
+                    yield _delivered(rows, stream, shard, partition.start + begin + low)
+
+
+def _uri(path: str) -> str:
+    return path if "://" in path or path.startswith("file:") else f"file://{path}"
+
+
+def _opening_row(batch: pa.RecordBatch, opens: tuple) -> int | None:
+    how, bound = opens
+    if how == "ts":
+        micros = batch.column("arrival_ts").cast(pa.timestamp("us", tz="UTC")).cast(pa.int64())
+        hit = pc.greater_equal(micros, bound)
+    elif how == "from":
+        hit = pc.greater_equal(batch.column("seq_key"), bound)
+    else:
+        hit = pc.greater(batch.column("seq_key"), bound)
+    at = pc.index(hit, True).as_py()
+    return None if at < 0 else at
+
+
+def _delivered(rows: pa.RecordBatch, stream: str, shard: str, start: int) -> pa.RecordBatch:
+    n = rows.num_rows
+    columns = {name: rows.column(name) for name in _IN_FILE}
+    columns["arrival_ts"] = columns["arrival_ts"].cast(pa.timestamp("us", tz="UTC"))
+    columns["stream"] = pa.repeat(pa.scalar(stream), n)
+    columns["shard_id"] = pa.repeat(pa.scalar(shard), n)
+    columns["idx"] = pa.array(range(start, start + n), pa.int64())
+    columns["error"] = pa.nulls(n, pa.string())
+    return pa.RecordBatch.from_arrays([columns[f.name] for f in _ARROW], schema=_ARROW)
+
+
+def _failure(stream: str, shard: str, start: int) -> pa.RecordBatch:
+    """A file trimmed past retention arrives as an error item; other failures are retried."""
+    row = {"stream": stream, "shard_id": shard, "idx": start, "error": errors.READ}
+    return pa.RecordBatch.from_pylist([row], schema=_ARROW)
