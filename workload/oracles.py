@@ -48,7 +48,7 @@ TABLES = {
              WHEN 3 THEN hex('no colon' || chr(10) || 'A: b: c' || user_id || chr(10))
              WHEN 4 THEN hex('A: first' || chr(10) || 'B: x' || chr(10) || 'A: ' || user_id || chr(10))
              WHEN 5 THEN hex('A: ') || 'FF' || hex(user_id || chr(10))
-             WHEN 8 THEN hex(chr(9) || ' A  :  ' || user_id || ' ' || chr(9))
+             WHEN 8 THEN hex(chr(9) || ' A' || chr(160) || ':' || chr(8195) || ' ' || user_id || ' ' || chr(9))
              WHEN 10 THEN hex('partition-key: other' || chr(10) || 'kinesis-shard-id: x' || chr(10)
                               || 'A: ' || user_id) END AS block,
         CASE WHEN block IS NOT NULL
@@ -97,7 +97,7 @@ TABLES = {
     "seeks": f"""SELECT 'events' AS stream, event_id, event_id % 5 = 0 AS wide,
         CASE WHEN NOT wide THEN CASE WHEN user_id % 10 = 9 THEN 'shard-gone' ELSE {_SHARD} END END
             AS shard_id,
-        event_id * {TICK} + {TICK // 2} AS at,
+        event_id * {TICK} + {TICK // 2} AS "at",
         CASE WHEN NOT wide THEN 'sequence' WHEN event_id % 3 = 0 THEN 'horizon'
              WHEN event_id % 3 = 1 THEN 'latest' ELSE 'timestamp' END AS kind
         FROM events WHERE event_type = 'signup' AND (event_id * 31 + user_id) % 23 = 0""",
@@ -155,12 +155,12 @@ TABLES = {
         CASE (event_id * 13) % 4 WHEN 0 THEN 'r' || (user_id % 4) WHEN 1 THEN 'n' || (user_id % 25)
              WHEN 2 THEN 'c' || user_id ELSE 'o' || user_id END AS shard_id FROM events""",
     "stamped": """SELECT d.*,
-        (SELECT count(*) FROM seeks s WHERE s.at <= d.delivered_at
+        (SELECT count(*) FROM seeks s WHERE s."at" <= d.delivered_at
           AND (s.wide OR s.shard_id = d.shard_id)) AS epoch,
-        (SELECT count(*) FROM seeks s WHERE s.at <= d.settle_ord
-          AND (s.wide OR s.shard_id = d.shard_id)) AS settle_epoch,
-        d.settle_ord IS NOT NULL AND epoch <> settle_epoch AS stale_ack FROM deliveries d""",
-    "live": "SELECT *, done AND NOT stale_ack AS live_done FROM stamped",
+        (SELECT count(*) FROM seeks s WHERE s."at" <= d.settle_ord
+          AND (s.wide OR s.shard_id = d.shard_id)) AS settle_epoch FROM deliveries d""",
+    "live": """SELECT *, settle_ord IS NOT NULL AND epoch <> settle_epoch AS stale_ack,
+        done AND NOT stale_ack AS live_done FROM stamped""",
     "epoch_wedges": """SELECT stream, shard_id, epoch, min(event_id) FILTER (WHERE NOT live_done) AS wedge
         FROM live GROUP BY stream, shard_id, epoch""",
     "epoch_reached": """SELECT stream, shard_id, epoch,
@@ -206,18 +206,18 @@ TABLES["fold"] = _ledger("commands", "f.expires_after > c.t_ms").format(self="fo
 TABLES["lax_fold"] = _ledger("hourly", "f.expires_after > c.t_ms").format(self="lax_fold")
 TABLES["strict_fold"] = _ledger("hourly", "f.expires_after >= c.t_ms").format(self="strict_fold")
 TABLES["verdicts"] = "SELECT * FROM fold WHERE n IS NOT NULL"
-TABLES["topics"] = "SELECT 'u' || user_id AS name, event_id AS at, event_type FROM events"
+TABLES["topics"] = """SELECT 'u' || user_id AS name, event_id AS "at", event_type FROM events"""
 TABLES["intervals"] = """SELECT event_id AS sub_id, 'u' || user_id AS name, event_id AS sub_start,
     CASE WHEN event_id % 10 <> 0 THEN event_id + 200 + event_id % 700 END AS sub_end
     FROM events WHERE event_type = 'signup'"""
-TABLES["fan_out"] = """SELECT sub_id, name, at FROM topics JOIN intervals USING (name)
-    WHERE at >= sub_start AND (sub_end IS NULL OR at < sub_end)"""
-TABLES["attempts"] = """SELECT sub_id, name, at, CAST(unnest(range(
-    CASE (at * 7 + sub_id) % 13 WHEN 0 THEN 2 WHEN 1 THEN 3 ELSE 1 END)) AS BIGINT) AS attempt
+TABLES["fan_out"] = """SELECT sub_id, name, "at" FROM topics JOIN intervals USING (name)
+    WHERE "at" >= sub_start AND (sub_end IS NULL OR "at" < sub_end)"""
+TABLES["attempts"] = """SELECT sub_id, name, "at", CAST(unnest(range(
+    CASE ("at" * 7 + sub_id) % 13 WHEN 0 THEN 2 WHEN 1 THEN 3 ELSE 1 END)) AS BIGINT) AS attempt
     FROM fan_out"""
-TABLES["steps"] = """SELECT sub_id, at * 1000 + attempt * 3000 AS at, attempt, 1 AS step FROM attempts
-    UNION ALL SELECT sub_id, at * 1000 + attempt * 3000 + 3000, attempt, -1
-    FROM attempts WHERE at % 101 <> 0"""
+TABLES["steps"] = """SELECT sub_id, "at" * 1000 + attempt * 3000 AS "at", attempt, 1 AS step FROM attempts
+    UNION ALL SELECT sub_id, "at" * 1000 + attempt * 3000 + 3000, attempt, -1
+    FROM attempts WHERE "at" % 101 <> 0"""
 
 # What each table is made of, in order.
 _ORDER = list(TABLES)
@@ -467,9 +467,9 @@ ORACLES: dict[str, str] = {
     "g1_epoch": _sql("SELECT event_id, epoch FROM stamped", "stamped"),
     "g2_current": _sql(
         """SELECT event_id FROM deliveries d WHERE NOT EXISTS (SELECT 1 FROM seeks s
-        WHERE s.at > d.delivered_at AND (s.wide OR s.shard_id = d.shard_id))""",
+        WHERE s."at" > d.delivered_at AND (s.wide OR s.shard_id = d.shard_id))""",
         "deliveries", "seeks"),
-    "g3_stale_acks": _sql("SELECT event_id, epoch, stale_ack FROM stamped", "stamped"),
+    "g3_stale_acks": _sql("SELECT event_id, epoch, stale_ack FROM live", "live"),
     "g4_epoch_checkpoints": _sql(
         "SELECT stream, shard_id, epoch, checkpoint FROM epoch_reached", "epoch_reached"),
     "g4_stored_checkpoints": _sql(
@@ -480,7 +480,7 @@ ORACLES: dict[str, str] = {
         row_number() OVER (PARTITION BY shard_id, epoch ORDER BY event_id) - 1 AS epoch_idx
         FROM stamped""", "stamped"),
     "g5_dispatch": _sql(
-        """SELECT at, kind, shard_id, CASE WHEN shard_id = 'shard-gone' THEN 'Read' END AS error
+        """SELECT "at", kind, shard_id, CASE WHEN shard_id = 'shard-gone' THEN 'Read' END AS error
         FROM seeks""", "seeks"),
     "g6_marker": _sql(
         f"""SELECT event_id FROM records,
@@ -489,19 +489,19 @@ ORACLES: dict[str, str] = {
         WHERE marker IS NULL OR event_id <= marker OR event_id > coalesce(tip, marker)""", "records"),
     "h1_fan_out": _sql("SELECT * FROM fan_out", "fan_out"),
     "h2_published_log": _sql(
-        """SELECT *, row_number() OVER (PARTITION BY name ORDER BY at) - 1 AS log_position
+        """SELECT *, row_number() OVER (PARTITION BY name ORDER BY "at") - 1 AS log_position
         FROM topics""", "topics"),
     "h3_live_intervals": _sql("SELECT * FROM intervals", "intervals"),
     "h4_requeue": _sql("SELECT * FROM attempts", "attempts"),
     "h5_in_flight": _sql(
-        """SELECT *, CAST(sum(step) OVER (PARTITION BY sub_id ORDER BY at, -step, attempt
+        """SELECT *, CAST(sum(step) OVER (PARTITION BY sub_id ORDER BY "at", -step, attempt
         ROWS UNBOUNDED PRECEDING) AS BIGINT) AS in_flight FROM steps""", "steps"),
     "h5_quiescent": _sql(
         "SELECT sub_id, CAST(sum(step) AS BIGINT) AS in_flight FROM steps GROUP BY sub_id", "steps"),
     "h6_expectations": _sql(
-        """SELECT 'u' || c_custkey AS name, c_custkey % 80 AS expected, count(at) AS published
+        """SELECT 'u' || c_custkey AS name, c_custkey % 80 AS expected, count("at") AS published
         FROM customer LEFT JOIN topics ON topics.name = 'u' || c_custkey
-        GROUP BY c_custkey HAVING count(at) <> c_custkey % 80""", "topics"),
+        GROUP BY c_custkey HAVING count("at") <> c_custkey % 80""", "topics"),
 }
 for _name, _op in (("e1_acquire", "acquire"), ("e2_renew", "renew"), ("e3_checkpoint", "checkpoint"),
                    ("e4_read", "read"), ("e5_release", "release")):

@@ -109,7 +109,7 @@ def raw_records(spark: SparkSession, sf: str) -> DataFrame:
         .when(case == 5, enveloped(F.concat(line("A: "), F.lit(b"\xff"), line(user, "\n"))))
         .when(case == 6, F.concat(F.lit(b"RSK1\x00\x00\xff\xff"), props))
         .when(case == 7, F.lit(b"RSK1\x00\x00"))
-        .when(case == 8, enveloped(line("\t A  :  ", user, " \t")))
+        .when(case == 8, enveloped(line("\t A\u00a0:\u2003 ", user, " \t")))
         .when(case == 9, F.lit(AGGREGATED_MAGIC))
         .when(case == 10, enveloped(line("partition-key: other\nkinesis-shard-id: x\nA: ", user)))
         .otherwise(props)
