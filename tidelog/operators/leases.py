@@ -5,8 +5,9 @@ Replaying it is sequential by nature, since each verdict depends on the lease be
 ledger too long for one task is cut into blocks. A lease is fully known again as soon as one
 command takes effect, so a block can say, without knowing the lease it starts from, which
 lease it ends with for every lease it might start from: once per owner seen in it, and once
-per instant at which an expired lease would be taken over. These summaries are chained per
-shard, and the blocks are then replayed in parallel, each from its known start.
+per instant at which an expired lease would be taken over, as far as an earlier lease can run.
+These summaries are chained per shard, and the blocks are then replayed in parallel, each from
+its known start.
 """
 
 from __future__ import annotations
@@ -89,9 +90,11 @@ def _replay(key, commands: pd.DataFrame, start: pd.DataFrame, strict: bool) -> p
 _COMMAND_NAMES = ("n", "t_ms", "owner", "op", "ttl_ms", "sequence")
 
 
-def _summarise(key, commands: pd.DataFrame, strict: bool) -> pd.DataFrame:
+def _summarise(key, commands: pd.DataFrame, latest: int | None, strict: bool) -> pd.DataFrame:
     """What a block does to every lease it could start from (see the module text).
 
+    ``latest`` is the last instant a lease from before the block can run to.
+
     Walking backwards, ``ends[i]`` is the lease at the end of the block when command ``i``
     took effect. What takes effect next is the earlier of the owner's next command and the
     first acquire late enough to find the lease expired.
@@ -132,6 +135,8 @@ def _summarise(key, commands: pd.DataFrame, strict: bool) -> pd.DataFrame:
     stops = sorted(own.values())
     merged: list[list] = []
     for at, minus_t in zip(reversed(taken), reversed(reach), strict=True):
+        if latest is None or (merged and merged[-1][3] > latest):
+            break
         same = merged and merged[-1][4:] == list(ends[at])
         if same and bisect_left(stops, merged[-1][2]) == bisect_left(stops, at):
             merged[-1][3] = -minus_t
@@ -204,13 +209,17 @@ def replay_ledger(
     stored = in_blocks(ledger, SHARD_KEYS, ["n"], blocks)
     summarise, chain = partial(_summarise, strict=strict_expiry), partial(_chain, strict=strict_expiry)
 
-    def summary(key, rows):
-        return summarise(key, rows)
+    def summary(key, rows, horizon):
+        return summarise(key, rows, _whole(horizon["latest_ms"].iloc[0]))
 
     def links(key, rows, start):
         return chain(key, rows, start)
 
-    summaries = stored.groupBy(*_BLOCK_KEYS).applyInPandas(summary, _SUMMARY_DDL)
+    summaries = (
+        stored.groupBy(*_BLOCK_KEYS)
+        .cogroup(written(_last_expiries(stored, before), "expiries").groupBy(*_BLOCK_KEYS))
+        .applyInPandas(summary, _SUMMARY_DDL)
+    )
     starts = (
         summaries.groupBy(*SHARD_KEYS)
         .cogroup(before.groupBy(*SHARD_KEYS))
@@ -229,15 +238,27 @@ def replay_ledger(
     return _carry_totals(verdicts, before)
 
 
+def _before_block():
+    return Window.partitionBy(*SHARD_KEYS).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _last_expiries(stored: DataFrame, before: DataFrame) -> DataFrame:
+    """Per block, the latest expiry that any earlier command or the starting state can give."""
+    runs_to = F.col("t_ms") + F.col("ttl_ms")
+    own = stored.groupBy(*_BLOCK_KEYS).agg(F.max(runs_to).alias("_own"))
+    return own.join(before.select(*SHARD_KEYS, "expires_ms"), SHARD_KEYS, "left").select(
+        *_BLOCK_KEYS,
+        F.greatest(F.max("_own").over(_before_block()), F.col("expires_ms")).alias("latest_ms"),
+    )
+
+
 def _carry_totals(verdicts: DataFrame, before: DataFrame) -> DataFrame:
     """Adds what earlier blocks (and the starting state) hold to counter and checkpoint."""
     totals = verdicts.groupBy(*_BLOCK_KEYS).agg(
         F.max("counter_after").alias("_count"),
         F.max_by("checkpoint_after", "n").alias("_point"),
     )
-    earlier = (
-        Window.partitionBy(*SHARD_KEYS).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    earlier = _before_block()
     known = before.select(*SHARD_KEYS, "checkpoint", "counter")
     carried = totals.join(known, SHARD_KEYS, "left").select(
         *_BLOCK_KEYS,
