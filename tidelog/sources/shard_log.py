@@ -170,7 +170,7 @@ class ShardLogReader(DataSourceStreamReader):
         if source.kind == P.HORIZON:
             return {"start": 0}
         if source.kind == P.TIMESTAMP:
-            how, bound = "ts", source.ts_ms * 1000
+            how, bound = "ts", min(source.ts_ms * 1000, (1 << 63) - 1)
             at = next((f.start for f in files if f.last_ts_us >= bound), end)
         elif source.kind == P.SEQUENCE and shard == source.shard_id:
             how, bound = "from", _key(source.sequence)
