@@ -13,15 +13,16 @@ its known start.
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Callable, Iterator
 from functools import partial
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.plans.prefix import Scan, in_blocks, largest_key, match, prefix
 from tidelog.plans.scratch import written
-from tidelog.schema import LEASE_STATE, LEASE_TTL_MS, RENEW_EVERY_MS, SHARD_KEYS
+from tidelog.schema import LEASE_TTL_MS, RENEW_EVERY_MS, SHARD_KEYS
 
 # Fixed command names.
 ACQUIRE = "acquire"
@@ -31,16 +32,19 @@ READ = "read"
 RELEASE = "release"
 
 # Commands of one shard that one task may replay; above it the ledger is cut into blocks.
-MAX_SHARD_COMMANDS = 1_000_000
+MAX_SHARD_COMMANDS = 5_000_000
 
+_MUTATING = (ACQUIRE, RENEW, RELEASE)
 _BLOCK_KEYS = [*SHARD_KEYS, "_block"]
+_COMMAND = [*SHARD_KEYS, "n", "t_ms", "owner", "op", "ttl_ms", "sequence"]
+_LEASE = ["_owner", "_expires", "_checkpoint", "_counter"]
 _COMMAND_DDL = (
     "stream string, shard_id string, n long, t_ms long, owner string, op string, "
     "ttl_ms long, sequence string"
 )
 _VERDICT_DDL = (
-    _COMMAND_DDL + ", ok boolean, owner_before string, expires_before long, "
-    "owner_after string, expires_after long, checkpoint_after string, counter_after long"
+    ", ok boolean, owner_before string, expires_before long, owner_after string, "
+    "expires_after long, checkpoint_after string, counter_after long"
 )
 _SUMMARY_DDL = (
     "stream string, shard_id string, _block int, kind string, owner string, at long, "
@@ -49,129 +53,190 @@ _SUMMARY_DDL = (
 _START_DDL = "stream string, shard_id string, _block int, owner string, expires_ms long"
 
 
-def _text(value):
-    return value if isinstance(value, str) else None
-
+def _in_order(
+    table: DataFrame, keys: list[str], order: list[Column], fold: Callable, ddl: str
+) -> DataFrame:
+    """Streams each partition through ``fold``, its keys together and each key in order.
 
-def _whole(value):
-    return None if value is None or pd.isna(value) else int(value)
+    Nothing but the running state of one key is held, whatever the size of the key.
+    """
+    return table.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(fold, ddl)
+
+
+def _rows(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(batch.column(c).to_pylist() for c in columns), strict=True)
+
+
+def _batches(rows: Iterator[tuple], names: list[str], size: int = 10_000) -> Iterator[pa.RecordBatch]:
+    """Rows to record batches; every column is text or a whole number."""
+    whole = {"_block": pa.int32(), "at": pa.int64(), "t_ms": pa.int64()}
+    whole |= dict.fromkeys(("exit_expires", "expires_ms"), pa.int64())
+    pending: list[tuple] = []
+
+    def batch() -> pa.RecordBatch:
+        columns = zip(*pending, strict=True)
+        arrays = [pa.array(c, whole.get(n, pa.string())) for n, c in zip(names, columns, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=names)
+
+    for row in rows:
+        pending.append(row)
+        if len(pending) == size:
+            yield batch()
+            pending = []
+    if pending:
+        yield batch()
+
+
+def _replay(
+    batches: Iterator[pa.RecordBatch], keys: list[str], strict: bool
+) -> Iterator[pa.RecordBatch]:
+    """Verdict of each command; a key starts from the lease its first row carries."""
+    current = None
+    owner = expires = checkpoint = None
+    counter = 0
+    read = [*keys, "op", "owner", "t_ms", "ttl_ms", "sequence", *_LEASE]
+    for batch in batches:
+        out: list[list] = [[] for _ in range(7)]
+        for row in _rows(iter([batch]), read):
+            key = row[: len(keys)]
+            op, who, now, ttl, sequence = row[len(keys) : len(keys) + 5]
+            if key != current:
+                current = key
+                owner, expires, checkpoint, counter = row[-4:]
+            before = (owner, expires)
+            if op == ACQUIRE:
+                alive = expires is not None and (expires >= now if strict else expires > now)
+                ok = owner is None or owner == who or not alive
+            else:
+                ok = op == READ or (owner is not None and owner == who)
+            if ok:
+                if op in (ACQUIRE, RENEW):
+                    owner, expires = who, now + ttl
+                elif op == CHECKPOINT:
+                    checkpoint = sequence
+                elif op == RELEASE:
+                    owner, expires = None, None
+                counter += op != READ
+            verdict = (ok, *before, owner, expires, checkpoint, counter)
+            for column, value in zip(out, verdict, strict=True):
+                column.append(value)
+        kinds = [pa.bool_(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        passed = [n for n in batch.schema.names if n not in _LEASE]
+        arrays = [batch.column(n) for n in passed]
+        arrays += [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays(arrays, names=[*passed, *_VERDICT_COLUMNS])
+
+
+_VERDICT_COLUMNS = [part.split()[0] for part in _VERDICT_DDL[2:].split(", ")]
+
+
+class _Block:
+    """What a block does to every lease it could start from (see the module text).
 
+    Fed backwards. Each command is paired with the lease at the end of the block if it takes
+    effect; what takes effect next is the earlier of the owner's next command and the first
+    acquire late enough to find the lease expired. ``latest`` is the last instant a lease
+    from before the block can run to.
+    """
 
-def _replay(key, commands: pd.DataFrame, start: pd.DataFrame, strict: bool) -> pd.DataFrame:
-    """Verdict of each command, in order, from a starting lease (at most one row)."""
-    commands = commands.sort_values("n", ignore_index=True)
-    first = start.iloc[0] if len(start) else {}
-    owner, expires = _text(first.get("owner")), _whole(first.get("expires_ms"))
-    checkpoint, counter = _text(first.get("checkpoint")), _whole(first.get("counter")) or 0
-    rows = []
-    columns = [commands[c].tolist() for c in ("op", "owner", "t_ms", "ttl_ms", "sequence")]
-    for op, who, now, ttl, sequence in zip(*columns, strict=True):
-        before = (owner, expires)
-        if op == ACQUIRE:
-            alive = expires is not None and (expires >= now if strict else expires > now)
-            ok = owner is None or owner == who or not alive
-        else:
-            ok = op == READ or owner == who
-        if ok and op in (ACQUIRE, RENEW):
-            owner, expires = who, now + ttl
-        elif ok and op == CHECKPOINT:
-            checkpoint = sequence
-        elif ok and op == RELEASE:
-            owner, expires = None, None
-        counter += ok and op != READ
-        rows.append((ok, *before, owner, expires, checkpoint, counter))
-    names = ["ok", "owner_before", "expires_before", "owner_after", "expires_after"]
-    verdicts = pd.DataFrame(rows, columns=[*names, "checkpoint_after", "counter_after"])
-    for name in ("expires_before", "expires_after", "counter_after"):
-        verdicts[name] = verdicts[name].astype("Int64")
-    return pd.concat([commands[SHARD_KEYS + list(_COMMAND_NAMES)], verdicts], axis=1)
-
-
-_COMMAND_NAMES = ("n", "t_ms", "owner", "op", "ttl_ms", "sequence")
-
-
-def _summarise(key, commands: pd.DataFrame, latest: int | None, strict: bool) -> pd.DataFrame:
-    """What a block does to every lease it could start from (see the module text).
+    def __init__(self, strict: bool, latest: int | None) -> None:
+        self.strict = strict
+        self.latest = latest
+        self.own: dict[str, tuple] = {}  # owner: (at, end) of its nearest command
+        # Acquires that a later expiry could meet, nearest last: (at, end), and their times
+        # negated, which ascend towards the nearest.
+        self.taken: list[tuple] = []
+        self.reach: list[int] = []
 
-    ``latest`` is the last instant a lease from before the block can run to.
+    def _take_over(self, expires: int) -> tuple | None:
+        at = bisect_left(self.reach, -expires + (0 if self.strict else 1)) - 1
+        return self.taken[at] if at >= 0 else None
 
-    Walking backwards, ``ends[i]`` is the lease at the end of the block when command ``i``
-    took effect. What takes effect next is the earlier of the owner's next command and the
-    first acquire late enough to find the lease expired.
-    """
-    commands = commands.sort_values("n", ignore_index=True)
-    taken: list[int] = []  # acquires that a later expiry could meet, nearest last
-    reach: list[int] = []  # minus their times, ascending as times fall towards the nearest
-    own: dict[str, int] = {}
-    ends: dict[int, tuple] = {}
-
-    def take_over(expires: int) -> int | None:
-        at = bisect_left(reach, -expires + (0 if strict else 1)) - 1
-        return taken[at] if at >= 0 else None
-
-    columns = [commands[c].tolist() for c in ("op", "owner", "t_ms", "ttl_ms")]
-    mutating = [
-        (i, *row) for i, row in enumerate(zip(*columns, strict=True)) if row[0] in _MUTATING
-    ]
-    for i, op, who, now, ttl in reversed(mutating):
+    def feed(self, at: int, op: str, who: str, now: int, ttl: int) -> None:
         if op == RELEASE:
-            lease, follow = (None, None), taken[-1] if taken else None
+            lease, next_ = (None, None), self.taken[-1] if self.taken else None
         else:
             lease = (who, now + ttl)
-            candidates = [own.get(who), take_over(now + ttl)]
-            follow = min((c for c in candidates if c is not None), default=None)
-        ends[i] = lease if follow is None else ends[follow]
-        own[who] = i
+            found = [c for c in (self.own.get(who), self._take_over(now + ttl)) if c]
+            next_ = min(found, key=lambda c: c[0], default=None)
+        told = (at, lease if next_ is None else next_[1])
+        self.own[who] = told
         if op == ACQUIRE:
-            while reach and -reach[-1] <= now:
-                taken.pop()
-                reach.pop()
-            taken.append(i)
-            reach.append(-now)
-
-    free = ends[taken[-1]] if taken else (None, None)
-    rows = [("free", None, None, None, *free)]
-    rows += [("own", who, at, None, *ends[at]) for who, at in own.items()]
-    stops = sorted(own.values())
-    merged: list[list] = []
-    for at, minus_t in zip(reversed(taken), reversed(reach), strict=True):
-        if latest is None or (merged and merged[-1][3] > latest):
-            break
-        same = merged and merged[-1][4:] == list(ends[at])
-        if same and bisect_left(stops, merged[-1][2]) == bisect_left(stops, at):
-            merged[-1][3] = -minus_t
-        else:
-            merged.append(["expired", None, at, -minus_t, *ends[at]])
-    names = ["kind", "owner", "at", "t_ms", "exit_owner", "exit_expires"]
-    out = pd.DataFrame([*rows, *map(tuple, merged)], columns=names)
-    for name in ("at", "t_ms", "exit_expires"):
-        out[name] = out[name].astype("Int64")
-    for name, value in zip(_BLOCK_KEYS, key, strict=True):
-        out.insert(0, name, value)
-    return out
-
-
-_MUTATING = (ACQUIRE, RENEW, RELEASE)
-
-
-def _chain(key, summaries: pd.DataFrame, start: pd.DataFrame, strict: bool) -> pd.DataFrame:
-    """The lease each block of a shard starts from."""
-    first = start.iloc[0] if len(start) else {}
-    owner, expires = _text(first.get("owner")), _whole(first.get("expires_ms"))
-    rows = []
-    for block, parts in summaries.sort_values(["_block", "at"]).groupby("_block", sort=True):
-        rows.append((*key, block, owner, expires))
-        if owner is None:
-            hit = parts[parts.kind == "free"]
-        else:
-            late = parts.t_ms > expires if strict else parts.t_ms >= expires
-            own = (parts.kind == "own") & (parts.owner == owner)
-            hit = parts[own | ((parts.kind == "expired") & late.fillna(False))].nsmallest(1, "at")
-        if len(hit):
-            owner, expires = _text(hit.exit_owner.iloc[0]), _whole(hit.exit_expires.iloc[0])
-    out = pd.DataFrame(rows, columns=[*_BLOCK_KEYS, "owner", "expires_ms"])
-    out["expires_ms"] = out["expires_ms"].astype("Int64")
-    return out
+            while self.reach and -self.reach[-1] <= now:
+                self.taken.pop()
+                self.reach.pop()
+            self.taken.append(told)
+            self.reach.append(-now)
+
+    def rows(self) -> Iterator[tuple]:
+        """(kind, owner, at, t_ms, exit_owner, exit_expires)"""
+        free = self.taken[-1][1] if self.taken else (None, None)
+        yield ("free", None, None, None, *free)
+        for who, (at, end) in self.own.items():
+            yield ("own", who, at, None, *end)
+        stops = sorted(at for at, _ in self.own.values())
+        run: list | None = None  # acquires with the same end and no owner's command between
+        for (at, end), minus in zip(reversed(self.taken), reversed(self.reach), strict=True):
+            if self.latest is None or (run and run[1] > self.latest):
+                break
+            if run and run[2] == end and bisect_left(stops, run[0]) == bisect_left(stops, at):
+                run[1] = -minus
+                continue
+            if run:
+                yield ("expired", None, run[0], run[1], *run[2])
+            run = [at, -minus, end]
+        if run:
+            yield ("expired", None, run[0], run[1], *run[2])
+
+
+def _summarise(batches: Iterator[pa.RecordBatch], strict: bool) -> Iterator[pa.RecordBatch]:
+    """Summaries of blocks whose commands come last first."""
+    columns = [*_BLOCK_KEYS, "_latest", "n", "op", "owner", "t_ms", "ttl_ms"]
+
+    def rows():
+        current, block = None, None
+        for *key, latest, n, op, who, now, ttl in _rows(batches, columns):
+            if key != current:
+                if block is not None:
+                    yield from ((*current, *row) for row in block.rows())
+                current, block = key, _Block(strict, latest)
+            if op in _MUTATING:
+                block.feed(n, op, who, now, ttl)
+        if block is not None:
+            yield from ((*current, *row) for row in block.rows())
+
+    names = [*_BLOCK_KEYS, "kind", "owner", "at", "t_ms", "exit_owner", "exit_expires"]
+    return _batches(rows(), names)
+
+
+def _chain(batches: Iterator[pa.RecordBatch], strict: bool) -> Iterator[pa.RecordBatch]:
+    """The lease each block starts from; summaries come by block, then position."""
+    columns = [*_BLOCK_KEYS, "kind", "owner", "t_ms", "exit_owner", "exit_expires", "_owner", "_expires"]
+
+    def rows():
+        shard, block, hit = None, None, None
+        owner = expires = None
+        for stream, shard_id, number, kind, who, late, *rest in _rows(batches, columns):
+            exit_, start = tuple(rest[:2]), rest[2:]
+            if (stream, shard_id) != shard:
+                shard, block, hit = (stream, shard_id), None, None
+                owner, expires = start
+            if number != block:
+                if hit is not None:
+                    owner, expires = hit
+                block, hit = number, None
+                yield (*shard, block, owner, expires)
+            if hit is None:
+                if owner is None:
+                    met = kind == "free"
+                elif kind == "own":
+                    met = who == owner
+                else:
+                    met = kind == "expired" and (late > expires if strict else late >= expires)
+                hit = exit_ if met else None
+
+    return _batches(rows(), [*_BLOCK_KEYS, "owner", "expires_ms"])
 
 
 def replay_ledger(
@@ -190,91 +255,85 @@ def replay_ledger(
     after its expiry instant, not at it. ``state`` (``schema.LEASE_STATE``) is the lease of
     each shard before the first command.
     """
-    spark = commands.sparkSession
     limit = MAX_SHARD_COMMANDS if max_shard_commands is None else max_shard_commands
-    ledger = commands.select(
-        *SHARD_KEYS, "n", "t_ms", "owner", "op",
-        F.coalesce("ttl_ms", F.lit(0)).cast("long").alias("ttl_ms"), "sequence",
-    )
-    before = spark.createDataFrame([], LEASE_STATE) if state is None else state
-    replay = partial(_replay, strict=strict_expiry)
-
-    def one_block(key, rows, start):
-        return replay(key, rows, start)
+    ttl = F.coalesce("ttl_ms", F.lit(0)).cast("long").alias("ttl_ms")
+    ledger = commands.select(*[ttl if c == "ttl_ms" else c for c in _COMMAND])
+    starts = None if state is None else written(state, "leases")
 
     if largest_key(ledger, SHARD_KEYS) <= limit:
-        grouped = ledger.groupBy(*SHARD_KEYS).cogroup(before.groupBy(*SHARD_KEYS))
-        return grouped.applyInPandas(one_block, _VERDICT_DDL)
+        fold = partial(_replay, keys=SHARD_KEYS, strict=strict_expiry)
+        return _in_order(
+            _starting(ledger, starts), SHARD_KEYS, [F.col("n")], fold, _COMMAND_DDL + _VERDICT_DDL
+        )
 
     stored = in_blocks(ledger, SHARD_KEYS, ["n"], blocks)
-    summarise, chain = partial(_summarise, strict=strict_expiry), partial(_chain, strict=strict_expiry)
-
-    def summary(key, rows, horizon):
-        return summarise(key, rows, _whole(horizon["latest_ms"].iloc[0]))
-
-    def links(key, rows, start):
-        return chain(key, rows, start)
-
-    summaries = (
-        stored.groupBy(*_BLOCK_KEYS)
-        .cogroup(written(_last_expiries(stored, before), "expiries").groupBy(*_BLOCK_KEYS))
-        .applyInPandas(summary, _SUMMARY_DDL)
+    latest = written(_last_expiries(_starting(stored, starts)), "expiries")
+    summaries = _in_order(
+        stored.join(latest, _BLOCK_KEYS), _BLOCK_KEYS, [F.col("n").desc()],
+        partial(_summarise, strict=strict_expiry), _SUMMARY_DDL,
+    )
+    chained = _in_order(
+        _starting(summaries, starts), SHARD_KEYS, [F.col("_block"), F.col("at")],
+        partial(_chain, strict=strict_expiry), _START_DDL,
+    )
+    entered = written(chained, "starts").withColumns(
+        {"checkpoint": F.lit(None).cast("string"), "counter": F.lit(0).cast("long")}
     )
-    starts = (
-        summaries.groupBy(*SHARD_KEYS)
-        .cogroup(before.groupBy(*SHARD_KEYS))
-        .applyInPandas(links, _START_DDL)
+    verdicts = _in_order(
+        _starting(stored, entered, _BLOCK_KEYS), _BLOCK_KEYS, [F.col("n")],
+        partial(_replay, keys=_BLOCK_KEYS, strict=strict_expiry),
+        _COMMAND_DDL + ", _block int" + _VERDICT_DDL,
     )
+    return _carry_totals(written(verdicts, "verdicts"), starts)
 
-    def block_of(key, rows, start):
-        return replay(key, rows, start).assign(_block=key[2])
 
-    verdicts = written(
-        stored.groupBy(*_BLOCK_KEYS)
-        .cogroup(written(starts, "starts").groupBy(*_BLOCK_KEYS))
-        .applyInPandas(block_of, _VERDICT_DDL + ", _block int"),
-        "verdicts",
-    )
-    return _carry_totals(verdicts, before)
+def _starting(table: DataFrame, starts: DataFrame | None, keys: list[str] = SHARD_KEYS) -> DataFrame:
+    """Adds the lease each key starts from; a key without one starts free."""
+    names = dict(zip(("owner", "expires_ms", "checkpoint", "counter"), _LEASE, strict=True))
+    if starts is None:
+        kinds = {"_owner": "string", "_expires": "long", "_checkpoint": "string"}
+        added = {name: F.lit(None).cast(kind) for name, kind in kinds.items()}
+        return table.withColumns({**added, "_counter": F.lit(0).cast("long")})
+    lease = starts.select(*keys, *[F.col(c).alias(n) for c, n in names.items()])
+    joined = table.join(lease, keys, "left").select(*table.columns, *_LEASE)
+    return joined.withColumn("_counter", F.coalesce("_counter", F.lit(0).cast("long")))
 
 
 def _before_block():
     return Window.partitionBy(*SHARD_KEYS).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _last_expiries(stored: DataFrame, before: DataFrame) -> DataFrame:
+def _last_expiries(stored: DataFrame) -> DataFrame:
     """Per block, the latest expiry that any earlier command or the starting state can give."""
     runs_to = F.col("t_ms") + F.col("ttl_ms")
-    own = stored.groupBy(*_BLOCK_KEYS).agg(F.max(runs_to).alias("_own"))
-    return own.join(before.select(*SHARD_KEYS, "expires_ms"), SHARD_KEYS, "left").select(
+    own = stored.groupBy(*_BLOCK_KEYS).agg(
+        F.max(runs_to).alias("_own"), F.max("_expires").alias("_expires")
+    )
+    return own.select(
         *_BLOCK_KEYS,
-        F.greatest(F.max("_own").over(_before_block()), F.col("expires_ms")).alias("latest_ms"),
+        F.greatest(F.max("_own").over(_before_block()), F.col("_expires")).alias("_latest"),
     )
 
 
-def _carry_totals(verdicts: DataFrame, before: DataFrame) -> DataFrame:
+def _carry_totals(verdicts: DataFrame, starts: DataFrame | None) -> DataFrame:
     """Adds what earlier blocks (and the starting state) hold to counter and checkpoint."""
     totals = verdicts.groupBy(*_BLOCK_KEYS).agg(
         F.max("counter_after").alias("_count"),
         F.max_by("checkpoint_after", "n").alias("_point"),
     )
-    earlier = _before_block()
-    known = before.select(*SHARD_KEYS, "checkpoint", "counter")
-    carried = totals.join(known, SHARD_KEYS, "left").select(
+    before = _before_block()
+    carried = _starting(totals, starts).select(
         *_BLOCK_KEYS,
-        (
-            F.coalesce(F.sum("_count").over(earlier), F.lit(0))
-            + F.coalesce(F.col("counter"), F.lit(0))
-        ).alias("_counter"),
-        F.coalesce(F.last("_point", ignorenulls=True).over(earlier), F.col("checkpoint")).alias(
-            "_checkpoint"
+        (F.coalesce(F.sum("_count").over(before), F.lit(0)) + F.col("_counter")).alias("_carried"),
+        F.coalesce(F.last("_point", ignorenulls=True).over(before), F.col("_checkpoint")).alias(
+            "_point_before"
         ),
     )
     renamed, condition = match(written(carried, "carry"), _BLOCK_KEYS)
     return (
         verdicts.join(renamed, condition)
-        .withColumn("counter_after", F.col("counter_after") + F.col("_counter"))
-        .withColumn("checkpoint_after", F.coalesce("checkpoint_after", "_checkpoint"))
+        .withColumn("counter_after", F.col("counter_after") + F.col("_carried"))
+        .withColumn("checkpoint_after", F.coalesce("checkpoint_after", "_point_before"))
         .select(*[c for c in verdicts.columns if c != "_block"])
     )
 
@@ -311,6 +370,9 @@ def ownership(verdicts: DataFrame, **scan) -> DataFrame:
     ``lapsed_ms`` is when the holder's lease ran out, if that was before the end.
     """
     changes = verdicts.filter(~F.col("owner_before").eqNullSafe(F.col("owner_after")))
+    changes = written(
+        changes.select(*SHARD_KEYS, "n", "t_ms", "owner_after", "expires_before"), "changes"
+    )
     ended = F.struct("t_ms", "expires_before")
     tenures = prefix(
         changes, SHARD_KEYS, ["n"], {"_end": Scan("last", ended, inclusive=False)},
@@ -336,6 +398,7 @@ def renewal_gaps(
 ) -> DataFrame:
     """Heartbeats of a sitting holder that came later than the cadence after the one before."""
     beats = verdicts.filter(F.col("op").isin(ACQUIRE, RENEW) & F.col("ok"))
+    beats = written(beats.select(*SHARD_KEYS, "owner", "n", "t_ms", "owner_before"), "beats")
     lagged = prefix(
         beats, [*SHARD_KEYS, "owner"], ["n"],
         {"previous_ms": Scan("last", F.col("t_ms"), inclusive=False)}, **scan,
