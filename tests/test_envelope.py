@@ -127,7 +127,7 @@ def test_aggregated_marker_needs_more_than_four_bytes(spark):
 def test_reserved_headers_come_from_the_record(spark):
     row = spark.range(1).select(
         envelope.delivered_headers(
-            F.create_map(F.lit(SHARD_HEADER), F.lit("forged"), F.lit("a"), F.lit("1")),
+            F.map_entries(F.create_map(F.lit(SHARD_HEADER), F.lit("forged"), F.lit("a"), F.lit("1"))),
             F.lit("k"), F.lit("7"), F.lit("s1"),
         ).alias("h")
     ).first()

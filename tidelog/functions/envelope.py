@@ -27,7 +27,7 @@ _SPACE_POINTS = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x
 _SPACE_POINTS += [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 WHITE_SPACE = "".join(chr(p) for p in _SPACE_POINTS)
 
-_NO_HEADERS = "cast(map() as map<string,string>)"
+_NO_ENTRIES = "cast(array() as array<struct<key: string, value: string>>)"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -72,13 +72,13 @@ def _trimmed(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITE_SPACE))
 
 
-def parse_headers(text: Column) -> Column:
-    """Header lines to a map: split at the first colon, trim, and let the last name win."""
+def parse_entries(text: Column) -> Column:
+    """Header lines to (key, value) entries: split at the first colon, trim, last name wins."""
     lines = F.filter(F.split(text, "\n"), lambda line: F.contains(line, F.lit(":")))
     entries = F.transform(
         lines,
         lambda line, i: F.struct(
-            _trimmed(F.substring_index(line, ":", 1)).alias("name"),
+            _trimmed(F.substring_index(line, ":", 1)).alias("key"),
             i.alias("at"),
             _trimmed(F.substr(line, F.instr(line, ":") + 1)).alias("value"),
         ),
@@ -88,16 +88,21 @@ def parse_headers(text: Column) -> Column:
         F.array_sort(entries),
         lambda sorted_: F.filter(
             sorted_,
-            lambda e, i: ~F.get(sorted_, i + 1)["name"].eqNullSafe(e["name"]),
+            lambda e, i: ~F.get(sorted_, i + 1)["key"].eqNullSafe(e["key"]),
         ),
     )
-    return F.map_from_entries(F.transform(kept, lambda e: F.struct(e["name"], e["value"])))
+    return F.transform(kept, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
 
 
-def unpack_headers(data: Column, length: Column) -> Column:
-    """Headers of a record whose :func:`block_length` is ``length``; empty when null."""
+def unpack_entries(data: Column, length: Column) -> Column:
+    """Header entries of a record whose :func:`block_length` is ``length``; none when null."""
     text = lossy_text(F.substr(data, F.lit(9), length))
-    return F.when(length.isNull(), F.expr(_NO_HEADERS)).otherwise(parse_headers(text))
+    return F.when(length.isNull(), F.expr(_NO_ENTRIES)).otherwise(parse_entries(text))
+
+
+def unpack_headers(data: Column, length: Column) -> Column:
+    """Headers of a record as a map."""
+    return F.map_from_entries(unpack_entries(data, length))
 
 
 def unpack_payload(data: Column, length: Column) -> Column:
@@ -111,19 +116,20 @@ def is_aggregated(data: Column) -> Column:
 
 
 def delivered_headers(
-    headers: Column, partition_key: Column, sequence: Column, shard: Column
+    entries: Column, partition_key: Column, sequence: Column, shard: Column
 ) -> Column:
-    """Message headers with the reserved names set from the record itself."""
-    own = F.map_filter(headers, lambda name, _: ~name.isin(RESERVED))
-    reserved = F.create_map(
-        F.lit(PARTITION_KEY_HEADER),
-        partition_key,
-        F.lit(SEQUENCE_HEADER),
-        sequence,
-        F.lit(SHARD_HEADER),
-        shard,
+    """Message headers from a record's entries, reserved names set from the record itself."""
+
+    def entry(name: str, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("key"), value.alias("value"))
+
+    reserved = F.array(
+        entry(PARTITION_KEY_HEADER, partition_key),
+        entry(SEQUENCE_HEADER, sequence),
+        entry(SHARD_HEADER, shard),
     )
-    return F.map_concat(own, reserved)
+    own = F.filter(entries, lambda e: ~e["key"].isin(RESERVED))
+    return F.map_from_entries(F.concat(own, reserved))
 
 
 def partition_key_of(headers: Column) -> Column:

@@ -103,12 +103,15 @@ def depths(shards: DataFrame) -> DataFrame:
     Works a generation at a time. Each round keeps a shard once however many paths reach it,
     so repeated merges do not multiply the rows; rounds number the generations of the log.
     """
-    edges = written(_listed_edges(shards).select(*SHARD_KEYS, "parent_id"), "edges")
-    listed = shards.select(*SHARD_KEYS).distinct()
-    rounds = [listed.withColumn("depth", F.lit(0))]
-    reached = listed.withColumnRenamed("shard_id", "parent_id")
+    columns = [*SHARD_KEYS, "parent_id", "adjacent_parent_id", "ending_sequence"]
+    nodes = written(shards.select(*columns), "shards")
+    edges = written(_listed_edges(nodes).select(*SHARD_KEYS, "parent_id"), "edges")
+    rounds = [nodes.select(*SHARD_KEYS, F.lit(0).alias("depth"))]
+    reached = None
     for depth in range(1, MAX_GENERATIONS + 1):
-        children = edges.join(reached, ["stream", "parent_id"]).select(*SHARD_KEYS).distinct()
+        # Every shard is reached by no step at all, so the first step needs no join.
+        below = edges if reached is None else edges.join(reached, ["stream", "parent_id"])
+        children = below.select(*SHARD_KEYS).distinct()
         children = written(children, "generation")
         if children.isEmpty():
             break

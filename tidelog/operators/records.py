@@ -48,7 +48,7 @@ def unpack_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
         .withColumns(
             {
                 "headers": envelope.delivered_headers(
-                    envelope.unpack_headers(F.col("data"), length),
+                    envelope.unpack_entries(F.col("data"), length),
                     F.col("partition_key"),
                     F.col("sequence_number"),
                     F.col("shard_id"),

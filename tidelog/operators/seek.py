@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidelog.functions import errors
 from tidelog.functions.positions import STREAM_WIDE
 from tidelog.operators.settlement import final_checkpoints
-from tidelog.plans.interval import covering
+from tidelog.plans.interval import covering, span_of
 from tidelog.plans.prefix import Scan, prefix
 from tidelog.plans.scratch import written
 from tidelog.schema import SHARD_KEYS
@@ -43,29 +43,40 @@ def _generations(seeks: DataFrame, keys: list[str], name: str) -> DataFrame:
 
     Simultaneous seeks count together. The stretch before the first seek has no row.
     """
-    moments = seeks.groupBy(*keys, "at").agg(F.count(F.lit(1)).alias("_n"))
+    moments = written(seeks.groupBy(*keys, "at").agg(F.count(F.lit(1)).alias("_n")), "moments")
     counted = prefix(moments, keys, ["at"], {name: Scan("sum", F.col("_n"))})
     ended = prefix(
-        counted, keys, ["at"], {"until": Scan("last", F.col("at"), inclusive=False)}, reverse=True
+        moments, keys, ["at"], {"until": Scan("last", F.col("at"), inclusive=False)}, reverse=True
     )
-    return written(ended.select(*keys, "at", "until", name), "generations")
+    both = counted.drop("_n").join(ended.drop("_n"), [*keys, "at"])
+    return written(both, "generations")
 
 
-def with_epoch(rows: DataFrame, seeks: DataFrame, at: str, name: str = "epoch") -> DataFrame:
-    """Adds the generation each row belongs to by its integer position ``at``.
-
-    A seek at the very position of a row comes before it.
-    """
+def _all_generations(seeks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Generations made by pinned seeks, per shard, and by stream-wide ones, per stream."""
     pinned = seeks.filter(F.col("shard_id").isNotNull())
     wide = seeks.filter(F.col("shard_id").isNull())
-    own = _generations(pinned, SHARD_KEYS, "_own")
-    all_ = _generations(wide, ["stream"], "_all")
-    placed = covering(rows, own, SHARD_KEYS, at, "at", "until", how="left")
-    placed = covering(placed, all_, ["stream"], at, "at", "until", how="left")
+    return _generations(pinned, SHARD_KEYS, "_own"), _generations(wide, ["stream"], "_all")
+
+
+def _stamp(rows: DataFrame, generations: tuple[DataFrame, DataFrame], at: str, name: str):
+    own, all_ = generations
+    span = span_of(rows, at)
+    placed = covering(rows, own, SHARD_KEYS, at, "at", "until", how="left", span=span)
+    placed = covering(placed, all_, ["stream"], at, "at", "until", how="left", span=span)
     epoch = F.coalesce("_own", F.lit(0)) + F.coalesce("_all", F.lit(0))
     return placed.withColumn(name, epoch.cast("long")).drop("_own", "_all")
 
 
+def with_epoch(rows: DataFrame, seeks: DataFrame, at: str, name: str = "epoch") -> DataFrame:
+    """Adds the generation each row belongs to by its integer position ``at``.
+
+    A seek at the very position of a row comes before it. Stream-wide seeks are counted per
+    stream, not once per shard, so nothing is multiplied by the number of shards.
+    """
+    return _stamp(rows, _all_generations(seeks), at, name)
+
+
 def current_deliveries(rows: DataFrame, seeks: DataFrame, at: str) -> DataFrame:
     """Rows of the present generation: those read at or after the last seek on their shard.
 
@@ -85,8 +96,9 @@ def live_settlements(deliveries: DataFrame, seeks: DataFrame, at: str) -> DataFr
 
     An acknowledgement counts only while its shard is in the generation it was read under.
     """
-    stamped = with_epoch(deliveries, seeks, at)
-    both = with_epoch(stamped, seeks, "settle_ord", "_settle_epoch")
+    generations = _all_generations(seeks)
+    stamped = _stamp(deliveries, generations, at, "epoch")
+    both = _stamp(stamped, generations, "settle_ord", "_settle_epoch")
     stale = F.col("settle_ord").isNotNull() & (F.col("epoch") != F.col("_settle_epoch"))
     return (
         both.withColumn("stale_ack", stale)

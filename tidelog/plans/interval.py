@@ -16,6 +16,12 @@ from pyspark.sql import functions as F
 BUCKETS = 256
 
 
+def span_of(points: DataFrame, point: str) -> tuple[int, int]:
+    """Smallest and largest point; (0, 0) when there is none."""
+    low, high = points.agg(F.min(point), F.max(point)).first()
+    return (0, 0) if low is None else (low, high)
+
+
 def covering(
     points: DataFrame,
     intervals: DataFrame,
@@ -26,15 +32,14 @@ def covering(
     *,
     how: str = "inner",
     buckets: int = BUCKETS,
+    span: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Rows of ``points`` with every interval of the same key where start <= point < end.
 
     ``end`` null means still open. ``point``, ``start`` and ``end`` are integers. ``how`` is
-    ``inner`` or ``left``.
+    ``inner`` or ``left``. ``span`` is :func:`span_of` the points where it is known already.
     """
-    span = points.agg(F.min(point), F.max(point)).first()
-    low = span[0] if span[0] is not None else 0
-    high = span[1] if span[1] is not None else 0
+    low, high = span_of(points, point) if span is None else span
     width = max(1, -(-(high - low + 1) // buckets))
 
     last_inside = F.least(F.col(end) - 1, F.lit(high))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.functions.sequence import with_order_key
 from tidelog.schema import AGGREGATED_MAGIC
@@ -15,8 +16,15 @@ LEASE_TTL = 129_600_000
 WEDGED = ["shard-0", "shard-1", "shard-3", "shard-5"]
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def source(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A table of the test data; its schema is read from the file once."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
