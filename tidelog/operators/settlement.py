@@ -52,16 +52,20 @@ def _settled(deliveries: DataFrame) -> DataFrame:
 
 
 def wedges(deliveries: DataFrame, keys: Sequence[str] = SHARD_KEYS) -> DataFrame:
-    """Per shard, the ``seq_key`` of the first record that is not done; null if all are."""
-    pending = F.when(~F.col("done"), F.col("seq_key"))
-    return _settled(deliveries).groupBy(*keys).agg(F.min(pending).alias("wedge_key"))
+    """Per wedged shard, the ``seq_key`` of the first record that is not done.
+
+    Only the records still pending are aggregated, and those are few.
+    """
+    pending = _settled(deliveries).filter(~F.col("done"))
+    return pending.groupBy(*keys).agg(F.min("seq_key").alias("wedge_key"))
 
 
 def final_checkpoints(
     deliveries: DataFrame, keys: Sequence[str] = SHARD_KEYS
 ) -> DataFrame:
     """Per shard, the checkpoint once everything settled so far has been counted."""
-    joined = _settled(deliveries).join(written(wedges(deliveries, keys), "wedges"), list(keys))
+    found = written(wedges(deliveries, keys), "wedges")
+    joined = _settled(deliveries).join(found, list(keys), "left")
     before = F.col("wedge_key").isNull() | (F.col("seq_key") < F.col("wedge_key"))
     return joined.groupBy(*keys).agg(
         F.max_by("sequence_number", F.when(before, F.col("seq_key"))).alias("checkpoint")
@@ -108,7 +112,7 @@ def drained(deliveries: DataFrame) -> DataFrame:
 
 def wedge_report(deliveries: DataFrame) -> DataFrame:
     """Per wedged shard: the blocking record, how much it holds back and for how long."""
-    found = written(wedges(deliveries), "wedges").filter(F.col("wedge_key").isNotNull())
+    found = written(wedges(deliveries), "wedges")
     behind = _settled(deliveries).join(found, SHARD_KEYS).filter(
         F.col("seq_key") >= F.col("wedge_key")
     )

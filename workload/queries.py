@@ -58,7 +58,7 @@ def build_log(rows: DataFrame, parts: int = 2) -> str:
     return path
 
 
-def drain(stream: DataFrame, schema_of: DataFrame | None = None) -> DataFrame:
+def drain(stream: DataFrame) -> DataFrame:
     """Runs a stream to the end of what there is and returns the table it wrote."""
     spark = stream.sparkSession
     out, state = new_folder(spark, "out"), new_folder(spark, "state")
@@ -470,7 +470,14 @@ def d5_running_tracker(spark, sf):
     ]
     out = new_folder(spark, "out")
     tracker.use_state_store(spark)
-    in_increments(spark, parts, lambda s: run.to_parquet(tracker.track_checkpoints(s), out))
+    # The number of state partitions is fixed for the life of a query, so it follows the cores.
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(partitions), cores)))
+    try:
+        in_increments(spark, parts, lambda s: run.to_parquet(tracker.track_checkpoints(s), out))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     return spark.read.parquet(out).groupBy(*SHARD_KEYS).agg(
         F.max_by("checkpoint", "checkpoint_idx").alias("checkpoint")
     )
