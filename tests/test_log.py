@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidelog.functions import positions as P
 from tidelog.functions.errors import LogError
 from tidelog.operators.records import with_items
+from tidelog.schema import SEQUENCE_HEADER
 from tidelog.sources import log
 from tidelog.sources.descriptor import LogStream, subscribe
 from tidelog.streaming import consume, run
@@ -190,8 +191,29 @@ def test_round_trip_of_a_published_message(spark, tmp_path):
     shards = {}
     for item in sorted(items, key=lambda i: int(i.sequence_number)):
         assert item.headers["content-type"] == "json"
-        assert item.headers["kinesis-sequence-number"] == item.sequence_number
+        assert item.headers[SEQUENCE_HEADER] == item.sequence_number
         shards.setdefault(item.headers["partition-key"], set()).add(item.shard_id)
         shards.setdefault(("order", item.shard_id), []).append(int(bytes(item.payload)[6:-1]))
     assert all(len(v) == 1 for k, v in shards.items() if isinstance(k, str))
     assert all(v == sorted(v) for k, v in shards.items() if not isinstance(k, str))
+
+
+def test_names_that_need_escaping_in_paths(spark, tmp_path):
+    path, name = str(tmp_path / "my log"), "a b:c/d%é"
+    rows = records(spark, ("0001", 1, 1), ("shard=x", 2, 1)).withColumn("stream", F.lit(name))
+    log.append_log(rows, path, 0)
+    assert sorted(r.shard_id for r in log.read_log(spark, path, name).collect()) == ["0001", "shard=x"]
+    reader = Reader(spark, path, LogStream(name).start_at(P.HORIZON), tmp_path)
+    assert reader() == [("0001", 1), ("shard=x", 2)]
+
+
+def test_filters_reach_the_scan(spark, path):
+    from tidelog.operators import replay
+
+    rows = log.read_log(spark, path, "s")
+    plans = [
+        replay.from_sequence(rows, "a", "11")._jdf.queryExecution().executedPlan().toString(),
+        replay.from_timestamp(rows, 31_000)._jdf.queryExecution().toString(),
+    ]
+    assert "GreaterThanOrEqual(seq_key," in plans[0]
+    assert "shard_id" in plans[0].split("PartitionFilters")[1].split("]")[0]

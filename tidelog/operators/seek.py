@@ -59,9 +59,14 @@ def _all_generations(seeks: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _generations(pinned, SHARD_KEYS, "_own"), _generations(wide, ["stream"], "_all")
 
 
-def _stamp(rows: DataFrame, generations: tuple[DataFrame, DataFrame], at: str, name: str):
+def _stamp(
+    rows: DataFrame,
+    generations: tuple[DataFrame, DataFrame],
+    at: str,
+    name: str,
+    span: tuple[int, int],
+) -> DataFrame:
     own, all_ = generations
-    span = span_of(rows, at)
     placed = covering(rows, own, SHARD_KEYS, at, "at", "until", how="left", span=span)
     placed = covering(placed, all_, ["stream"], at, "at", "until", how="left", span=span)
     epoch = F.coalesce("_own", F.lit(0)) + F.coalesce("_all", F.lit(0))
@@ -74,7 +79,7 @@ def with_epoch(rows: DataFrame, seeks: DataFrame, at: str, name: str = "epoch")
     A seek at the very position of a row comes before it. Stream-wide seeks are counted per
     stream, not once per shard, so nothing is multiplied by the number of shards.
     """
-    return _stamp(rows, _all_generations(seeks), at, name)
+    return _stamp(rows, _all_generations(seeks), at, name, span_of(rows, at))
 
 
 def current_deliveries(rows: DataFrame, seeks: DataFrame, at: str) -> DataFrame:
@@ -97,8 +102,9 @@ def live_settlements(deliveries: DataFrame, seeks: DataFrame, at: str) -> DataFr
     An acknowledgement counts only while its shard is in the generation it was read under.
     """
     generations = _all_generations(seeks)
-    stamped = _stamp(deliveries, generations, at, "epoch")
-    both = _stamp(stamped, generations, "settle_ord", "_settle_epoch")
+    read, settled = span_of(deliveries, at), span_of(deliveries, "settle_ord")
+    stamped = _stamp(deliveries, generations, at, "epoch", read)
+    both = _stamp(stamped, generations, "settle_ord", "_settle_epoch", settled)
     stale = F.col("settle_ord").isNotNull() & (F.col("epoch") != F.col("_settle_epoch"))
     return (
         both.withColumn("stale_ack", stale)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from dataclasses import dataclass
+from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -102,7 +103,7 @@ class ShardLogReader(DataSourceStreamReader):
 
     def _refresh(self) -> None:
         """Takes in the segments indexed since the last call."""
-        filesystem, root = fs.FileSystem.from_uri(_uri(f"{self.path}/index"))
+        filesystem, root = _located(f"{self.path}/index")
         listing = filesystem.get_file_info(fs.FileSelector(root, allow_not_found=True))
         found = {int(i.base_name.partition("=")[2]): i.path for i in listing if "segment=" in i.path}
         for segment, folder in sorted(found.items()):
@@ -132,7 +133,7 @@ class ShardLogReader(DataSourceStreamReader):
         """Shards with a listed parent that is open or not read to its end."""
         if not self.source.shards:
             return set()
-        filesystem, root = fs.FileSystem.from_uri(_uri(self.source.shards))
+        filesystem, root = _located(self.source.shards)
         rows = pq.read_table(
             root, filesystem=filesystem, filters=[("stream", "=", self.source.stream)]
         ).to_pylist()
@@ -151,7 +152,7 @@ class ShardLogReader(DataSourceStreamReader):
     def _points(self) -> dict[str, str]:
         if not self.source.checkpoints:
             return {}
-        filesystem, root = fs.FileSystem.from_uri(_uri(self.source.checkpoints))
+        filesystem, root = _located(self.source.checkpoints)
         rows = pq.read_table(
             root, filesystem=filesystem, filters=[("stream", "=", self.source.stream)]
         ).to_pylist()
@@ -241,7 +242,7 @@ class ShardLogReader(DataSourceStreamReader):
 
     def read(self, partition: _Slice):
         stream, shard = self.source.stream, partition.shard_id
-        filesystem, path = fs.FileSystem.from_uri(partition.path)
+        filesystem, path = _located(partition.path)
         try:
             source = filesystem.open_input_file(path)
         except FileNotFoundError:
@@ -265,8 +266,11 @@ class ShardLogReader(DataSourceStreamReader):
                     yield _delivered(rows, stream, shard, partition.start + begin + low)
 
 
-def _uri(path: str) -> str:
-    return path if "://" in path or path.startswith("file:") else f"file://{path}"
+def _located(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a plain local path or of a URI as Spark writes it."""
+    has_scheme = "://" in path or path.startswith("file:")
+    uri = path if has_scheme else f"file://{quote(path)}"
+    return fs.FileSystem.from_uri("".join(c if c.isascii() else quote(c) for c in uri))
 
 
 def _opening_row(batch: pa.RecordBatch, opens: tuple) -> int | None:

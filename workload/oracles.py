@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidelog.schema import PARTITION_KEY_HEADER, SEQUENCE_HEADER, SHARD_HEADER
 from workload.queries import (
     CHECKPOINT_BEFORE,
     CUT,
@@ -49,7 +50,7 @@ TABLES = {
              WHEN 4 THEN hex('A: first' || chr(10) || 'B: x' || chr(10) || 'A: ' || user_id || chr(10))
              WHEN 5 THEN hex('A: ') || 'FF' || hex(user_id || chr(10))
              WHEN 8 THEN hex(chr(9) || ' A' || chr(160) || ':' || chr(8195) || ' ' || user_id || ' ' || chr(9))
-             WHEN 10 THEN hex('partition-key: other' || chr(10) || 'kinesis-shard-id: x' || chr(10)
+             WHEN 10 THEN hex('partition-key: other' || chr(10) || '{SHARD_HEADER}: x' || chr(10)
                               || 'A: ' || user_id) END AS block,
         CASE WHEN block IS NOT NULL
              THEN '52534B31' || printf('%08X', length(block) // 2) || block || body
@@ -72,12 +73,13 @@ TABLES = {
         WHERE contains(line, ':')""",
     "own_headers": """SELECT event_id, name, arg_max(value, i) AS value FROM header_lines
         GROUP BY event_id, name""",
-    "delivered_headers": """SELECT h.event_id, name, value FROM own_headers h JOIN raw USING (event_id)
+    "delivered_headers": f"""SELECT h.event_id, name, value FROM own_headers h JOIN raw USING (event_id)
         WHERE NOT refused
-          AND name NOT IN ('partition-key', 'kinesis-sequence-number', 'kinesis-shard-id')
-        UNION ALL SELECT event_id, 'partition-key', partition_key FROM raw WHERE NOT refused
-        UNION ALL SELECT event_id, 'kinesis-sequence-number', sequence_number FROM raw WHERE NOT refused
-        UNION ALL SELECT event_id, 'kinesis-shard-id', shard_id FROM raw WHERE NOT refused""",
+          AND name NOT IN ('{PARTITION_KEY_HEADER}', '{SEQUENCE_HEADER}', '{SHARD_HEADER}')
+        UNION ALL SELECT event_id, '{PARTITION_KEY_HEADER}', partition_key FROM raw WHERE NOT refused
+        UNION ALL SELECT event_id, '{SEQUENCE_HEADER}', sequence_number FROM raw
+        WHERE NOT refused
+        UNION ALL SELECT event_id, '{SHARD_HEADER}', shard_id FROM raw WHERE NOT refused""",
     "messages": """SELECT event_id, user_id, ts, props,
         CASE WHEN event_id % 3 <> 0 THEN 'x-tenant: t' || user_id || chr(10)
              || 'x-ev: ' || event_type || chr(10) ELSE '' END

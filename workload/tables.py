@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.sequence import with_order_key
-from tidelog.schema import AGGREGATED_MAGIC
+from tidelog.schema import AGGREGATED_MAGIC, PARTITION_KEY_HEADER, SHARD_HEADER
 
 # Stream clocks: an event is delivered at event_id * TICK, settled later than that.
 TICK = 1_000_000
@@ -119,7 +119,7 @@ def raw_records(spark: SparkSession, sf: str) -> DataFrame:
         .when(case == 7, F.lit(b"RSK1\x00\x00"))
         .when(case == 8, enveloped(line("\t A\u00a0:\u2003 ", user, " \t")))
         .when(case == 9, F.lit(AGGREGATED_MAGIC))
-        .when(case == 10, enveloped(line("partition-key: other\nkinesis-shard-id: x\nA: ", user)))
+        .when(case == 10, enveloped(line(f"{PARTITION_KEY_HEADER}: other\n{SHARD_HEADER}: x\nA: ", user)))
         .otherwise(props)
     )
     return events(spark, sf).select(
