@@ -10,6 +10,8 @@ import duckdb
 import pandas as pd
 from pyspark.sql import SparkSession
 
+EMPTY = "both are empty"
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -38,6 +40,10 @@ def rows_of(columns, rows):
 def compare(spark: SparkSession, connection, query, sql: str, sf_dir: str) -> str | None:
     """None when equal, else what differs."""
     frame = query(spark, sf_dir)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        if unwanted in plan:
+            return f"plan has {unwanted}"
     got = rows_of(frame.columns, [tuple(r) for r in frame.collect()])
     result = connection.execute(sql)
     names = [d[0] for d in result.description]
@@ -55,7 +61,7 @@ def compare(spark: SparkSession, connection, query, sql: str, sf_dir: str) -> st
     for left, right in zip(got, wanted, strict=True):
         if left != right:
             return f"{left} against {right}"
-    return None if got else "both are empty"
+    return None if got else EMPTY
 
 
 def main() -> None:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidelog.plans.interval import covering
 from tidelog.plans.prefix import Scan, prefix
-from tidelog.plans.scratch import shared_folder
+from tidelog.plans.scratch import drop_scratch, new_folder, shared_folder, written
 
 def scans():
     value = F.col("v")
@@ -72,3 +72,15 @@ def test_covering_without_points(spark):
 
 def test_scratch_uses_the_named_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_dropping_scratch_removes_only_what_was_made(spark, tmp_path):
+    mine = written(spark.range(3), "mine")
+    assert mine.count() == 3
+    other = tmp_path / "other"
+    spark.range(1).write.parquet(str(other))
+    never = new_folder(spark, "never")
+    assert drop_scratch(spark) >= 1
+    assert other.exists()
+    assert never not in [str(p) for p in tmp_path.iterdir()]
+    assert drop_scratch(spark) == 0

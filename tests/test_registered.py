@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from tests.compare import compare, database
+from tests.compare import EMPTY, compare, database
 
 # Needs wedges or markers, which the smallest data has none of.
 MAY_BE_EMPTY = {"d7_wedges", "d8_replay_set"}
@@ -21,7 +21,7 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_sql(spark, connection, sf, name):
     problem = compare(spark, connection, entry.queries()[name], entry.oracle_sql()[name], sf)
-    if name in MAY_BE_EMPTY and problem == "both are empty":
+    if name in MAY_BE_EMPTY and problem == EMPTY:
         problem = None
     assert problem is None
 

@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _ROOTS: dict[str, str] = {}
+_FOLDERS: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,7 +38,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/tidelog-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tidelog-{label}-{uuid.uuid4().hex}"
+    _FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -46,3 +49,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Deletes the folders this application made, once their results are no longer needed.
+
+    Tables returned by operators may still read from them. Returns how many were there.
+    """
+    context = spark.sparkContext
+    dropped = 0
+    for path in _FOLDERS.pop(context.applicationId, []):
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        dropped += folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    return dropped

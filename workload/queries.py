@@ -514,7 +514,7 @@ def d10_conditional_persist(spark, sf):
 def d11_checkpoint_table(spark, sf):
     """The table after a stream of writes that move shards forth and back."""
     writes = W.events(spark, sf).select(
-        F.lit("events").alias("stream"),
+        W.stream_name("events", "event_id"),
         W.hot_shard().alias("shard_id"),
         "event_id",
         W.long_sequence(F.col("event_id") * 7919 % 1000).alias("checkpoint"),
@@ -661,7 +661,7 @@ def _resharded(spark, sf):
         .otherwise(F.concat(F.lit("o"), user.cast("string")))
     )
     return W.events(spark, sf).select(
-        F.lit("tree").alias("stream"),
+        W.stream_name("tree", "event_id"),
         shard.alias("shard_id"),
         "event_id",
         W.long_sequence(10_000_000 - event).alias("sequence_number"),

@@ -36,6 +36,11 @@ def _text(column: str) -> Column:
     return F.col(column).cast("string")
 
 
+def stream_name(name: str, key: str) -> Column:
+    """The stream a row belongs to, as a column: a bare literal would be folded out of joins."""
+    return F.when(F.col(key).isNotNull(), F.lit(name)).alias("stream")
+
+
 def hot_shard() -> Column:
     """A third of the users, and so a third of the records, share one shard."""
     user = F.col("user_id")
@@ -58,7 +63,7 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
     """One record per event, without its bytes."""
     event = F.col("event_id")
     return events(spark, sf).select(
-        F.lit("events").alias("stream"),
+        stream_name("events", "event_id"),
         hot_shard().alias("shard_id"),
         "event_id",
         long_sequence(event).alias("sequence_number"),
@@ -85,7 +90,7 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
         header(event % 11 == 0, "multi", F.concat(F.lit("x\ninj: "), user)),
     )
     return events(spark, sf).select(
-        F.lit("events").alias("stream"),
+        stream_name("events", "event_id"),
         "event_id",
         "user_id",
         F.map_from_entries(F.array_compact(entries)).alias("headers"),
@@ -123,7 +128,7 @@ def raw_records(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(props)
     )
     return events(spark, sf).select(
-        F.lit("events").alias("stream"),
+        stream_name("events", "event_id"),
         hot_shard().alias("shard_id"),
         "event_id",
         long_sequence(event).alias("sequence_number"),
@@ -167,7 +172,7 @@ def seeks(spark: SparkSession, sf: str) -> DataFrame:
         events(spark, sf)
         .filter((F.col("event_type") == "signup") & ((event * 31 + user) % 23 == 0))
         .select(
-            F.lit("events").alias("stream"),
+            stream_name("events", "event_id"),
             F.when(~wide, shard).alias("shard_id"),
             (event * TICK + TICK // 2).alias("at"),
             F.when(wide, F.get(kinds, (event % 3).cast("int"))).otherwise("sequence").alias("kind"),
@@ -187,7 +192,7 @@ def shards(spark: SparkSession, sf: str) -> DataFrame:
 
     def rows(table, key, parent, adjacent, closed) -> DataFrame:
         return table.select(
-            F.lit("tree").alias("stream"),
+            stream_name("tree", table.columns[0]),
             key.alias("shard_id"),
             parent.cast("string").alias("parent_id"),
             adjacent.cast("string").alias("adjacent_parent_id"),
@@ -245,7 +250,7 @@ def lease_commands(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.when(event % 2 == 0, "release").otherwise("read"))
     )
     return events(spark, sf).select(
-        F.lit("events").alias("stream"),
+        stream_name("events", "event_id"),
         F.concat(F.lit("s"), _text("user_id")).alias("shard_id"),
         event.alias("n"),
         F.unix_millis("ts").alias("t_ms"),
