@@ -89,9 +89,9 @@ def test_blocks_equal_one_piece(spark, seed, sorted_times, strict):
     commands = random_ledger(spark, seed, sorted_times)
     state = spark.createDataFrame([("s", "hot", "o1", 25, "77", 5), ("s", "idle", "o2", 9, "1", 2)], LEASE_STATE)
     for before in (None, state):
-        whole = leases.replay_ledger(commands, before, strict_expiry=strict)
+        whole = leases.replay_ledger(commands, before, strict_expiry=strict, blocks=1)
         cut = leases.replay_ledger(
-            commands, before, strict_expiry=strict, max_shard_commands=10, blocks=24
+            commands, before, strict_expiry=strict, blocks=24
         )
         assert whole.columns == cut.columns
         assert sorted(map(repr, whole.collect())) == sorted(map(repr, cut.collect()))
@@ -126,7 +126,7 @@ def test_tenures_and_gaps(spark):
 def test_blocked_tenures_equal_plain_ones(spark):
     told = leases.replay_ledger(random_ledger(spark, 3, True)).persist()
     for report in (leases.ownership, leases.renewal_gaps):
-        plain, cut = report(told), report(told, max_key_rows=5, blocks=12)
+        plain, cut = report(told, blocks=1), report(told, blocks=12)
         assert sorted(map(repr, plain.collect())) == sorted(map(repr, cut.collect()))
     told.unpersist()
 

@@ -71,7 +71,7 @@ def test_key_order_across_a_split_and_blocked(spark):
         [("s", "c", "1", "k"), ("s", "p", "20", "k"), ("s", "p", "3", "k"), ("s", "c", "2", "k")],
         "stream string, shard_id string, sequence_number string, partition_key string",
     )
-    for how in ({}, {"max_key_rows": 1, "blocks": 3}):
+    for how in ({"blocks": 1}, {"blocks": 3}):
         placed = lineage.key_order(rows, shards, **how).orderBy("key_position").collect()
         assert [(r.shard_id, r.sequence_number) for r in placed] == [("p", "3"), ("p", "20"), ("c", "1"), ("c", "2")]
 
@@ -109,7 +109,7 @@ def test_requeue_and_in_flight(spark):
     assert attempts == [(1, 10, 0), (1, 10, 1), (2, 10, 0)]
     enqueued = spark.createDataFrame([(1, 10, 0), (1, 12, 1), (2, 10, 0)], "sub_id long, at long, attempt long")
     consumed = spark.createDataFrame([(1, 12, 0), (1, 15, 1)], "sub_id long, at long, attempt long")
-    for how in ({}, {"max_key_rows": 1, "blocks": 3}):
+    for how in ({"blocks": 1}, {"blocks": 3}):
         counts = routing.in_flight(enqueued, consumed, **how).orderBy("sub_id", "at", "attempt").collect()
         assert sorted((r.sub_id, r.at, r.step, r.in_flight) for r in counts) == [
             (1, 10, 1, 1), (1, 12, -1, 1), (1, 12, 1, 2), (1, 15, -1, 0), (2, 10, 1, 1),

@@ -32,8 +32,8 @@ def skewed(spark):
 
 @pytest.mark.parametrize("reverse", [False, True])
 def test_blocked_scan_equals_window(skewed, reverse):
-    plain = prefix(skewed, ["k"], ["o"], scans(), reverse=reverse)
-    blocked = prefix(skewed, ["k"], ["o"], scans(), reverse=reverse, max_key_rows=10, blocks=16)
+    plain = prefix(skewed, ["k"], ["o"], scans(), reverse=reverse, blocks=1)
+    blocked = prefix(skewed, ["k"], ["o"], scans(), reverse=reverse, blocks=16)
     assert plain.columns == blocked.columns
     assert sorted(map(repr, plain.collect())) == sorted(map(repr, blocked.collect()))
 

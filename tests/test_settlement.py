@@ -58,7 +58,7 @@ def test_advances_equal_a_literal_tracker(spark, seed):
     orders = rng.sample(range(1000), 300)
     rows = [(str(i * 7), "ack", orders[i]) if rng.random() < 0.99 else (str(i * 7), "nack_requeue", None) for i in range(300)]
     wanted = literal_advances(rows)
-    for how in ({}, {"max_key_rows": 10, "blocks": 9}):
+    for how in ({"blocks": 1}, {"blocks": 9}):
         results = settlement.settle_results(table(spark, *rows), **how).orderBy("settle_ord")
         assert [(r.settle_ord, r.checkpoint) for r in results.collect()] == wanted
 

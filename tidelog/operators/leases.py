@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.plans.prefix import Scan, in_blocks, largest_key, match, prefix
+from tidelog.plans.prefix import Scan, in_blocks, match, prefix
 from tidelog.plans.scratch import written
 from tidelog.schema import LEASE_TTL_MS, RENEW_EVERY_MS, SHARD_KEYS
 
@@ -31,9 +31,6 @@ CHECKPOINT = "checkpoint"
 READ = "read"
 RELEASE = "release"
 
-# Commands of one shard that one task may replay; above it the ledger is cut into blocks.
-MAX_SHARD_COMMANDS = 1_000_000
-
 _MUTATING = (ACQUIRE, RENEW, RELEASE)
 _BLOCK_KEYS = [*SHARD_KEYS, "_block"]
 _COMMAND = [*SHARD_KEYS, "n", "t_ms", "owner", "op", "ttl_ms", "sequence"]
@@ -244,7 +241,6 @@ def replay_ledger(
     state: DataFrame | None = None,
     *,
     strict_expiry: bool = False,
-    max_shard_commands: int | None = None,
     blocks: int | None = None,
 ) -> DataFrame:
     """Every command with its verdict ``ok`` and the lease before and after it.
@@ -253,19 +249,13 @@ def replay_ledger(
     ``checkpoint`` and ``release`` need the caller to be the holder, expired or not; ``read``
     always succeeds. ``strict_expiry`` is the dialect in which a lease can be taken over only
     after its expiry instant, not at it. ``state`` (``schema.LEASE_STATE``) is the lease of
-    each shard before the first command.
+    each shard before the first command. The ledger is cut into blocks; what a block does to any lease it
+    could start from is summed up, and only the summaries are chained.
     """
-    limit = MAX_SHARD_COMMANDS if max_shard_commands is None else max_shard_commands
     ttl = F.coalesce("ttl_ms", F.lit(0)).cast("long").alias("ttl_ms")
     ledger = commands.select(*[ttl if c == "ttl_ms" else c for c in _COMMAND])
     starts = None if state is None else written(state, "leases")
 
-    if largest_key(ledger, SHARD_KEYS) <= limit:
-        fold = partial(_replay, keys=SHARD_KEYS, strict=strict_expiry)
-        return _in_order(
-            _starting(ledger, starts), SHARD_KEYS, [F.col("n")], fold, _COMMAND_DDL + _VERDICT_DDL
-        )
-
     stored = in_blocks(ledger, SHARD_KEYS, ["n"], blocks)
     latest = written(_last_expiries(_starting(stored, starts)), "expiries")
     summaries = _in_order(

@@ -1,10 +1,9 @@
 """Prefix scans over an ordered log: running count, sum, max and last value per key.
 
-A plain window puts each key in one task. That is the cheapest plan while no key is large,
-but a single shard may hold a third of a log, so the size of the largest key is checked
-first. Above the limit the rows are range partitioned on (key, order) into blocks of even
-size and written out once; the window then runs inside each block and what the earlier
-blocks of the key contribute is added from a table of one row per (key, block).
+A plain window puts each key in one task, and a single shard may hold a third of a log. So
+the rows are range partitioned on (key, order) into blocks of even size and written out once;
+the window then runs inside each block, and what the earlier blocks of the key contribute is
+added from a table of one row per (key, block).
 """
 
 from __future__ import annotations
@@ -17,8 +16,8 @@ from pyspark.sql import functions as F
 
 from tidelog.plans.scratch import written
 
-# Rows of one key a single task may order. Window buffers spill, so this bounds time.
-MAX_KEY_ROWS = 2_000_000
+# Rows a block is meant to hold: enough to outweigh a task, few enough to sort in memory.
+BLOCK_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -35,12 +34,6 @@ class Scan:
     inclusive: bool = True
 
 
-def largest_key(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the largest key (a partial aggregate over the key columns only)."""
-    row = df.groupBy(*keys).count().agg(F.max("count")).first()
-    return row[0] or 0
-
-
 def _inner(scan: Scan, window, value: str) -> Column:
     if scan.kind == "count":
         return F.count(F.lit(1)).over(window)
@@ -93,25 +86,18 @@ def prefix(
     scans: dict[str, Scan],
     *,
     reverse: bool = False,
-    max_key_rows: int | None = None,
     blocks: int | None = None,
 ) -> DataFrame:
     """Adds one column per entry of ``scans``, run per ``keys`` along ``order``.
 
     ``order`` must be unique inside a key for the result to be determined.
     """
-    limit = MAX_KEY_ROWS if max_key_rows is None else max_key_rows
     staged = df
     for name, scan in scans.items():
         if scan.value is not None:
             staged = staged.withColumn(f"_in_{name}", scan.value)
-    if largest_key(df, keys) <= limit:
-        out = _run(staged, list(keys), order, scans, reverse)
-        for name, scan in scans.items():
-            out = out.withColumn(name, _finish(scan, F.col(f"_run_{name}")))
-    else:
-        stored = in_blocks(staged, list(keys), order, blocks)
-        out = _run_blocked(stored, list(keys), order, scans, reverse)
+    stored = in_blocks(staged, list(keys), order, blocks)
+    out = _run_blocked(stored, list(keys), order, scans, reverse)
     return out.select(*[c for c in df.columns if c not in scans], *scans)
 
 
@@ -135,9 +121,11 @@ def in_blocks(
     """Writes ``df`` range partitioned on (key, order), numbered by ``_block``.
 
     A key's rows lie in consecutive blocks of about the same size. The numbering is part of
-    the written table, so every later reader sees the same blocks.
+    the written table, so every later reader sees the same blocks. Unless ``blocks`` is given,
+    their number follows the rows, and is the number of shuffle partitions at least.
     """
-    parts = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = blocks or max(least, -(-df.count() // BLOCK_ROWS))
     ranged = df.repartitionByRange(parts, *keys, *order)
     return written(ranged.withColumn("_block", F.spark_partition_id()), "blocks")
 
