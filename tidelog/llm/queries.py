@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import mixing, simhash, topk
+import public_tokenizers
+
+from tidelog.llm import bpe, mixing, simhash, token_counts, topk
 from tidelog.llm.common import table
 
 
@@ -18,14 +20,29 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = bpe.from_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.digests(bpe.encode(documents, vocabulary, public_tokenizers.PATTERN), vocabulary).drop("text")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return simhash.near_duplicates(documents).select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary, specials, _ = bpe.from_json(public_tokenizers.path("byte_bpe_50k.json"))
+    counted = token_counts.token_counts(documents, vocabulary, specials, public_tokenizers.PATTERN)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op3_mixing": op3_mixing,
+    "op4_bpe": op4_bpe,
     "op6_simhash": op6_simhash,
+    "op7_token_counts": op7_token_counts,
 }
