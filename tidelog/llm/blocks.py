@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,44 +28,72 @@ BLOCK_ROWS = 8_192
 FAMILY = 4_096
 
 
-def in_blocks(documents: DataFrame, name: str, rows: int = BLOCK_ROWS) -> DataFrame:
-    """``documents`` with their block as column ``name``, stored bucketed by it.
+@dataclass(frozen=True)
+class Blocked:
+    """A stored table; ``block`` and ``row`` name the columns that number blocks and rows."""
+
+    table: DataFrame
+    block: str
+    row: str
+    columns: list[str]
+
+    @property
+    def schema(self) -> T.StructType:
+        return T.StructType([f for f in self.table.schema.fields if f.name in self.columns])
+
+    def with_rows(self, others: DataFrame, apply, schema: T.StructType, columns: list[str] | None = None) -> DataFrame:
+        """``apply`` (documents, others) for each block, ``others`` dealt by their ``_block``."""
+        own = self.table.select(self.block, self.row, *(self.columns if columns is None else columns))
+        return own.groupBy(self.block).cogroup(others.groupBy("_block")).applyInArrow(apply, schema)
+
+    def keep(self, rows: DataFrame) -> DataFrame:
+        """The documents whose numbers are in ``rows`` (columns _block and _row)."""
+        names = self.columns
+
+        def chosen(own: pa.Table, others: pa.Table) -> pa.Table:
+            return own.filter(pc.is_in(own.column(self.row), others.column("_row"))).select(names)
+
+        return self.with_rows(rows.select("_block", "_row"), chosen, self.schema)
+
+
+def in_blocks(documents: DataFrame, rows: int = BLOCK_ROWS) -> Blocked:
+    """``documents`` stored with their block and row numbers, bucketed by block.
 
     The numbers are part of the stored table, so a task that is repeated sees the same blocks.
     """
     spark = documents.sparkSession
-    number = F.floor(F.monotonically_increasing_id() / rows).cast("long")
+    block, row = free_name(documents, "_block"), free_name(documents, "_row")
     buckets = max(parallelism(spark), -(-documents.count() // rows))
     table = f"tidelog_{uuid.uuid4().hex}"
+    numbered = documents.withColumn(row, F.monotonically_increasing_id())
     (
-        documents.withColumn(name, number)
+        numbered.withColumn(block, F.floor(F.col(row) / rows).cast("long"))
         .write.format("parquet")
         .option("compression", "zstd")
         .option("path", new_folder(spark, "documents"))
-        .bucketBy(buckets, name)
+        .bucketBy(buckets, block)
         .saveAsTable(table)
     )
-    return spark.table(table)
+    return Blocked(spark.table(table), block, row, documents.columns)
 
 
 def answered(
-    documents: DataFrame,
+    blocked: Blocked,
     *,
     ask: Callable[[list[str | None]], set | np.ndarray],
     key_type: T.DataType,
     resolve: Callable[[DataFrame], DataFrame],
     finish: Callable[[pa.Table, pa.Table], pa.Table],
     added: list[T.StructField],
-    rows: int = BLOCK_ROWS,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """``documents`` with the columns that ``finish`` adds.
+    """The documents with the columns that ``finish`` adds.
 
     ``ask`` names the keys some texts need. ``resolve`` gets rows (key, askers) and returns
     them with further columns. ``finish`` gets the documents of a block and its answers (key
     and the further columns; a key may come twice) and returns the documents with ``added``.
+    ``keep`` names the columns wanted in the end (all, if None), block and row numbers among them.
     """
-    block = free_name(documents, "_block")
-    stored = in_blocks(documents, block, rows)
     arrow = pa.string() if isinstance(key_type, T.StringType) else pa.int64()
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,15 +131,18 @@ def answered(
                     yield from flush()
         yield from flush()
 
-    requests = stored.select(block, "text").mapInArrow(
+    requests = blocked.table.select(blocked.block, "text").mapInArrow(
         asked, T.StructType([T.StructField("block", T.LongType()), T.StructField("key", key_type)])
     )
     family = F.floor(F.col("block") / FAMILY).alias("family")
     grouped = requests.groupBy("key", family).agg(F.collect_list("block").alias("askers")).drop("family")
-    told = resolve(grouped).withColumn("_asker", F.explode("askers")).drop("askers")
+    told = resolve(grouped).withColumn("_block", F.explode("askers")).drop("askers")
+
+    names = blocked.columns if keep is None else keep
+    everything = {f.name: f for f in blocked.table.schema.fields}
+    schema = T.StructType([*[everything[n] for n in names], *added])
 
     def finished(own: pa.Table, answers: pa.Table) -> pa.Table:
-        return finish(own.drop_columns([block]), answers.drop_columns(["_asker"]))
+        return finish(own, answers).select(schema.names)
 
-    schema = T.StructType([*documents.schema.fields, *added])
-    return stored.groupBy(block).cogroup(told.groupBy("_asker")).applyInArrow(finished, schema)
+    return blocked.with_rows(told, finished, schema, list(dict.fromkeys(["text", *[n for n in names if n not in (blocked.block, blocked.row)]])))

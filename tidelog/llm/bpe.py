@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.blocks import BLOCK_ROWS, answered
+from tidelog.llm.blocks import BLOCK_ROWS, answered, in_blocks
 
 SLOTS = 1 << 17
 # Bytes of a word up to which the fold, quadratic in them, is used; longer words are merged
@@ -237,13 +237,12 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, pattern: str, *, name:
         return own.append_column(name, found.cast(pa.list_(pa.int32())))
 
     return answered(
-        documents,
+        in_blocks(documents, rows),
         ask=ask,
         key_type=T.StringType(),
         resolve=lambda grouped: encode_words(grouped, vocabulary),
         finish=finish,
         added=[T.StructField(name, T.ArrayType(T.IntegerType()))],
-        rows=rows,
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidelog.llm import bpe, mixing, simhash, token_counts, topk
+from tidelog.llm import bpe, kneser_ney, mixing, simhash, token_counts, topk
 from tidelog.llm.common import table
 
 
@@ -15,6 +15,13 @@ def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    trusted = table(spark, sf_dir, "labels").where("quality = 1")
+    _, verdicts = kneser_ney.judge(documents, trusted)
+    return verdicts.select("doc_id", "lang", "perplexity", "threshold", "keep")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(documents).select("doc_id", "size", "source_size", "target", "taken")
@@ -41,6 +48,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_top_k": op1_top_k,
+    "op2_quality": op2_quality,
     "op3_mixing": op3_mixing,
     "op4_bpe": op4_bpe,
     "op6_simhash": op6_simhash,

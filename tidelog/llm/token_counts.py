@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.blocks import BLOCK_ROWS, answered
+from tidelog.llm.blocks import BLOCK_ROWS, answered, in_blocks
 from tidelog.llm.bpe import Vocabulary, encode_words
 
 
@@ -62,13 +62,12 @@ def token_counts(
     added = ("n_bytes", "n_tokens", "over_limit")
     kept = documents.select(*[c for c in documents.columns if c.lower() not in added])
     counted = answered(
-        kept,
+        in_blocks(kept, rows),
         ask=ask,
         key_type=T.StringType(),
         resolve=lambda grouped: encode_words(grouped, vocabulary).select("key", "askers", F.size("ids").alias("pieces")),
         finish=finish,
         added=[T.StructField("n_tokens", T.LongType())],
-        rows=rows,
     )
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     return counted.withColumns({"n_bytes": size, "over_limit": F.col("n_tokens") > limit})
