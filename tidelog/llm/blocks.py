@@ -48,10 +48,10 @@ class Blocked:
 
     def keep(self, rows: DataFrame) -> DataFrame:
         """The documents whose numbers are in ``rows`` (columns _block and _row)."""
-        names = self.columns
+        names, row = self.columns, self.row
 
         def chosen(own: pa.Table, others: pa.Table) -> pa.Table:
-            return own.filter(pc.is_in(own.column(self.row), others.column("_row"))).select(names)
+            return own.filter(pc.is_in(own.column(row), others.column("_row").combine_chunks())).select(names)
 
         return self.with_rows(rows.select("_block", "_row"), chosen, self.schema)
 

@@ -1,3 +1,52 @@
 """DuckDB SQL for the registered queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+_TOP_K = """
+WITH raw AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+  FROM raw q JOIN raw c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+_LINES = r"""
+WITH cut AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS n
+  FROM documents
+), marked AS (
+  SELECT *, NOT regexp_full_match(line, '[ \t\x0B\f\r]*') AS told FROM cut
+), told AS (
+  SELECT doc_id, n, line, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS pos
+  FROM marked WHERE told
+), pairs AS (
+  SELECT doc_id, pos, line, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS following FROM told
+), later AS (
+  SELECT doc_id, pos
+  FROM (SELECT doc_id, pos, row_number() OVER (PARTITION BY line, following ORDER BY doc_id, pos) AS copy
+        FROM pairs WHERE following IS NOT NULL)
+  WHERE copy > 1
+), gone AS (
+  SELECT DISTINCT doc_id, n FROM (
+    SELECT doc_id, pos FROM later UNION SELECT doc_id, pos + 1 FROM later) JOIN told USING (doc_id, pos)
+), kept AS (
+  SELECT c.doc_id, string_agg(c.line, chr(10) ORDER BY c.n) AS text
+  FROM cut c ANTI JOIN gone g ON c.doc_id = g.doc_id AND c.n = g.n GROUP BY c.doc_id
+)
+SELECT d.doc_id,
+       CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+       (SELECT count(*) FROM gone g WHERE g.doc_id = d.doc_id) AS lines_removed
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op1_top_k": _TOP_K, "op8_line_dedup": _LINES}

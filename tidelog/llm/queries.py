@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidelog.llm import bpe, kneser_ney, mixing, simhash, token_counts, topk
+from tidelog.llm import bpe, kneser_ney, lines, mixing, simhash, token_counts, topk
 from tidelog.llm.common import table
 
 
@@ -46,6 +46,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    removed = F.size("removed").cast("long").alias("lines_removed")
+    return lines.dedup_lines(documents).select("doc_id", "text", removed)
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_quality": op2_quality,
@@ -53,4 +59,5 @@ QUERIES = {
     "op4_bpe": op4_bpe,
     "op6_simhash": op6_simhash,
     "op7_token_counts": op7_token_counts,
+    "op8_line_dedup": op8_line_dedup,
 }
