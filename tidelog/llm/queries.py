@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidelog.llm import bpe, kneser_ney, lines, mixing, simhash, token_counts, topk
+from tidelog.llm import bpe, kneser_ney, lines, mixing, simhash, token_counts, topk, toxicity
 from tidelog.llm.common import table
 
 
@@ -52,6 +52,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(documents).select("doc_id", "text", removed)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_quality": op2_quality,
@@ -60,4 +64,5 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_token_counts": op7_token_counts,
     "op8_line_dedup": op8_line_dedup,
+    "op10_toxicity": op10_toxicity,
 }
