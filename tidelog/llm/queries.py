@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidelog.llm import bpe, kneser_ney, lines, mixing, simhash, token_counts, topk, toxicity
+from tidelog.llm import bpe, kneser_ney, lines, mixing, nn_descent, simhash, token_counts, topk, toxicity
 from tidelog.llm.common import table
 
 
@@ -56,6 +56,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_quality": op2_quality,
@@ -64,5 +68,6 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_token_counts": op7_token_counts,
     "op8_line_dedup": op8_line_dedup,
+    "op9_nn_descent": op9_nn_descent,
     "op10_toxicity": op10_toxicity,
 }
