@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidelog.llm import bpe, kneser_ney, lines, mixing, nn_descent, simhash, token_counts, topk, toxicity
+from tidelog.llm import bpe, kneser_ney, lines, mixing, nn_descent, passages, simhash, token_counts, topk, toxicity
 from tidelog.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(documents, vocabulary, public_tokenizers.PATTERN), vocabulary).drop("text")
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.near_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
@@ -65,6 +69,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_mixing": op3_mixing,
     "op4_bpe": op4_bpe,
+    "op5_passages": op5_passages,
     "op6_simhash": op6_simhash,
     "op7_token_counts": op7_token_counts,
     "op8_line_dedup": op8_line_dedup,
