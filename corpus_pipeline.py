@@ -6,42 +6,62 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` applies
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import mixing, simhash
+from tidelog.llm import bpe, kneser_ney, lines, mixing, simhash
 from tidelog.llm.common import table
 from tidelog.plans.scratch import written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents whose perplexity under the model of trusted texts is too high."""
+    trusted = table(spark, sf_dir, "labels").where("quality = 1")
+    return kneser_ney.accepted(docs.select(*COLUMNS), trusted)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Deletes later copies of repeated runs of lines; n_chars follows the text."""
+    kept = lines.dedup_lines(docs.select(*COLUMNS)).drop("removed")
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document, the one with the smallest doc_id, of each SimHash group."""
-    return simhash.one_of_each(docs).select(*COLUMNS)
+    return simhash.one_of_each(docs.select(*COLUMNS))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats and samples documents until every source meets its target."""
-    return mixing.mixed(docs).select(*COLUMNS)
+    return mixing.mixed(docs.select(*COLUMNS))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the ids and of what they decode to, for every document."""
+    vocabulary = bpe.from_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = bpe.encode(docs.select("doc_id", "source", "text"), vocabulary, public_tokenizers.PATTERN)
+    return bpe.digests(encoded, vocabulary).drop("text")
 
 
 STAGES = [
-    ("simhash near-dedup", near_dedup),
+    ("quality classifier", quality),
+    ("line dedup", line_dedup),
+    ("SimHash near-dedup", near_dedup),
     ("mixing sources to target weights", mixture),
+    ("byte-level BPE encoding and decoding", tokens),
 ]
 
-# The stages learn a language model, sort suffixes and grow trees, which SQL does not express;
-# tests hold every stage against a brute-force version.
+# SQL expresses no language model, fingerprint search or merge; tests hold the stages against
+# brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage: doc_id, source, n_tokens, ids_sha256, decoded_sha256."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    for _, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), "stage")
     return STAGES[-1][1](spark, docs, sf_dir)
-
-
-def pipeline_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, sf_dir)
