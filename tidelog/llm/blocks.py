@@ -26,6 +26,8 @@ from tidelog.plans.scratch import new_folder
 BLOCK_ROWS = 8_192
 # Blocks whose requests for one key may share a row; bounds the list of askers.
 FAMILY = 4_096
+# Answers a task gathers before it packs them for their blocks.
+PORTION = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -77,21 +79,62 @@ def in_blocks(documents: DataFrame, rows: int = BLOCK_ROWS) -> Blocked:
     return Blocked(spark.table(table), block, row, documents.columns)
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their askers as compressed tables, one for each asker; in portions."""
+    held: list[pa.Table] = []
+    askers: list[np.ndarray] = []
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        if not held:
+            return
+        rows, blocks = pa.concat_tables(held).combine_chunks(), np.concatenate(askers)
+        held.clear()
+        askers.clear()
+        order = np.argsort(blocks, kind="stable")
+        blocks = blocks[order]
+        cuts = np.flatnonzero(np.diff(blocks)) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, len(blocks)], strict=True):
+            if lo == hi:
+                continue
+            part = rows.take(pa.array(order[lo:hi]))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(part)
+            columns = [pa.array([int(blocks[lo])]), pa.array([sink.getvalue().to_pybytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["_block", "packed"])
+
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table.sort_by("key") if "key" in table.column_names else table
+        lists = table.column("askers").combine_chunks()
+        held.append(table.drop_columns(["askers"]).take(pc.list_parent_indices(lists)))
+        askers.append(pc.list_flatten(lists).to_numpy())
+        if sum(map(len, askers)) >= PORTION:
+            yield from flush()
+    yield from flush()
+
+
+def _unpacked(packed: pa.ChunkedArray) -> pa.Table | None:
+    """The rows of compressed tables; None if there are none."""
+    tables = [pa.ipc.open_stream(p.as_buffer()).read_all() for p in packed]
+    return pa.concat_tables(tables) if tables else None
+
+
 def answered(
     blocked: Blocked,
     *,
     ask: Callable[[list[str | None]], set | np.ndarray],
     key_type: T.DataType,
     resolve: Callable[[DataFrame], DataFrame],
-    finish: Callable[[pa.Table, pa.Table], pa.Table],
+    finish: Callable[[pa.Table, pa.Table | None], pa.Table],
     added: list[T.StructField],
     keep: list[str] | None = None,
 ) -> DataFrame:
     """The documents with the columns that ``finish`` adds.
 
     ``ask`` names the keys some texts need. ``resolve`` gets rows (key, askers) and returns
-    them with further columns. ``finish`` gets the documents of a block and its answers (key
-    and the further columns; a key may come twice) and returns the documents with ``added``.
+    them with further columns, without the key if these tell it. ``finish`` gets the documents of a block and its answers (what
+    ``resolve`` returned; a key may come twice; None if it asked for nothing) and returns the documents with ``added``.
     ``keep`` names the columns wanted in the end (all, if None), block and row numbers among them.
     """
     arrow = pa.string() if isinstance(key_type, T.StringType) else pa.int64()
@@ -119,8 +162,8 @@ def answered(
                 if current != numbers[lo]:
                     yield from flush()
                     current = numbers[lo]
-                for at in range(lo, hi, 512):
-                    found = ask(batch.column(1)[at : min(at + 512, hi)].to_pylist())
+                for at in range(lo, hi, 128):
+                    found = ask(batch.column(1)[at : min(at + 128, hi)].to_pylist())
                     if isinstance(found, set):
                         known |= found
                     else:
@@ -136,13 +179,13 @@ def answered(
     )
     family = F.floor(F.col("block") / FAMILY).alias("family")
     grouped = requests.groupBy("key", family).agg(F.collect_list("block").alias("askers")).drop("family")
-    told = resolve(grouped).withColumn("_block", F.explode("askers")).drop("askers")
+    told = resolve(grouped).mapInArrow(_packed, "_block long, packed binary")
 
     names = blocked.columns if keep is None else keep
     everything = {f.name: f for f in blocked.table.schema.fields}
     schema = T.StructType([*[everything[n] for n in names], *added])
 
     def finished(own: pa.Table, answers: pa.Table) -> pa.Table:
-        return finish(own, answers).select(schema.names)
+        return finish(own, _unpacked(answers.column("packed"))).select(schema.names)
 
     return blocked.with_rows(told, finished, schema, list(dict.fromkeys(["text", *[n for n in names if n not in (blocked.block, blocked.row)]])))

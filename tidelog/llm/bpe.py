@@ -4,6 +4,10 @@ Texts are cut by the tokenizer's pattern. Every distinct word that is not a toke
 encoded once: a fold over its bytes merges, step by step, the pair with the lowest rank, which
 it looks up in a literal rank map. The words' ids then go back to the documents' blocks.
 Decoding concatenates the binary pieces of the ids.
+
+The fold has two forms that give the same ids: ``fold_merges`` made of higher-order functions,
+and ``merge_bytes``, which runs in Python on batches of distinct words and is the one ``encode``
+takes unless told otherwise, for it needs a small part of the time.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,9 +28,10 @@ from pyspark.sql import types as T
 from tidelog.llm.blocks import BLOCK_ROWS, answered, in_blocks
 
 SLOTS = 1 << 17
-# Bytes of a word up to which the fold, quadratic in them, is used; longer words are merged
-# with a heap, to the same ids.
+# Bytes of a word up to which the native fold, quadratic in them, is used; longer words are
+# merged with a heap, to the same ids.
 FOLD_BYTES = 128
+NEVER = 1 << 60  # the rank of a pair that does not merge
 
 
 @dataclass(frozen=True)
@@ -39,6 +45,11 @@ class Vocabulary:
     merges: dict[tuple[int, int], int]
     words: dict[str, int] = field(default_factory=dict)
 
+    @property
+    def start(self) -> dict[bytes, int]:
+        """The tokens of single bytes."""
+        return {p: i for i, p in enumerate(self.pieces) if len(p) == 1}
+
 
 def _with_words(pieces: list[bytes], merges) -> Vocabulary:
     """Adds the tokens that the merges themselves make of a whole word."""
@@ -109,8 +120,23 @@ def from_json(path: str) -> tuple[Vocabulary, list[str], bool]:
 
 
 def merge_bytes(word: bytes, start: dict[bytes, int], merges: dict[tuple[int, int], int]) -> list[int]:
-    """Ids of a word, by a heap of its pairs: lowest rank first, leftmost of equal ones."""
+    """Ids of a word: of its pairs the one of lowest rank merges, the leftmost of equal ones.
+
+    Long words keep their pairs in a heap.
+    """
     ids: list[int | None] = [start[word[i : i + 1]] for i in range(len(word))]
+    if len(ids) <= 32:
+        get = merges.get
+        ranks = [get(pair, NEVER) for pair in zip(ids, ids[1:], strict=False)]
+        while ranks and (best := min(ranks)) != NEVER:
+            at = ranks.index(best)
+            ids[at : at + 2] = [best]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = get((ids[at - 1], best), NEVER)
+            if at + 1 < len(ids):
+                ranks[at] = get((best, ids[at + 1]), NEVER)
+        return ids
     after = [*range(1, len(ids)), None]
     before = [None, *range(len(ids) - 1)]
     heap = [(m, i, ids[i], ids[i + 1]) for i in range(len(ids) - 1) if (m := merges.get((ids[i], ids[i + 1]))) is not None]
@@ -160,7 +186,7 @@ class RankMap:
 def fold_merges(word: Column, vocabulary: Vocabulary) -> Column:
     """Ids (array of int) of a word, by folding merges over its bytes."""
     ranks = RankMap(vocabulary.merges)
-    start = {p: i for i, p in enumerate(vocabulary.pieces) if len(p) == 1}
+    start = vocabulary.start
     first = _literal([start[bytes([b])] for b in range(256)], "array<int>")
     letters = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
     ids = F.transform(letters, lambda c: F.get(first, F.ascii(c)))
@@ -185,25 +211,26 @@ def fold_merges(word: Column, vocabulary: Vocabulary) -> Column:
     return F.aggregate(steps, weighed(ids), step, lambda state: state["s"])
 
 
-def encode_words(words: DataFrame, vocabulary: Vocabulary, name: str = "ids") -> DataFrame:
-    """Adds the ids of column ``key`` as column ``name``."""
+def encode_words(words: DataFrame, vocabulary: Vocabulary, name: str = "ids", native: bool = False) -> DataFrame:
+    """Adds the ids of column ``key`` as column ``name``; with higher-order functions if ``native``."""
     short = F.octet_length("key") <= FOLD_BYTES
     schema = T.StructType([*words.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))])
-    start = {p: i for i, p in enumerate(vocabulary.pieces) if len(p) == 1}
-    merges = vocabulary.merges
+    start, merges = vocabulary.start, vocabulary.merges
 
-    def merge_long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [merge_bytes(w.as_py().encode(), start, merges) for w in batch.column("key")]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(found, pa.list_(pa.int32()))], names=[*batch.schema.names, name]
             )
 
+    if not native:
+        return words.mapInArrow(merge, schema)
     folded = words.where(short).withColumn(name, fold_merges(F.col("key"), vocabulary))
-    return folded.unionByName(words.where(~short).mapInArrow(merge_long, schema))
+    return folded.unionByName(words.where(~short).mapInArrow(merge, schema))
 
 
-def encode(documents: DataFrame, vocabulary: Vocabulary, pattern: str, *, name: str = "ids", rows: int = BLOCK_ROWS) -> DataFrame:
+def encode(documents: DataFrame, vocabulary: Vocabulary, pattern: str, *, name: str = "ids", rows: int = BLOCK_ROWS, native: bool = False) -> DataFrame:
     """Adds the token ids of ``text`` (array of int) as column ``name``.
 
     A null or empty text has no ids. Texts are encoded whole, of any length; repeated rows and
@@ -221,8 +248,8 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, pattern: str, *, name:
                 seen.update(find(text))
         return seen.difference(words)
 
-    def finish(own: pa.Table, answers: pa.Table) -> pa.Table:
-        table, starts, counts, values = dictionary(words, answers, "ids")
+    def finish(own: pa.Table, answers: pa.Table | None) -> pa.Table:
+        table, starts, counts, values = dictionary(vocabulary, answers)
         lists, ends = [np.empty(0, np.int32)], [0]
         for text in own.column("text"):
             found = find(text.as_py() or "")
@@ -240,23 +267,29 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, pattern: str, *, name:
         in_blocks(documents, rows),
         ask=ask,
         key_type=T.StringType(),
-        resolve=lambda grouped: encode_words(grouped, vocabulary),
+        resolve=lambda grouped: encode_words(grouped, vocabulary, native=native).select("askers", "ids"),
         finish=finish,
         added=[T.StructField(name, T.ArrayType(T.IntegerType()))],
     )
 
 
-def dictionary(words: dict[str, int], answers: pa.Table, column: str):
-    """Word to place, and per place the start and number of its ids among all ids."""
-    lists = answers.column(column).combine_chunks()
-    if isinstance(lists, pa.ChunkedArray):
-        lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int32()))
+def dictionary(vocabulary: Vocabulary, answers: pa.Table | None):
+    """Word to place, and per place the start and number of its ids among all ids.
+
+    Answers are ids alone, since their pieces spell the word.
+    """
+    words = vocabulary.words
     own = np.fromiter(words.values(), np.int32, len(words))
-    counts = np.concatenate((np.ones(len(own), np.int64), np.diff(lists.offsets.to_numpy()).astype(np.int64)))
-    values = np.concatenate((own, lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)))
     table = dict(zip(words, range(len(own)), strict=True))
-    keys = answers.column("key").to_pylist()
-    table.update(zip(keys, range(len(own), len(own) + len(keys)), strict=True))
+    counts, values = np.ones(len(own), np.int64), own
+    if answers is not None:
+        lists = answers.column("ids").combine_chunks()
+        flat = pc.list_flatten(lists)
+        spoken = pa.array(vocabulary.pieces, pa.binary()).take(flat)
+        keys = pc.binary_join(pa.ListArray.from_arrays(lists.offsets, spoken), b"").cast(pa.string()).to_pylist()
+        table.update(zip(keys, range(len(own), len(own) + len(keys)), strict=True))
+        counts = np.concatenate((counts, pc.list_value_length(lists).to_numpy()))
+        values = np.concatenate((own, flat.to_numpy().astype(np.int32)))
     return table, np.cumsum(counts) - counts, counts, values
 
 

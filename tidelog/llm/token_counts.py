@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.llm.blocks import BLOCK_ROWS, answered, in_blocks
-from tidelog.llm.bpe import Vocabulary, encode_words
+from tidelog.llm.bpe import Vocabulary, merge_bytes
 
 
 def token_counts(
@@ -50,9 +52,18 @@ def token_counts(
             seen.update(pieces(text)[1])
         return seen.difference(words)
 
-    def finish(own: pa.Table, answers: pa.Table) -> pa.Table:
+    start, merges = vocabulary.start, vocabulary.merges
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            many = [len(merge_bytes(w.encode(), start, merges)) for w in batch.column("key").to_pylist()]
+            columns = [*batch.columns, pa.array(many, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "pieces"])
+
+    def finish(own: pa.Table, answers: pa.Table | None) -> pa.Table:
         table = dict.fromkeys(words, 1)
-        table.update(zip(answers.column("key").to_pylist(), answers.column("pieces").to_pylist(), strict=True))
+        if answers is not None:
+            table.update(zip(answers.column("key").to_pylist(), answers.column("pieces").to_pylist(), strict=True))
         tokens = np.zeros(own.num_rows, np.int64)
         for n, text in enumerate(own.column("text")):
             special, found = pieces(text.as_py())
@@ -65,7 +76,7 @@ def token_counts(
         in_blocks(kept, rows),
         ask=ask,
         key_type=T.StringType(),
-        resolve=lambda grouped: encode_words(grouped, vocabulary).select("key", "askers", F.size("ids").alias("pieces")),
+        resolve=lambda grouped: grouped.mapInArrow(count, T.StructType([*grouped.schema.fields, T.StructField("pieces", T.IntegerType())])),
         finish=finish,
         added=[T.StructField("n_tokens", T.LongType())],
     )
