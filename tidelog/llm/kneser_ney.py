@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +25,7 @@ ORDER = 5
 QUANTILE = 0.99
 FOLDS = 5
 SYMBOLS = 256
-PART = 1 << 20
+PART = 1 << 18
 _START = b"\n" * (ORDER - 1)  # what a text is taken to follow
 
 
@@ -54,13 +55,13 @@ def _distinct(texts: list[str | None]) -> np.ndarray:
 
 def _counted(own: pa.Table, chosen: pa.Table, row: str) -> pa.Table:
     """Counts of the n-grams in the chosen rows of a block."""
-    wanted = set(chosen.column("_row").to_pylist())
-    texts = [t for t, r in zip(own.column("text").to_pylist(), own.column(row).to_pylist(), strict=True) if r in wanted]
+    texts = own.filter(pc.is_in(own.column(row), chosen.column("_row").combine_chunks())).column("text")
     keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-    for key, _ in grams(texts):
-        found, many = np.unique(key, return_counts=True)
-        keys, at = np.unique(np.concatenate((keys, found)), return_inverse=True)
-        counts = np.bincount(at, np.concatenate((counts, many)), len(keys)).astype(np.int64)
+    for lo in range(0, len(texts), 128):
+        for key, _ in grams(texts.slice(lo, 128).to_pylist()):
+            found, many = np.unique(key, return_counts=True)
+            keys, at = np.unique(np.concatenate((keys, found)), return_inverse=True)
+            counts = np.bincount(at, np.concatenate((counts, many)), len(keys)).astype(np.int64)
     return pa.table({"gram": keys, "count": counts})
 
 
@@ -143,13 +144,15 @@ def perplexities(blocked: Blocked, model: Model, keep: list[str]) -> DataFrame:
         asked = Stored(grouped, "requests").df
         return asked.join(model.probability(asked), "key").select("key", "askers", (-F.log2("p")).alias("bits"))
 
-    def finish(own: pa.Table, answers: pa.Table) -> pa.Table:
+    def finish(own: pa.Table, answers: pa.Table | None) -> pa.Table:
+        if answers is None:
+            return own.append_column("perplexity", pa.nulls(own.num_rows, pa.float64()))
         keys, bits = answers.column("key").to_numpy(), answers.column("bits").to_numpy()
         order = np.argsort(keys)
         keys, bits = keys[order], bits[order]
         spent, sizes = np.zeros(own.num_rows), np.zeros(own.num_rows)
-        for lo in range(0, own.num_rows, 512):
-            for key, place in grams(own.column("text").slice(lo, 512).to_pylist()):
+        for lo in range(0, own.num_rows, 128):
+            for key, place in grams(own.column("text").slice(lo, 128).to_pylist()):
                 place = place + lo
                 spent += np.bincount(place, bits[np.searchsorted(keys, key)], own.num_rows)
                 sizes += np.bincount(place, minlength=own.num_rows)
@@ -173,7 +176,8 @@ def judge(documents: DataFrame, trusted: DataFrame, *, quantile: float = QUANTIL
     Verdicts: _block, _row, doc_id, lang, perplexity, threshold, keep. ``trusted`` names (in
     doc_id) the trusted documents; those of one fold of five are left out of the training, and
     their perplexities give each language its threshold, at ``quantile`` (an approximate
-    percentile, within a ten-thousandth of the rank).
+    percentile, within a ten-thousandth of the rank), or at the language's median times that
+    quantile of all languages' perplexities over their medians, if that is larger.
 
     A document is kept unless its perplexity exceeds its language's threshold: texts without
     bytes, null texts among them, have no perplexity and are kept, and so are documents of
@@ -192,7 +196,15 @@ def judge(documents: DataFrame, trusted: DataFrame, *, quantile: float = QUANTIL
     renamed = scored.withColumnsRenamed({blocked.block: "_block", blocked.row: "_row"})
     found = Stored(renamed, "perplexities").df
     calibration = found.join(chosen.where(held_out(F.col("doc_id"))).select("_row"), "_row", "left_semi")
-    bounds = calibration.groupBy(F.col("lang").alias("_lang")).agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"))
+    own = calibration.groupBy(F.col("lang").alias("_lang")).agg(
+        F.percentile_approx("perplexity", 0.5, 10_000).alias("median"),
+        F.percentile_approx("perplexity", quantile, 10_000).alias("own"),
+    )
+    # Languages with few trusted documents borrow the spread of all of them.
+    shared = calibration.join(own, F.col("lang").eqNullSafe(F.col("_lang"))).agg(
+        F.percentile_approx(F.col("perplexity") / F.col("median"), quantile, 10_000)
+    ).first()[0]
+    bounds = own.select("_lang", F.greatest("own", F.col("median") * F.lit(float(shared or 1.0))).alias("threshold"))
     judged = found.join(bounds, F.col("lang").eqNullSafe(F.col("_lang")), "left").drop("_lang")
     return blocked, judged.withColumn("keep", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
 
