@@ -1,5 +1,6 @@
 """The envelope against a literal reading of its layout, edge cases first."""
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -142,3 +143,11 @@ def test_order_keys_sort_like_numbers(spark):
     assert [r.n for r in sorted(rows, key=lambda r: (r.k, r.n))] == sorted(numbers, key=lambda n: (int(n), n))
     assert [r.n for r in sorted(rows, key=lambda r: (r.p, r.n))] == sorted(numbers, key=lambda n: (int(n), n))
     assert len(rows[-1].p) == 129
+
+
+def test_long_sequences_are_refused_and_not_shortened(spark):
+    for key in (sequence.order_key, sequence.padded_key):
+        fits = spark.createDataFrame([("0" * 50 + "9" * 129,)], "n string").select(key(F.col("n"))).first()[0]
+        assert fits.endswith("9" * 129)
+        with pytest.raises(Exception, match="more than 129 digits"):
+            spark.createDataFrame([("1" * 130,)], "n string").select(key(F.col("n"))).collect()

@@ -128,7 +128,7 @@ def test_children_wait_for_their_parents(spark, tmp_path):
 
 
 def test_a_trimmed_file_is_an_error_item(spark, path, tmp_path):
-    gone = glob.glob(f"{path}/data/segment=0/stream=s/shard_id=b/*.parquet")
+    gone = glob.glob(f"{path}/data/segment=0/attempt=*/stream=s/shard_id=b/*.parquet")
     for file in gone:
         os.remove(file)
     stream = consume.items(subscribe(spark, path, LogStream("s").start_at(P.HORIZON)))
@@ -141,18 +141,47 @@ def test_a_trimmed_file_is_an_error_item(spark, path, tmp_path):
 
 def test_an_unindexed_segment_is_not_read(spark, path):
     keyed = records(spark, ("a", 500, 1)).withColumn("seq_key", F.lit("003500"))
-    keyed.write.partitionBy("stream", "shard_id").parquet(f"{path}/data/segment=9")
+    keyed.write.partitionBy("stream", "shard_id").parquet(f"{path}/data/segment=9/attempt=x")
     assert log.read_log(spark, path).count() == 7
     log.append_log(records(spark, ("a", 501, 1)), path, 9)
     assert log.read_log(spark, path).count() == 8
 
 
-def test_a_repeated_append_replaces_itself(spark, path):
-    log.append_log(records(spark, ("a", 500, 1)), path, 2)
-    log.append_log(records(spark, ("a", 500, 1)), path, 2)
+def test_a_repeated_append_changes_nothing(spark, path, tmp_path):
+    log.append_log(records(spark, ("a", 500, 1)), path, 3)
+    before = sorted(glob.glob(f"{path}/data/**/*.parquet", recursive=True))
+    log.append_log(records(spark, ("a", 500, 1)), path, 3)
+    log.append_log(records(spark, ("a", 600, 1)), path, 1)
+    assert sorted(glob.glob(f"{path}/data/**/*.parquet", recursive=True)) == before
     assert log.read_log(spark, path).count() == 8
     with pytest.raises(LogError):
-        log.append_log(records(spark, ("a", 1, 1)), path, 1)
+        log.append_log(records(spark, ("a", 1, 1)), path, 2)
+    read = Reader(spark, path, LogStream("s").start_at(P.HORIZON), tmp_path)
+    assert len(read()) == 8
+
+
+@pytest.mark.parametrize(
+    "where",
+    [{"kind": P.TIMESTAMP, "ts_ms": 30_000}, {"kind": P.SEQUENCE, "shard_id": "a", "sequence": "30"}],
+)
+def test_a_position_past_the_end_stays_open(spark, tmp_path, where):
+    path = str(tmp_path / "log")
+    log.append_log(records(spark, ("a", 1, 1)), path, 0)
+    read = Reader(spark, path, LogStream("s").start_at(where.pop("kind"), **where), tmp_path)
+    assert read() == []
+    for segment, first in enumerate((20, 22, 29, 40), start=1):
+        log.append_log(records(spark, ("a", first, first), ("a", first + 1, first + 1)), path, segment)
+        found = read()
+        assert found == {20: [], 22: [], 29: [("a", 30)], 40: [("a", 40), ("a", 41)]}[first]
+
+
+def test_capped_runs_go_on_until_the_offsets_stand(spark, tmp_path):
+    path = str(tmp_path / "log")
+    log.append_log(records(spark, *[("a", n, n) for n in range(1, 11)]), path, 0)
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    described = LogStream("s", max_records=2).start_at(P.SEQUENCE, shard_id="a", sequence="7")
+    run.run_until_idle(lambda: run.to_parquet(subscribe(spark, path, described), out), state)
+    assert sorted(int(r.sequence_number) for r in spark.read.parquet(out).collect()) == [7, 8, 9, 10]
 
 
 @pytest.mark.parametrize(

@@ -83,12 +83,13 @@ def test_last_write_stands_even_if_lower(spark):
 
 def test_finished_shards(spark):
     shards = spark.createDataFrame(
-        [("s", "s1", "9"), ("s", "empty", "9"), ("s", "open", None)],
-        "stream string, shard_id string, ending_sequence string",
+        [("s", "s1", "9", "0012", None), ("s", "half", "9", "0019", "1"), ("s", "empty", "9", None, None), ("s", "open", None, "0019", "4")],
+        "stream string, shard_id string, ending_sequence string, last_key string, checkpoint string",
     )
     rows = table(spark, ("1", "ack", 1), ("2", "ack", 2))
+    rows = rows.unionByName(rows.withColumn("shard_id", F.lit("half")))
     told = {r.shard_id: r.checkpoint for r in settlement.shard_checkpoints(shards, rows).collect()}
-    assert told == {"s1": "SHARD_END", "empty": "SHARD_END", "open": None}
+    assert told == {"s1": "SHARD_END", "half": "2", "empty": "SHARD_END", "open": "4"}
 
 
 def test_start_matrix(spark):

@@ -9,7 +9,10 @@ from tidelog.schema import MAX_SEQUENCE_DIGITS
 
 
 def _digits(sequence: Column) -> Column:
-    return F.ltrim(sequence, F.lit("0"))
+    """The significant digits. A number that is too long raises; it is never shortened."""
+    digits = F.ltrim(sequence, F.lit("0"))
+    told = F.concat(F.lit(f"sequence number of more than {MAX_SEQUENCE_DIGITS} digits: "), sequence)
+    return F.when(F.length(digits) > MAX_SEQUENCE_DIGITS, F.raise_error(told)).otherwise(digits)
 
 
 def padded_key(sequence: Column) -> Column:

@@ -13,11 +13,9 @@ from tidelog.functions.positions import LATEST
 from tidelog.functions.sequence import with_order_key
 from tidelog.plans.prefix import Scan, prefix
 from tidelog.plans.scratch import written
+from tidelog.plans.spread import join_spread
 from tidelog.schema import SHARD_END, SHARD_KEYS
 
-# A longer chain of splits and merges than this is taken for a cycle.
-MAX_GENERATIONS = 10_000
-
 
 def is_closed() -> Column:
     """A shard with an ending sequence number receives nothing more."""
@@ -53,7 +51,7 @@ def blockers(
     if installed is None:
         from_tip = F.lit(True)
     else:
-        edges = edges.join(installed.select("stream", "kind"), "stream", "left")
+        edges = join_spread(edges, installed.select("stream", "kind"), ["stream"], ["shard_id"])
         from_tip = F.col("kind").isNull() | (F.col("kind") == LATEST)
     point = F.col("parent_point")
     done = F.coalesce(point == SHARD_END, F.lit(False)) | (
@@ -108,7 +106,8 @@ def depths(shards: DataFrame) -> DataFrame:
     edges = written(_listed_edges(nodes).select(*SHARD_KEYS, "parent_id"), "edges")
     rounds = [nodes.select(*SHARD_KEYS, F.lit(0).alias("depth"))]
     reached = None
-    for depth in range(1, MAX_GENERATIONS + 1):
+    # A chain without a cycle has fewer steps than there are shards.
+    for depth in range(1, nodes.count() + 1):
         # Every shard is reached by no step at all, so the first step needs no join.
         below = edges if reached is None else edges.join(reached, ["stream", "parent_id"])
         children = below.select(*SHARD_KEYS).distinct()

@@ -39,36 +39,53 @@ def refused(records: DataFrame) -> DataFrame:
     )
 
 
-def unpack_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Splits records into deliveries (``headers``, ``payload``) and dead letters."""
+def _unpacked(records: DataFrame) -> DataFrame:
+    """Adds ``headers``, ``payload`` and ``position`` and drops the bytes."""
     length = F.col("_length")
-    deliveries = (
-        accepted(records)
-        .withColumn("_length", envelope.block_length(F.col("data")))
+    delivered = envelope.delivered_headers(
+        envelope.unpack_entries(F.col("data"), length),
+        F.col("partition_key"),
+        F.col("sequence_number"),
+        F.col("shard_id"),
+    )
+    return (
+        records.withColumn("_length", envelope.block_length(F.col("data")))
         .withColumns(
             {
-                "headers": envelope.delivered_headers(
-                    envelope.unpack_entries(F.col("data"), length),
-                    F.col("partition_key"),
-                    F.col("sequence_number"),
-                    F.col("shard_id"),
-                ),
+                "headers": delivered,
                 "payload": envelope.unpack_payload(F.col("data"), length),
                 "position": positions.of_record(),
             }
         )
         .drop("_length", "data")
     )
-    return deliveries, refused(records)
+
+
+def unpack_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Splits records into deliveries (``headers``, ``payload``) and dead letters."""
+    return _unpacked(accepted(records)), refused(records)
 
 
 def with_items(records: DataFrame) -> DataFrame:
     """Deliveries and failures in one table, each row either a payload or an ``error``.
 
-    A malformed record never ends the query; it arrives as an item like any other.
+    A malformed record never ends the query; it arrives as an item like any other, and so does
+    a row that comes with an ``error`` already. One projection does it: the records are read
+    once.
     """
-    deliveries, dead = unpack_records(records)
-    return deliveries.unionByName(dead.drop("data"), allowMissingColumns=True)
+    before = F.col("error") if "error" in records.columns else F.lit(None).cast("string")
+    told = F.col("error_detail") if "error_detail" in records.columns else F.lit(None).cast("string")
+    kind = F.lit(errors.AGGREGATED)
+    bad = F.coalesce(envelope.is_aggregated(F.col("data")), F.lit(False)) & before.isNull()
+    marked = records.withColumns(
+        {
+            "error_detail": F.when(bad, errors.detail(kind)).otherwise(told),
+            "error": F.when(bad, kind).otherwise(before),
+        }
+    )
+    items = _unpacked(marked)
+    good = F.col("error").isNull()
+    return items.withColumns({c: F.when(good, F.col(c)) for c in ("headers", "payload", "position")})
 
 
 def decode_json(deliveries: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidelog.functions import positions as P
 from tidelog.functions.sequence import order_key, with_order_key
 from tidelog.plans.scratch import written
+from tidelog.plans.spread import join_spread
 from tidelog.schema import SHARD_END, SHARD_KEYS
 
 _MAX_TIMESTAMP_MS = (1 << 63) // 1000 - 1
@@ -93,7 +94,8 @@ def resolve_starts(
             {"kind": F.lit(None).cast("string"), "ts_ms": F.lit(None).cast("long")}
         )
     else:
-        joined = joined.join(installed.select("stream", "kind", "ts_ms"), "stream", "left")
+        position = installed.select("stream", "kind", "ts_ms")
+        joined = join_spread(joined, position, ["stream"], ["shard_id"])
     point, kind = F.col("checkpoint"), F.col("kind")
     finished = F.coalesce(point == SHARD_END, F.lit(False))
     forced = kind.isNotNull() & ((reason == "start") | point.isNull())

@@ -15,9 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions.sequence import with_order_key
+from tidelog.functions.sequence import order_key, with_order_key
 from tidelog.operators.records import accepted
-from tidelog.operators.replay import after_checkpoints
 from tidelog.plans.prefix import Scan, prefix
 from tidelog.plans.scratch import written
 from tidelog.schema import SHARD_END, SHARD_KEYS
@@ -130,17 +129,31 @@ def wedge_report(deliveries: DataFrame) -> DataFrame:
 
 def replay_set(deliveries: DataFrame) -> DataFrame:
     """What the next reader is given: the wedge and all after it, handled or not."""
-    return after_checkpoints(deliveries, final_checkpoints(deliveries))
+    found = written(wedges(deliveries), "wedges")
+    joined = with_order_key(deliveries).join(found, SHARD_KEYS)
+    return joined.filter(F.col("seq_key") >= F.col("wedge_key")).drop("wedge_key")
 
 
 def shard_checkpoints(shards: DataFrame, deliveries: DataFrame) -> DataFrame:
-    """Stored checkpoint per listed shard; a closed, drained shard is marked finished."""
-    state = final_checkpoints(deliveries).join(drained(deliveries), SHARD_KEYS)
+    """Stored checkpoint per listed shard; a closed shard read to its end is marked finished.
+
+    ``shards`` has ``ending_sequence`` (null while open) and may have ``last_key``, the order
+    key of the last record the shard holds (null if it holds none; without the column, the
+    ending sequence must be reached) and ``checkpoint``, what is stored so far, which stands
+    where there are no deliveries. A shard is finished once it is closed, its last record has
+    been delivered and nothing is outstanding.
+    """
+    tip = _settled(deliveries).groupBy(*SHARD_KEYS).agg(F.max("seq_key").alias("_tip"))
+    state = final_checkpoints(deliveries).join(drained(deliveries), SHARD_KEYS).join(tip, SHARD_KEYS)
+    state = state.withColumnRenamed("checkpoint", "_reached")
     joined = shards.join(written(state, "state"), SHARD_KEYS, "left")
-    finished = F.col("ending_sequence").isNotNull() & F.coalesce(F.col("drained"), F.lit(True))
+    last = F.col("last_key") if "last_key" in shards.columns else order_key(F.col("ending_sequence"))
+    read = last.isNull() | F.coalesce(F.col("drained") & (F.col("_tip") >= last), F.lit(False))
+    stored = F.col("checkpoint") if "checkpoint" in shards.columns else F.lit(None).cast("string")
+    finished = F.col("ending_sequence").isNotNull() & read
     return joined.select(
         *SHARD_KEYS,
-        F.when(finished, F.lit(SHARD_END)).otherwise(F.col("checkpoint")).alias("checkpoint"),
+        F.when(finished, F.lit(SHARD_END)).otherwise(F.coalesce("_reached", stored)).alias("checkpoint"),
     )
 
 

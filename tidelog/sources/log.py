@@ -2,18 +2,20 @@
 
 Layout below the log folder, all of it plain parquet written by Spark:
 
-* ``data/segment=N/stream=S/shard_id=H/`` holds the records of one append, sorted by
-  ``seq_key``; a large shard spans many files, split by key range;
+* ``data/segment=N/attempt=A/stream=S/shard_id=H/`` holds the records of one append, sorted
+  by ``seq_key``; a large shard spans many files, split by key range;
 * ``index/segment=N/`` holds one row per data file with its row count and bounds. It is
-  written after the data, and only indexed segments are read, so an append that fails half
-  way is never seen and can simply be repeated under the same number.
+  written after the data, and only indexed attempts are read, so an append that fails half
+  way is never seen and can simply be repeated under the same number. A segment that is
+  indexed is done: repeating it changes nothing, and no reader loses a file.
 
 A log has one writer at a time, and its segments are appended in rising order.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +52,7 @@ INDEX_SCHEMA = T.StructType(
 )
 
 _STORED = [f.name for f in LOG_SCHEMA.fields if f.name != "segment"]
+_ATTEMPT = T.StructField("attempt", T.StringType())
 
 
 def shard_of(partition_key: Column, shards: int) -> Column:
@@ -70,16 +73,18 @@ def _write_segment(laid_out: DataFrame, path: str, segment: int) -> None:
     if segment < 0:
         raise LogError("a segment number is not negative")
     spark = laid_out.sparkSession
-    newest = newest_segment(spark, path)
-    if newest is not None and segment < newest:
-        raise LogError(f"segment {segment} comes before {newest}, which is already in the log")
-    folder = f"{path}/data/segment={segment}"
+    known = _segments(spark, path)
+    if segment in known:
+        return
+    if known and segment < max(known):
+        raise LogError(f"segment {segment} comes before {max(known)}, which is already in the log")
+    attempt = uuid.uuid4().hex
+    folder = f"{path}/data/segment={segment}/attempt={attempt}"
     stored = laid_out.withColumn("arrival_ts", F.col("arrival_ts").cast("timestamp"))
     (
         stored.sortWithinPartitions(*SHARD_KEYS, "seq_key")
         .select(*_STORED)
-        .write.mode("overwrite")
-        .partitionBy(*SHARD_KEYS)
+        .write.partitionBy(*SHARD_KEYS)
         .parquet(folder)
     )
     fields = [f for f in LOG_SCHEMA.fields if f.name != "segment"]
@@ -93,6 +98,7 @@ def _write_segment(laid_out: DataFrame, path: str, segment: int) -> None:
             F.max("seq_key").alias("last_key"),
             F.unix_micros(F.max("arrival_ts")).alias("last_ts_us"),
         )
+        .withColumn("attempt", F.lit(attempt))
     )
     files.write.mode("overwrite").parquet(f"{path}/index/segment={segment}")
 
@@ -136,11 +142,13 @@ def log_index(spark: SparkSession, path: str) -> DataFrame:
 
 def read_log(spark: SparkSession, path: str, stream: str | None = None) -> DataFrame:
     """Records of the log as a table; streams and shards prune folders, ``seq_key`` row groups."""
-    committed = log_index(spark, path).select("segment").distinct()
-    records = spark.read.schema(LOG_SCHEMA).parquet(f"{path}/data")
+    names = ["segment", "attempt"]
+    index = spark.read.schema(T.StructType([*INDEX_SCHEMA.fields, _ATTEMPT])).parquet(f"{path}/index")
+    committed = index.select(*names).distinct()
+    records = spark.read.schema(T.StructType([*LOG_SCHEMA.fields, _ATTEMPT])).parquet(f"{path}/data")
     if stream is not None:
         records = records.filter(F.col("stream") == stream)
-    return records.join(committed, "segment", "left_semi").drop("segment")
+    return records.join(committed, names, "left_semi").drop(*names)
 
 
 def read_shard(spark: SparkSession, path: str, stream: str, shard_id: str) -> DataFrame:
@@ -162,11 +170,31 @@ def shard_catalogue(spark: SparkSession, path: str, stream: str | None = None) -
     )
 
 
+def shard_listing(
+    spark: SparkSession, path: str, lineage: DataFrame, stream: str | None = None
+) -> DataFrame:
+    """The catalogue with every shard of the lineage, those without a record among them.
+
+    Adds the parents and whether a shard is closed; a shard the lineage does not name counts
+    as open and has no parents.
+    """
+    known = lineage if stream is None else lineage.filter(F.col("stream") == stream)
+    told = known.select(
+        *SHARD_KEYS, "parent_id", "adjacent_parent_id", F.col("ending_sequence").isNotNull().alias("closed")
+    )
+    every = shard_catalogue(spark, path, stream).join(told, SHARD_KEYS, "full")
+    none = {"records": F.lit(0).cast("long"), "segments": F.lit(0).cast("long"), "closed": F.lit(False)}
+    return every.withColumns({c: F.coalesce(c, value) for c, value in none.items()})
+
+
+def _segments(spark: SparkSession, path: str) -> set[int]:
+    """Numbers of the indexed segments, from the names of their folders alone."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(f"{path}/index/segment=*/_SUCCESS")
+    found = folder.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(folder)
+    return {int(f.getPath().getParent().getName().partition("=")[2]) for f in found or ()}
+
+
 def newest_segment(spark: SparkSession, path: str) -> int | None:
     """Number of the last segment; null when the log does not exist yet."""
-    try:
-        return log_index(spark, path).agg(F.max("segment")).first()[0]
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    return max(_segments(spark, path), default=None)

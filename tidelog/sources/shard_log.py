@@ -42,6 +42,13 @@ _ARROW = pa.schema(
 _IN_FILE = ["sequence_number", "partition_key", "arrival_ts", "data", "seq_key"]
 
 
+def _meets(file, how: str, bound) -> bool:
+    """Whether a file holds a record at or past a bound."""
+    if how == "ts":
+        return file.last_ts_us is not None and file.last_ts_us >= bound
+    return file.last_key >= bound if how == "from" else file.last_key > bound
+
+
 def _key(sequence: str) -> str:
     """Same order key as ``functions.sequence.order_key``, for one number on the driver."""
     digits = sequence.lstrip("0")
@@ -172,17 +179,29 @@ class ShardLogReader(DataSourceStreamReader):
             return {"start": 0}
         if source.kind == P.TIMESTAMP:
             how, bound = "ts", min(source.ts_ms * 1000, (1 << 63) - 1)
-            at = next((f.start for f in files if f.last_ts_us >= bound), end)
         elif source.kind == P.SEQUENCE and shard == source.shard_id:
             how, bound = "from", _key(source.sequence)
-            at = next((f.start for f in files if f.last_key >= bound), end)
         elif source.kind in (RESUME, P.SEQUENCE) and point is not None:
             how, bound = "after", _key(point)
-            at = next((f.start for f in files if f.last_key > bound), end)
         else:
             return {"start": 0 if late else end}
+        at = next((f.start for f in files if _meets(f, how, bound)), end)
         return {"start": at, "how": how, "bound": bound}
 
+    def _moved(self, offset: dict) -> dict:
+        """The offset with every opening that lies past the files seen so far moved on, until
+        a file holds a record that meets its bound."""
+        at, opens = dict(offset["at"]), dict(offset["opens"])
+        for shard, opening in offset["opens"].items():
+            if "how" not in opening or at[shard] > opening["start"]:
+                continue
+            files = [f for f in self._shards.get(shard, []) if f.start >= opening["start"]]
+            begin = next((f.start for f in files if _meets(f, opening["how"], opening["bound"])), self._end(shard))
+            if begin > opening["start"]:
+                opens[shard] = {**opening, "start": begin}
+                at[shard] = begin
+        return {"at": at, "opens": opens}
+
     # Offsets -----------------------------------------------------------------------------
     # {"at": records read per shard, "opens": where each shard was opened}
 
@@ -206,7 +225,7 @@ class ShardLogReader(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         self._refresh()
         begun = self._planned if self._planned is not None else self._first()
-        begun = self._extended(begun, late=True)
+        begun = self._moved(self._extended(begun, late=True))
         waiting = self._waiting(begun["at"])
         end = {}
         for shard, at in begun["at"].items():
@@ -223,7 +242,7 @@ class ShardLogReader(DataSourceStreamReader):
         slices = []
         for shard, stop in end["at"].items():
             opening = end["opens"][shard]
-            begin = start["at"].get(shard, opening["start"])
+            begin = max(start["at"].get(shard, opening["start"]), opening["start"])
             files = self._shards.get(shard, [])
             if begin >= stop:
                 continue

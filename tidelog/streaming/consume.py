@@ -17,9 +17,7 @@ def items(records: DataFrame) -> DataFrame:
 
     Failures of the source itself arrive the same way, and neither ends the query.
     """
-    read = records.filter(F.col("error").isNull()).drop("error")
-    failed = records.filter(F.col("error").isNotNull()).drop("data")
-    return with_items(read).unionByName(failed, allowMissingColumns=True)
+    return with_items(records)
 
 
 def publish_stream(
@@ -34,7 +32,7 @@ def publish_stream(
 ) -> DataStreamWriter:
     """Appends every micro-batch of messages to a log as one segment.
 
-    The segment is numbered by the batch, so a batch that is repeated replaces itself.
+    The segment is numbered by the batch, so a batch that is repeated changes nothing.
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:

@@ -293,6 +293,12 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, ltrim(sequence_number, '0') AS digits,
               lpad(CAST(length(digits) AS VARCHAR), 3, '0') || digits AS okey FROM raw)
         GROUP BY stream, shard_id""", "raw"),
+    "a7_shard_listing": _sql(
+        f"""SELECT stream, shard_id, count(*) AS records, CAST(NULL AS VARCHAR) AS parent_id,
+        CAST(NULL AS VARCHAR) AS adjacent_parent_id, {_NUMBER} % 4 <> 3 AS closed
+        FROM raw GROUP BY stream, shard_id
+        UNION ALL SELECT stream, shard_id, 0, parent_id, adjacent_parent_id, closed FROM shards""",
+        "raw", "shards"),
     "a8_publish": _sql(
         f"""SELECT {_SHARD} AS shard_id,
         row_number() OVER (PARTITION BY {_SHARD} ORDER BY event_id) - 1 AS idx,
@@ -405,10 +411,18 @@ ORACLES: dict[str, str] = {
         f"""SELECT {_KEYED} FROM deliveries JOIN reached USING (stream, shard_id)
         WHERE upto IS NULL OR event_id > upto""", "deliveries", "reached"),
     "d9_shard_end": _sql(
-        f"""SELECT stream, shard_id, CASE WHEN {_NUMBER} % 4 <> 3 AND coalesce(drained, true)
-        THEN 'SHARD_END' ELSE checkpoint END AS checkpoint
-        FROM (SELECT DISTINCT stream, shard_id FROM records) LEFT JOIN reached USING (stream, shard_id)""",
-        "records", "reached"),
+        f"""SELECT stream, shard_id, CASE WHEN {_NUMBER} % 4 <> 3
+            AND (newest IS NULL OR coalesce(all_done AND tip >= newest, false)) THEN 'SHARD_END'
+            WHEN upto IS NOT NULL THEN upto || repeat('0', 50) END AS checkpoint
+        FROM (SELECT stream, shard_id, max(event_id) FILTER (WHERE NOT aggregated) AS newest
+              FROM records GROUP BY stream, shard_id)
+        LEFT JOIN (
+            SELECT stream, shard_id, bool_and(done) AS all_done, max(event_id) AS tip,
+            max(event_id) FILTER (WHERE stuck IS NULL OR event_id < stuck) AS upto
+            FROM (SELECT *, min(event_id) FILTER (WHERE NOT done) OVER (PARTITION BY stream, shard_id) AS stuck
+                  FROM deliveries WHERE {_NUMBER} % 7 <> 2 OR event_id < 500)
+            GROUP BY stream, shard_id) USING (stream, shard_id)""",
+        "records", "deliveries"),
     "d10_conditional_persist": _sql(
         """SELECT stream, shard_id, n, owner, CAST(n AS VARCHAR) AS sequence, ok AS accepted,
         checkpoint_after FROM verdicts WHERE op = 'checkpoint'""", "verdicts"),

@@ -128,6 +128,19 @@ def a7_shard_catalogue(spark, sf):
     return log.shard_catalogue(spark, build_log(W.raw_records(spark, sf)), "events")
 
 
+@query
+def a7_shard_listing(spark, sf):
+    """Shards with data, closed or open, and a lineage none of whose shards has any."""
+    number = F.regexp_extract("shard_id", "[0-9]+", 0).cast("int")
+    none = F.lit(None).cast("string")
+    own = _listed(spark, sf).select(
+        *SHARD_KEYS, none.alias("parent_id"), none.alias("adjacent_parent_id"),
+        F.when(number % 4 != 3, "999").alias("ending_sequence"),
+    )
+    listing = log.shard_listing(spark, build_log(W.raw_records(spark, sf)), own.union(W.shards(spark, sf)))
+    return listing.select(*SHARD_KEYS, "records", "parent_id", "adjacent_parent_id", "closed")
+
+
 def _messages_on_shards(spark, sf):
     return W.messages(spark, sf).withColumn("shard_id", W.hot_shard())
 
@@ -500,9 +513,13 @@ def d8_replay_set(spark, sf):
 
 @query
 def d9_shard_end(spark, sf):
+    """Closed shards are finished once read to their last record; every seventh is half read."""
     number = F.regexp_extract("shard_id", "[0-9]+", 0).cast("int")
     listed = _listed(spark, sf).withColumn("ending_sequence", F.when(number % 4 != 3, "999"))
-    return settlement.shard_checkpoints(listed, W.deliveries(spark, sf))
+    held = sequence.with_order_key(W.records(spark, sf).where("not aggregated"))
+    known = held.groupBy(*SHARD_KEYS).agg(F.max("seq_key").alias("last_key"))
+    given = W.deliveries(spark, sf).where((number % 7 != 2) | (F.col("event_id") < 500))
+    return settlement.shard_checkpoints(listed.join(known, SHARD_KEYS, "left"), given)
 
 
 @query
