@@ -76,7 +76,10 @@ def in_blocks(documents: DataFrame, rows: int = BLOCK_ROWS) -> Blocked:
         .bucketBy(buckets, block)
         .saveAsTable(table)
     )
-    return Blocked(spark.table(table), block, row, documents.columns)
+    stored = spark.table(table)
+    # The frame knows its files and buckets; the catalogue need not keep the name.
+    spark.sql(f"DROP TABLE {table}")
+    return Blocked(stored, block, row, documents.columns)
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
