@@ -24,7 +24,7 @@ from tidelog.llm.common import free_name, parallelism
 from tidelog.plans.scratch import new_folder
 
 BLOCK_ROWS = 8_192
-# Blocks whose requests for one key may share a row; bounds the list of askers.
+# Blocks, about, whose requests for one key share a row; bounds the list of askers.
 FAMILY = 4_096
 # Answers a task gathers before it packs them for their blocks.
 PORTION = 1_000_000
@@ -32,12 +32,14 @@ PORTION = 1_000_000
 
 @dataclass(frozen=True)
 class Blocked:
-    """A stored table; ``block`` and ``row`` name the columns that number blocks and rows."""
+    """A stored table; ``block`` and ``row`` name the columns that number blocks and rows, and
+    blocks fall into ``families``."""
 
     table: DataFrame
     block: str
     row: str
     columns: list[str]
+    families: int
 
     @property
     def schema(self) -> T.StructType:
@@ -65,7 +67,8 @@ def in_blocks(documents: DataFrame, rows: int = BLOCK_ROWS) -> Blocked:
     """
     spark = documents.sparkSession
     block, row = free_name(documents, "_block"), free_name(documents, "_row")
-    buckets = max(parallelism(spark), -(-documents.count() // rows))
+    blocks = -(-documents.count() // rows)
+    buckets = max(parallelism(spark), blocks)
     table = f"tidelog_{uuid.uuid4().hex}"
     numbered = documents.withColumn(row, F.monotonically_increasing_id())
     (
@@ -79,7 +82,7 @@ def in_blocks(documents: DataFrame, rows: int = BLOCK_ROWS) -> Blocked:
     stored = spark.table(table)
     # The frame knows its files and buckets; the catalogue need not keep the name.
     spark.sql(f"DROP TABLE {table}")
-    return Blocked(stored, block, row, documents.columns)
+    return Blocked(stored, block, row, documents.columns, blocks // FAMILY + 1)
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +183,7 @@ def answered(
     requests = blocked.table.select(blocked.block, "text").mapInArrow(
         asked, T.StructType([T.StructField("block", T.LongType()), T.StructField("key", key_type)])
     )
-    family = F.floor(F.col("block") / FAMILY).alias("family")
+    family = F.pmod(F.xxhash64("block"), F.lit(blocked.families)).alias("family")
     grouped = requests.groupBy("key", family).agg(F.collect_list("block").alias("askers")).drop("family")
     told = resolve(grouped).mapInArrow(_packed, "_block long, packed binary")
 

@@ -142,7 +142,7 @@ def perplexities(blocked: Blocked, model: Model, keep: list[str]) -> DataFrame:
 
     def resolve(grouped: DataFrame) -> DataFrame:
         asked = Stored(grouped, "requests").df
-        return asked.join(model.probability(asked), "key").select("key", "askers", (-F.log2("p")).alias("bits"))
+        return asked.join(model.probability(asked.select("key").distinct()), "key").select("key", "askers", (-F.log2("p")).alias("bits"))
 
     def finish(own: pa.Table, answers: pa.Table | None) -> pa.Table:
         if answers is None:
