@@ -137,13 +137,22 @@ def test_lines_on_odd_rows(messy, none):
 
 def test_compact_windows_cover_every_subsequence():
     rng = np.random.default_rng(3)
-    for values in (rng.integers(0, 2**63, 90).astype(np.uint64), rng.integers(0, 4, 90).astype(np.uint64)):
-        found = passages.compact_windows(values, 10)
-        for i in range(90):
-            for j in range(i + 9, 90):
-                holders = [c for l, c, r in found if l <= i <= c <= j <= r]
-                assert len(holders) == 1
-                assert values[holders[0]] == values[i : j + 1].min()
+    varied, repetitive = rng.integers(1, 2**63, 90).astype(np.uint64), rng.integers(1, 5, 90).astype(np.uint64)
+    cut = varied.copy()
+    cut[[20, 57]] = 0
+    for values in (varied, repetitive, cut, varied[:10], np.full(30, 7, np.uint64)):
+        found = list(zip(*(x.tolist() for x in passages.compact_windows(values, 10)), strict=True))
+        for l, c, r in found:
+            assert l <= c <= r and r - l >= 9
+            assert values[c] == values[l : r + 1].min() > 0
+        for i in range(len(values)):
+            for j in range(i + 9, len(values)):
+                low = values[i : j + 1].min()
+                holders = [c for l, c, r in found if l <= i and j <= r and values[c] == low]
+                assert bool(holders) == bool(low)
+                if values is varied or values is cut:
+                    assert sum(l <= i <= c <= j <= r for l, c, r in found) == bool(low)
+    assert len(passages.compact_windows(varied[:9], 10)[0]) == 0
 
 
 def test_passages_are_found_and_clean_texts_left_alone(spark):
