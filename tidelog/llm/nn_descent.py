@@ -3,7 +3,7 @@
 Every vector starts with neighbours picked by random projections and by chance. In each round
 a vector's neighbours, in both directions, are brought together, since neighbours of neighbours
 are likely to be neighbours: all pairs among the few that meet at a vector are measured, and
-each vector keeps its nearest. Joins and windows do the exchange; a meeting has a bounded number
+each vector keeps those nearer than what it has. Joins and windows do the exchange; a meeting has a bounded number
 of members, for the number of neighbours and of reverse neighbours kept is bounded.
 """
 
@@ -21,6 +21,7 @@ from tidelog.llm.topk import usable
 
 DEGREE = 24
 ROUNDS = 5
+TREES = 6  # ways the first neighbours are drawn together
 BEAM = 64
 SEED = 11
 SETTLED = 0.002  # share of changed edges below which no further round is made
@@ -65,14 +66,37 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(rest)
 
 
-def _meet(degree: int):
-    """Of the vectors that meet at a place, each gets the nearest of the others."""
+def coded(vectors: DataFrame, width: int) -> DataFrame:
+    """Rows (id, code): unit vectors in bytes, a quarter of their size. They choose the edges of
+    the graph; answers are measured on the original vectors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            units = _unit(batch.column("vector"))
+            codes = np.zeros((len(units), width), np.int8)
+            largest = np.abs(units).max(1, keepdims=True, initial=0)
+            codes[:, : units.shape[1]] = np.rint(127 * units / np.where(largest > 0, largest, 1))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array([c.tobytes() for c in codes], pa.binary())], names=["id", "code"]
+            )
+
+    return vectors.select("id", "vector").mapInArrow(run, "id long, code binary")
+
+
+def _decoded(codes: list[bytes]) -> np.ndarray:
+    """Unit vectors, as rows, from their codes."""
+    out = np.frombuffer(b"".join(codes), np.int8).reshape(len(codes), -1).astype(np.float32)
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6)
+
+
+def _meet(most: int):
+    """Of the vectors that meet at a place, each gets the ``most`` nearest of the others, if they
+    are nearer than its bar, the farthest neighbour it has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, "place"):
-            places = table.column("place").to_numpy()
-            ids = table.column("id").to_numpy()
-            vectors = _unit(table.column("vector")).astype(np.float32)
+            places, ids, bars = (table.column(c).to_numpy() for c in ("place", "id", "bar"))
+            vectors = _decoded(table.column("code").to_pylist())
             cuts = np.flatnonzero(np.diff(places)) + 1
             out = []
             for lo, hi in zip([0, *cuts], [*cuts, len(places)], strict=True):
@@ -81,11 +105,13 @@ def _meet(degree: int):
                     continue
                 near = vectors[lo:hi] @ vectors[lo:hi].T
                 np.fill_diagonal(near, -2)
-                k = min(degree, n - 1)
+                k = min(most, n - 1)
                 best = np.argpartition(-near, k - 1, axis=1)[:, :k]
                 own = np.repeat(np.arange(n), k)
                 other = best.ravel()
-                out.append((ids[lo:hi][own], ids[lo:hi][other], near[own, other]))
+                score = near[own, other]
+                nearer = score > bars[lo:hi][own]
+                out.append((ids[lo:hi][own[nearer]], ids[lo:hi][other[nearer]], score[nearer]))
             if out:
                 a, b, s = (np.concatenate(c) for c in zip(*out, strict=True))
                 apart = a != b
@@ -114,13 +140,13 @@ def _reverse(edges: DataFrame, order: Column, most: int) -> DataFrame:
     return second.drop("_salt", "_by", "_n")
 
 
-def _by_projection(vectors: DataFrame, seed: int, leaf: int):
+def _by_projection(codes: DataFrame, count: int, seed: int, leaf: int) -> DataFrame:
     """Places of about ``leaf`` vectors that lie on the same sides of random planes."""
 
     def plan(depth: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                units = _unit(batch.column("vector"))
+                units = _decoded(batch.column("code").to_pylist())
                 planes = np.random.default_rng(seed).standard_normal((depth, max(units.shape[1], 1)))
                 sides = units @ planes[:, : units.shape[1]].T > 0
                 code = (sides * (1 << np.arange(depth))).sum(1).astype(np.int64)
@@ -128,42 +154,44 @@ def _by_projection(vectors: DataFrame, seed: int, leaf: int):
 
         return run
 
-    count = vectors.count()
     depth = max(int(np.ceil(np.log2(max(count / leaf, 1)))), 1)
-    coded = vectors.select("id", "vector").mapInArrow(plan(min(depth, 48)), "code long, id long")
-    sizes = coded.groupBy("code").count()
+    sides = codes.mapInArrow(plan(min(depth, 48)), "code long, id long")
+    sizes = sides.groupBy("code").count()
     # crowded codes are cut into pieces by chance
     pieces = F.ceil(F.col("count") / (2 * leaf))
     cut = F.pmod(F.xxhash64("id", F.lit(seed)), pieces)
-    return coded.join(sizes, "code").select(F.xxhash64(F.lit(seed), "code", cut).alias("place"), "id")
+    return sides.join(sizes, "code").select(F.xxhash64(F.lit(seed), "code", cut).alias("place"), "id")
 
 
-def build(vectors: DataFrame, *, degree: int = DEGREE, rounds: int = ROUNDS, seed: int = SEED) -> DataFrame:
-    """The neighbour graph: rows (a, b, near), ``degree`` per vector (id, vector) at most."""
+def build(codes: DataFrame, *, degree: int = DEGREE, rounds: int = ROUNDS, seed: int = SEED) -> DataFrame:
+    """The neighbour graph: rows (a, b, near), ``degree`` per vector (id, code) at most."""
+    count = codes.count()
 
-    def meeting(places: DataFrame) -> DataFrame:
-        rows = places.join(vectors, "id").select("place", "id", "vector")
-        return rows.repartition("place").sortWithinPartitions("place").mapInArrow(_meet(degree), "a long, b long, near float")
+    def meeting(places: DataFrame, members: DataFrame, most: int) -> DataFrame:
+        rows = places.join(members, "id").select("place", "id", "bar", "code")
+        return rows.repartition("place").sortWithinPartitions("place").mapInArrow(_meet(most), "a long, b long, near float")
 
-    starts = _by_projection(vectors, seed, 3 * degree)
-    for n in range(1, 4):
-        starts = starts.unionByName(_by_projection(vectors, seed + n, 3 * degree))
-    graph = Stored(_nearest(meeting(starts), degree), "graph")
+    starts = _by_projection(codes, count, seed, 3 * degree)
+    for n in range(1, TREES):
+        starts = starts.unionByName(_by_projection(codes, count, seed + n, 3 * degree))
+    graph = Stored(_nearest(meeting(starts, codes.withColumn("bar", F.lit(-2.0)), degree), degree), "graph")
     for turn in range(rounds):
         edges = graph.df
         reverse = _reverse(edges, F.xxhash64("a", "b", F.lit(seed + turn)), degree)
         places = (
             edges.select(F.col("a").alias("place"), F.col("b").alias("id"))
             .unionByName(reverse.select(F.col("b").alias("place"), F.col("a").alias("id")))
-            .unionByName(vectors.select(F.col("id").alias("place"), "id"))
+            .unionByName(codes.select(F.col("id").alias("place"), "id"))
             .distinct()
         )
-        following = Stored(_nearest(meeting(places).unionByName(edges), degree), "graph")
+        full = F.when(F.count(F.lit(1)) >= degree, F.min("near"))
+        bars = edges.groupBy(F.col("a").alias("id")).agg(F.coalesce(full, F.lit(-2.0)).cast("double").alias("bar"))
+        members = codes.join(bars, "id", "left").withColumn("bar", F.coalesce("bar", F.lit(-2.0)))
+        following = Stored(_nearest(meeting(places, members, degree // 3).unionByName(edges), degree), "graph")
         changed = following.df.join(edges, ["a", "b"], "left_anti").count()
-        total = following.df.count()
         graph.delete()
         graph = following
-        if changed <= SETTLED * total:
+        if changed <= SETTLED * degree * count:
             break
     return graph.df
 
@@ -236,7 +264,9 @@ def nearest(
     ).where(F.col("id").isNotNull() & usable(F.col("vector")) & F.exists(F.col("vector"), lambda x: x != 0))
     single = ids.groupBy("id").agg(F.min(F.struct("vector", "query")).alias("v")).select("id", "v.vector", "v.query")
     vectors = Stored(single, "vectors").df
-    graph = build(vectors.select("id", "vector"), degree=degree, rounds=rounds)
+    width = vectors.agg(F.max(F.size("vector"))).first()[0] or 0
+    codes = Stored(coded(vectors, width), "codes").df
+    graph = build(codes, degree=degree, rounds=rounds)
     queries = vectors.where("query").select(F.col("id").alias("query"))
     found = search(vectors.select("id", "vector"), graph, queries, k=k, beam=beam)
     order = Window.partitionBy("query").orderBy(F.col("score").desc(), "id")
