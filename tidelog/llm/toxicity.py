@@ -15,10 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.llm.blocks import in_blocks
 from tidelog.llm.common import Stored
 
 # What a character may stand for.
@@ -321,8 +323,20 @@ def train(documents: DataFrame, labels: DataFrame) -> tuple[LanguageModel, Class
     model = language_model(documents)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
-    labelled = documents.select("doc_id", "text").where("doc_id is not null").join(known, "doc_id").select("doc_id", "text", "toxic")
-    kept = Stored(labelled, "labelled")
+    # The labels go to the blocks of their documents; the texts are not shuffled.
+    blocked = in_blocks(documents.select("doc_id", "text"))
+    numbered = blocked.table.select(F.col(blocked.block).alias("_block"), F.col(blocked.row).alias("_row"), "doc_id")
+    chosen = Stored(numbered.join(known, "doc_id").select("_block", "_row", "toxic"), "labels").df
+    row = blocked.row
+
+    def pick(own: pa.Table, others: pa.Table) -> pa.Table:
+        told = dict(zip(others.column("_row").to_pylist(), others.column("toxic").to_pylist(), strict=True))
+        part = own.filter(pc.is_in(own.column(row), others.column("_row").combine_chunks()))
+        toxic = pa.array([told[r] for r in part.column(row).to_pylist()], pa.bool_())
+        return part.select(["doc_id", "text"]).append_column("toxic", toxic)
+
+    schema = T.StructType([*blocked.schema.fields, T.StructField("toxic", T.BooleanType())])
+    kept = Stored(blocked.with_rows(chosen, pick, schema), "labelled")
     rough = Classifier(_weights(kept.df, model))
     told = score_evidence(kept.df, model, rough).select("_evidence", "toxic", F.xxhash64("doc_id").alias("h"))
     sample = told.orderBy("h").limit(FIT_ROWS).collect()
