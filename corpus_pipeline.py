@@ -24,8 +24,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deletes later copies of repeated runs of lines; n_chars follows the text."""
-    kept = lines.dedup_lines(docs.select(*COLUMNS)).drop("removed")
+    """Deletes later copies of every line, whatever its neighbours; n_chars follows the text."""
+    kept = lines.dedup_lines(docs.select(*COLUMNS), min_lines=1).drop("removed")
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 

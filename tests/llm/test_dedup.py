@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from xxhash import xxh64_intdigest
 
+import corpus_pipeline
 from tests.llm.conftest import SCHEMA, prose
 from tidelog.llm import lines, passages, simhash
 from tidelog.llm.common import table
@@ -135,6 +136,13 @@ def test_lines_on_odd_rows(messy, none):
     assert lines.dedup_lines(none).count() == 0
 
 
+def test_line_stage_deletes_lines_whose_neighbours_differ(spark):
+    rows = [(i, f"own {i}\nsubscribe to our letter today\n\nalso own {i}", "en", "a", 9) for i in range(6)]
+    found = corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "")
+    texts = {r.doc_id: r.text for r in found.collect()}
+    assert texts == {i: rows[0][1] if i == 0 else f"own {i}\n\nalso own {i}" for i in range(6)}
+
+
 def test_compact_windows_cover_every_subsequence():
     rng = np.random.default_rng(3)
     varied, repetitive = rng.integers(1, 2**63, 90).astype(np.uint64), rng.integers(1, 5, 90).astype(np.uint64)
