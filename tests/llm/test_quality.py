@@ -95,6 +95,16 @@ def test_disguised_words_are_restored(spark, sf):
     assert toxicity.restore("*" * 200, model) is not None
 
 
+def test_spaced_words_are_found_behind_others(spark):
+    model = toxicity.language_model(table(spark, "/root/testdata/sf0.01", "documents"))
+    scorer = toxicity.Scorer(model, toxicity.Classifier({w: 7.0 for w in ("idiot", "stupid", "moron", "trash", "loser")}))
+    for text in ("you are a s t u p i d man", "I s t u p i d", "y o u a r e a n i d i o t", "i m o r o n", "a 1 d 1 0 t", "what a l o s e r y o u a r e"):
+        assert scorer.evidence(text) == 7.0, text
+    assert scorer.evidence(" ".join("the people said" * 60 + "youareanidiot" + "the people said" * 60)) == 7.0
+    assert scorer.evidence("t h e p e o p l e s a i d this is a b c") == 0.0
+    assert "idiot" in toxicity.Reader(model).words("y o u a r e a n i d i o t")
+
+
 def test_toxicity_on_the_table(spark):
     sf = "/root/testdata/sf0.01"
     labels = table(spark, sf, "labels")

@@ -9,6 +9,7 @@ words and their beginnings are then scored with weights learned from labelled te
 from __future__ import annotations
 
 import heapq
+import os
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -41,6 +42,8 @@ CONTEXT = 3
 STATES = SIZE**CONTEXT
 # Costs in nats of what the channel does.
 COST_KEEP, COST_SWAP, COST_DROP, COST_WILD, COST_REPEAT = 0.0, 0.7, 0.7, 3.0, 0.4
+COST_CUTS = (0.0, 3.0)  # a word's edge within a run of single characters; both readings count
+INSIDE = 4  # letters of a weighed word that is seen within such a run, wherever it is cut
 
 MAX_FEATURES = 4_096  # weights the model may have
 MIN_DOCS = 5  # labelled toxic texts a feature must be in
@@ -102,13 +105,15 @@ def _options(word: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def restore(word: str, model: LanguageModel) -> str:
-    """The likeliest letters behind a folded word."""
+def _search(options: list[list[tuple[str, float]]], model: LanguageModel, cut: float | None) -> str:
+    """The likeliest letters; with ``cut``, words may end between letters at that cost, and
+    spaces part them."""
     paths: dict[int, tuple[float, str]] = {0: (0.0, "")}
-    for options in _options(word):
+    done: list[str] = []
+    for at, own in enumerate(options):
         following: dict[int, tuple[float, str]] = {}
         for state, (spent, text) in paths.items():
-            for letter, cost in options:
+            for letter, cost in own:
                 if letter:
                     code = ord(letter) - 96
                     total = spent + cost + model.after(state, code)
@@ -118,10 +123,31 @@ def restore(word: str, model: LanguageModel) -> str:
                     total, to, said = spent + cost, state, text
                 if to not in following or total < following[to][0]:
                     following[to] = (total, said)
+        if cut is not None:
+            ends = [(spent + cut + model.after(state, EDGE), text + " ") for state, (spent, text) in following.items() if state]
+            if ends and (0 not in following or min(ends) < following[0]):
+                following[0] = min(ends)
         if len(following) > BEAM:
             following = dict(heapq.nsmallest(BEAM, following.items(), key=lambda p: p[1]))
         paths = following
-    return min((spent + model.after(state, EDGE), text) for state, (spent, text) in paths.items())[1]
+        if at % 64 == 63:
+            # what all paths begin with is settled, so a long run costs no more for each letter
+            settled = os.path.commonprefix([text for _, text in paths.values()])
+            done.append(settled)
+            paths = {state: (spent, text[len(settled) :]) for state, (spent, text) in paths.items()}
+    last = min((spent + (model.after(state, EDGE) if state or cut is None else 0.0), text) for state, (spent, text) in paths.items())
+    return "".join([*done, last[1]])
+
+
+def restore(word: str, model: LanguageModel) -> str:
+    """The likeliest letters behind a folded word."""
+    return _search(_options(word), model, None)
+
+
+def restore_words(run: str, model: LanguageModel) -> set[str]:
+    """The likeliest words behind folded characters without word breaks."""
+    options = _options(run)
+    return {word for cut in COST_CUTS for word in _search(options, model, cut).split()}
 
 
 def _hidden(word: str) -> bool:
@@ -149,12 +175,13 @@ class Reader:
         return tuple(w for w in said if w)
 
     def spaced(self, text: str) -> set[str]:
-        """What runs of single characters spell."""
+        """The words that runs of single characters spell; such runs do not show word breaks."""
         found = set()
         for match in _SPACED.finditer(text):
             joined = fold("".join(match.group().split()))
             for lo in range(0, len(joined), 48):
                 found.add(restore(joined[lo : lo + 64], self.model))
+            found.update(restore_words(joined, self.model))
         found.discard("")
         return found
 
@@ -176,14 +203,21 @@ class Scorer:
 
     def __init__(self, model: LanguageModel, classifier: Classifier):
         self.reader, self.classifier = Reader(model), classifier
+        self.lengths = sorted({len(f) for f in classifier.weights if len(f) >= INSIDE and f[-1] != "|"})
         self.light: set[str] = set()
         self.heavy: dict[str, list[tuple[str, float]]] = {}
 
     def weighed(self, words) -> list[tuple[str, float]]:
         return [(w, x) for w in words if (x := self.classifier.weight(w)) > 0]
 
+    def inside(self, run: str) -> set[str]:
+        """The weighed words a spaced run holds where no edge was put around them."""
+        parts = (run[at : at + n] for n in self.lengths for at in range(len(run) - n + 1))
+        return {part for part in parts if part in self.classifier.weights}
+
     def evidence(self, text: str) -> float:
-        found = dict(self.weighed(self.reader.spaced(text)))
+        spaced = self.reader.spaced(text)
+        found = dict(self.weighed(spaced.union(*map(self.inside, spaced))))
         for token in set(text.split()).difference(self.light):
             known = self.heavy.get(token)
             if known is None:
