@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidelog.llm import bpe, kneser_ney, lines, mixing, nn_descent, passages, simhash, token_counts, topk, toxicity
+from tidelog.llm import (
+    bpe, embedding_dedup, kneser_ney, lines, merkle, mixing, nn_descent, passages, resampling, simhash, token_counts,
+    topk, toxicity,
+)
 from tidelog.llm.common import table
 
 
@@ -64,6 +67,19 @@ def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_copies(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return merkle.audit(table(spark, sf_dir, "documents"), tampered, merkle.lowered(F.col("text")))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_quality": op2_quality,
@@ -75,4 +91,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_nn_descent": op9_nn_descent,
     "op10_toxicity": op10_toxicity,
+    "op11_embedding_dedup": op11_embedding_dedup,
+    "op12_manifest": op12_manifest,
+    "op13_resampling": op13_resampling,
 }
