@@ -1,6 +1,7 @@
 """Blocked scans and bucketed joins give what plain windows and joins give."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidelog.plans.interval import covering
@@ -38,6 +39,32 @@ def test_blocked_scan_equals_window(skewed, reverse):
     assert sorted(map(repr, plain.collect())) == sorted(map(repr, blocked.collect()))
 
 
+def test_both_directions_share_one_table(skewed):
+    both = {"n": Scan("count"), "rest": Scan("sum", F.col("v"), inclusive=False, reverse=True)}
+    found = prefix(skewed, ["k"], ["o"], both, blocks=9)
+    window = Window.partitionBy("k").orderBy("o")
+    wanted = skewed.select(
+        "*", F.count(F.lit(1)).over(window.rowsBetween(Window.unboundedPreceding, 0)).alias("n"),
+        F.sum("v").over(window.rowsBetween(1, Window.unboundedFollowing)).alias("rest"),
+    )
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect()))
+
+
+def test_scan_without_keys_or_rows(skewed):
+    found = prefix(skewed.select("o"), [], ["o"], {"n": Scan("count")}, blocks=7).collect()
+    assert [r.n for r in sorted(found, key=lambda r: r.o)] == list(range(1, 4001))
+    assert prefix(skewed.where("false"), ["k"], ["o"], {"n": Scan("count")}).count() == 0
+
+
+def test_blocks_are_scanned_where_they_lie(skewed):
+    """One shuffle of the rows, when they are written: the windows need none."""
+    frame = prefix(skewed, ["k"], ["o"], {"n": Scan("count")}, blocks=8)
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    rows = plan[: plan.index("BroadcastExchange")] if "BroadcastExchange" in plan else plan
+    assert "Window" in rows and "Exchange" not in rows.replace("BroadcastExchange", "").split("BroadcastQueryStage")[0]
+
+
 def test_blocks_split_the_hot_key(skewed):
     from tidelog.plans.prefix import in_blocks
 
@@ -46,22 +73,34 @@ def test_blocks_split_the_hot_key(skewed):
     assert max(s["count"] for s in sizes) < 1000
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("buckets", [1, 7, 256])
-def test_covering_equals_range_join(spark, how, buckets):
+@pytest.mark.parametrize("scale", [1, 37, 4096])
+def test_covering_equals_range_join(spark, scale):
+    """Intervals from one position to the whole span, open ones, empty ones and such outside."""
     points = spark.range(800).select(
-        F.when(F.col("id") % 4 == 0, "a").otherwise("hot").alias("k"), (F.col("id") * 3).alias("p")
+        F.when(F.col("id") % 4 == 0, "a").otherwise("hot").alias("k"), (F.col("id") * 3 - 50).alias("p")
     )
-    spans = spark.range(60).select(
+    length = F.pmod(F.xxhash64("id"), F.col("id") * scale + 2)
+    spans = spark.range(90).select(
         F.col("id").alias("span"),
         F.when(F.col("id") % 5 == 0, "a").when(F.col("id") % 5 == 1, "none").otherwise("hot").alias("k"),
         (F.col("id") * 50 - 300).alias("s"),
-        F.when(F.col("id") % 7 != 0, F.col("id") * 50 - 300 + F.col("id") * 11).alias("e"),
+        F.when(F.col("id") % 7 != 0, F.col("id") * 50 - 300 + length).alias("e"),
     )
-    got = covering(points, spans, ["k"], "p", "s", "e", how=how, buckets=buckets).select("k", "p", "span")
+    found = covering(points, spans, ["k"], "p", "s", "e").select("k", "p", "span")
     on = (points.k == spans.k) & (points.p >= spans.s) & (spans.e.isNull() | (points.p < spans.e))
-    wanted = points.join(spans, on, how).select(points.k, "p", "span")
-    assert sorted(map(repr, got.collect())) == sorted(map(repr, wanted.collect()))
+    wanted = points.join(spans, on).select(points.k, "p", "span")
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect()))
+
+
+def test_covering_copies_an_interval_twice_at_most(spark):
+    """Whatever the lengths; a point is copied once per grid in use."""
+    points = spark.range(1000).select(F.lit("a").alias("k"), F.col("id").alias("p"))
+    spans = spark.range(60).select(
+        F.lit("a").alias("k"), (F.col("id") * 16).alias("s"), (F.col("id") * 16 + F.pow(2, F.col("id") % 10)).cast("long").alias("e")
+    )
+    plan = covering(points, spans, ["k"], "p", "s", "e")
+    assert "sequence(" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count() == points.join(spans, (F.col("p") >= F.col("s")) & (F.col("p") < F.col("e"))).count()
 
 
 def test_covering_without_points(spark):

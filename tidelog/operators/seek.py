@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from tidelog.functions import errors
 from tidelog.functions.positions import STREAM_WIDE
 from tidelog.operators.settlement import final_checkpoints
-from tidelog.plans.interval import covering, span_of
 from tidelog.plans.prefix import Scan, prefix
 from tidelog.plans.scratch import written
 from tidelog.schema import SHARD_KEYS
@@ -38,48 +37,46 @@ def dispatch(seeks: DataFrame, live: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def _generations(seeks: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Half-open intervals between seeks, numbered by how many seeks came before.
+def _among_seeks(rows: DataFrame, seeks: DataFrame, keys: list[str], at: str, name: str) -> DataFrame:
+    """Adds to each row, per key, ``<name>``: how many seeks came before it, and
+    ``<name>_next``: the position of the first one after.
 
-    Simultaneous seeks count together. The stretch before the first seek has no row.
+    Rows and seeks are merged into one order, a seek before the rows at its position, and
+    scanned once in each direction. Rows without a position have no seeks around them.
+    """
+    marks = seeks.select(*keys, F.col("at").alias("_at"), F.lit(1).alias("_n"), F.col("at").alias("_seek"))
+    placed = rows.withColumns({"_at": F.col(at), "_n": F.lit(0), "_seek": F.lit(None).cast("long")})
+    merged = placed.unionByName(marks, allowMissingColumns=True)
+    scans = {
+        name: Scan("sum", F.col("_n")),
+        f"{name}_next": Scan("latest", F.col("_seek"), inclusive=False, reverse=True),
+    }
+    # Seeks sort before rows: 1 before 0.
+    scanned = prefix(merged.withColumn("_row", 1 - F.col("_n")), keys, ["_at", "_row"], scans)
+    return scanned.where("_n = 0").drop("_at", "_n", "_seek", "_row")
+
+
+def _around(rows: DataFrame, seeks: DataFrame, at: str) -> DataFrame:
+    """Adds ``epoch`` and ``_until``, the position at which the generation of a row ends.
+
+    Pinned seeks are merged with the rows of their shard, stream-wide ones with those of their
+    stream, so nothing is multiplied by the number of shards.
     """
-    moments = written(seeks.groupBy(*keys, "at").agg(F.count(F.lit(1)).alias("_n")), "moments")
-    counted = prefix(moments, keys, ["at"], {name: Scan("sum", F.col("_n"))})
-    ended = prefix(
-        moments, keys, ["at"], {"until": Scan("last", F.col("at"), inclusive=False)}, reverse=True
-    )
-    both = counted.drop("_n").join(ended.drop("_n"), [*keys, "at"])
-    return written(both, "generations")
-
-
-def _all_generations(seeks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Generations made by pinned seeks, per shard, and by stream-wide ones, per stream."""
     pinned = seeks.filter(F.col("shard_id").isNotNull())
     wide = seeks.filter(F.col("shard_id").isNull())
-    return _generations(pinned, SHARD_KEYS, "_own"), _generations(wide, ["stream"], "_all")
-
-
-def _stamp(
-    rows: DataFrame,
-    generations: tuple[DataFrame, DataFrame],
-    at: str,
-    name: str,
-    span: tuple[int, int],
-) -> DataFrame:
-    own, all_ = generations
-    placed = covering(rows, own, SHARD_KEYS, at, "at", "until", how="left", span=span)
-    placed = covering(placed, all_, ["stream"], at, "at", "until", how="left", span=span)
-    epoch = F.coalesce("_own", F.lit(0)) + F.coalesce("_all", F.lit(0))
-    return placed.withColumn(name, epoch.cast("long")).drop("_own", "_all")
+    both = _among_seeks(_among_seeks(rows, pinned, SHARD_KEYS, at, "_own"), wide, ["stream"], at, "_all")
+    epoch = (F.col("_own") + F.col("_all")).cast("long")
+    until = F.least("_own_next", "_all_next")
+    return both.withColumn("epoch", epoch).withColumn("_until", until).drop("_own", "_all", "_own_next", "_all_next")
 
 
 def with_epoch(rows: DataFrame, seeks: DataFrame, at: str, name: str = "epoch") -> DataFrame:
     """Adds the generation each row belongs to by its integer position ``at``.
 
-    A seek at the very position of a row comes before it. Stream-wide seeks are counted per
-    stream, not once per shard, so nothing is multiplied by the number of shards.
+    A seek at the very position of a row comes before it.
     """
-    return _stamp(rows, _all_generations(seeks), at, name, span_of(rows, at))
+    kept = [c for c in rows.columns if c != name]
+    return _around(rows, seeks, at).select(*kept, F.col("epoch").alias(name))
 
 
 def current_deliveries(rows: DataFrame, seeks: DataFrame, at: str) -> DataFrame:
@@ -99,18 +96,16 @@ def current_deliveries(rows: DataFrame, seeks: DataFrame, at: str) -> DataFrame:
 def live_settlements(deliveries: DataFrame, seeks: DataFrame, at: str) -> DataFrame:
     """Adds ``epoch`` and ``stale_ack``; a stale settlement loses its ``outcome``.
 
-    An acknowledgement counts only while its shard is in the generation it was read under.
+    An acknowledgement counts only while its shard is in the generation it was read under:
+    before the first seek that follows the read.
     """
-    generations = _all_generations(seeks)
-    read, settled = span_of(deliveries, at), span_of(deliveries, "settle_ord")
-    stamped = _stamp(deliveries, generations, at, "epoch", read)
-    both = _stamp(stamped, generations, "settle_ord", "_settle_epoch", settled)
-    stale = F.col("settle_ord").isNotNull() & (F.col("epoch") != F.col("_settle_epoch"))
+    stale = F.col("settle_ord").isNotNull() & F.coalesce(F.col("settle_ord") >= F.col("_until"), F.lit(False))
     return (
-        both.withColumn("stale_ack", stale)
+        _around(deliveries, seeks, at)
+        .withColumn("stale_ack", stale)
         .withColumn("outcome", F.when(~F.col("stale_ack"), F.col("outcome")))
         .withColumn("settle_ord", F.when(~F.col("stale_ack"), F.col("settle_ord")))
-        .drop("_settle_epoch")
+        .drop("_until")
     )
 
 

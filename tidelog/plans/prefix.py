@@ -1,23 +1,22 @@
 """Prefix scans over an ordered log: running count, sum, max and last value per key.
 
 A plain window puts each key in one task, and a single shard may hold a third of a log. So
-the rows are range partitioned on (key, order) into blocks of even size and written out once;
-the window then runs inside each block, and what the earlier blocks of the key contribute is
-added from a table of one row per (key, block).
+the rows are range partitioned on (key, order) into blocks of even size and written once,
+bucketed by block; the windows then run inside each block without another shuffle. Only the
+first key of a block can have begun in an earlier one, so what earlier blocks contribute is one
+row per block, and that is all that is broadcast.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.plans.scratch import written
-
-# Rows a block is meant to hold: enough to outweigh a task, few enough to sort in memory.
-BLOCK_ROWS = 1_000_000
+from tidelog.plans.scratch import new_folder
 
 
 @dataclass(frozen=True)
@@ -32,6 +31,7 @@ class Scan:
     kind: str
     value: Column | None = None
     inclusive: bool = True
+    reverse: bool = False
 
 
 def _inner(scan: Scan, window, value: str) -> Column:
@@ -49,14 +49,14 @@ def _inner(scan: Scan, window, value: str) -> Column:
     raise ValueError(f"unknown scan {scan.kind}")
 
 
-def _block_total(scan: Scan, value: str, order: Column, reverse: bool) -> Column:
+def _block_total(scan: Scan, value: str, order: Column) -> Column:
     if scan.kind == "count":
         return F.count(F.lit(1))
     if scan.kind == "sum":
         return F.sum(value)
     if scan.kind == "max":
         return F.max(value)
-    pick = F.min_by if reverse else F.max_by
+    pick = F.min_by if scan.reverse else F.max_by
     if scan.kind == "latest":
         return pick(value, F.when(F.col(value).isNotNull(), order))
     return pick(F.struct(F.col(value).alias("v")), order)
@@ -90,27 +90,26 @@ def prefix(
 ) -> DataFrame:
     """Adds one column per entry of ``scans``, run per ``keys`` along ``order``.
 
-    ``order`` must be unique inside a key for the result to be determined.
+    ``order`` must be unique inside a key for the result to be determined. ``reverse`` turns
+    all scans round; scans of either direction share the one table that is written.
     """
+    if reverse:
+        scans = {name: replace(scan, reverse=True) for name, scan in scans.items()}
     staged = df
     for name, scan in scans.items():
         if scan.value is not None:
             staged = staged.withColumn(f"_in_{name}", scan.value)
     stored = in_blocks(staged, list(keys), order, blocks)
-    out = _run_blocked(stored, list(keys), order, scans, reverse)
+    out = _run_blocked(stored, list(keys), order, scans)
     return out.select(*[c for c in df.columns if c not in scans], *scans)
 
 
-def _sort_columns(order: Sequence[str], reverse: bool) -> list[Column]:
-    return [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
-
-
-def _run(df, partition, order, scans, reverse) -> DataFrame:
-    ordered = Window.partitionBy(*partition).orderBy(*_sort_columns(order, reverse))
+def _run(df: DataFrame, partition: Sequence[str], order: Sequence[str], scans: dict[str, Scan]) -> DataFrame:
     columns = []
     for name, scan in scans.items():
+        along = [F.col(c).desc() if scan.reverse else F.col(c).asc() for c in order]
         end = Window.currentRow if scan.inclusive else -1
-        frame = ordered.rowsBetween(Window.unboundedPreceding, end)
+        frame = Window.partitionBy(*partition).orderBy(*along).rowsBetween(Window.unboundedPreceding, end)
         columns.append(_inner(scan, frame, f"_in_{name}").alias(f"_run_{name}"))
     return df.select("*", *columns)
 
@@ -118,16 +117,22 @@ def _run(df, partition, order, scans, reverse) -> DataFrame:
 def in_blocks(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], blocks: int | None = None
 ) -> DataFrame:
-    """Writes ``df`` range partitioned on (key, order), numbered by ``_block``.
+    """Writes ``df`` range partitioned on (key, order), numbered by ``_block`` and bucketed by it.
 
     A key's rows lie in consecutive blocks of about the same size. The numbering is part of
-    the written table, so every later reader sees the same blocks. Unless ``blocks`` is given,
-    their number follows the rows, and is the number of shuffle partitions at least.
+    the written table, so every later reader sees the same blocks. There are as many as
+    shuffle partitions unless ``blocks`` says otherwise.
     """
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = blocks or max(least, -(-df.count() // BLOCK_ROWS))
-    ranged = df.repartitionByRange(parts, *keys, *order)
-    return written(ranged.withColumn("_block", F.spark_partition_id()), "blocks")
+    spark = df.sparkSession
+    parts = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *keys, *order).withColumn("_block", F.spark_partition_id())
+    name = f"tidelog_{uuid.uuid4().hex}"
+    writer = ranged.write.format("parquet").option("path", new_folder(spark, "blocks"))
+    writer.bucketBy(parts, "_block").saveAsTable(name)
+    stored = spark.table(name)
+    # The frame knows its files and buckets; the catalogue need not keep the name.
+    spark.sql(f"DROP TABLE {name}")
+    return stored
 
 
 def match(table: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
@@ -138,23 +143,28 @@ def match(table: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
     return table.withColumnsRenamed({key: f"_c_{key}" for key in keys}), condition
 
 
-def _run_blocked(stored, keys, order, scans, reverse) -> DataFrame:
-    local = _run(stored, [*keys, "_block"], order, scans, reverse)
+def _edges(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The totals of the first and the last key of each block: no other key spans two."""
+    if not keys:
+        return totals
+    key, block = F.struct(*keys), Window.partitionBy("_block")
+    bounded = totals.select("*", F.min(key).over(block).alias("_low"), F.max(key).over(block).alias("_high"))
+    return bounded.where(key.eqNullSafe(F.col("_low")) | key.eqNullSafe(F.col("_high"))).drop("_low", "_high")
+
+
+def _run_blocked(
+    stored: DataFrame, keys: list[str], order: Sequence[str], scans: dict[str, Scan]
+) -> DataFrame:
+    local = _run(stored, [*keys, "_block"], order, scans)
 
     position = F.struct(*[F.col(c) for c in order])
     totals = stored.groupBy(*keys, "_block").agg(
-        *[
-            _block_total(scan, f"_in_{name}", position, reverse).alias(f"_total_{name}")
-            for name, scan in scans.items()
-        ]
+        *[_block_total(scan, f"_in_{name}", position).alias(f"_total_{name}") for name, scan in scans.items()]
     )
-    before = (
-        Window.partitionBy(*keys)
-        .orderBy(F.col("_block").desc() if reverse else F.col("_block"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = []
+    carried, others = [], F.lit(0)
     for name, scan in scans.items():
+        along = F.col("_block").desc() if scan.reverse else F.col("_block")
+        before = Window.partitionBy(*keys).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
         total = F.col(f"_total_{name}")
         if scan.kind in ("count", "sum"):
             value = F.sum(total).over(before)
@@ -163,10 +173,11 @@ def _run_blocked(stored, keys, order, scans, reverse) -> DataFrame:
         else:
             value = F.last(total, ignorenulls=True).over(before)
         carried.append(value.alias(f"_carry_{name}"))
-    carry = written(totals.select(*keys, "_block", *carried), "carry")
-
-    renamed, condition = match(carry, [*keys, "_block"])
-    joined = local.join(renamed, condition, "left")
+        others = others + F.count(F.lit(1)).over(before)
+    carry = _edges(totals, keys).select(*keys, "_block", *carried, others.alias("_others"))
+    renamed, condition = match(carry.where("_others > 0").drop("_others"), [*keys, "_block"])
+    # At most one key of a block goes on from an earlier block, and one into a later.
+    joined = local.join(F.broadcast(renamed), condition, "left")
     for name, scan in scans.items():
         merged = _merge(scan, F.col(f"_carry_{name}"), F.col(f"_run_{name}"))
         joined = joined.withColumn(name, _finish(scan, merged))
