@@ -2,10 +2,13 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidelog.streaming import run, tracker
-from tidelog.streaming.snapshot import Snapshot
+from tidelog.operators import leases
+from tidelog.schema import SHARD_KEYS
+from tidelog.streaming import lease_state, run, seek_gate, tracker
+from tidelog.streaming.snapshot import FOLD, Snapshot
 
 ROW = "stream string, shard_id string, idx long, sequence_number string, outcome string"
 
@@ -45,12 +48,200 @@ def test_tracker_over_many_small_batches(spark, tmp_path):
         assert got == {s: i * 3 for s, i in told.items() if i >= 0}
 
 
+def increments(spark, folder, batches, schema, make, timeout=120):
+    """Every batch as one increment of a stream that is started anew each time."""
+    source, state = f"{folder}/in", f"{folder}/state"
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        run.run_once(make(spark.readStream.schema(schema).parquet(source)), state, timeout)
+
+
+def test_tracker_passes_nothing_it_has_not_seen(spark, tmp_path):
+    """0 and 2 are acknowledged before 1 is seen: the checkpoint waits for 1."""
+    out = str(tmp_path / "out")
+    tracker.use_state_store(spark)
+    reached = []
+
+    def make(stream):
+        return run.to_parquet(tracker.track_checkpoints(stream), out)
+
+    for rows in ([("s", "a", 0, "10", "ack"), ("s", "a", 2, "12", "ack")], [("s", "a", 1, "11", None)], [("s", "a", 1, "11", "ack")]):
+        increments(spark, str(tmp_path), [rows], ROW, make)
+        reached.append(spark.read.parquet(out).agg(F.max("checkpoint_idx")).first()[0])
+    assert reached == [0, 0, 2]
+
+
+def test_tracker_keeps_gaps_only(spark, tmp_path):
+    """A record that is never settled holds a thousand others back as one range; what was
+    passed leaves nothing behind."""
+    out = str(tmp_path / "out")
+    tracker.use_state_store(spark)
+    batches = []
+    for lo in range(0, 1500, 500):
+        rows = [("s", "a", i, str(i), "ack") for i in range(lo, lo + 500) if i not in (400, 900)]
+        batches.append(rows + [("s", "b", i, str(i), "ack") for i in range(lo, lo + 500)])
+    batches.append([("s", "b", 7, "7", "ack")])
+    increments(spark, str(tmp_path), batches, ROW, lambda s: run.to_parquet(tracker.track_checkpoints(s, chunk=64), out))
+    state = spark.read.format("statestore").option("stateVarName", "settled").load(str(tmp_path / "state"))
+    kept = {r.shard: r for r in state.select(F.col("key.shard_id").alias("shard"), "value.reached", F.size("value.ahead").alias("n")).collect()}
+    assert (kept["a"].reached, kept["a"].n) == (400, 2)
+    assert (kept["b"].reached, kept["b"].n) == (1500, 0)
+
+
+def table_of(spark, path):
+    return Snapshot(spark, path, tracker.CHECKPOINT_TABLE, SHARD_KEYS)
+
+
+def write(spark, table, run_id, batch, shard, checkpoint):
+    row = spark.createDataFrame([("s", shard, checkpoint, batch)], tracker.CHECKPOINT_TABLE)
+    table.apply(row, run_id, batch)
+
+
+def held(table):
+    return {r.shard_id: r.checkpoint for r in table.current().collect()}
+
+
 def test_snapshot_is_the_same_after_a_repeated_batch(spark, tmp_path):
-    table = Snapshot(spark, str(tmp_path / "t"), tracker.CHECKPOINT_TABLE)
-    assert table.current().count() == 0
+    table = table_of(spark, str(tmp_path / "t"))
+    assert held(table) == {}
     for batch in (0, 1, 1, 2, 2):
-        before = table.before(batch)
-        row = spark.createDataFrame([("s", f"shard-{batch}", "1", batch)], tracker.CHECKPOINT_TABLE)
-        kept = before.join(row, ["stream", "shard_id"], "left_anti")
-        table.write(kept.unionByName(row), batch)
-    assert sorted(r.shard_id for r in table.current().collect()) == ["shard-0", "shard-1", "shard-2"]
+        write(spark, table, "r", batch, f"shard-{batch}", "1")
+    assert held(table) == {f"shard-{i}": "1" for i in range(3)}
+    write(spark, table, "r", 2, "shard-0", "9")
+    assert held(table) == {"shard-0": "9", "shard-1": "1"}
+
+
+def test_snapshot_outlives_a_reset(spark, tmp_path):
+    """A query with a new state location numbers its batches from 0 again."""
+    table = table_of(spark, str(tmp_path / "t"))
+    for batch in range(5):
+        write(spark, table, "first", batch, f"shard-{batch}", str(batch))
+    write(spark, table, "second", 0, "shard-0", "new")
+    assert held(table) == {"shard-0": "new", **{f"shard-{i}": str(i) for i in range(1, 5)}}
+
+
+def test_snapshot_reads_a_bounded_number_of_versions(spark, tmp_path):
+    table = table_of(spark, str(tmp_path / "t"))
+    for batch in range(2 * FOLD + 3):
+        write(spark, table, "r", batch, f"shard-{batch % 3}", str(batch))
+    assert len(table._versions()) <= FOLD + 3
+    last = 2 * FOLD + 2
+    assert held(table) == {f"shard-{b % 3}": str(b) for b in range(last - 2, last + 1)}
+
+
+def test_checkpoint_table_of_two_runs(spark, tmp_path):
+    """The run is that of the streaming query, which a new state location changes."""
+    path, schema = str(tmp_path / "table"), "stream string, shard_id string, checkpoint string, at long"
+
+    def make(stream):
+        return tracker.keep_checkpoints(stream, path, "at")
+
+    for name, point in (("one", "5"), ("two", "3")):
+        (tmp_path / name).mkdir()
+        increments(spark, str(tmp_path / name), [[("s", "a", point, 1), ("s", name, point, 1)]], schema, make)
+    assert held(tracker.checkpoint_table(spark, path)) == {"a": "3", "one": "5", "two": "3"}
+
+
+def test_seek_gate_over_small_batches(spark, tmp_path):
+    """Random deliveries, outcomes and seeks against a plain replay of the same events."""
+    rng = random.Random(11)
+    tracker.use_state_store(spark)
+    happened, pending, model, told, stale = [], [], {}, {}, {}
+    for at in range(240):
+        shard = rng.choice(["a", "a", "b"])
+        state = model.setdefault(shard, {"epoch": 0, "base": 0, "next": 0, "done": set()})
+        draw = rng.random()
+        if draw < 0.06:
+            happened.append(("s", shard, at, seek_gate.SEEK, None, None))
+            state.update(epoch=state["epoch"] + 1, base=state["next"], done=set())
+        elif draw < 0.6 or not pending:
+            happened.append(("s", shard, at, seek_gate.DELIVER, state["next"], None))
+            pending.append((shard, state["next"]))
+            state["next"] += 1
+        else:
+            shard, idx = pending.pop(rng.randrange(min(2, len(pending))))
+            state = model[shard]
+            happened.append(("s", shard, at, seek_gate.SETTLE, idx, f"n{idx}"))
+            if idx < state["base"]:
+                stale[shard] = stale.get(shard, 0) + 1
+                continue
+            state["done"].add(idx)
+            reached = state["base"]
+            while reached in state["done"]:
+                reached += 1
+            if reached > state["base"]:
+                told[shard, state["epoch"]] = f"n{reached - 1}"
+    batches = [happened[i : i + 60] for i in range(0, len(happened), 60)]
+    for batch in batches:
+        rng.shuffle(batch)
+    out = str(tmp_path / "out")
+    increments(spark, str(tmp_path), batches, seek_gate.EVENT, lambda s: run.to_parquet(seek_gate.gate(s, 17), out))
+    rows = spark.read.parquet(out)
+    reached = rows.groupBy("shard_id", "epoch").agg(F.max_by("checkpoint", "checkpoint_idx").alias("c")).where("c is not null")
+    assert {(r.shard_id, r.epoch): r.c for r in reached.collect()} == told and len(told) > 2
+    dropped = rows.groupBy("shard_id").agg(F.sum("stale_acks").alias("n")).where("n > 0")
+    assert {r.shard_id: r.n for r in dropped.collect()} == stale and stale
+
+
+def test_wide_seeks_reach_every_listed_shard(spark):
+    seeks = spark.createDataFrame([("s", None, 5), ("s", "b", 6), ("t", None, 7)], "stream string, shard_id string, at long")
+    shards = spark.createDataFrame([("s", "a"), ("s", "b"), ("u", "c")], "stream string, shard_id string")
+    moved = seek_gate.on_every_shard(seeks, shards).collect()
+    assert sorted(map(tuple, moved)) == [("s", "a", 5), ("s", "b", 5), ("s", "b", 6)]
+
+
+def commands_of(rng, count):
+    rows = []
+    for n in range(count):
+        op = rng.choice(["acquire", "renew", "renew", "checkpoint", "checkpoint", "release", "read"])
+        rows.append(("s", rng.choice("ab"), n, 10 * n + rng.randrange(3), rng.choice(["x", "y"]), op, 60, str(n)))
+    return rows
+
+
+COMMAND = "stream string, shard_id string, n long, t_ms long, owner string, op string, ttl_ms long, sequence string"
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_fenced_writes_equal_the_replayed_ledger(spark, tmp_path, strict):
+    rng = random.Random(4)
+    tracker.use_state_store(spark)
+    rows = commands_of(rng, 120)
+    batches = [rows[i : i + 30] for i in range(0, 120, 30)]
+    for batch in batches:
+        rng.shuffle(batch)
+    table, writes = str(tmp_path / "table"), str(tmp_path / "writes")
+    increments(
+        spark, str(tmp_path), batches, COMMAND,
+        lambda s: lease_state.keep_fenced(s, table, writes, strict_expiry=strict),
+    )
+    verdicts = leases.replay_ledger(spark.createDataFrame(rows, COMMAND), strict_expiry=strict)
+    wanted = leases.checkpoint_writes(verdicts)
+    got = spark.read.parquet(writes).select(*wanted.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.collect()))
+    assert got.where("not accepted").count() and got.where("accepted").count()
+    last = wanted.where("accepted").groupBy("shard_id").agg(F.max_by("sequence", "n").alias("c"))
+    assert held(tracker.checkpoint_table(spark, table)) == {r.shard_id: r.c for r in last.collect()}
+
+
+def test_watch_tells_tenures_and_alerts(spark, tmp_path):
+    """Tenures and late heartbeats equal the reports over the ledger; timers tell the rest."""
+    rng = random.Random(9)
+    tracker.use_state_store(spark)
+    rows = commands_of(rng, 120)
+    out = str(tmp_path / "out")
+    # A shard that falls silent after one heartbeat: only timers can tell.
+    rows[5] = ("s", "quiet", 5, 50, "z", "acquire", 60, "5")
+    batches = [rows[i : i + 40] for i in range(0, 120, 40)]
+    increments(
+        spark, str(tmp_path), batches, COMMAND,
+        lambda s: run.to_parquet(lease_state.watch_leases(s, cadence_ms=25), out),
+    )
+    notices = spark.read.parquet(out)
+    verdicts = leases.replay_ledger(spark.createDataFrame(rows, COMMAND))
+    owned = leases.ownership(verdicts)
+    assert sorted(map(repr, lease_state.tenures(notices).select(*owned.columns).collect())) == sorted(map(repr, owned.collect()))
+    gaps = leases.renewal_gaps(verdicts, cadence_ms=25, ttl_ms=60)
+    told = lease_state.notices_past_ttl(notices, 60).select(*gaps.columns)
+    assert sorted(map(repr, told.collect())) == sorted(map(repr, gaps.collect())) and gaps.count()
+    quiet = notices.where("shard_id = 'quiet'").select("kind", "at_ms").collect()
+    assert sorted(map(tuple, quiet), key=repr) == [("begun", None), ("lapsed", 110), ("overdue", 75)]

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tidelog.operators.leases import lease_snapshot, replay_ledger
 from tidelog.schema import LEASE_STATE, SHARD_KEYS
-from tidelog.streaming.snapshot import Snapshot
+from tidelog.streaming.snapshot import Snapshot, run_of
 
 
 def audit_leases(
@@ -16,17 +16,17 @@ def audit_leases(
     """Writes the verdict of every command, carrying each shard's lease between micro-batches.
 
     A micro-batch is replayed like a table, so a shard with most of the commands is still cut
-    into blocks. Verdicts land in one folder per batch; a repeated batch replaces its own.
+    into blocks. Verdicts land in one folder per run of the query and batch; a repeated batch
+    replaces its own.
     """
 
     def audit(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        state = Snapshot(spark, state_path, LEASE_STATE)
-        before = state.before(batch_id)
-        folder = f"{verdicts_path}/batch={batch_id}"
+        run = run_of(spark)
+        state = Snapshot(spark, state_path, LEASE_STATE, SHARD_KEYS)
+        before = state.before(run, batch_id)
+        folder = f"{verdicts_path}/run={run}/batch={batch_id}"
         replay_ledger(batch, before, **how).write.mode("overwrite").parquet(folder)
-        after = lease_snapshot(spark.read.parquet(folder))
-        untouched = before.join(after, SHARD_KEYS, "left_anti")
-        state.write(untouched.unionByName(after), batch_id)
+        state.apply(lease_snapshot(spark.read.parquet(folder)), run, batch_id)
 
     return commands.writeStream.foreachBatch(audit)

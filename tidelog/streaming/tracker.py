@@ -1,13 +1,19 @@
 """Acknowledgement checkpoints of a running subscription.
 
-The tracker has two stateful stages so that a shard with most of the traffic is not one task:
-the first keeps the outstanding records of one chunk of a shard's arrival indices and says
-how far that chunk is settled, the second puts the chunks of a shard in order and sees only
-one row per chunk and micro-batch.
+A shard's checkpoint is the end of the settled positions that run from its start without a gap.
+A position that was never seen is a gap like one that is not settled, so nothing is passed that
+has not arrived. What is kept between micro-batches are the settled ranges beyond the checkpoint;
+they merge as gaps close and vanish once passed.
+
+So that a shard with most of the traffic is not one task, the settlements of a micro-batch are
+made into ranges in chunks of positions first; a shard's state sees one row per chunk.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,126 +21,57 @@ from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulP
 
 from tidelog.operators.settlement import is_done, last_writes
 from tidelog.schema import SHARD_KEYS
-from tidelog.streaming.snapshot import Snapshot
+from tidelog.streaming import ranges as R
+from tidelog.streaming.snapshot import Snapshot, run_of
 
-CHUNK = 4096
+CHUNK = 65_536
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-_CHUNK_STATE = T.StructType(
-    [
-        T.StructField("done_idx", T.LongType()),
-        T.StructField("done_sequence", T.StringType()),
-        T.StructField(
-            "waiting",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField("idx", T.LongType()),
-                        T.StructField("sequence", T.StringType()),
-                        T.StructField("done", T.BooleanType()),
-                    ]
-                )
-            ),
-        ),
-    ]
-)
-_CHUNK_ROW = T.StructType(
-    [
-        T.StructField("stream", T.StringType()),
-        T.StructField("shard_id", T.StringType()),
-        T.StructField("chunk", T.LongType()),
-        T.StructField("open", T.BooleanType()),
-        T.StructField("done_idx", T.LongType()),
-        T.StructField("done_sequence", T.StringType()),
-    ]
-)
-_PART = T.StructType(
-    [
-        T.StructField("open", T.BooleanType()),
-        T.StructField("done_idx", T.LongType()),
-        T.StructField("done_sequence", T.StringType()),
-    ]
-)
+_SHARD = [T.StructField("stream", T.StringType()), T.StructField("shard_id", T.StringType())]
+_CHUNK_ROW = T.StructType([*_SHARD, T.StructField("ranges", R.RANGES)])
+_STATE = T.StructType([T.StructField("reached", T.LongType()), T.StructField("ahead", R.RANGES)])
 _ADVANCE = T.StructType(
-    [
-        T.StructField("stream", T.StringType()),
-        T.StructField("shard_id", T.StringType()),
-        T.StructField("checkpoint", T.StringType()),
-        T.StructField("checkpoint_idx", T.LongType()),
-    ]
+    [*_SHARD, T.StructField("checkpoint", T.StringType()), T.StructField("checkpoint_idx", T.LongType())]
 )
 CHECKPOINT_TABLE = T.StructType(
-    [
-        T.StructField("stream", T.StringType()),
-        T.StructField("shard_id", T.StringType()),
-        T.StructField("checkpoint", T.StringType()),
-        T.StructField("write_ord", T.LongType()),
-    ]
+    [*_SHARD, T.StructField("checkpoint", T.StringType()), T.StructField("write_ord", T.LongType())]
 )
 
 
-class ChunkTracker(StatefulProcessor):
-    """Per chunk: the records delivered and not yet settled, in arrival order."""
+def range_arrays(found: list[R.Range]) -> list[dict]:
+    return [dict(zip(("low", "high", "sequence"), r, strict=True)) for r in found]
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._chunk = handle.getValueState("chunk", _CHUNK_STATE)
 
-    def handleInputRows(self, key, rows, timerValues):
-        done_idx, done_sequence, waiting = -1, None, []
-        if self._chunk.exists():
-            done_idx, done_sequence, waiting = self._chunk.get()
-        before = (done_idx, bool(waiting))
-        pending = {w[0]: (w[1], w[2]) for w in waiting}
-        for row in rows:
-            # Micro-batches are unordered, and a record can be delivered more than once.
-            if row.idx > done_idx:
-                _, done = pending.get(row.idx, (None, False))
-                pending[row.idx] = (row.sequence_number, done or row.done)
-        for idx in sorted(pending):
-            sequence, done = pending[idx]
-            if not done:
-                break
-            done_idx, done_sequence = idx, sequence
-            del pending[idx]
-        waiting = [(idx, *pending[idx]) for idx in sorted(pending)]
-        self._chunk.update((done_idx, done_sequence, waiting))
-        if (done_idx, bool(waiting)) != before:
-            yield Row(
-                stream=key[0], shard_id=key[1], chunk=key[2], open=bool(waiting),
-                done_idx=done_idx, done_sequence=done_sequence,
-            )
+def _chunk_ranges(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The settled ranges of one chunk, merged batch by batch: no more is held than they need."""
+    found: list[R.Range] = []
+    for batch in batches:
+        new = R.of_positions(batch.column("idx").to_pylist(), batch.column("sequence_number").to_pylist())
+        found = R.merged([*found, *new])
+    row = {"stream": key[0].as_py(), "shard_id": key[1].as_py(), "ranges": range_arrays(found)}
+    yield pa.RecordBatch.from_pylist([row], _CHUNK_ARROW)
 
-    def close(self) -> None:
-        pass
 
+_RANGE_ARROW = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64()), ("sequence", pa.string())]))
+_CHUNK_ARROW = pa.schema([("stream", pa.string()), ("shard_id", pa.string()), ("ranges", _RANGE_ARROW)])
 
-class ShardTracker(StatefulProcessor):
-    """Per shard: chunks from the first open one on, and the last settled record below it."""
+
+class RangeTracker(StatefulProcessor):
+    """Per shard: the first position that is not settled, and the settled ranges beyond it."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._parts = handle.getMapState("parts", T.StructType([T.StructField("chunk", T.LongType())]), _PART)
-        self._reached = handle.getValueState("reached", _PART)
+        self._state = handle.getValueState("settled", _STATE)
 
     def handleInputRows(self, key, rows, timerValues):
-        reached_idx, reached_sequence = -1, None
-        if self._reached.exists():
-            _, reached_idx, reached_sequence = self._reached.get()
-        before = reached_idx
-        for row in rows:
-            self._parts.updateValue((row.chunk,), (row.open, row.done_idx, row.done_sequence))
-        parts = sorted((chunk[0], *part) for chunk, part in self._parts.iterator())
-        for chunk, open_, done_idx, done_sequence in parts:
-            if done_idx > reached_idx:
-                reached_idx, reached_sequence = done_idx, done_sequence
-            if open_:
-                break
-            self._parts.removeKey((chunk,))
-        if reached_idx > before:
-            self._reached.update((False, reached_idx, reached_sequence))
-            yield Row(
-                stream=key[0], shard_id=key[1],
-                checkpoint=reached_sequence, checkpoint_idx=reached_idx,
-            )
+        start, ahead = 0, []
+        if self._state.exists():
+            start, held = self._state.get()
+            ahead = R.of_rows(held)
+        reached, sequence, left = R.advance(start, [*ahead, *(r for row in rows for r in R.of_rows(row.ranges))])
+        if left != ahead or reached != start:
+            self._state.update((reached, left))
+        if sequence is not None:
+            yield Row(stream=key[0], shard_id=key[1], checkpoint=sequence, checkpoint_idx=reached - 1)
 
     def close(self) -> None:
         pass
@@ -143,26 +80,19 @@ class ShardTracker(StatefulProcessor):
 def track_checkpoints(settlements: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Checkpoint advances of a stream of (stream, shard_id, idx, sequence_number, outcome).
 
-    A row without an outcome is a delivery that is still outstanding; a later row for the same
-    ``idx`` settles it. Rows of a shard may come in any order inside a micro-batch.
+    ``idx`` numbers the records a shard delivers, from 0 and without gaps (the ``idx`` of the
+    source). Rows without an outcome that settles them change nothing. Rows may come in any
+    order, late, and more than once.
     """
-    rows = settlements.select(
-        *SHARD_KEYS,
-        F.floor(F.col("idx") / chunk).cast("long").alias("chunk"),
-        "idx",
-        "sequence_number",
-        is_done(F.col("outcome")).alias("done"),
-    )
-    chunks = rows.groupBy(*SHARD_KEYS, "chunk").transformWithState(
-        ChunkTracker(), _CHUNK_ROW, "Append", "None"
-    )
-    return chunks.groupBy(*SHARD_KEYS).transformWithState(
-        ShardTracker(), _ADVANCE, "Append", "None"
+    done = settlements.where(is_done(F.col("outcome"))).select(
+        *SHARD_KEYS, F.floor(F.col("idx") / chunk).alias("chunk"), "idx", "sequence_number"
     )
+    found = done.groupBy(*SHARD_KEYS, "chunk").applyInArrow(_chunk_ranges, _CHUNK_ROW)
+    return found.groupBy(*SHARD_KEYS).transformWithState(RangeTracker(), _ADVANCE, "Append", "None")
 
 
 def use_state_store(spark: SparkSession) -> None:
-    """Stateful queries of this module keep their state in RocksDB."""
+    """Stateful queries of this package keep their state in RocksDB."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
@@ -170,18 +100,17 @@ def keep_checkpoints(writes: DataFrame, path: str, order: str | Column) -> DataS
     """Maintains the table of stored checkpoints from a stream of writes.
 
     Within a micro-batch the write with the highest ``order`` stands, and a later batch
-    replaces an earlier one, also when that lowers a checkpoint.
+    replaces an earlier one, also when that lowers a checkpoint. Only the shards a batch
+    writes are stored anew.
     """
     ordered = writes.withColumn("write_ord", F.col(order) if isinstance(order, str) else order)
 
     def upkeep(batch: DataFrame, batch_id: int) -> None:
         table = checkpoint_table(batch.sparkSession, path)
-        written = last_writes(batch)
-        kept = table.before(batch_id).join(written, SHARD_KEYS, "left_anti")
-        table.write(kept.unionByName(written), batch_id)
+        table.apply(last_writes(batch), run_of(batch.sparkSession), batch_id)
 
     return ordered.writeStream.foreachBatch(upkeep)
 
 
 def checkpoint_table(spark: SparkSession, path: str) -> Snapshot:
-    return Snapshot(spark, path, CHECKPOINT_TABLE)
+    return Snapshot(spark, path, CHECKPOINT_TABLE, SHARD_KEYS)

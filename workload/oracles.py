@@ -460,6 +460,32 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, lag(t_ms) OVER (PARTITION BY shard_id, owner ORDER BY n) AS previous_ms
               FROM verdicts WHERE op IN ('acquire', 'renew') AND ok)
         WHERE owner_before = owner AND t_ms - previous_ms > {6 * HOUR_MS}""", "verdicts"),
+    "d10_running_fence": _sql(
+        """SELECT stream, shard_id, n, owner, CAST(n AS VARCHAR) AS sequence, ok AS accepted, checkpoint_after,
+        ok AND n = max(n) FILTER (WHERE ok) OVER (PARTITION BY shard_id) AS stands
+        FROM verdicts WHERE op = 'checkpoint'""", "verdicts"),
+    "e10_running_watch": _sql(
+        f"""SELECT 'tenure' AS kind, shard_id, owner_after AS owner, n, t_ms AS since_ms, to_ms AS at_ms,
+        CASE WHEN lapse < to_ms THEN lapse END AS lapsed_ms
+        FROM (SELECT *, lead(t_ms) OVER w AS to_ms, lead(expires_before) OVER w AS lapse
+              FROM verdicts WHERE owner_before IS DISTINCT FROM owner_after
+              WINDOW w AS (PARTITION BY shard_id ORDER BY n)) WHERE owner_after IS NOT NULL
+        UNION ALL SELECT CASE WHEN t_ms - previous_ms > {LEASE_TTL} THEN 'late past ttl' ELSE 'late' END,
+        shard_id, owner, n, previous_ms, t_ms, NULL
+        FROM (SELECT *, lag(t_ms) OVER (PARTITION BY shard_id, owner ORDER BY n) AS previous_ms
+              FROM verdicts WHERE op IN ('acquire', 'renew') AND ok)
+        WHERE owner_before = owner AND t_ms - previous_ms > {6 * HOUR_MS}
+        UNION ALL SELECT alert.kind, shard_id, owner, n, t_ms, t_ms + alert.wait, NULL
+        FROM (SELECT *, lead(t_ms) OVER (PARTITION BY shard_id ORDER BY n) AS changed_ms,
+              CASE WHEN op <> 'release' THEN [{{'kind': 'overdue', 'wait': {6 * HOUR_MS}}},
+                                              {{'kind': 'lapsed', 'wait': {LEASE_TTL}}}] END AS alerts
+              FROM verdicts WHERE op IN ('acquire', 'renew', 'release') AND ok) v,
+        (SELECT max(t_ms) - 60000 AS clock FROM verdicts WHERE op IN ('acquire', 'renew', 'release')),
+        (SELECT shard_id AS shard, max(t_ms) AS last_ms FROM verdicts
+         WHERE op IN ('acquire', 'renew', 'release') GROUP BY shard_id) l,
+        unnest(alerts) AS told(alert)
+        WHERE l.shard = v.shard_id AND t_ms + alert.wait < coalesce(changed_ms, greatest(last_ms, clock + 1))""",
+        "verdicts"),
     "f1_closed": _sql("SELECT stream, shard_id, closed FROM shards", "shards"),
     "f2_parents_done": _sql(
         """SELECT shard_id, 'tip' AS "from" FROM shards ANTI JOIN tip_blocked USING (shard_id)
@@ -491,6 +517,13 @@ ORACLES: dict[str, str] = {
     "g4_stored_checkpoints": _sql(
         """SELECT stream, shard_id, checkpoint, epoch FROM epoch_reached WHERE upto IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY shard_id ORDER BY epoch DESC) = 1""", "epoch_reached"),
+    "g4_running_gate": _sql(
+        """SELECT stream, shard_id, checkpoint, epoch, stale_acks
+        FROM (SELECT stream, shard_id, count(*) FILTER (WHERE stale_ack) AS stale_acks FROM live
+              GROUP BY stream, shard_id)
+        LEFT JOIN (SELECT * FROM epoch_reached WHERE upto IS NOT NULL
+              QUALIFY row_number() OVER (PARTITION BY shard_id ORDER BY epoch DESC) = 1)
+        USING (stream, shard_id)""", "live", "epoch_reached"),
     "g4_epoch_index": _sql(
         """SELECT event_id, epoch,
         row_number() OVER (PARTITION BY shard_id, epoch ORDER BY event_id) - 1 AS epoch_idx

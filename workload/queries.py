@@ -16,7 +16,7 @@ from tidelog.plans.scratch import new_folder, written
 from tidelog.schema import SHARD_KEYS
 from tidelog.sources import log
 from tidelog.sources.descriptor import LogStream, subscribe, subscribe_all
-from tidelog.streaming import consume, ledger, run, tracker
+from tidelog.streaming import consume, lease_state, ledger, run, seek_gate, tracker
 from workload import tables as W
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -471,26 +471,23 @@ def in_increments(spark, parts, make) -> None:
 
 @query
 def d5_running_tracker(spark, sf):
-    """Deliveries first, their outcomes an increment later, over three restarts."""
-    first, second, third = thirds(W.deliveries(spark, sf))
-    columns = ["stream", "shard_id", F.col("event_id").alias("idx"), "sequence_number"]
-    settled = [*columns, "outcome"]
-    waiting = [*columns, F.lit(None).cast("string").alias("outcome")]
+    """Deliveries in three increments, a third of every stretch in each, so that records come
+    after later ones; outcomes an increment after their record, over three restarts."""
+    indexed = written(settlement.with_delivery_index(W.deliveries(spark, sf)), "indexed")
+    turn = F.col("event_id") * 7919 % 3
+    settled = indexed.select(*SHARD_KEYS, "idx", "sequence_number", "outcome", turn.alias("turn"))
+    waiting = settled.withColumn("outcome", F.lit(None).cast("string"))
     parts = [
-        first.select(*waiting),
-        first.select(*settled).union(second.select(*waiting)),
-        second.select(*settled).union(third.select(*settled)),
+        waiting.where("turn = 0"),
+        settled.where("turn = 0").union(waiting.where("turn = 1")),
+        settled.where("turn > 0"),
     ]
     out = new_folder(spark, "out")
     tracker.use_state_store(spark)
-    # The number of state partitions is fixed for the life of a query, so it follows the cores.
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    cores = spark.sparkContext.defaultParallelism
-    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(partitions), cores)))
-    try:
-        in_increments(spark, parts, lambda s: run.to_parquet(tracker.track_checkpoints(s), out))
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    in_increments(
+        spark, [part.drop("turn") for part in parts],
+        lambda s: run.to_parquet(tracker.track_checkpoints(s), out),
+    )
     return spark.read.parquet(out).groupBy(*SHARD_KEYS).agg(
         F.max_by("checkpoint", "checkpoint_idx").alias("checkpoint")
     )
@@ -620,6 +617,48 @@ def e10_ownership(spark, sf):
     return leases.ownership(_verdicts(spark, sf)).drop("stream")
 
 
+def _lease_stream(spark, sf, make) -> None:
+    commands = W.lease_commands(spark, sf).withColumn("event_id", F.col("n"))
+    tracker.use_state_store(spark)
+    in_increments(spark, thirds(commands), make)
+
+
+@query
+def d10_running_fence(spark, sf):
+    """The verdicts of a running reader's checkpoint writes, and whether the table it keeps
+    holds the write."""
+    table, writes = new_folder(spark, "checkpoints"), new_folder(spark, "writes")
+    _lease_stream(spark, sf, lambda s: lease_state.keep_fenced(s, table, writes))
+    kept = tracker.checkpoint_table(spark, table).current().select(
+        *SHARD_KEYS, F.col("write_ord").alias("n"), F.lit(True).alias("stands")
+    )
+    told = spark.read.parquet(writes).drop("run", "batch").join(kept, [*SHARD_KEYS, "n"], "left")
+    return told.withColumn("stands", F.coalesce("stands", F.lit(False)))
+
+
+@query
+def e10_running_watch(spark, sf):
+    """Tenures, late heartbeats and alerts of a running reader, over three restarts."""
+    out = new_folder(spark, "out")
+    _lease_stream(
+        spark, sf,
+        lambda s: run.to_parquet(
+            lease_state.watch_leases(s, cadence_ms=6 * HOUR_MS, lateness="1 minute"), out
+        ),
+    )
+    notices = spark.read.parquet(out)
+    alerts = notices.where(F.col("kind").isin(lease_state.OVERDUE, lease_state.LAPSED))
+    columns = ["kind", "shard_id", "owner", "n", "since_ms", "at_ms", "lapsed_ms"]
+    held = lease_state.tenures(notices).selectExpr(
+        "'tenure' AS kind", "shard_id", "owner", "from_n AS n", "from_ms AS since_ms", "to_ms AS at_ms", "lapsed_ms"
+    )
+    late = lease_state.notices_past_ttl(notices, W.LEASE_TTL).selectExpr(
+        "if(past_ttl, 'late past ttl', 'late') AS kind", "shard_id", "owner", "n",
+        "previous_ms AS since_ms", "t_ms AS at_ms", "CAST(NULL AS BIGINT) AS lapsed_ms",
+    )
+    return held.union(late).union(alerts.select(*columns))
+
+
 @query
 def e11_renewal_gaps(spark, sf):
     gaps = leases.renewal_gaps(_verdicts(spark, sf), cadence_ms=6 * HOUR_MS, ttl_ms=W.LEASE_TTL)
@@ -735,6 +774,36 @@ def g4_stored_checkpoints(spark, sf):
     return seek.stored_checkpoints(written(_settled(spark, sf), "settled"))
 
 
+def _clock_thirds(spark, sf, happened: DataFrame) -> list[DataFrame]:
+    last = W.events(spark, sf).agg(F.max("event_id")).first()[0] * W.TICK
+    part = F.least(F.floor(F.col("at") * 3 / last), F.lit(2))
+    return [happened.where(part == i) for i in range(3)]
+
+
+@query
+def g4_running_gate(spark, sf):
+    """Deliveries, outcomes and seeks as one stream, over three restarts: what is stored per
+    shard in the end, and how many stale acknowledgements were dropped."""
+    read = written(settlement.with_delivery_index(W.deliveries(spark, sf)), "indexed")
+    placed = read.withColumn("at", F.col("delivered_at"))
+    settled = read.withColumn("at", F.col("settle_ord"))
+    seeks = seek_gate.on_every_shard(W.seeks(spark, sf), _live(spark, sf))
+    happened = written(seek_gate.events(placed, settled, seeks), "events")
+    out = new_folder(spark, "out")
+    tracker.use_state_store(spark)
+    stretch = 4096 * W.TICK
+    in_increments(
+        spark, _clock_thirds(spark, sf, happened),
+        lambda s: run.to_parquet(seek_gate.gate(s, stretch), out),
+    )
+    order = F.when(F.col("checkpoint").isNotNull(), F.struct("epoch", "checkpoint_idx"))
+    return spark.read.parquet(out).groupBy(*SHARD_KEYS).agg(
+        F.max_by("checkpoint", order).alias("checkpoint"),
+        F.max(order)["epoch"].alias("epoch"),
+        F.sum("stale_acks").alias("stale_acks"),
+    )
+
+
 @query
 def g4_epoch_index(spark, sf):
     stamped = seek.with_epoch(W.deliveries(spark, sf), W.seeks(spark, sf), "delivered_at")
