@@ -88,7 +88,9 @@ def random_ledger(spark, seed, sorted_times):
 def test_blocks_equal_one_piece(spark, seed, sorted_times, strict):
     commands = random_ledger(spark, seed, sorted_times)
     state = spark.createDataFrame([("s", "hot", "o1", 25, "77", 5), ("s", "idle", "o2", 9, "1", 2)], LEASE_STATE)
-    for before in (None, state):
+    # Held by someone who sends no command: only its expiry lets others in.
+    gone = spark.createDataFrame([("s", "hot", "gone", 300, "7", 5), ("s", "s1", "gone", 90, None, 1)], LEASE_STATE)
+    for before in (None, state, gone):
         whole = leases.replay_ledger(commands, before, strict_expiry=strict, blocks=1)
         cut = leases.replay_ledger(
             commands, before, strict_expiry=strict, blocks=24

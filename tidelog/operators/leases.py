@@ -1,13 +1,16 @@
 """Replay and audit of lease ledgers: who held which shard, and whose writes were refused.
 
-A ledger is a table of commands (see ``schema.LEASE_COMMAND``) ordered by ``n`` per shard.
-Replaying it is sequential by nature, since each verdict depends on the lease before it. A
-ledger too long for one task is cut into blocks. A lease is fully known again as soon as one
-command takes effect, so a block can say, without knowing the lease it starts from, which
-lease it ends with for every lease it might start from: once per owner seen in it, and once
-per instant at which an expired lease would be taken over, as far as an earlier lease can run.
-These summaries are chained per shard, and the blocks are then replayed in parallel, each from
-its known start.
+A ledger is a table of commands (see ``schema.LEASE_COMMAND``) ordered by ``n`` per shard. It is
+cut into blocks that are replayed side by side. Replaying is sequential by nature, since each
+verdict depends on the lease before it, and a shard that spans blocks needs the lease that its
+next block starts from. A lease is fully known again as soon as one command takes effect, so a
+block can say, without knowing the lease it starts from, which lease it ends with for every lease
+it might start from: once per owner seen in it, and once per instant at which an expired lease
+would be taken over, as far as an earlier lease can run. These summaries are made and chained for
+the shards that span blocks only, two of a block at most.
+
+Only commands that can change a lease are folded one by one. Reads and checkpoint writes are
+answered from the lease that the command before them left.
 """
 
 from __future__ import annotations
@@ -16,11 +19,12 @@ from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import partial
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.plans.prefix import Scan, in_blocks, match, prefix
+from tidelog.plans.prefix import Scan, edges, in_blocks, match, prefix
 from tidelog.plans.scratch import written
 from tidelog.schema import LEASE_TTL_MS, RENEW_EVERY_MS, SHARD_KEYS
 
@@ -30,6 +34,8 @@ RENEW = "renew"
 CHECKPOINT = "checkpoint"
 READ = "read"
 RELEASE = "release"
+# The row that carries a shard's lease into a ledger.
+STATE = "state"
 
 _MUTATING = (ACQUIRE, RENEW, RELEASE)
 _BLOCK_KEYS = [*SHARD_KEYS, "_block"]
@@ -85,43 +91,74 @@ def _batches(rows: Iterator[tuple], names: list[str], size: int = 10_000) -> Ite
         yield batch()
 
 
-def _replay(
-    batches: Iterator[pa.RecordBatch], keys: list[str], strict: bool
-) -> Iterator[pa.RecordBatch]:
-    """Verdict of each command; a key starts from the lease its first row carries."""
-    current = None
-    owner = expires = checkpoint = None
-    counter = 0
-    read = [*keys, "op", "owner", "t_ms", "ttl_ms", "sequence", *_LEASE]
+def _replay(batches: Iterator[pa.RecordBatch], strict: bool) -> Iterator[pa.RecordBatch]:
+    """Verdict of each command; rows come by shard, in order.
+
+    A shard starts from the lease its first row carries. What is folded row by row are the
+    rows that can change a lease and the first row of each shard; the rest follows from the
+    last of these.
+    """
+    last: tuple = ()  # shard, and owner, expiry, checkpoint and counter after its last row
     for batch in batches:
-        out: list[list] = [[] for _ in range(7)]
-        for row in _rows(iter([batch]), read):
-            key = row[: len(keys)]
-            op, who, now, ttl, sequence = row[len(keys) : len(keys) + 5]
-            if key != current:
-                current = key
-                owner, expires, checkpoint, counter = row[-4:]
-            before = (owner, expires)
-            if op == ACQUIRE:
-                alive = expires is not None and (expires >= now if strict else expires > now)
-                ok = owner is None or owner == who or not alive
-            else:
-                ok = op == READ or (owner is not None and owner == who)
-            if ok:
-                if op in (ACQUIRE, RENEW):
-                    owner, expires = who, now + ttl
-                elif op == CHECKPOINT:
-                    checkpoint = sequence
-                elif op == RELEASE:
-                    owner, expires = None, None
-                counter += op != READ
-            verdict = (ok, *before, owner, expires, checkpoint, counter)
-            for column, value in zip(out, verdict, strict=True):
-                column.append(value)
+        data = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in _COMMAND}
+        starts = [batch.column(c).to_pylist() for c in _LEASE]
+        op, who, now, ttl = (data[c] for c in ("op", "owner", "t_ms", "ttl_ms"))
+        rows = np.arange(batch.num_rows)
+        shard = [data[c] for c in SHARD_KEYS]
+        begins = np.ones(len(rows), bool)
+        begins[1:] = np.any([c[1:] != c[:-1] for c in shard], axis=0)
+        begins[0] = tuple(c[0] for c in shard) != (last and last[0])
+        changes = np.isin(op, [*_MUTATING, STATE])
+
+        # Rows with a state of their own: (owner, expiry) before and after.
+        stops = np.flatnonzero(begins | changes | (rows == 0))
+        before, after = np.empty((2, len(stops)), object), np.empty((2, len(stops)), object)
+        ok = np.ones(len(rows), bool)
+        owner, expires = last[1:3] if last else (None, None)
+        for at, row in enumerate(stops):
+            if begins[row]:
+                owner, expires = starts[0][row], starts[1][row]
+            before[:, at] = owner, expires
+            kind, caller, t = op[row], who[row], int(now[row])
+            if kind == STATE:
+                owner, expires = caller, starts[1][row]
+            elif kind in _MUTATING:
+                if kind == ACQUIRE:
+                    alive = expires is not None and (expires >= t if strict else expires > t)
+                    ok[row] = owner is None or owner == caller or not alive
+                else:
+                    ok[row] = owner is not None and owner == caller
+                if ok[row]:
+                    owner, expires = (None, None) if kind == RELEASE else (caller, t + int(ttl[row]))
+            after[:, at] = owner, expires
+
+        stop = np.searchsorted(stops, rows, side="right") - 1
+        own = stops[stop] == rows
+        owner_after, expires_after = after[0][stop], after[1][stop]
+        owner_before = np.where(own, before[0][stop], owner_after)
+        expires_before = np.where(own, before[1][stop], expires_after)
+        writes = op == CHECKPOINT
+        ok[writes] = (owner_after[writes] == who[writes]) & np.array([o is not None for o in owner_after[writes]], bool)
+
+        # Counter and checkpoint run on from the first row of the shard.
+        first = np.maximum.accumulate(np.where(begins, rows, -1))
+        counted = np.cumsum(ok & ~np.isin(op, [READ, STATE]))
+        base = np.array([c or 0 for c in starts[3]], np.int64) - np.append(0, counted[:-1])
+        onward = last[4] if last else 0
+        counter = counted + np.where(first >= 0, base[first], onward)
+        source = np.where((ok & writes) | (op == STATE), rows, -1)
+        source = np.maximum.accumulate(source)
+        given = np.where(source >= first, data["sequence"][source], None)
+        begun = np.array(starts[2], object)[first]
+        begun = np.where(first >= 0, begun, last[3] if last else None)
+        checkpoint = np.where((source >= 0) & (source >= first), given, begun)
+        last = (tuple(c[-1] for c in shard), owner_after[-1], expires_after[-1], checkpoint[-1], counter[-1])
+
+        columns = [ok, owner_before, expires_before, owner_after, expires_after, checkpoint, counter]
         kinds = [pa.bool_(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-        passed = [n for n in batch.schema.names if n not in _LEASE]
+        passed = [*_COMMAND, "_block"]
         arrays = [batch.column(n) for n in passed]
-        arrays += [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
+        arrays += [pa.array(c, k, from_pandas=True) for c, k in zip(columns, kinds, strict=True)]
         yield pa.RecordBatch.from_arrays(arrays, names=[*passed, *_VERDICT_COLUMNS])
 
 
@@ -249,83 +286,95 @@ def replay_ledger(
     ``checkpoint`` and ``release`` need the caller to be the holder, expired or not; ``read``
     always succeeds. ``strict_expiry`` is the dialect in which a lease can be taken over only
     after its expiry instant, not at it. ``state`` (``schema.LEASE_STATE``) is the lease of
-    each shard before the first command. The ledger is cut into blocks; what a block does to any lease it
-    could start from is summed up, and only the summaries are chained.
+    each shard before the first command; it goes into the ledger as a row before the others.
     """
     ttl = F.coalesce("ttl_ms", F.lit(0)).cast("long").alias("ttl_ms")
     ledger = commands.select(*[ttl if c == "ttl_ms" else c for c in _COMMAND])
-    starts = None if state is None else written(state, "leases")
-
+    ledger = ledger.withColumns({"_expires": F.lit(None).cast("long"), "_counter": F.lit(None).cast("long")})
+    if state is not None:
+        none = F.lit(None).cast("long")
+        ledger = ledger.unionByName(
+            state.select(
+                *SHARD_KEYS, none.alias("n"), F.lit(0).cast("long").alias("t_ms"), "owner",
+                F.lit(STATE).alias("op"), F.lit(0).cast("long").alias("ttl_ms"),
+                F.col("checkpoint").alias("sequence"), F.col("expires_ms").alias("_expires"),
+                F.col("counter").alias("_counter"),
+            )
+        )
     stored = in_blocks(ledger, SHARD_KEYS, ["n"], blocks)
-    latest = written(_last_expiries(_starting(stored, starts)), "expiries")
-    summaries = _in_order(
-        stored.join(latest, _BLOCK_KEYS), _BLOCK_KEYS, [F.col("n").desc()],
-        partial(_summarise, strict=strict_expiry), _SUMMARY_DDL,
-    )
-    chained = _in_order(
-        _starting(summaries, starts), SHARD_KEYS, [F.col("_block"), F.col("at")],
-        partial(_chain, strict=strict_expiry), _START_DDL,
-    )
-    entered = written(chained, "starts").withColumns(
-        {"checkpoint": F.lit(None).cast("string"), "counter": F.lit(0).cast("long")}
-    )
-    verdicts = _in_order(
-        _starting(stored, entered, _BLOCK_KEYS), _BLOCK_KEYS, [F.col("n")],
-        partial(_replay, keys=_BLOCK_KEYS, strict=strict_expiry),
-        _COMMAND_DDL + ", _block int" + _VERDICT_DDL,
-    )
-    return _carry_totals(written(verdicts, "verdicts"), starts)
+    starts = written(_starts(stored, strict_expiry), "starts")
+    return _verdicts(stored, starts, strict_expiry).where(F.col("op") != STATE).drop("_block")
+
 
+def _verdicts(stored: DataFrame, starts: DataFrame, strict: bool) -> DataFrame:
+    """Replays blocks where they lie. ``starts`` has one row per block and shard that began in
+    an earlier block, at most one of a block, and so may be broadcast."""
+    renamed = starts.select(*_BLOCK_KEYS, F.struct("owner", "expires_ms", "checkpoint", "counter").alias("_start"))
+    renamed, condition = match(renamed, _BLOCK_KEYS)
+    entered = stored.join(F.broadcast(renamed), condition, "left")
+    is_state = F.col("op") == STATE
+    lease = {
+        "_owner": F.col("_start.owner"),
+        "_expires": F.when(is_state, F.col("_expires")).otherwise(F.col("_start.expires_ms")),
+        "_checkpoint": F.col("_start.checkpoint"),
+        "_counter": F.when(is_state, F.col("_counter")).otherwise(F.col("_start.counter")),
+    }
+    rows = entered.select("_slot", "_block", *_COMMAND, *[v.alias(k) for k, v in lease.items()])
 
-def _starting(table: DataFrame, starts: DataFrame | None, keys: list[str] = SHARD_KEYS) -> DataFrame:
-    """Adds the lease each key starts from; a key without one starts free."""
-    names = dict(zip(("owner", "expires_ms", "checkpoint", "counter"), _LEASE, strict=True))
-    if starts is None:
-        kinds = {"_owner": "string", "_expires": "long", "_checkpoint": "string"}
-        added = {name: F.lit(None).cast(kind) for name, kind in kinds.items()}
-        return table.withColumns({**added, "_counter": F.lit(0).cast("long")})
-    lease = starts.select(*keys, *[F.col(c).alias(n) for c, n in names.items()])
-    joined = table.join(lease, keys, "left").select(*table.columns, *_LEASE)
-    return joined.withColumn("_counter", F.coalesce("_counter", F.lit(0).cast("long")))
+    def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _replay(batches, strict)
+
+    ordered = rows.sortWithinPartitions("_slot", *SHARD_KEYS, "n")
+    return ordered.groupBy("_slot").applyInArrow(replay, _COMMAND_DDL + ", _block int" + _VERDICT_DDL)
 
 
 def _before_block():
     return Window.partitionBy(*SHARD_KEYS).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _last_expiries(stored: DataFrame) -> DataFrame:
-    """Per block, the latest expiry that any earlier command or the starting state can give."""
-    runs_to = F.col("t_ms") + F.col("ttl_ms")
-    own = stored.groupBy(*_BLOCK_KEYS).agg(
-        F.max(runs_to).alias("_own"), F.max("_expires").alias("_expires")
-    )
-    return own.select(
-        *_BLOCK_KEYS,
-        F.greatest(F.max("_own").over(_before_block()), F.col("_expires")).alias("_latest"),
+def _spanning(stored: DataFrame) -> DataFrame:
+    """Blocks of the shards that lie in several: (stream, shard_id, _block, _latest).
+
+    ``_latest`` is the last instant that a lease from before the block's commands can run to.
+    """
+    runs_to = F.coalesce("_expires", F.col("t_ms") + F.col("ttl_ms"))
+    own = stored.groupBy(*SHARD_KEYS, "_slot", "_block").agg(
+        F.max(runs_to).alias("_own"), F.max("_expires").alias("_given")
     )
+    parts = F.count(F.lit(1)).over(Window.partitionBy(*SHARD_KEYS))
+    latest = F.greatest(F.max("_own").over(_before_block()), F.col("_given")).alias("_latest")
+    return edges(own, SHARD_KEYS).select(*_BLOCK_KEYS, latest, parts.alias("_parts")).where("_parts > 1").drop("_parts")
 
 
-def _carry_totals(verdicts: DataFrame, starts: DataFrame | None) -> DataFrame:
-    """Adds what earlier blocks (and the starting state) hold to counter and checkpoint."""
-    totals = verdicts.groupBy(*_BLOCK_KEYS).agg(
+def _starts(stored: DataFrame, strict: bool) -> DataFrame:
+    """The lease that a block starts from, for every shard that began in an earlier block."""
+    spanning = written(_spanning(stored), "spanning")
+    renamed, condition = match(spanning, _BLOCK_KEYS)
+    rows = stored.join(F.broadcast(renamed), condition).select(*stored.columns, "_latest")
+    summaries = _in_order(
+        rows, _BLOCK_KEYS, [F.col("n").desc_nulls_last()], partial(_summarise, strict=strict), _SUMMARY_DDL
+    )
+    given = rows.where(F.col("op") == STATE).select(*SHARD_KEYS, F.col("owner").alias("_owner"), "_expires")
+    chained = written(
+        _in_order(
+            summaries.join(given, SHARD_KEYS, "left"), SHARD_KEYS, [F.col("_block"), F.col("at")],
+            partial(_chain, strict=strict), _START_DDL,
+        ),
+        "chained",
+    )
+    bare = chained.withColumns({"checkpoint": F.lit(None).cast("string"), "counter": F.lit(None).cast("long")})
+    totals = _verdicts(rows.drop("_latest"), bare, strict).groupBy(*_BLOCK_KEYS).agg(
         F.max("counter_after").alias("_count"),
-        F.max_by("checkpoint_after", "n").alias("_point"),
+        F.max_by("checkpoint_after", F.struct("n")).alias("_point"),
     )
     before = _before_block()
-    carried = _starting(totals, starts).select(
+    carried = totals.select(
         *_BLOCK_KEYS,
-        (F.coalesce(F.sum("_count").over(before), F.lit(0)) + F.col("_counter")).alias("_carried"),
-        F.coalesce(F.last("_point", ignorenulls=True).over(before), F.col("_checkpoint")).alias(
-            "_point_before"
-        ),
-    )
-    renamed, condition = match(written(carried, "carry"), _BLOCK_KEYS)
-    return (
-        verdicts.join(renamed, condition)
-        .withColumn("counter_after", F.col("counter_after") + F.col("_carried"))
-        .withColumn("checkpoint_after", F.coalesce("checkpoint_after", "_point_before"))
-        .select(*[c for c in verdicts.columns if c != "_block"])
+        F.sum("_count").over(before).alias("counter"),
+        F.last("_point", ignorenulls=True).over(before).alias("checkpoint"),
+        F.count(F.lit(1)).over(before).alias("_others"),
     )
+    return carried.where("_others > 0").drop("_others").join(chained, _BLOCK_KEYS)
 
 
 def lease_snapshot(verdicts: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.plans.scratch import new_folder
@@ -117,7 +117,9 @@ def _run(df: DataFrame, partition: Sequence[str], order: Sequence[str], scans: d
 def in_blocks(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], blocks: int | None = None
 ) -> DataFrame:
-    """Writes ``df`` range partitioned on (key, order), numbered by ``_block`` and bucketed by it.
+    """Writes ``df`` range partitioned on (key, order), numbered by ``_block``.
+
+    Blocks are buckets of the table, told by ``_slot``.
 
     A key's rows lie in consecutive blocks of about the same size. The numbering is part of
     the written table, so every later reader sees the same blocks. There are as many as
@@ -126,15 +128,30 @@ def in_blocks(
     spark = df.sparkSession
     parts = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(parts, *keys, *order).withColumn("_block", F.spark_partition_id())
+    slots = F.lit(_slots(spark, parts))
+    placed = ranged.withColumn("_slot", F.get(slots, F.col("_block") % parts))
     name = f"tidelog_{uuid.uuid4().hex}"
-    writer = ranged.write.format("parquet").option("path", new_folder(spark, "blocks"))
-    writer.bucketBy(parts, "_block").saveAsTable(name)
+    writer = placed.write.format("parquet").option("path", new_folder(spark, "blocks"))
+    writer.bucketBy(parts, "_slot").saveAsTable(name)
     stored = spark.table(name)
     # The frame knows its files and buckets; the catalogue need not keep the name.
     spark.sql(f"DROP TABLE {name}")
     return stored
 
 
+_SLOTS: dict[int, list[int]] = {}
+
+
+def _slots(spark: SparkSession, parts: int) -> list[int]:
+    """One number per bucket that hashes into it, so that every block has a bucket to itself."""
+    if parts not in _SLOTS:
+        bucket = F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts)).alias("bucket")
+        numbers = spark.range(parts * (20 + parts.bit_length())).select(F.col("id").cast("int").alias("id"), bucket)
+        found = dict(numbers.groupBy("bucket").agg(F.min("id")).collect())
+        _SLOTS[parts] = [found.get(bucket, bucket) for bucket in range(parts)]
+    return _SLOTS[parts]
+
+
 def match(table: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
     """``table`` with its keys renamed, and the null-safe condition that joins on them."""
     condition = F.lit(True)
@@ -143,11 +160,11 @@ def match(table: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
     return table.withColumnsRenamed({key: f"_c_{key}" for key in keys}), condition
 
 
-def _edges(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+def edges(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The totals of the first and the last key of each block: no other key spans two."""
     if not keys:
         return totals
-    key, block = F.struct(*keys), Window.partitionBy("_block")
+    key, block = F.struct(*keys), Window.partitionBy("_slot", "_block")
     bounded = totals.select("*", F.min(key).over(block).alias("_low"), F.max(key).over(block).alias("_high"))
     return bounded.where(key.eqNullSafe(F.col("_low")) | key.eqNullSafe(F.col("_high"))).drop("_low", "_high")
 
@@ -155,10 +172,10 @@ def _edges(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
 def _run_blocked(
     stored: DataFrame, keys: list[str], order: Sequence[str], scans: dict[str, Scan]
 ) -> DataFrame:
-    local = _run(stored, [*keys, "_block"], order, scans)
+    local = _run(stored, [*keys, "_slot", "_block"], order, scans)
 
     position = F.struct(*[F.col(c) for c in order])
-    totals = stored.groupBy(*keys, "_block").agg(
+    totals = stored.groupBy(*keys, "_slot", "_block").agg(
         *[_block_total(scan, f"_in_{name}", position).alias(f"_total_{name}") for name, scan in scans.items()]
     )
     carried, others = [], F.lit(0)
@@ -174,7 +191,7 @@ def _run_blocked(
             value = F.last(total, ignorenulls=True).over(before)
         carried.append(value.alias(f"_carry_{name}"))
         others = others + F.count(F.lit(1)).over(before)
-    carry = _edges(totals, keys).select(*keys, "_block", *carried, others.alias("_others"))
+    carry = edges(totals, keys).select(*keys, "_block", *carried, others.alias("_others"))
     renamed, condition = match(carry.where("_others > 0").drop("_others"), [*keys, "_block"])
     # At most one key of a block goes on from an earlier block, and one into a later.
     joined = local.join(F.broadcast(renamed), condition, "left")
