@@ -11,7 +11,8 @@ from tidelog.functions.errors import LogError
 from tidelog.operators.records import with_items
 from tidelog.schema import SEQUENCE_HEADER
 from tidelog.sources import log
-from tidelog.sources.descriptor import LogStream, subscribe
+from tidelog.sources.descriptor import LogStream
+from tidelog.sources.reader import subscribe, subscribe_all
 from tidelog.streaming import consume, run
 
 
@@ -24,24 +25,27 @@ def records(spark, *rows):
     return table.withColumn("arrival_ts", F.timestamp_seconds("sec")).drop("sec")
 
 
-class Reader:
-    """One query with its own state; each call reads what is new."""
+class Polls:
+    """A reader opened anew for every poll; each call reads what is new."""
 
     def __init__(self, spark, path, described, folder):
-        self.spark, self.path, self.described = spark, path, described
-        self.out, self.state = str(folder / "out"), str(folder / "state")
+        self.spark, self.path, self.described, self.state = spark, path, described, str(folder / "state")
 
     def __call__(self):
-        stream = subscribe(self.spark, self.path, self.described)
-        before = self._rows()
-        run.run_once(run.to_parquet(stream, self.out), self.state, timeout=120)
-        return sorted(self._rows() - before)
+        found = []
 
-    def _rows(self):
-        if not glob.glob(f"{self.out}/*.parquet"):
-            return set()
-        table = self.spark.read.parquet(self.out)
-        return {(r.shard_id, int(r.sequence_number)) for r in table.collect()}
+        def keep(rows, number):
+            found.extend((r.shard_id, int(r.sequence_number)) for r in rows.collect())
+
+        subscribe(self.spark, self.path, self.described, self.state).run(keep, polls=1)
+        return sorted(found)
+
+
+def collected(reader):
+    """Every row of every poll, and how many polls there were."""
+    rows = []
+    polls = reader.run(lambda batch, number: rows.extend(batch.collect()))
+    return rows, polls
 
 
 @pytest.fixture
@@ -78,7 +82,7 @@ ALL_B = [("b", 5), ("b", 7)]
     ],
 )
 def test_positions_then_restart(spark, path, tmp_path, where, wanted):
-    reader = Reader(spark, path, LogStream("s", batch=2).start_at(**where), tmp_path)
+    reader = Polls(spark, path, LogStream("s", batch=2).start_at(**where), tmp_path)
     assert reader() == sorted(wanted)
     log.append_log(records(spark, ("a", 101, 50), ("c", 1, 50)), path, 2)
     late = [("a", 101), ("c", 1)] if where.get("ts_ms", 0) < 50_000 else []
@@ -92,21 +96,54 @@ def test_resume_from_stored_checkpoints(spark, path, tmp_path):
         [("s", "a", "10"), ("s", "b", "SHARD_END"), ("t", "a", "1")],
         "stream string, shard_id string, checkpoint string",
     ).write.parquet(points)
-    reader = Reader(spark, path, LogStream("s", checkpoints=points), tmp_path)
+    reader = Polls(spark, path, LogStream("s", checkpoints=points), tmp_path)
     assert reader() == [("a", 11), ("a", 12), ("a", 100)]
 
 
-def test_index_counts_every_record(spark, path):
-    stream = subscribe(spark, path, LogStream("s").start_at(P.HORIZON))
-    stream.writeStream.format("memory").queryName("counted").trigger(availableNow=True).start().awaitTermination(60)
-    rows = spark.table("counted").collect()
+def test_index_counts_every_record(spark, path, tmp_path):
+    rows, _ = collected(subscribe(spark, path, LogStream("s").start_at(P.HORIZON), str(tmp_path / "state")))
     assert sorted((r.shard_id, r.idx, r.sequence_number) for r in rows if r.shard_id == "a") == [
         ("a", 0, "9"), ("a", 1, "10"), ("a", 2, "11"), ("a", 3, "12"), ("a", 4, "100"),
     ]
 
 
+def test_a_failed_poll_is_handled_again(spark, path, tmp_path):
+    """With the same records and number, whatever was appended meanwhile."""
+    state = str(tmp_path / "state")
+
+    def fail(rows, number):
+        raise RuntimeError(f"poll {number}")
+
+    with pytest.raises(RuntimeError, match="poll 0"):
+        subscribe(spark, path, LogStream("s").start_at(P.HORIZON), state).run(fail)
+    log.append_log(records(spark, ("a", 101, 50)), path, 2)
+    told = []
+    reader = subscribe(spark, path, LogStream("s").start_at(P.HORIZON), state)
+    reader.run(lambda rows, number: told.append((number, sorted(int(r.sequence_number) for r in rows.collect()))))
+    assert told == [(0, [5, 7, 9, 10, 11, 12, 100]), (1, [101])]
+
+
+def test_a_lookup_opens_one_file_of_a_shard(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for segment in range(6):
+        rows = [(shard, 10 * segment + n, 10 * segment + n) for shard in "ab" for n in range(1, 10)]
+        log.append_log(records(spark, *rows), path, segment)
+    reader = subscribe(spark, path, LogStream("s").start_at(P.TIMESTAMP, ts_ms=35_000), str(tmp_path / "state"))
+    opened, rows_of = [], reader._rows
+
+    def watched(selected):
+        opened.append(selected.count())
+        return rows_of(selected)
+
+    reader._rows = watched
+    rows, polls = collected(reader)
+    assert sorted(int(r.sequence_number) for r in rows) == sorted(2 * [n for n in range(35, 60) if n % 10])
+    # One file per shard for the lookup, then the files from there on.
+    assert opened[:2] == [2, 6] and polls == 1
+
+
 def test_a_bounded_reader_reaches_the_end_across_restarts(spark, path, tmp_path):
-    reader = Reader(spark, path, LogStream("s", max_records=2).start_at(P.HORIZON), tmp_path)
+    reader = Polls(spark, path, LogStream("s", max_records=2).start_at(P.HORIZON), tmp_path)
     assert reader() == [("a", 9), ("a", 10), ("b", 5), ("b", 7)]
     assert reader() == [("a", 11), ("a", 12)]
     assert reader() == [("a", 100)]
@@ -121,7 +158,7 @@ def test_children_wait_for_their_parents(spark, tmp_path):
         [("s", "p", None, None, "3"), ("s", "c", "p", None, None), ("s", "d", "gone", None, None)], columns
     ).write.parquet(shards)
     described = LogStream("s", shards=shards, max_records=2).start_at(P.HORIZON)
-    reader = Reader(spark, path, described, tmp_path)
+    reader = Polls(spark, path, described, tmp_path)
     assert reader() == [("d", 1), ("p", 1), ("p", 2)]
     assert reader() == [("p", 3)]
     assert reader() == [("c", 1)]
@@ -131,11 +168,9 @@ def test_a_trimmed_file_is_an_error_item(spark, path, tmp_path):
     gone = glob.glob(f"{path}/data/segment=0/attempt=*/stream=s/shard_id=b/*.parquet")
     for file in gone:
         os.remove(file)
-    stream = consume.items(subscribe(spark, path, LogStream("s").start_at(P.HORIZON)))
-    stream.select("shard_id", "sequence_number", "error").writeStream.format("memory").queryName(
-        "trimmed"
-    ).trigger(availableNow=True).start().awaitTermination(60)
-    rows = spark.table("trimmed").filter("shard_id = 'b'").collect()
+    reader = subscribe(spark, path, LogStream("s").start_at(P.HORIZON), str(tmp_path / "state"))
+    rows = []
+    reader.run(lambda batch, number: rows.extend(consume.items(batch).where("shard_id = 'b'").collect()))
     assert sorted((r.sequence_number or "", r.error) for r in rows) == [("", "Read"), ("7", None)]
 
 
@@ -156,7 +191,7 @@ def test_a_repeated_append_changes_nothing(spark, path, tmp_path):
     assert log.read_log(spark, path).count() == 8
     with pytest.raises(LogError):
         log.append_log(records(spark, ("a", 1, 1)), path, 2)
-    read = Reader(spark, path, LogStream("s").start_at(P.HORIZON), tmp_path)
+    read = Polls(spark, path, LogStream("s").start_at(P.HORIZON), tmp_path)
     assert len(read()) == 8
 
 
@@ -167,7 +202,7 @@ def test_a_repeated_append_changes_nothing(spark, path, tmp_path):
 def test_a_position_past_the_end_stays_open(spark, tmp_path, where):
     path = str(tmp_path / "log")
     log.append_log(records(spark, ("a", 1, 1)), path, 0)
-    read = Reader(spark, path, LogStream("s").start_at(where.pop("kind"), **where), tmp_path)
+    read = Polls(spark, path, LogStream("s").start_at(where.pop("kind"), **where), tmp_path)
     assert read() == []
     for segment, first in enumerate((20, 22, 29, 40), start=1):
         log.append_log(records(spark, ("a", first, first), ("a", first + 1, first + 1)), path, segment)
@@ -175,13 +210,30 @@ def test_a_position_past_the_end_stays_open(spark, tmp_path, where):
         assert found == {20: [], 22: [], 29: [("a", 30)], 40: [("a", 40), ("a", 41)]}[first]
 
 
-def test_capped_runs_go_on_until_the_offsets_stand(spark, tmp_path):
+def test_capped_polls_go_on_until_nothing_is_new(spark, tmp_path):
     path = str(tmp_path / "log")
     log.append_log(records(spark, *[("a", n, n) for n in range(1, 11)]), path, 0)
-    out, state = str(tmp_path / "out"), str(tmp_path / "state")
     described = LogStream("s", max_records=2).start_at(P.SEQUENCE, shard_id="a", sequence="7")
-    run.run_until_idle(lambda: run.to_parquet(subscribe(spark, path, described), out), state)
-    assert sorted(int(r.sequence_number) for r in spark.read.parquet(out).collect()) == [7, 8, 9, 10]
+    rows, polls = collected(subscribe(spark, path, described, str(tmp_path / "state")))
+    assert sorted(int(r.sequence_number) for r in rows) == [7, 8, 9, 10] and polls == 2
+
+
+def test_several_streams_in_one_reader(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for segment, stream in enumerate(["s", "t"]):
+        rows = records(spark, *[("a", n, n) for n in range(1, 4)]).withColumn("stream", F.lit(stream))
+        log.append_log(rows, path, segment)
+    both = [LogStream("s").start_at(P.HORIZON), LogStream("t").start_at(P.SEQUENCE, shard_id="a", sequence="2")]
+    rows, _ = collected(subscribe_all(spark, path, both, str(tmp_path / "state")))
+    assert sorted((r.stream, r.idx) for r in rows) == [("s", 0), ("s", 1), ("s", 2), ("t", 1), ("t", 2)]
+
+
+def test_a_log_that_is_not_there_yet(spark, tmp_path):
+    reader = subscribe(spark, str(tmp_path / "log"), LogStream("s").start_at(P.HORIZON), str(tmp_path / "state"))
+    assert collected(reader) == ([], 0)
+    log.append_log(records(spark, ("a", 1, 1)), str(tmp_path / "log"), 0)
+    rows, polls = collected(reader)
+    assert (len(rows), polls) == (1, 1)
 
 
 @pytest.mark.parametrize(
@@ -198,7 +250,7 @@ def test_capped_runs_go_on_until_the_offsets_stand(spark, tmp_path):
 )
 def test_bad_descriptors_are_rejected_before_any_input(spark, described):
     with pytest.raises(LogError):
-        subscribe(spark, "/nowhere", described)
+        subscribe(spark, "/nowhere", described, "/nowhere")
 
 
 def test_publish_needs_a_shard(spark):
@@ -232,7 +284,7 @@ def test_names_that_need_escaping_in_paths(spark, tmp_path):
     rows = records(spark, ("0001", 1, 1), ("shard=x", 2, 1)).withColumn("stream", F.lit(name))
     log.append_log(rows, path, 0)
     assert sorted(r.shard_id for r in log.read_log(spark, path, name).collect()) == ["0001", "shard=x"]
-    reader = Reader(spark, path, LogStream(name).start_at(P.HORIZON), tmp_path)
+    reader = Polls(spark, path, LogStream(name).start_at(P.HORIZON), tmp_path)
     assert reader() == [("0001", 1), ("shard=x", 2)]
 
 

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
-
 from tidelog.functions import positions as P
 from tidelog.functions.errors import LogError
 from tidelog.schema import DEFAULT_BATCH, MAX_BATCH
@@ -17,8 +15,8 @@ RESUME = "resume"
 class LogStream:
     """A named stream of a log, and how it is read.
 
-    ``batch`` is the number of records per read call. ``max_records`` bounds what one
-    micro-batch takes from a shard. ``checkpoints`` and ``shards`` are paths of parquet
+    ``batch`` is the number of records per read call; Spark sizes its reads itself, and the
+    number is checked only. ``max_records`` bounds what one poll takes from a shard. ``checkpoints`` and ``shards`` are paths of parquet
     tables: stored checkpoints to resume from, and shard lineage that holds children back
     until their parents are read. Without a position every shard resumes from its checkpoint,
     and a shard without one starts at the tip.
@@ -40,9 +38,9 @@ class LogStream:
 
     def validate(self) -> LogStream:
         if not self.stream:
-            raise LogError("stream must be non-empty")
+            raise LogError("a stream needs a name")
         if not 1 <= self.batch <= MAX_BATCH:
-            raise LogError(f"batch must be within 1..={MAX_BATCH} (the read cap)")
+            raise LogError(f"a read call takes from 1 to {MAX_BATCH} records")
         if self.max_records is not None and self.max_records < 1:
             raise LogError("max_records must be at least 1")
         if self.kind not in (RESUME, *P.STREAM_WIDE, P.SEQUENCE):
@@ -52,57 +50,3 @@ class LogStream:
         if self.kind == P.SEQUENCE and not (self.shard_id and self.sequence):
             raise LogError("a sequence position needs a shard and a sequence number")
         return self
-
-    def options(self) -> dict[str, str]:
-        values = {
-            "stream": self.stream,
-            "batch": self.batch,
-            "maxRecords": self.max_records,
-            "checkpoints": self.checkpoints,
-            "shards": self.shards,
-            "position": self.kind,
-            "timestampMs": self.ts_ms,
-            "shardId": self.shard_id,
-            "sequence": self.sequence,
-        }
-        return {k: str(v) for k, v in values.items() if v is not None}
-
-    @classmethod
-    def from_options(cls, options) -> LogStream:
-        def whole(name):
-            value = options.get(name)
-            try:
-                return None if value is None else int(value)
-            except ValueError:
-                raise LogError(f"{name} must be a whole number") from None
-
-        batch = whole("batch")
-        return cls(
-            stream=options.get("stream", ""),
-            batch=DEFAULT_BATCH if batch is None else batch,
-            max_records=whole("maxRecords"),
-            checkpoints=options.get("checkpoints"),
-            shards=options.get("shards"),
-            kind=options.get("position", RESUME),
-            ts_ms=whole("timestampMs"),
-            shard_id=options.get("shardId"),
-            sequence=options.get("sequence"),
-        ).validate()
-
-
-def subscribe(spark: SparkSession, path: str, source: LogStream | str) -> DataFrame:
-    """A streaming table over one stream of the log at ``path``, by descriptor or bare name."""
-    from tidelog.sources.shard_log import ShardLog
-
-    described = (LogStream(source) if isinstance(source, str) else source).validate()
-    spark.dataSource.register(ShardLog)
-    reader = spark.readStream.format(ShardLog.name()).options(**described.options())
-    return reader.option("path", path).load()
-
-
-def subscribe_all(spark: SparkSession, path: str, sources: list[LogStream | str]) -> DataFrame:
-    """One streaming table over several streams, told apart by the ``stream`` column."""
-    first, *rest = [subscribe(spark, path, s) for s in sources]
-    for other in rest:
-        first = first.unionByName(other)
-    return first

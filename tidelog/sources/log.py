@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,6 +140,13 @@ def log_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(INDEX_SCHEMA).parquet(f"{path}/index")
 
 
+def log_files(spark: SparkSession, path: str) -> DataFrame:
+    """The index with ``start``, the arrival index of a file's first record on its shard."""
+    before = Window.partitionBy(*SHARD_KEYS).orderBy("segment", "first_key")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    return log_index(spark, path).withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+
+
 def read_log(spark: SparkSession, path: str, stream: str | None = None) -> DataFrame:
     """Records of the log as a table; streams and shards prune folders, ``seq_key`` row groups."""
     names = ["segment", "attempt"]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidelog.operators.records import with_items
+from tidelog.plans.scratch import written
 from tidelog.sources.log import publish
 
 
@@ -36,23 +37,33 @@ def publish_stream(
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            publish(
-                batch, path, first_segment + batch_id,
-                order=order, writer=writer, row_id=row_id, shards=shards,
-            )
+        kept = written(batch, "messages")
+        publish(kept, path, first_segment + batch_id, order=order, writer=writer, row_id=row_id, shards=shards)
 
     return messages.writeStream.foreachBatch(append)
 
 
 def reply(
-    records: DataFrame, handler: Callable[[DataFrame], DataFrame], to: str, path: str, **how
-) -> DataStreamWriter:
-    """Publishes what a handler makes of the deliveries to another stream.
+    handler: Callable[[DataFrame], DataFrame],
+    to: str,
+    path: str,
+    *,
+    order: list[str],
+    writer: str,
+    row_id: Column,
+    shards: int = 1,
+    first_segment: int = 0,
+) -> Callable[[DataFrame, int], None]:
+    """What a reader does to publish what ``handler`` makes of the deliveries to another stream.
 
     ``handler`` is any DataFrame transformation that returns ``headers`` and ``payload``. The
-    partition key is kept unless the handler sets another one.
+    partition key is kept unless the handler sets another one. Answers are evaluated once, and
+    a poll that is repeated publishes the same segment, which changes nothing.
     """
-    deliveries = items(records).filter(F.col("error").isNull())
-    answers = handler(deliveries).withColumn("stream", F.lit(to))
-    return publish_stream(answers, path, **how)
+
+    def answer(records: DataFrame, number: int) -> None:
+        deliveries = items(records).filter(F.col("error").isNull())
+        answers = written(handler(deliveries).withColumn("stream", F.lit(to)), "answers")
+        publish(answers, path, first_segment + number, order=order, writer=writer, row_id=row_id, shards=shards)
+
+    return answer

@@ -99,6 +99,11 @@ class Snapshot:
         for old in versions[:start]:
             files.delete(path(self._location(*old)), True)
 
+    def last_batch(self) -> int | None:
+        """The batch that wrote last; None before the first."""
+        versions = self._versions()
+        return versions[-1][3] if versions else None
+
     def current(self) -> DataFrame:
         """The table after the last batch."""
         return self._rows(self._versions())

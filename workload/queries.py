@@ -15,7 +15,8 @@ from tidelog.operators import leases, lineage, records, replay, routing, seek, s
 from tidelog.plans.scratch import new_folder, written
 from tidelog.schema import SHARD_KEYS
 from tidelog.sources import log
-from tidelog.sources.descriptor import LogStream, subscribe, subscribe_all
+from tidelog.sources.descriptor import LogStream
+from tidelog.sources.reader import Reader, subscribe, subscribe_all
 from tidelog.streaming import consume, lease_state, ledger, run, seek_gate, tracker
 from workload import tables as W
 
@@ -58,12 +59,11 @@ def build_log(rows: DataFrame, parts: int = 2) -> str:
     return path
 
 
-def drain(stream: DataFrame) -> DataFrame:
-    """Runs a stream to the end of what there is and returns the table it wrote."""
-    spark = stream.sparkSession
-    out, state = new_folder(spark, "out"), new_folder(spark, "state")
-    run.run_once(run.to_parquet(stream, out), state)
-    return spark.read.schema(stream.schema).parquet(out)
+def read_all(reader: Reader, make=lambda rows: rows) -> DataFrame:
+    """Polls a reader to the end of what there is and returns the table it wrote."""
+    out = new_folder(reader.spark, "out")
+    reader.run(reader.to_parquet(out, make))
+    return reader.spark.read.parquet(out).drop("poll")
 
 
 @query
@@ -74,9 +74,9 @@ def a1_open_stream(spark, sf):
     described = LogStream("events", batch=500).start_at(P.HORIZON)
     for segment, part in enumerate(halves(rows)):
         log.append_log(part, path, segment)
-        stream = subscribe(spark, path, described)
-        run.run_once(run.to_parquet(stream, out), state)
-    read = spark.read.schema(stream.schema).parquet(out)
+        reader = subscribe(spark, path, described, state)
+        reader.run(reader.to_parquet(out))
+    read = spark.read.parquet(out)
     return read.select(*SHARD_KEYS, "idx", "sequence_number", "partition_key", hex_of("data", "data_hex"))
 
 
@@ -86,9 +86,9 @@ def a2_open_by_name(spark, sf):
     path, out, state = (new_folder(spark, x) for x in ("log", "out", "state"))
     for segment, part in enumerate(halves(W.raw_records(spark, sf))):
         log.append_log(part, path, segment)
-        stream = subscribe(spark, path, "events")
-        run.run_once(run.to_parquet(stream, out), state)
-    return spark.read.schema(stream.schema).parquet(out).select(*SHARD_KEYS, "sequence_number")
+        reader = subscribe(spark, path, "events", state)
+        reader.run(reader.to_parquet(out))
+    return spark.read.parquet(out).select(*SHARD_KEYS, "sequence_number")
 
 
 @query
@@ -100,23 +100,16 @@ def a3_read_shard(spark, sf):
 
 @query
 def a4_read_limit(spark, sf):
-    """A bounded read per shard and micro-batch still reaches the end."""
+    """A bounded read per shard and poll still reaches the end."""
     path, out, state = (new_folder(spark, x) for x in ("log", "out", "state"))
     rows = W.raw_records(spark, sf)
     log.append_log(rows, path, 0)
     cap = max(1, rows.count() // READ_CAP)
     described = LogStream("events", batch=100, max_records=cap).start_at(P.HORIZON)
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch.select(*SHARD_KEYS, "sequence_number").write.mode("overwrite").parquet(
-            f"{out}/batch={batch_id}"
-        )
-
-    run.run_until_idle(
-        lambda: subscribe(spark, path, described).writeStream.foreachBatch(store), state
-    )
-    per_batch = spark.read.parquet(out).groupBy(*SHARD_KEYS, "batch").count()
-    return per_batch.groupBy(*SHARD_KEYS).agg(
+    reader = subscribe(spark, path, described, state)
+    reader.run(reader.to_parquet(out, lambda rows: rows.select(*SHARD_KEYS, "sequence_number")))
+    per_poll = spark.read.parquet(out).groupBy(*SHARD_KEYS, "poll").count()
+    return per_poll.groupBy(*SHARD_KEYS).agg(
         F.sum("count").alias("records"),
         F.count(F.lit(1)).alias("batches"),
         F.max("count").alias("largest_batch"),
@@ -168,12 +161,12 @@ def a9_reply(spark, sf):
         )
         return deliveries.select("idx", reply_headers.alias("headers"), "payload")
 
-    stream = subscribe(spark, path, LogStream("events").start_at(P.HORIZON))
-    writer = consume.reply(
-        stream, handler, "replies", answers,
-        order=["idx"], writer="w2", row_id=F.col("idx"), shards=4,
+    reader = subscribe(spark, path, LogStream("events").start_at(P.HORIZON), state)
+    reader.run(
+        consume.reply(
+            handler, "replies", answers, order=["idx"], writer="w2", row_id=F.col("idx"), shards=4
+        )
     )
-    run.run_once(writer, state)
     return log.read_log(spark, answers, "replies").select(
         "stream", "partition_key", hex_of("data", "data_hex")
     )
@@ -183,9 +176,13 @@ def a9_reply(spark, sf):
 def a10_error_items(spark, sf):
     """Refused records arrive as error items between the deliveries."""
     path = build_log(W.raw_records(spark, sf), parts=1)
-    stream = consume.items(subscribe(spark, path, LogStream("events").start_at(P.HORIZON)))
-    items = stream.select(*SHARD_KEYS, "sequence_number", "error", hex_of("payload", "payload_hex"))
-    return drain(items)
+    reader = subscribe(spark, path, LogStream("events").start_at(P.HORIZON), new_folder(spark, "state"))
+    return read_all(
+        reader,
+        lambda rows: consume.items(rows).select(
+            *SHARD_KEYS, "sequence_number", "error", hex_of("payload", "payload_hex")
+        ),
+    )
 
 
 @query
@@ -193,7 +190,8 @@ def a11_multi_stream(spark, sf):
     name = F.concat(F.lit("events-"), F.element_at(F.array(*map(F.lit, "ab")), (F.col("event_id") % 2 + 1).cast("int")))
     path = build_log(W.raw_records(spark, sf).withColumn("stream", name), parts=1)
     both = [LogStream(s).start_at(P.HORIZON) for s in ("events-a", "events-b")]
-    return drain(subscribe_all(spark, path, both).select(*SHARD_KEYS, "idx", "sequence_number"))
+    reader = subscribe_all(spark, path, both, new_folder(spark, "state"))
+    return read_all(reader, lambda rows: rows.select(*SHARD_KEYS, "idx", "sequence_number"))
 
 
 # Records -------------------------------------------------------------------------------------
