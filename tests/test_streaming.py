@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidelog.operators import leases
 from tidelog.schema import SHARD_KEYS
-from tidelog.streaming import lease_state, run, seek_gate, tracker
+from tidelog.streaming import lease_state, lineage_gate, run, seek_gate, tracker
+from tidelog.streaming.marker import follow_tip
 from tidelog.streaming.snapshot import FOLD, Snapshot
 
 ROW = "stream string, shard_id string, idx long, sequence_number string, outcome string"
@@ -245,3 +246,61 @@ def test_watch_tells_tenures_and_alerts(spark, tmp_path):
     assert sorted(map(repr, told.collect())) == sorted(map(repr, gaps.collect())) and gaps.count()
     quiet = notices.where("shard_id = 'quiet'").select("kind", "at_ms").collect()
     assert sorted(map(tuple, quiet), key=repr) == [("begun", None), ("lapsed", 110), ("overdue", 75)]
+
+
+HAPPENED = "stream string, parent_id string, child string, parents int, closed boolean, checkpoint string"
+
+
+def lineage_of(spark, shards, points):
+    listed = spark.createDataFrame(
+        [("s", *row) for row in shards],
+        "stream string, shard_id string, parent_id string, adjacent_parent_id string, ending_sequence string",
+    )
+    reached = spark.createDataFrame([("s", *row) for row in points], "stream string, shard_id string, checkpoint string")
+    return [tuple(r) for r in lineage_gate.events(listed, reached).collect()]
+
+
+@pytest.mark.parametrize("from_tip", [False, True])
+def test_children_are_woken_by_their_last_parent(spark, tmp_path, from_tip):
+    tracker.use_state_store(spark)
+    steps = [
+        # c waits for a and b, d for one that is not listed; b is closed and was never read.
+        ([("a", None, None, "9"), ("b", None, None, "9"), ("c", "a", "b", None), ("d", "gone", None, None)], [("a", "4")]),
+        ([("e", "c", None, None), ("f", "a", "a", None)], [("a", "SHARD_END")]),
+        ([("g", "a", None, None)], [("b", "5")]),
+        ([], [("b", "SHARD_END"), ("c", "1")]),
+        ([], [("c", "SHARD_END"), ("c", "SHARD_END")]),
+    ]
+    out, released = str(tmp_path / "out"), []
+    for shards, points in steps:
+        batch = lineage_of(spark, shards, points)
+        increments(
+            spark, str(tmp_path), [batch], HAPPENED,
+            lambda s: run.to_parquet(lineage_gate.release(s, from_tip=from_tip), out),
+        )
+        now = sorted(r.shard_id for r in spark.read.parquet(out).collect())
+        released.append([x for x in now if x not in sum(released, [])])
+    wanted = [["a", "b", "d"], ["c", "f"], ["g"], [], ["e"]] if from_tip else [["a", "b", "d"], ["f"], ["g"], ["c"], ["e"]]
+    assert released == wanted
+    assert len(now) == len(set(now))
+
+
+def test_a_marker_skips_the_backlog_of_later_batches(spark, tmp_path):
+    schema = "stream string, at long, mark boolean, tip_at long"
+    state, out = str(tmp_path / "markers"), str(tmp_path / "out")
+    batches = [
+        [("s", 1, False, 1), ("s", 4, True, 1), ("s", 3, False, 1), ("s", 5, False, 1), ("t", 2, False, 1)],
+        [("s", 7, False, 1), ("s", 9, True, 1), ("s", 10, False, 1), ("t", 8, True, 1), ("t", 11, False, 1)],
+        [("s", 12, False, 1), ("t", 13, True, 1)],
+    ]
+    tips = spark.createDataFrame([("s", 9)], "stream string, tip_at long")
+
+    def make(stream):
+        return follow_tip(stream.drop("tip_at"), F.col("mark"), "at", lambda: tips, state, out)
+
+    increments(spark, str(tmp_path), batches, schema, make)
+    rows = spark.read.parquet(out).collect()
+    # s: marker at 4, tip 9; t: marker at 8 and no tip, so nothing lies behind it.
+    assert sorted((r.stream, r.at) for r in rows) == [
+        ("s", 1), ("s", 3), ("s", 4), ("s", 10), ("s", 12), ("t", 2), ("t", 8), ("t", 11), ("t", 13),
+    ]

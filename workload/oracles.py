@@ -497,6 +497,10 @@ ORACLES: dict[str, str] = {
         AND NOT ({_NUMBER} % 4 = 0 AND 'o' || ({_NUMBER} % 3) <> '{OWNER}'
                  AND {NOW_MS} - 5 + {_NUMBER} % 10 > {NOW_MS})
         AND {_NUMBER} % 11 <> 0""", "shards", "checkpoints", "tip_blocked"),
+    "f3_running_release": _sql(
+        """SELECT stream, shard_id FROM shards LEFT JOIN checkpoints k USING (stream, shard_id)
+        WHERE shard_id NOT IN (SELECT shard_id FROM horizon_blocked)
+        AND coalesce(k.checkpoint, '') <> 'SHARD_END'""", "shards", "checkpoints", "horizon_blocked"),
     "f4_depth": _sql("SELECT 'tree' AS stream, shard_id, depth FROM depths", "depths"),
     "f5_key_order": _sql(
         """SELECT partition_key, event_id, coalesce(depth, 0) AS depth,
@@ -536,6 +540,11 @@ ORACLES: dict[str, str] = {
         (SELECT min(event_id) FILTER (WHERE props = '{{"k": 42}}' AND event_type = 'signup') AS marker,
                 max(event_id) FILTER (WHERE arrival_ts < TIMESTAMP '{CUT}') AS tip FROM records)
         WHERE marker IS NULL OR event_id <= marker OR event_id > coalesce(tip, marker)""", "records"),
+    "g6_running_marker": _sql(
+        f"""SELECT event_id FROM records,
+        (SELECT min(event_id) FILTER (WHERE props = '{{"k": 42}}' AND event_type = 'signup') AS marker,
+                max(event_id) FILTER (WHERE arrival_ts < TIMESTAMP '{CUT}') AS tip FROM records)
+        WHERE marker IS NULL OR event_id <= marker OR event_id > coalesce(tip, marker)""", "records"),
     "h1_fan_out": _sql("SELECT * FROM fan_out", "fan_out"),
     "h2_published_log": _sql(
         """SELECT *, row_number() OVER (PARTITION BY name ORDER BY "at") - 1 AS log_position

@@ -13,11 +13,12 @@ from tidelog.functions import envelope, errors, sequence
 from tidelog.functions import positions as P
 from tidelog.operators import leases, lineage, records, replay, routing, seek, settlement
 from tidelog.plans.scratch import new_folder, written
-from tidelog.schema import SHARD_KEYS
+from tidelog.schema import SHARD_END, SHARD_KEYS
 from tidelog.sources import log
 from tidelog.sources.descriptor import LogStream
 from tidelog.sources.reader import Reader, subscribe, subscribe_all
-from tidelog.streaming import consume, lease_state, ledger, run, seek_gate, tracker
+from tidelog.streaming import consume, lease_state, ledger, lineage_gate, run, seek_gate, tracker
+from tidelog.streaming.marker import follow_tip
 from workload import tables as W
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -699,6 +700,27 @@ def f3_startable(spark, sf):
     return found.select(*SHARD_KEYS)
 
 
+@query
+def f3_running_release(spark, sf):
+    """Shards that a reader from the horizon may start in the end: they are listed generation
+    by generation, and parents are read to their end an increment after they were listed."""
+    shards, points = W.shards(spark, sf), W.checkpoints(spark, sf)
+    generation = F.col("shard_id").substr(1, 1)
+    turn = F.when(generation.isin("r", "n"), 0).when(generation == "c", 1).otherwise(2)
+    late = F.least(turn + F.when(F.col("checkpoint") == SHARD_END, 1).otherwise(0), F.lit(2))
+    parts = []
+    for i in range(3):
+        told = lineage_gate.events(shards.where(turn == i), points.where(late == i))
+        parts.append(written(told, "events"))
+    out = new_folder(spark, "out")
+    tracker.use_state_store(spark)
+    in_increments(
+        spark, parts, lambda s: run.to_parquet(lineage_gate.release(s, from_tip=False), out),
+    )
+    finished = points.where(F.col("checkpoint") == SHARD_END)
+    return spark.read.parquet(out).join(finished, SHARD_KEYS, "left_anti")
+
+
 @query
 def f4_depth(spark, sf):
     return lineage.depths(W.shards(spark, sf))
@@ -827,6 +849,21 @@ def g6_marker(spark, sf):
     return seek.skip_backlog(rows, marker, "event_id", tips).select("event_id")
 
 
+@query
+def g6_running_marker(spark, sf):
+    """The marker met by a running reader: the backlog is skipped in later micro-batches too."""
+    rows = W.records(spark, sf).select("stream", "event_id", "event_type", "props", "arrival_ts")
+    tips = rows.filter(F.col("arrival_ts") < F.lit(CUT).cast("timestamp")).groupBy("stream").agg(
+        F.max("event_id").alias("tip_at")
+    )
+    marker = (F.col("props") == '{"k": 42}') & (F.col("event_type") == "signup")
+    state, out = new_folder(spark, "markers"), new_folder(spark, "out")
+    in_increments(
+        spark, thirds(rows), lambda s: follow_tip(s, marker, "event_id", lambda: tips, state, out)
+    )
+    return spark.read.parquet(out).select("event_id")
+
+
 # Routing -------------------------------------------------------------------------------------
 
 
