@@ -228,6 +228,69 @@ def test_several_streams_in_one_reader(spark, tmp_path):
     assert sorted((r.stream, r.idx) for r in rows) == [("s", 0), ("s", 1), ("s", 2), ("t", 1), ("t", 2)]
 
 
+def files_of(path):
+    return glob.glob(f"{path}/data/**/*.parquet", recursive=True)
+
+
+def test_compaction_bounds_the_files_and_changes_no_reader(spark, tmp_path):
+    """Many small appends become few files; positions, order and numbers stay."""
+    path = str(tmp_path / "log")
+    for segment in range(8):
+        # Sequence numbers fall from one segment to the next: the order of arrival counts.
+        rows = [(shard, 100 * (9 - segment) + n, segment) for shard in "ab" for n in range(5)]
+        log.append_log(records(spark, *rows), path, segment)
+    half = subscribe(spark, path, LogStream("s", max_records=17).start_at(P.HORIZON), str(tmp_path / "half"))
+    begun = []
+    half.run(lambda rows, number: begun.extend(rows.collect()), polls=1)
+    before, _ = collected(subscribe(spark, path, LogStream("s").start_at(P.HORIZON), str(tmp_path / "one")))
+    small = len(files_of(path))
+    log.compact(spark, path, file_records=15)
+    assert sorted(map(repr, log.read_log(spark, path).collect())) and log.read_log(spark, path).count() == 80
+    after, _ = collected(subscribe(spark, path, LogStream("s").start_at(P.HORIZON), str(tmp_path / "two")))
+    assert sorted(map(repr, after)) == sorted(map(repr, before))
+    rest, _ = collected(half)
+    assert sorted(map(repr, begun + rest)) == sorted(map(repr, before))
+    assert log.drop_replaced(spark, path) > 0
+    # 80 records in files of 15, and what the ranges of the write cut.
+    assert len(files_of(path)) < small / 2
+    again, _ = collected(subscribe(spark, path, LogStream("s").start_at(P.HORIZON), str(tmp_path / "three")))
+    assert sorted(map(repr, again)) == sorted(map(repr, before))
+    log.append_log(records(spark, ("a", 1, 99)), path, 8)
+    more, _ = collected(half)
+    assert [(r.idx, r.sequence_number) for r in more] == [(40, "1")]
+    log.append_log(records(spark, ("a", 2, 99)), path, 3)
+    assert log.read_log(spark, path).count() == 81
+
+
+def test_a_failed_compaction_is_not_seen(spark, path):
+    log.compact(spark, path)
+    os.remove(f"{path}/compacted/upto=1/_SUCCESS")
+    assert log.read_log(spark, path).count() == 7
+    log.compact(spark, path)
+    assert log.read_log(spark, path).count() == 7
+
+
+def test_trimmed_shards_open_at_the_bound(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for segment in range(4):
+        log.append_log(records(spark, ("a", segment, 10 * segment), ("b", segment, segment)), path, segment)
+    behind = subscribe(spark, path, LogStream("s", max_records=1).start_at(P.HORIZON), str(tmp_path / "behind"))
+    behind.run(lambda rows, number: rows.collect(), polls=1)
+    log.compact(spark, path, before_ms=15_000)
+    log.drop_replaced(spark, path)
+    log.append_log(records(spark, ("a", 9, 90), ("b", 9, 90)), path, 4)
+    rows, _ = collected(subscribe(spark, path, LogStream("s").start_at(P.HORIZON), str(tmp_path / "new")))
+    assert sorted((r.shard_id, r.idx, r.error) for r in rows) == [("a", 2, None), ("a", 3, None), ("a", 4, None), ("b", 4, None)]
+    catalogue = {r.shard_id: r.records for r in log.shard_catalogue(spark, path).collect()}
+    assert catalogue == {"a": 3, "b": 1}
+    # A reader that was behind is told where it lost records.
+    rows, _ = collected(behind)
+    told = sorted({(r.shard_id, r.idx, r.error) for r in rows if r.shard_id == "a"})
+    assert told == [("a", 1, "Read"), ("a", 2, None), ("a", 3, None), ("a", 4, None)]
+    found, _ = collected(subscribe(spark, path, LogStream("s").start_at(P.TIMESTAMP, ts_ms=0), str(tmp_path / "time")))
+    assert sorted((r.shard_id, r.idx) for r in found) == [("a", 2), ("a", 3), ("a", 4), ("b", 4)]
+
+
 def test_a_log_that_is_not_there_yet(spark, tmp_path):
     reader = subscribe(spark, str(tmp_path / "log"), LogStream("s").start_at(P.HORIZON), str(tmp_path / "state"))
     assert collected(reader) == ([], 0)

@@ -9,7 +9,13 @@ Layout below the log folder, all of it plain parquet written by Spark:
   way is never seen and can simply be repeated under the same number. A segment that is
   indexed is done: repeating it changes nothing, and no reader loses a file.
 
-A log has one writer at a time, and its segments are appended in rising order.
+* ``compacted/upto=N/`` is an index in place of those of the segments up to N, whose small files
+  were packed into larger ones (``compact``). It counts once its success marker is there, so
+  every reader sees either the old files or the new ones. A row without a file stands for
+  records past retention: they keep their numbers, and readers open behind them.
+
+A log has one writer at a time, which also compacts it, and its segments are appended in rising
+order.
 """
 
 from __future__ import annotations
@@ -23,6 +29,7 @@ from pyspark.sql import types as T
 from tidelog.functions.errors import LogError
 from tidelog.functions.sequence import with_order_key
 from tidelog.operators.records import pack_records
+from tidelog.plans.scratch import written
 from tidelog.schema import SHARD_KEYS
 
 LOG_SCHEMA = T.StructType(
@@ -47,12 +54,16 @@ INDEX_SCHEMA = T.StructType(
         T.StructField("first_key", T.StringType()),
         T.StructField("last_key", T.StringType()),
         T.StructField("last_ts_us", T.LongType()),
+        T.StructField("start", T.LongType()),
+        T.StructField("attempt", T.StringType()),
         T.StructField("segment", T.LongType()),
     ]
 )
 
 _STORED = [f.name for f in LOG_SCHEMA.fields if f.name != "segment"]
 _ATTEMPT = T.StructField("attempt", T.StringType())
+# Records of a file that compaction writes.
+FILE_RECORDS = 1_000_000
 
 
 def shard_of(partition_key: Column, shards: int) -> Column:
@@ -73,8 +84,8 @@ def _write_segment(laid_out: DataFrame, path: str, segment: int) -> None:
     if segment < 0:
         raise LogError("a segment number is not negative")
     spark = laid_out.sparkSession
-    known = _segments(spark, path)
-    if segment in known:
+    known, upto = _segments(spark, path), _compacted(spark, path)
+    if segment in known or (upto is not None and segment < upto):
         return
     if known and segment < max(known):
         raise LogError(f"segment {segment} comes before {max(known)}, which is already in the log")
@@ -87,9 +98,15 @@ def _write_segment(laid_out: DataFrame, path: str, segment: int) -> None:
         .write.partitionBy(*SHARD_KEYS)
         .parquet(folder)
     )
+    _indexed(spark, folder, attempt).write.mode("overwrite").parquet(f"{path}/index/segment={segment}")
+
+
+def _indexed(spark: SparkSession, folder: str, attempt: str) -> DataFrame:
+    """One row per data file of an attempt; compacted files know where they start."""
     fields = [f for f in LOG_SCHEMA.fields if f.name != "segment"]
-    files = (
-        spark.read.schema(T.StructType(fields))
+    stored = T.StructType([*fields, T.StructField("idx", T.LongType())])
+    return (
+        spark.read.schema(stored)
         .parquet(folder)
         .groupBy(*SHARD_KEYS, F.col("_metadata.file_path").alias("file"))
         .agg(
@@ -97,10 +114,10 @@ def _write_segment(laid_out: DataFrame, path: str, segment: int) -> None:
             F.min("seq_key").alias("first_key"),
             F.max("seq_key").alias("last_key"),
             F.unix_micros(F.max("arrival_ts")).alias("last_ts_us"),
+            F.min("idx").alias("start"),
         )
         .withColumn("attempt", F.lit(attempt))
     )
-    files.write.mode("overwrite").parquet(f"{path}/index/segment={segment}")
 
 
 def publish(
@@ -137,27 +154,104 @@ def publish(
 
 def log_index(spark: SparkSession, path: str) -> DataFrame:
     """One row per data file of the log."""
-    return spark.read.schema(INDEX_SCHEMA).parquet(f"{path}/index")
+    return _entries(spark, path).where(F.col("file").isNotNull())
+
+
+def _entries(spark: SparkSession, path: str) -> DataFrame:
+    """The index in force, with the rows that stand for trimmed records."""
+    upto = _compacted(spark, path)
+    rows = spark.read.schema(INDEX_SCHEMA).parquet(f"{path}/index")
+    if upto is None:
+        return rows
+    packed = spark.read.schema(INDEX_SCHEMA).parquet(f"{path}/compacted/upto={upto}")
+    later = rows.where(F.col("segment") > upto)
+    return later.unionByName(packed.withColumn("segment", F.lit(upto).cast("long")))
 
 
 def log_files(spark: SparkSession, path: str) -> DataFrame:
-    """The index with ``start``, the arrival index of a file's first record on its shard."""
-    before = Window.partitionBy(*SHARD_KEYS).orderBy("segment", "first_key")
+    """The index with ``start``, the arrival index of a file's first record on its shard.
+
+    Rows without a file stand for records that were trimmed.
+    """
+    before = Window.partitionBy(*SHARD_KEYS).orderBy("segment", "start", "first_key")
     before = before.rowsBetween(Window.unboundedPreceding, -1)
-    return log_index(spark, path).withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+    return _entries(spark, path).withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0)))
 
 
 def read_log(spark: SparkSession, path: str, stream: str | None = None) -> DataFrame:
     """Records of the log as a table; streams and shards prune folders, ``seq_key`` row groups."""
     names = ["segment", "attempt"]
-    index = spark.read.schema(T.StructType([*INDEX_SCHEMA.fields, _ATTEMPT])).parquet(f"{path}/index")
-    committed = index.select(*names).distinct()
+    committed = log_index(spark, path).select(*names).distinct()
     records = spark.read.schema(T.StructType([*LOG_SCHEMA.fields, _ATTEMPT])).parquet(f"{path}/data")
     if stream is not None:
         records = records.filter(F.col("stream") == stream)
     return records.join(committed, names, "left_semi").drop(*names)
 
 
+def compact(
+    spark: SparkSession, path: str, *, file_records: int = FILE_RECORDS, before_ms: int | None = None
+) -> None:
+    """Packs the data files so far into files of ``file_records`` records, in the same order.
+
+    With ``before_ms``, files at the front of a shard that hold nothing from that time on are
+    past retention and left out. Every record keeps its arrival index. Readers go on with the
+    old files until the new index is complete, and the old ones stay until ``drop_replaced``.
+    """
+    upto = newest_segment(spark, path)
+    if upto is None or upto == _compacted(spark, path):
+        return
+    files = log_files(spark, path)
+    kept = F.col("file").isNotNull()
+    if before_ms is not None:
+        kept = kept & (F.col("last_ts_us") >= before_ms * 1000)
+    bounds = files.groupBy(*SHARD_KEYS).agg(
+        F.coalesce(F.min(F.when(kept, F.col("start"))), F.sum("rows")).alias("bound")
+    )
+    bounds = written(bounds, "bounds")
+    placed = files.where(F.col("file").isNotNull()).select("file", "start")
+    names = [f.name for f in LOG_SCHEMA.fields if f.name != "segment"]
+    records = spark.read.schema(LOG_SCHEMA).parquet(f"{path}/data").select(
+        *names, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("_row")
+    )
+    indexed = records.join(placed, "file").withColumn("idx", F.col("start") + F.col("_row"))
+    retained = indexed.join(bounds, SHARD_KEYS).where(F.col("idx") >= F.col("bound")).select(*names, "idx")
+    attempt = uuid.uuid4().hex
+    folder = f"{path}/data/segment={upto}/attempt={attempt}"
+    (
+        retained.repartitionByRange(*SHARD_KEYS, "idx")
+        .sortWithinPartitions(*SHARD_KEYS, "idx")
+        .select(*[n for n in names if n not in SHARD_KEYS], "idx", *SHARD_KEYS)
+        .write.option("maxRecordsPerFile", file_records)
+        .partitionBy(*SHARD_KEYS)
+        .parquet(folder)
+    )
+    packed = _indexed(spark, folder, attempt)
+    gone = bounds.where(F.col("bound") > 0).select(
+        *SHARD_KEYS, F.col("bound").alias("rows"), F.lit(0).cast("long").alias("start"), F.lit(attempt).alias("attempt")
+    )
+    every = packed.unionByName(gone, allowMissingColumns=True)
+    every.coalesce(1).write.mode("overwrite").parquet(f"{path}/compacted/upto={upto}")
+
+
+def drop_replaced(spark: SparkSession, path: str) -> int:
+    """Deletes the files and indexes that a compaction has replaced; returns how many folders.
+
+    A reader whose poll is under way may still hold the old names, so run this between polls.
+    """
+    upto = _compacted(spark, path)
+    if upto is None:
+        return 0
+    committed = {r.attempt for r in _entries(spark, path).select("attempt").distinct().toLocalIterator()}
+    root, files = _folder(spark, path)
+    old = files.globStatus(root(f"{path}/data/segment=*/attempt=*")) or ()
+    stale = [f.getPath() for f in old if _number(f.getPath().getParent()) <= upto]
+    stale = [p for p in stale if p.getName().partition("=")[2] not in committed]
+    for pattern, last in (("index/segment=*", upto), ("compacted/upto=*", upto - 1)):
+        found = files.globStatus(root(f"{path}/{pattern}")) or ()
+        stale += [f.getPath() for f in found if _number(f.getPath()) <= last]
+    return sum(files.delete(p, True) for p in stale)
+
+
 def read_shard(spark: SparkSession, path: str, stream: str, shard_id: str) -> DataFrame:
     """The records of one shard, in order."""
     one = read_log(spark, path, stream).filter(F.col("shard_id") == shard_id)
@@ -194,12 +288,33 @@ def shard_listing(
     return every.withColumns({c: F.coalesce(c, value) for c, value in none.items()})
 
 
-def _segments(spark: SparkSession, path: str) -> set[int]:
-    """Numbers of the indexed segments, from the names of their folders alone."""
+def _folder(spark: SparkSession, path: str):
+    """Hadoop's path constructor and the file system of ``path``."""
     context = spark.sparkContext
-    folder = context._jvm.org.apache.hadoop.fs.Path(f"{path}/index/segment=*/_SUCCESS")
-    found = folder.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(folder)
-    return {int(f.getPath().getParent().getName().partition("=")[2]) for f in found or ()}
+    root = context._jvm.org.apache.hadoop.fs.Path
+    return root, root(path).getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def _number(folder) -> int:
+    return int(folder.getName().partition("=")[2])
+
+
+def _complete(spark: SparkSession, path: str, pattern: str) -> set[int]:
+    """Numbers of the folders that have a success marker, from their names alone."""
+    root, files = _folder(spark, path)
+    found = files.globStatus(root(f"{path}/{pattern}/_SUCCESS")) or ()
+    return {_number(f.getPath().getParent()) for f in found}
+
+
+def _compacted(spark: SparkSession, path: str) -> int | None:
+    """The segment up to which the index was replaced; null if it never was."""
+    return max(_complete(spark, path, "compacted/upto=*"), default=None)
+
+
+def _segments(spark: SparkSession, path: str) -> set[int]:
+    """Numbers of the segments that are in the log, as far as they are not replaced."""
+    upto = _compacted(spark, path)
+    return _complete(spark, path, "index/segment=*") | (set() if upto is None else {upto})
 
 
 def newest_segment(spark: SparkSession, path: str) -> int | None:

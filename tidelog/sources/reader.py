@@ -76,7 +76,7 @@ class Reader:
     # Planning ----------------------------------------------------------------------------
 
     def _opened(self, source: LogStream, shards: DataFrame, late: bool) -> DataFrame:
-        """Positions of shards (stream, shard_id, end) that are met for the first time.
+        """Positions of shards (stream, shard_id, end, trimmed) met for the first time.
 
         All of a shard that appears ``late`` lies past the tip.
         """
@@ -87,9 +87,9 @@ class Reader:
             shards = shards.withColumn("checkpoint", F.lit(None).cast("string"))
         point, text = F.col("checkpoint"), F.lit(None).cast("string")
         finished = F.coalesce(point == SHARD_END, F.lit(False))
-        how, bound, start = text, text, F.lit(0) if late else F.col("end")
+        how, bound, start = text, text, F.col("trimmed") if late else F.col("end")
         if source.kind == P.HORIZON:
-            start = F.lit(0)
+            start = F.col("trimmed")
         elif source.kind == P.TIMESTAMP:
             how, bound = F.lit(_TIME), F.lit(str(min(source.ts_ms * 1000, (1 << 63) - 1)))
         elif source.kind in (RESUME, P.SEQUENCE):
@@ -101,7 +101,7 @@ class Reader:
                 how = F.when(pinned, F.lit(_FROM)).otherwise(how)
                 bound = F.when(pinned, order_key(F.lit(source.sequence))).otherwise(bound)
         how = F.when(~finished, how)
-        start = F.when(finished, F.col("end")).when(how.isNotNull(), F.lit(0)).otherwise(start)
+        start = F.when(finished, F.col("end")).when(how.isNotNull(), F.col("trimmed")).otherwise(start)
         return shards.select(
             *SHARD_KEYS, start.cast("long").alias("next"), how.alias("how"),
             F.when(how.isNotNull(), bound).alias("bound"), "end",
@@ -144,10 +144,12 @@ class Reader:
     def _plan(self, source: LogStream, files: DataFrame, late: bool) -> DataFrame:
         """How far each shard is read in this poll: positions with ``stop``."""
         files = files.where(F.col("stream") == source.stream)
-        ends = files.groupBy(*SHARD_KEYS).agg(F.sum("rows").alias("end"))
+        # Trimmed records keep their numbers; a shard opens behind them.
+        trimmed = F.coalesce(F.sum(F.when(F.col("file").isNull(), F.col("rows"))), F.lit(0))
+        ends = files.groupBy(*SHARD_KEYS).agg(F.sum("rows").alias("end"), trimmed.alias("trimmed"))
         known = ends.join(self.positions(), SHARD_KEYS, "left")
         old = known.where(F.col("next").isNotNull()).select(*SHARD_KEYS, "next", "how", "bound", "end")
-        fresh = self._opened(source, known.where(F.col("next").isNull()).select(*SHARD_KEYS, "end"), late)
+        fresh = self._opened(source, known.where(F.col("next").isNull()).select(*SHARD_KEYS, "end", "trimmed"), late)
         every = written(old.unionByName(fresh), "shards")
         seeking = every.where(F.col("how").isNotNull())
         placed = written(
@@ -177,7 +179,7 @@ class Reader:
         context = self.spark.sparkContext
         jvm, conf = context._jvm, context._jsc.hadoopConfiguration()
         there, gone = [], []
-        for row in selected.select("file").distinct().toLocalIterator():
+        for row in selected.select("file").where("file is not null").distinct().toLocalIterator():
             file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.file))
             (there if file.getFileSystem(conf).exists(file) else gone).append((row.file, file.toString()))
         stored = [f for f in LOG_SCHEMA.fields if f.name not in ("segment", *SHARD_KEYS)]
@@ -205,9 +207,8 @@ class Reader:
         kept = rows.where((F.col("idx") >= F.col("next")) & (F.col("idx") < F.col("stop")))
         names = [part.split()[0] for part in RECORD_DDL.split(", ")]
         records = kept.withColumn("error", F.lit(None).cast("string")).select(*names)
-        if not gone:
-            return records
-        lost = selected.join(self.spark.createDataFrame([(f,) for f in gone], "file string"), "file", "left_semi")
+        missing = self.spark.createDataFrame([(f,) for f in gone], "file string")
+        lost = selected.where("file is null").unionByName(selected.join(missing, "file", "left_semi"), allowMissingColumns=True)
         item = {"idx": F.greatest("start", "next"), "error": F.lit(errors.READ)}
         kinds = dict(part.split() for part in RECORD_DDL.split(", "))
         rest = {n: F.lit(None).cast(kinds[n]) for n in names if n not in (*SHARD_KEYS, *item)}
