@@ -88,36 +88,41 @@ def with_items(records: DataFrame) -> DataFrame:
     return items.withColumns({c: F.when(good, F.col(c)) for c in ("headers", "payload", "position")})
 
 
-def decode_json(deliveries: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Types the payload as ``body``; returns the typed rows and the undecodable ones.
+def with_body(deliveries: DataFrame, schema: T.StructType) -> DataFrame:
+    """Types the payload as ``body``; where that fails, ``body`` is null and ``error`` says why.
 
-    Fields of ``schema`` that are not nullable must be present.
+    One projection parses every payload once, so decoded and undecodable rows need no second
+    scan. Fields of ``schema`` that are not nullable must be present.
     """
     corrupt = "_corrupt"
     parse_as = T.StructType(
         [T.StructField(f.name, f.dataType, True) for f in schema.fields]
         + [T.StructField(corrupt, T.StringType())]
     )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    # The array keeps the parsed value in one place: fields of it would each parse anew.
+    parsed = F.array(F.from_json(lossy_text(F.col("payload")), parse_as, options))
     required = [f.name for f in schema.fields if not f.nullable]
-    body = F.from_json(
-        lossy_text(F.col("payload")),
-        parse_as,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt},
-    )
-    parsed = deliveries.withColumn("body", body)
-    ok = F.col("body").isNotNull() & F.col(f"body.{corrupt}").isNull()
-    for name in required:
-        ok = ok & F.col(f"body.{name}").isNotNull()
-    ok = F.coalesce(ok, F.lit(False))
-    kind = F.lit(errors.INVALID)
-    typed = parsed.filter(ok).withColumn("body", F.col("body").dropFields(corrupt))
-    failed = (
-        parsed.filter(~ok)
-        .drop("body")
-        .withColumn("error", kind)
-        .withColumn("error_detail", errors.detail(kind))
-    )
-    return typed, failed
+
+    def checked(body: Column) -> Column:
+        ok = body.isNotNull() & body[corrupt].isNull()
+        for name in required:
+            ok = ok & body[name].isNotNull()
+        return F.when(ok, F.struct(*[body[f.name].alias(f.name) for f in schema.fields]))
+
+    typed = deliveries.withColumn("body", F.get(F.transform(parsed, checked), F.lit(0)))
+    kind = F.when(F.col("body").isNull(), F.lit(errors.INVALID))
+    return typed.withColumn("error", kind).withColumn("error_detail", F.when(kind.isNotNull(), errors.detail(kind)))
+
+
+def decode_json(deliveries: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Types the payload as ``body``; returns the typed rows and the undecodable ones.
+
+    For both in one table, read once, see :func:`with_body`.
+    """
+    told = with_body(deliveries, schema)
+    good = F.col("error").isNull()
+    return told.filter(good).drop("error", "error_detail"), told.filter(~good).drop("body")
 
 
 def classify(kind: Column) -> dict[str, Column]:

@@ -303,6 +303,10 @@ ORACLES: dict[str, str] = {
         f"""SELECT {_SHARD} AS shard_id,
         row_number() OVER (PARTITION BY {_SHARD} ORDER BY event_id) - 1 AS idx,
         partition_key, data_hex FROM messages""", "messages"),
+    "a8_compacted": _sql(
+        f"""SELECT {_SHARD} AS shard_id,
+        row_number() OVER (PARTITION BY {_SHARD} ORDER BY event_id) - 1 AS idx,
+        partition_key, data_hex FROM messages""", "messages"),
     "a9_reply": _sql(
         """SELECT 'replies' AS stream, partition_key,
         '52534B31' || printf('%08X', strlen('answers: ' || sequence_number || chr(10)))
@@ -364,6 +368,9 @@ ORACLES: dict[str, str] = {
     "c3_from_timestamp": _sql(
         f"""SELECT {_KEYED} FROM records JOIN openings USING (stream, shard_id)
         WHERE event_id >= opening""", "records", "openings"),
+    "c3_open_by_time": _sql(
+        f"""SELECT {_KEYED} FROM records JOIN openings USING (stream, shard_id)
+        WHERE event_id >= opening""", "records", "openings"),
     "c4_from_sequence": _sql(
         f"""SELECT {_KEYED} FROM records WHERE shard_id = 'shard-0'
         AND lpad(sequence_number, 129, '0') >= lpad('{PINNED}', 129, '0')""", "records"),

@@ -149,6 +149,27 @@ def a8_publish(spark, sf):
     return stored.select("shard_id", "idx", "partition_key", hex_of("data", "data_hex"))
 
 
+def quarters(rows: DataFrame) -> list[DataFrame]:
+    last = rows.agg(F.max("event_id")).first()[0]
+    part = F.floor(F.col("event_id") * 4 / (last + 1))
+    return [rows.filter(part == i) for i in range(4)]
+
+
+@query
+def a8_compacted(spark, sf):
+    """A log of several appends, packed into larger files and rid of the old ones: what its
+    reader gets, with the numbers the records had before."""
+    path = new_folder(spark, "log")
+    for segment, part in enumerate(quarters(_messages_on_shards(spark, sf))):
+        log.publish(part, path, segment, order=["event_id"], writer="w1", row_id=F.col("event_id"))
+    log.compact(spark, path, file_records=20_000)
+    log.drop_replaced(spark, path)
+    reader = subscribe(spark, path, LogStream("events").start_at(P.HORIZON), new_folder(spark, "state"))
+    return read_all(
+        reader, lambda rows: rows.select("shard_id", "idx", "partition_key", hex_of("data", "data_hex"))
+    )
+
+
 @query
 def a9_reply(spark, sf):
     """A handler's output goes to another stream, under the key of the message it answers."""
@@ -290,10 +311,8 @@ def _bodies(spark, sf):
 
 @query
 def b9_decode_json(spark, sf):
-    typed, failed = records.decode_json(_bodies(spark, sf), BODY)
-    return typed.select("event_id", F.col("body.k").alias("k"), F.lit(None).cast("string").alias("error")).union(
-        failed.select("event_id", F.lit(None).cast("long"), "error")
-    )
+    told = records.with_body(_bodies(spark, sf), BODY)
+    return told.select("event_id", F.col("body.k").alias("k"), "error")
 
 
 @query
@@ -376,6 +395,16 @@ def c3_from_timestamp(spark, sf):
     return _selected(replay.from_timestamp(W.records(spark, sf), OPENING_MS))
 
 
+@query
+def c3_open_by_time(spark, sf):
+    """The same position taken by a reader: the index names the one file of a shard to search."""
+    path = new_folder(spark, "log")
+    for segment, part in enumerate(quarters(W.raw_records(spark, sf))):
+        log.append_log(part.withColumn("arrival_ts", W.late_arrival("arrival_ts")), path, segment)
+    described = LogStream("events").start_at(P.TIMESTAMP, ts_ms=OPENING_MS)
+    return read_all(subscribe(spark, path, described, new_folder(spark, "state")), _selected)
+
+
 @query
 def c4_from_sequence(spark, sf):
     return _selected(replay.from_sequence(W.records(spark, sf), "shard-0", PINNED))

@@ -54,9 +54,9 @@ def long_sequence(number: Column) -> Column:
     return F.concat(number.cast("string"), F.lit("0" * 50))
 
 
-def late_arrival() -> Column:
+def late_arrival(ts: str = "ts") -> Column:
     """Arrival times that are not in sequence order, by up to ten hours."""
-    return F.timestamp_add("HOUR", -(F.col("event_id") * 7 % 11).cast("int"), F.col("ts"))
+    return F.timestamp_add("HOUR", -(F.col("event_id") * 7 % 11).cast("int"), F.col(ts))
 
 
 def records(spark: SparkSession, sf: str) -> DataFrame:
@@ -282,12 +282,3 @@ def subscription_log(spark: SparkSession, sf: str) -> DataFrame:
         .union(ended.select(event, name, first, F.lit("unsubscribe")))
         .union(ended.filter(event % 4 == 0).select(event, name, first + 50, F.lit("unsubscribe")))
     )
-
-
-def settlement_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Deliveries with the arrival position that a running tracker is keyed by."""
-    return deliveries(spark, sf).select(
-        "stream", "shard_id", F.col("event_id").alias("idx"), "sequence_number", "outcome"
-    )
-
-
