@@ -6,6 +6,8 @@ listed was trimmed past retention.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,30 +100,25 @@ def startable(
 def depths(shards: DataFrame) -> DataFrame:
     """Generation of each shard: the longest chain of listed parents above it.
 
-    Works a generation at a time. Each round keeps a shard once however many paths reach it,
-    so repeated merges do not multiply the rows; rounds number the generations of the log.
+    Peels the lineage from the top. A round takes the edges below the shards that are free,
+    and frees those that no edge is left above; edges that were taken are out of the way, and
+    every shard is placed once, in the round that is its generation.
     """
     columns = [*SHARD_KEYS, "parent_id", "adjacent_parent_id", "ending_sequence"]
     nodes = written(shards.select(*columns), "shards")
-    edges = written(_listed_edges(nodes).select(*SHARD_KEYS, "parent_id"), "edges")
-    rounds = [nodes.select(*SHARD_KEYS, F.lit(0).alias("depth"))]
-    reached = None
-    # A chain without a cycle has fewer steps than there are shards.
-    for depth in range(1, nodes.count() + 1):
-        # Every shard is reached by no step at all, so the first step needs no join.
-        below = edges if reached is None else edges.join(reached, ["stream", "parent_id"])
-        children = below.select(*SHARD_KEYS).distinct()
-        children = written(children, "generation")
-        if children.isEmpty():
-            break
-        rounds.append(children.withColumn("depth", F.lit(depth)))
-        reached = children.withColumnRenamed("shard_id", "parent_id")
-    else:
+    waiting = written(_listed_edges(nodes).select(*SHARD_KEYS, "parent_id"), "edges")
+    free = written(nodes.select(*SHARD_KEYS).distinct().join(waiting, SHARD_KEYS, "left_anti"), "generation")
+    rounds = []
+    while not free.isEmpty():
+        rounds.append(free.withColumn("depth", F.lit(len(rounds)).cast("long")))
+        above = free.select("stream", F.col("shard_id").alias("parent_id"), F.lit(True).alias("_free"))
+        told = waiting.join(above, ["stream", "parent_id"], "left")
+        split = written(told.withColumn("_free", F.coalesce("_free", F.lit(False))), "edges", by="_free")
+        taken, waiting = split.where("_free").select(*SHARD_KEYS), split.where("not _free").drop("_free")
+        free = written(taken.distinct().join(waiting, SHARD_KEYS, "left_anti"), "generation")
+    if not waiting.isEmpty():
         raise ValueError("shard lineage does not end: a shard descends from itself")
-    every = rounds[0]
-    for generation in rounds[1:]:
-        every = every.union(generation)
-    return every.groupBy(*SHARD_KEYS).agg(F.max("depth").cast("long").alias("depth"))
+    return reduce(DataFrame.unionByName, rounds) if rounds else free.withColumn("depth", F.lit(0).cast("long"))
 
 
 def key_order(records: DataFrame, shards: DataFrame, **scan) -> DataFrame:

@@ -43,11 +43,15 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return path
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and returns the table read back."""
+def written(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Writes ``df`` to the shared folder and returns the table read back.
+
+    With ``by``, rows that differ in that column lie apart, and a filter on it reads its own.
+    """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
+    writer = df.write if by is None else df.write.partitionBy(by)
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
