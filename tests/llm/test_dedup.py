@@ -211,3 +211,10 @@ def test_blocks_keep_rows(messy):
     blocked = in_blocks(messy, 2)
     assert blocked.table.select(blocked.block).distinct().count() > 1
     assert len(SCHEMA.split(",")) == len(blocked.columns)
+
+
+def test_simhash_with_clashing_names_and_an_empty_table(messy, none):
+    clash = messy.withColumnsRenamed({"key": "_fp", "_row": "Fingerprint"})
+    rows = simhash.near_duplicates(clash)
+    assert rows.count() == messy.count() and "_fp" in rows.columns
+    assert simhash.near_duplicates(none).count() == 0 and simhash.one_of_each(none).count() == 0

@@ -180,3 +180,15 @@ def test_pipeline_stages(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     assert 0 < out.count()
     assert out.where("n_tokens is null or length(ids_sha256) <> 64").count() == 0
+
+
+def test_mix_with_clashing_names(messy):
+    """Columns named like those added, or like the working columns, in any case."""
+    clash = messy.withColumnsRenamed({"key": "_key", "n_chars": "Size", "_block": "_edge", "_row": "target"})
+    rows = mixing.mix(clash).collect()
+    plain = mixing.mix(messy).collect()
+    assert sorted(((r.doc_id, r["size"], r.taken) for r in rows), key=repr) == sorted(((r.doc_id, r["size"], r.taken) for r in plain), key=repr)
+    kept = mixing.mixed(clash)
+    assert kept.columns == clash.columns
+    own = {repr((r.doc_id, r.Size, r.target)) for r in clash.collect()}
+    assert {repr((r.doc_id, r.Size, r.target)) for r in kept.collect()} <= own

@@ -76,3 +76,9 @@ def test_counts_equal_the_library(messy, none):
 
 def test_empty_table(none, ranks):
     assert bpe.encode(none, ranks, PATTERN).count() == 0
+
+
+def test_a_column_named_like_the_ids_is_replaced(messy, ranks, library):
+    clash = messy.withColumnRenamed("key", "ids")
+    rows = bpe.encode(clash, ranks, PATTERN, rows=4).collect()
+    assert all(r.ids == library.encode_ordinary(r.text or "") for r in rows) and len(rows) == messy.count()

@@ -234,10 +234,12 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, pattern: str, *, name:
     """Adds the token ids of ``text`` (array of int) as column ``name``.
 
     A null or empty text has no ids. Texts are encoded whole, of any length; repeated rows and
-    other columns pass through; an empty table stays empty.
+    other columns pass through, one named like the added one is replaced; an empty table stays
+    empty.
     """
     import regex
 
+    documents = documents.drop(name)
     words = vocabulary.words
     find = regex.compile(pattern).findall
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import uniform, word_count
+from tidelog.llm.common import free_name, uniform, word_count
 from tidelog.plans.prefix import Scan, prefix
 from tidelog.plans.scratch import written
 
@@ -84,10 +84,11 @@ def mix(
     """
     weight = F.greatest(F.coalesce(quality if quality is not None else quality_weight(F.col("text")), F.lit(0.0)), F.lit(1e-6))
     added = ["size", "source_size", "target", "copies", "taken"]
-    keep = [c for c in documents.columns if c not in added]
+    keep = [c for c in documents.columns if c.lower() not in added]
+    order = free_name(documents, "_key")
     key = -F.log(uniform(seed, F.col("doc_id"), F.length("text"))) / weight
-    sized = documents.select(*keep, word_count(F.col("text")).alias("size"), key.alias("_key"))
-    narrow = written(sized.select("source", "doc_id", "_key", "size"), "mixture")
+    sized = documents.select(*keep, word_count(F.col("text")).alias("size"), key.alias(order))
+    narrow = written(sized.select("source", "doc_id", F.col(order).alias("_key"), "size"), "mixture")
     totals = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = targets(totals, share, most, weights)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -111,9 +112,12 @@ def mix(
         plan.withColumnRenamed("_source", "_s").join(edge, F.col("_s").eqNullSafe(F.col("_source")), "left").drop("_source"),
         "mixture",
     )
-    joined = sized.join(bounds, F.col("source").eqNullSafe(F.col("_s")), "left")
-    sampled = F.coalesce(F.struct("_key", "doc_id", "size") <= F.col("_edge"), F.lit(False))
-    copies = F.least(F.col("_epochs") + F.when(sampled, 1).otherwise(0), F.lit(int(most)))
+    clear = {c: free_name(documents, c) for c in ("_s", "_epochs", "_rest", "_edge")}
+    bounds = bounds.drop("_rest").withColumnsRenamed(clear)
+    joined = sized.join(bounds, F.col("source").eqNullSafe(F.col(clear["_s"])), "left")
+    place = F.struct(F.col(order).alias("_key"), "doc_id", "size")
+    sampled = F.coalesce(place <= F.col(clear["_edge"]), F.lit(False))
+    copies = F.least(F.col(clear["_epochs"]) + F.when(sampled, 1).otherwise(0), F.lit(int(most)))
     return joined.withColumn("copies", copies.cast("long")).select(
         *keep,
         "size",
@@ -125,7 +129,11 @@ def mix(
 
 
 def mixed(documents: DataFrame, **how) -> DataFrame:
-    """The mix itself: every document as often as ``mix`` says, with its own columns."""
-    plan = mix(documents, **how)
+    """The mix itself: every document as often as ``mix`` says, with its own columns, also
+    those named like a column that ``mix`` adds."""
+    added = ["size", "source_size", "target", "copies", "taken"]
+    aside = {c: free_name(documents, f"_own_{c}") for c in documents.columns if c.lower() in added}
+    plan = mix(documents.withColumnsRenamed(aside), **how)
     times = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
-    return plan.where("copies > 0").withColumn("_time", times).select(*documents.columns)
+    chosen = plan.where("copies > 0").withColumn(free_name(plan, "_time"), times)
+    return chosen.select(*[F.col(aside.get(c, c)).alias(c) for c in documents.columns])

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import Stored, word_bytes
+from tidelog.llm.common import Stored, free_name, word_bytes
 from tidelog.llm.components import connected_components
 
 BITS = 64
@@ -220,8 +220,9 @@ def near_duplicates(documents: DataFrame, *, width: int = 4, radius: int = 4, pi
         "fingerprint", "least", F.coalesce("component", "fingerprint").alias("component")
     )
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = Stored(named.join(least, "component").select(F.col("fingerprint").alias("_fp"), "component_id"), "classes")
-    return marked.join(classes.df, F.col("fingerprint") == F.col("_fp")).drop("_fp")
+    own = free_name(marked, "_fp")
+    classes = Stored(named.join(least, "component").select(F.col("fingerprint").alias(own), "component_id"), "classes")
+    return marked.join(classes.df, F.col("fingerprint") == F.col(own)).drop(own)
 
 
 def one_of_each(documents: DataFrame, **how) -> DataFrame:
