@@ -20,14 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import free_name, parallelism
+from tidelog.llm.common import free_name, parallelism, release
 from tidelog.plans.scratch import new_folder
 
 BLOCK_ROWS = 8_192
 # Blocks, about, whose requests for one key share a row; bounds the list of askers.
 FAMILY = 4_096
 # Answers a task gathers before it packs them for their blocks.
-PORTION = 1_000_000
+PORTION = 500_000
 
 
 @dataclass(frozen=True)
@@ -64,13 +64,16 @@ def in_blocks(documents: DataFrame, rows: int = BLOCK_ROWS) -> Blocked:
     """``documents`` stored with their block and row numbers, bucketed by block.
 
     The numbers are part of the stored table, so a task that is repeated sees the same blocks.
+    A block does not reach from one partition into the next, so small partitions are read
+    together: there are no more partitions than blocks would fill, and twice as many blocks at
+    most.
     """
     spark = documents.sparkSession
     block, row = free_name(documents, "_block"), free_name(documents, "_row")
     blocks = -(-documents.count() // rows)
     buckets = max(parallelism(spark), blocks)
     table = f"tidelog_{uuid.uuid4().hex}"
-    numbered = documents.withColumn(row, F.monotonically_increasing_id())
+    numbered = documents.coalesce(max(1, blocks)).withColumn(row, F.monotonically_increasing_id())
     (
         numbered.withColumn(block, F.floor(F.col(row) / rows).cast("long"))
         .write.format("parquet")
@@ -112,12 +115,21 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         table = pa.Table.from_batches([batch])
         table = table.sort_by("key") if "key" in table.column_names else table
-        lists = table.column("askers").combine_chunks()
-        held.append(table.drop_columns(["askers"]).take(pc.list_parent_indices(lists)))
-        askers.append(pc.list_flatten(lists).to_numpy())
-        if sum(map(len, askers)) >= PORTION:
-            yield from flush()
+        upto = np.cumsum(pc.list_value_length(table.column("askers")).to_numpy())
+        at = 0
+        while at < len(upto):
+            # A row has FAMILY askers or so at most; a batch of frequent keys has too many.
+            begun = int(upto[at - 1]) if at else 0
+            end = max(at + 1, int(np.searchsorted(upto, begun + PORTION, side="right")))
+            part = table.slice(at, end - at)
+            lists = part.column("askers").combine_chunks()
+            held.append(part.drop_columns(["askers"]).take(pc.list_parent_indices(lists)))
+            askers.append(pc.list_flatten(lists).to_numpy())
+            at = end
+            if sum(map(len, askers)) >= PORTION:
+                yield from flush()
     yield from flush()
+    release()
 
 
 def _unpacked(packed: pa.ChunkedArray) -> pa.Table | None:
@@ -179,6 +191,7 @@ def answered(
                 if len(known) > 1_000_000:
                     yield from flush()
         yield from flush()
+        release()
 
     requests = blocked.table.select(blocked.block, "text").mapInArrow(
         asked, T.StructType([T.StructField("block", T.LongType()), T.StructField("key", key_type)])
@@ -192,6 +205,7 @@ def answered(
     schema = T.StructType([*[everything[n] for n in names], *added])
 
     def finished(own: pa.Table, answers: pa.Table) -> pa.Table:
+        release()
         return finish(own, _unpacked(answers.column("packed"))).select(schema.names)
 
     return blocked.with_rows(told, finished, schema, list(dict.fromkeys(["text", *[n for n in names if n not in (blocked.block, blocked.row)]])))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +54,14 @@ def temporary(df: DataFrame, label: str):
         stored.delete()
 
 
+def release() -> None:
+    """Hands freed memory back to the system; a worker that is used again would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if trim is not None:
+        trim(0)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores added until no column of ``df`` is called so."""
     taken = {c.lower() for c in df.columns}
