@@ -457,7 +457,7 @@ def c8_resume(spark, sf):
 
 @query
 def d1_delivery_index(spark, sf):
-    delivered = W.records(spark, sf).filter(~F.col("aggregated"))
+    delivered = W.records(spark, sf).filter(~F.col("aggregated")).select(*SHARD_KEYS, "sequence_number")
     return settlement.with_delivery_index(delivered).select(*SHARD_KEYS, "sequence_number", "idx")
 
 
@@ -794,8 +794,8 @@ def _live(spark, sf):
 
 @query
 def g1_epoch(spark, sf):
-    stamped = seek.with_epoch(W.deliveries(spark, sf), W.seeks(spark, sf), "delivered_at")
-    return stamped.select("event_id", "epoch")
+    read = W.deliveries(spark, sf).select(*SHARD_KEYS, "event_id", "delivered_at")
+    return seek.with_epoch(read, W.seeks(spark, sf), "delivered_at").select("event_id", "epoch")
 
 
 @query
