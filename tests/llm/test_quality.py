@@ -192,3 +192,28 @@ def test_mix_with_clashing_names(messy):
     assert kept.columns == clash.columns
     own = {repr((r.doc_id, r.Size, r.target)) for r in clash.collect()}
     assert {repr((r.doc_id, r.Size, r.target)) for r in kept.collect()} <= own
+
+
+def test_pipeline_stages_on_odd_rows(spark, sf, messy):
+    """Each stage by itself on nulls, empty, blank and very long texts and repeated rows."""
+    stages = dict(corpus_pipeline.STAGES)
+    columns = corpus_pipeline.COLUMNS
+    rows = sorted((tuple(r) for r in messy.select(*columns).collect()), key=repr)
+
+    def result(name):
+        return sorted((tuple(r) for r in stages[name](spark, messy, sf).collect()), key=repr)
+
+    kept = result("quality classifier")
+    assert set(kept) <= set(rows) and {r for r in rows if not r[1]} <= set(kept)
+    lines = result("line dedup")
+    assert sorted(map(repr, (r[0] for r in lines))) == sorted(map(repr, (r[0] for r in rows)))
+    assert [r for r in lines if r[1] is None] == [(2, None, "en", "a", None)]
+    assert sum(r[1].count("same line here") for r in lines if r[1]) == 1
+    near = result("SimHash near-dedup")
+    assert set(near) <= set(rows) and len(set(near)) == len(near)
+    assert [r[0] for r in near if not (r[1] or "").strip()] == [2]
+    mix = result("mixing sources to target weights")
+    assert set(mix) <= set(rows)
+    tokens = stages["byte-level BPE encoding and decoding"](spark, messy, sf).collect()
+    assert len(tokens) == len(rows)
+    assert {r.n_tokens for r in tokens if r.doc_id in (2, 3)} == {0}
