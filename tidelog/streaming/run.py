@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
-def finish(query: StreamingQuery, timeout: int | None = None) -> tuple | None:
-    """Waits for a query that stops by itself, for ``timeout`` seconds at most if given.
-
-    Returns the offsets it has come to, or None if it made no progress.
-    """
+def finish(query: StreamingQuery, timeout: int | None = None) -> None:
+    """Waits for a query that stops by itself, for ``timeout`` seconds at most if given."""
     if timeout is None:
         query.awaitTermination()
     elif not query.awaitTermination(timeout):
@@ -20,28 +15,12 @@ def finish(query: StreamingQuery, timeout: int | None = None) -> tuple | None:
         raise TimeoutError(f"streaming query still running after {timeout} s")
     if query.exception() is not None:
         raise query.exception()
-    last = query.lastProgress
-    return None if last is None else tuple(str(source.endOffset) for source in last.sources)
 
 
-def run_once(writer: DataStreamWriter, checkpoint: str, timeout: int | None = None) -> tuple | None:
+def run_once(writer: DataStreamWriter, checkpoint: str, timeout: int | None = None) -> None:
     """Runs over everything available now and stops."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    return finish(query, timeout)
-
-
-def run_until_idle(make: Callable[[], DataStreamWriter], checkpoint: str, timeout: int | None = None) -> int:
-    """Runs again and again until the offsets move no more; returns the number of runs that
-    moved them.
-
-    A reader that takes a bounded amount per shard, or holds children back until their
-    parents are read, needs more than one run to reach the end; and a run may move on without
-    delivering a row.
-    """
-    runs, reached = 0, None
-    while (found := run_once(make(), checkpoint, timeout)) is not None and found != reached:
-        runs, reached = runs + 1, found
-    return runs
+    finish(query, timeout)
 
 
 def to_parquet(stream: DataFrame, path: str) -> DataStreamWriter:
