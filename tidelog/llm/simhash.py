@@ -127,28 +127,29 @@ def _labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = following
 
 
-def _linked(radius: int):
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-        """Rows of whole cells, as many together as a batch holds."""
-        rest = None
-        for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            if not len(columns[0]):
-                continue
-            if rest is not None:
-                columns = [np.concatenate(x) for x in zip(rest, columns, strict=True)]
-            last = np.ones(len(columns[0]), bool)
-            for c in columns[:4]:
-                last &= c == c[-1]
-            cut = len(last) - int(np.argmin(last[::-1])) if not last.all() else 0
-            rest = [c[cut:] for c in columns]
-            if cut:
-                yield [c[:cut] for c in columns]
+def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Rows of whole cells, as many together as a batch holds."""
+    rest = None
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if not len(columns[0]):
+            continue
         if rest is not None:
-            yield rest
+            columns = [np.concatenate(x) for x in zip(rest, columns, strict=True)]
+        last = np.ones(len(columns[0]), bool)
+        for c in columns[:4]:
+            last &= c == c[-1]
+        cut = len(last) - int(np.argmin(last[::-1])) if not last.all() else 0
+        rest = [c[cut:] for c in columns]
+        if cut:
+            yield [c[:cut] for c in columns]
+    if rest is not None:
+        yield rest
 
+
+def _linked(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in cells(batches):
+        for columns in _whole_cells(batches):
             *cell, piece, value = columns
             change = np.zeros(len(value), bool)
             for c in cell:
@@ -173,11 +174,11 @@ def _linked(radius: int):
     return run
 
 
-def links_within(fingerprints: DataFrame, radius: int, *, piece: int = PIECE) -> DataFrame:
-    """Links (u, v) that connect exactly what distances up to ``radius`` connect.
+def cells_within(fingerprints: DataFrame, radius: int, piece: int = PIECE) -> DataFrame:
+    """Rows (shard, key, a, b, piece, fp, ...), whole cells together: fingerprints that differ
+    in ``radius`` bits at most meet in a cell.
 
-    ``fingerprints`` has distinct longs in ``fp``. Within a cell, links that add no connection
-    are left out.
+    ``fingerprints`` has distinct longs in ``fp``; its other columns come along.
     """
     bits = _bit_groups(radius)
     fields = [F.shiftrightunsigned("fp", s).bitwiseAND(F.lit((1 << w) - 1)) for s, w in bits]
@@ -185,7 +186,8 @@ def links_within(fingerprints: DataFrame, radius: int, *, piece: int = PIECE) ->
         F.struct(F.lit(n).alias("shard"), (fields[i] * (1 << bits[j][1]) + fields[j]).alias("key"))
         for n, (i, j) in enumerate(combinations(range(len(bits)), 2))
     ]
-    spread = fingerprints.select("fp", F.explode(F.array(*shards)).alias("s")).select("s.shard", "s.key", "fp")
+    held = fingerprints.columns
+    spread = fingerprints.select(*held, F.explode(F.array(*shards)).alias("s")).select("s.shard", "s.key", *held)
     sizes = spread.groupBy("shard", "key").count().where("count > 1")
     pieces = F.ceil(F.col("count") / piece).cast("int")
     cells = (
@@ -193,11 +195,19 @@ def links_within(fingerprints: DataFrame, radius: int, *, piece: int = PIECE) ->
         .withColumn("pieces", pieces)
         .withColumn("piece", F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-        .select("shard", "key", F.least("piece", "other").alias("a"), F.greatest("piece", "other").alias("b"), "piece", "fp")
+        .select("shard", "key", F.least("piece", "other").alias("a"), F.greatest("piece", "other").alias("b"), "piece", *held)
     )
     at = ["shard", "key", "a", "b"]
-    found = cells.repartition(*at).sortWithinPartitions(*at).mapInArrow(_linked(radius), "u long, v long")
-    return found.distinct()
+    return cells.repartition(*at).sortWithinPartitions(*at)
+
+
+def links_within(fingerprints: DataFrame, radius: int, *, piece: int = PIECE) -> DataFrame:
+    """Links (u, v) that connect exactly what distances up to ``radius`` connect.
+
+    ``fingerprints`` has distinct longs in ``fp``. Within a cell, links that add no connection
+    are left out.
+    """
+    return cells_within(fingerprints, radius, piece).mapInArrow(_linked(radius), "u long, v long").distinct()
 
 
 def near_duplicates(documents: DataFrame, *, width: int = 4, radius: int = 4, piece: int = PIECE) -> DataFrame:
