@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, kneser_ney, lines, mixing, simhash
+from tidelog.llm import bpe, kneser_ney, lines, mixing, near_copies
 from tidelog.llm.common import table
 from tidelog.plans.scratch import written
 
@@ -42,12 +42,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, the one with the smallest doc_id, of each SimHash group.
+    """Keeps one document, the one with the smallest doc_id, of each group of near copies:
+    fingerprints at most eight bits apart and a Jaccard similarity of five-word shingles of 0.8.
 
     Null, empty and blank texts have one fingerprint, so one of them stays; of repeated rows one
     stays; a null doc_id is kept only where its group has no other.
     """
-    return simhash.one_of_each(docs.select(*COLUMNS))
+    return near_copies.one_of_each(docs.select(*COLUMNS))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
