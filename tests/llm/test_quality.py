@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm.conftest import prose
 from tidelog.llm import kneser_ney, mixing, toxicity
-from tidelog.llm.common import table, word_count
+from tidelog.llm.common import table, uniform, word_count
 
 N = kneser_ney.ORDER
 
@@ -164,6 +164,37 @@ def test_mixing_prefers_good_documents(sources):
     assert share[True] > 10 * share.get(False, 0)
 
 
+@pytest.mark.parametrize("ids", [7, None])
+def test_mixing_splits_repeated_rows_at_the_edge(spark, ids):
+    rows = [(ids, "three plain words", "a")] * 1000
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mix(frame.repartition(5)).collect()
+    assert len(found) == 1000 and {r.target for r in found} == {4500.0}
+    assert sum(r.taken for r in found) == 4500 and {r.copies for r in found} == {1, 2}
+
+
+def test_mixing_equals_sequential_sampling(spark, sf):
+    """The sample of every source, drawn one document after the other in the order of its keys."""
+    documents = table(spark, sf, "documents").select("doc_id", "source", "text")
+    documents = documents.unionByName(documents.where("doc_id % 7 = 0")).unionByName(documents.where("doc_id % 7 = 0"))
+    weight = mixing.quality_weight(F.col("text"))
+    key = -F.log(uniform(mixing.SEED, F.col("doc_id"), F.col("text"))) / F.greatest(weight, F.lit(1e-6))
+    drawn = sorted((r.source is None, r.source or "", r.key, r.doc_id, len(r.text.split())) for r in documents.withColumn("key", key).collect())
+    plan = {r.source: r for r in mixing.mix(documents).select("source", "source_size", "target").distinct().collect()}
+    wanted, seen = Counter(), Counter()
+    for none, source, _, doc_id, size in drawn:
+        p = plan[None if none else source]
+        epochs = min(p.target // p.source_size, 2)
+        rest = p.target - epochs * p.source_size
+        before, after = rest - seen[source, none], seen[source, none] + size - rest
+        seen[source, none] += size
+        wanted[doc_id] += int(epochs + (after <= 0 or after < before)) * size
+    found = Counter()
+    for r in mixing.mix(documents).collect():
+        found[r.doc_id] += r.taken
+    assert found == wanted
+
+
 def test_mixing_on_odd_rows(messy, none):
     rows = mixing.mix(messy).collect()
     assert len(rows) == messy.count()

@@ -77,18 +77,20 @@ def mix(
     positive weight (null: least).
 
     Documents without words have size 0 and are taken as often as their place in the order
-    says. A null source is a source of its own. Rows with equal doc_id and text length share a
-    key and are sampled together; other columns pass through, and columns named like the added
-    ones are replaced. An empty table stays empty. Reruns agree: keys depend on
-    doc_id, text length and seed.
+    says; null texts are among them. A null source is a source of its own. Repeated rows (equal
+    doc_id and text) share a key, and as many of them are sampled as fit; other columns pass
+    through, and columns named like the added ones are replaced. An empty table stays empty.
+    Whole texts are read, of any length; one longer than the rest of a target is sampled only
+    if that ends nearer to the target. Reruns agree: keys depend on doc_id, text and seed.
     """
     weight = F.greatest(F.coalesce(quality if quality is not None else quality_weight(F.col("text")), F.lit(0.0)), F.lit(1e-6))
     added = ["size", "source_size", "target", "copies", "taken"]
     keep = [c for c in documents.columns if c.lower() not in added]
     order = free_name(documents, "_key")
-    key = -F.log(uniform(seed, F.col("doc_id"), F.length("text"))) / weight
+    key = -F.log(uniform(seed, F.col("doc_id"), F.col("text"))) / weight
     sized = documents.select(*keep, word_count(F.col("text")).alias("size"), key.alias(order))
-    narrow = written(sized.select("source", "doc_id", F.col(order).alias("_key"), "size"), "mixture")
+    narrow = sized.select("source", "doc_id", F.col(order).alias("_key"), "size", F.monotonically_increasing_id().alias("_tie"))
+    narrow = written(narrow, "mixture")
     totals = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = targets(totals, share, most, weights)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -99,24 +101,38 @@ def mix(
         F.least(epochs, F.lit(int(most))).cast("long").alias("_epochs"),
     ).withColumn("_rest", F.col("target") - F.col("_epochs") * F.col("source_size"))
     plan = written(plan.withColumnRenamed("source", "_source"), "mixture")
-    summed = prefix(narrow, ["source"], ["_key", "doc_id", "size"], {"_sum": Scan("sum", F.col("size"))})
+    summed = prefix(narrow, ["source"], ["_key", "doc_id", "size", "_tie"], {"_sum": Scan("sum", F.col("size"))})
     over = F.col("_sum") - F.col("_rest")
     fits = (over <= 0) | (over < F.col("_rest") - F.col("_sum") + F.col("size"))
-    edge = (
-        summed.join(plan, F.col("source").eqNullSafe(F.col("_source")))
-        .where(fits)
-        .groupBy("_source")
-        .agg(F.max(F.struct("_key", "doc_id", "size")).alias("_edge"))
-    )
+    place = F.struct("_key", "doc_id", "size")
+    judged = summed.join(plan, F.col("source").eqNullSafe(F.col("_source"))).select("_source", place.alias("_place"), fits.alias("_fits"))
+    edge = written(judged.where("_fits").groupBy("_source").agg(F.max("_place").alias("_edge")), "mixture")
+    # repeated rows may lie on both sides of the edge
+    level = edge.select(F.col("_source").alias("_s"), "_edge")
+    shared = judged.join(level, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_place") == F.col("_edge")))
+    counts = shared.groupBy("_source").agg(F.count_if("_fits").alias("_room"), F.count(F.lit(1)).alias("_ties"))
+    edge = edge.withColumnRenamed("_source", "_s").join(counts, F.col("_s").eqNullSafe(F.col("_source"))).select("_source", "_edge", "_room", "_ties")
     bounds = written(
         plan.withColumnRenamed("_source", "_s").join(edge, F.col("_s").eqNullSafe(F.col("_source")), "left").drop("_source"),
         "mixture",
     )
-    clear = {c: free_name(documents, c) for c in ("_s", "_epochs", "_rest", "_edge")}
-    bounds = bounds.drop("_rest").withColumnsRenamed(clear)
+    split = not bounds.where("_room < _ties").isEmpty()
+    clear = {c: free_name(documents, c) for c in ("_s", "_epochs", "_edge", "_room", "_sampled")}
+    bounds = bounds.drop("_rest", "_ties").withColumnsRenamed(clear)
     joined = sized.join(bounds, F.col("source").eqNullSafe(F.col(clear["_s"])), "left")
     place = F.struct(F.col(order).alias("_key"), "doc_id", "size")
-    sampled = F.coalesce(place <= F.col(clear["_edge"]), F.lit(False))
+    edge = F.col(clear["_edge"])
+    if split:
+        before = joined.where(F.coalesce(place != edge, F.lit(True))).withColumn(clear["_sampled"], F.coalesce(place < edge, F.lit(False)))
+        at = joined.where(place == edge).select(
+            "source", F.monotonically_increasing_id().alias("_tie"), F.struct(*joined.columns).alias("_row")
+        )
+        numbered = prefix(at, ["source"], ["_tie"], {"_n": Scan("count")})
+        sampled = F.col("_n") <= F.col("_row").getField(clear["_room"])
+        joined = before.unionByName(numbered.select("_row.*", sampled.alias(clear["_sampled"])))
+    else:
+        joined = joined.withColumn(clear["_sampled"], F.coalesce(place <= edge, F.lit(False)))
+    sampled = F.col(clear["_sampled"])
     copies = F.least(F.col(clear["_epochs"]) + F.when(sampled, 1).otherwise(0), F.lit(int(most)))
     return joined.withColumn("copies", copies.cast("long")).select(
         *keep,
