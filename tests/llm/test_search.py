@@ -85,3 +85,24 @@ def test_recall_against_brute_force(spark, tmp_path):
         hits += len(set(best) & set(found[q]))
         assert all(abs(score[np.searchsorted(ids, i)] - s) < 1e-12 for i, s in found[q].items())
     assert hits >= 0.9 * 5 * len(queries)
+
+
+def test_recall_among_vectors_that_lie_close_together(spark):
+    """Three crowds of vectors whose cosines differ from the sixth digit on, one vector many times."""
+    rng = np.random.default_rng(3)
+    crowd = rng.standard_normal((3, 32))[rng.integers(0, 3, 1500)] + 1e-3 * rng.standard_normal((1500, 32))
+    held = np.concatenate((crowd, np.repeat(crowd[:1], 300, axis=0))).astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(held)], "vec_id long, embedding array<float>")
+    found = {}
+    for r in nn_descent.nearest(frame, F.col("vec_id") % 50 == 0, k=5).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    unit = held.astype(float) / np.linalg.norm(held.astype(float), axis=1, keepdims=True)
+    hits, queries = 0, range(0, 1500, 50)
+    for q in queries:
+        score = unit @ unit[q]
+        score[q] = -9
+        hits += len(set(np.argsort(-score, kind="stable")[:5]) & {i for _, i in found[q]})
+    assert hits >= 0.9 * 5 * len(queries)
+    same = [0, *range(1500, 1800)]
+    for q in (i for i in same if i % 50 == 0):
+        assert sorted(found[q]) == list(enumerate([i for i in same if i != q][:5], 1))

@@ -22,7 +22,8 @@ from tidelog.llm.topk import usable
 DEGREE = 24
 ROUNDS = 5
 TREES = 6  # ways the first neighbours are drawn together
-BEAM = 64
+CUTS = 4  # planes by which the places of all trees are cut at a time
+BEAM = 128
 SEED = 11
 SETTLED = 0.002  # share of changed edges below which no further round is made
 
@@ -66,16 +67,39 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(rest)
 
 
+def centre(vectors: DataFrame, width: int) -> np.ndarray:
+    """The mean of the unit vectors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, count = np.zeros(width), 0
+        for batch in batches:
+            units = _unit(batch.column("vector"))
+            total[: units.shape[1]] += units.sum(0)
+            count += len(units)
+        yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([count])], names=["total", "count"])
+
+    sums = vectors.select("vector").mapInArrow(run, "total array<double>, count long")
+    by = sums.select(F.posexplode("total").alias("at", "x"), "count").groupBy("at").agg(F.sum("x") / F.sum("count"))
+    out = np.zeros(width)
+    for at, mean in by.where("at is not null").collect():
+        out[at] = mean or 0.0
+    return out
+
+
 def coded(vectors: DataFrame, width: int) -> DataFrame:
-    """Rows (id, code): unit vectors in bytes, a quarter of their size. They choose the edges of
-    the graph; answers are measured on the original vectors."""
+    """Rows (id, code): unit vectors less their mean, in single precision. They choose the edges of
+    the graph; answers are measured on the original vectors.
+
+    Without the mean, what tells vectors apart that all point one way keeps its digits.
+    """
+    mean = centre(vectors, width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             units = _unit(batch.column("vector"))
-            codes = np.zeros((len(units), width), np.int8)
-            largest = np.abs(units).max(1, keepdims=True, initial=0)
-            codes[:, : units.shape[1]] = np.rint(127 * units / np.where(largest > 0, largest, 1))
+            codes = np.zeros((len(units), width))
+            codes[:, : units.shape[1]] = units
+            codes = (codes - mean).astype(np.float32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([c.tobytes() for c in codes], pa.binary())], names=["id", "code"]
             )
@@ -84,9 +108,8 @@ def coded(vectors: DataFrame, width: int) -> DataFrame:
 
 
 def _decoded(codes: list[bytes]) -> np.ndarray:
-    """Unit vectors, as rows, from their codes."""
-    out = np.frombuffer(b"".join(codes), np.int8).reshape(len(codes), -1).astype(np.float32)
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6)
+    """Vectors, as rows, from their codes."""
+    return np.frombuffer(b"".join(codes), np.float32).reshape(len(codes), -1).astype(np.float64)
 
 
 def _meet(most: int):
@@ -103,8 +126,12 @@ def _meet(most: int):
                 n = hi - lo
                 if n < 2:
                     continue
-                near = vectors[lo:hi] @ vectors[lo:hi].T
-                np.fill_diagonal(near, -2)
+                # minus the squared distance, which orders unit vectors as their cosine does, from
+                # one of them: vectors that lie close together keep their differences
+                own = vectors[lo:hi] - vectors[lo]
+                square = np.einsum("ij,ij->i", own, own)
+                near = 2 * (own @ own.T) - square[:, None] - square
+                np.fill_diagonal(near, -np.inf)
                 k = min(most, n - 1)
                 best = np.argpartition(-near, k - 1, axis=1)[:, :k]
                 own = np.repeat(np.arange(n), k)
@@ -140,41 +167,48 @@ def _reverse(edges: DataFrame, order: Column, most: int) -> DataFrame:
     return second.drop("_salt", "_by", "_n")
 
 
-def _by_projection(codes: DataFrame, count: int, seed: int, leaf: int) -> DataFrame:
-    """Places of about ``leaf`` vectors that lie on the same sides of random planes."""
+def _by_projection(codes: DataFrame, count: int, seed: int, leaf: int, trees: int) -> DataFrame:
+    """For every tree, places of about ``leaf`` vectors that lie on the same sides of random planes.
 
-    def plan(depth: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                units = _decoded(batch.column("code").to_pylist())
-                planes = np.random.default_rng(seed).standard_normal((depth, max(units.shape[1], 1)))
-                sides = units @ planes[:, : units.shape[1]].T > 0
-                code = (sides * (1 << np.arange(depth))).sum(1).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(code), batch.column("id")], names=["code", "id"])
-
-        return run
+    Planes go through the medians of the place they cut, so vectors crowded together are told
+    apart as others are. ``CUTS`` planes cut all places of all trees at a time.
+    """
+    depth = min(max(int(np.ceil(np.log2(max(count / leaf, 1)))), 1), 48)
 
-    depth = max(int(np.ceil(np.log2(max(count / leaf, 1)))), 1)
-    sides = codes.mapInArrow(plan(min(depth, 48)), "code long, id long")
-    sizes = sides.groupBy("code").count()
-    # crowded codes are cut into pieces by chance
-    pieces = F.ceil(F.col("count") / (2 * leaf))
-    cut = F.pmod(F.xxhash64("id", F.lit(seed)), pieces)
-    return sides.join(sizes, "code").select(F.xxhash64(F.lit(seed), "code", cut).alias("place"), "id")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = _decoded(batch.column("code").to_pylist())
+            planes = np.random.default_rng(seed).standard_normal((trees, depth, vectors.shape[1]))
+            for tree in range(trees):
+                on = pa.array(list(vectors @ planes[tree].T), pa.list_(pa.float64()))
+                ids = batch.column("id")
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), tree, np.int64)), ids, on], names=["place", "id", "on"])
+
+    places = codes.mapInArrow(run, "place long, id long, on array<double>")
+    for first in range(0, depth, CUTS):
+        axes = range(first, min(first + CUTS, depth))
+        known = Stored(places, "places").df
+        middles = known.groupBy("place").agg(*[F.percentile_approx(F.col("on")[n], 0.5, 1000).alias(f"m{n}") for n in axes])
+        sides = [(F.col("on")[n] > F.col(f"m{n}")) for n in axes]
+        places = known.join(middles, "place").select(F.xxhash64("place", *sides).alias("place"), "id", "on")
+    places = Stored(places.select("place", "id"), "places").df
+    sizes = places.groupBy("place").count()
+    # places that stay crowded are cut into pieces by chance
+    cut = F.pmod(F.xxhash64("id", F.lit(seed)), F.ceil(F.col("count") / (3 * leaf)))
+    return places.join(sizes, "place").select(F.xxhash64(F.lit(seed), "place", cut).alias("place"), "id")
 
 
 def build(codes: DataFrame, *, degree: int = DEGREE, rounds: int = ROUNDS, seed: int = SEED) -> DataFrame:
     """The neighbour graph: rows (a, b, near), ``degree`` per vector (id, code) at most."""
+    far = F.lit(float("-inf"))
     count = codes.count()
 
     def meeting(places: DataFrame, members: DataFrame, most: int) -> DataFrame:
         rows = places.join(members, "id").select("place", "id", "bar", "code")
         return rows.repartition("place").sortWithinPartitions("place").mapInArrow(_meet(most), "a long, b long, near float")
 
-    starts = _by_projection(codes, count, seed, 3 * degree)
-    for n in range(1, TREES):
-        starts = starts.unionByName(_by_projection(codes, count, seed + n, 3 * degree))
-    graph = Stored(_nearest(meeting(starts, codes.withColumn("bar", F.lit(-2.0)), degree), degree), "graph")
+    starts = _by_projection(codes, count, seed, 3 * degree, TREES)
+    graph = Stored(_nearest(meeting(starts, codes.withColumn("bar", far), degree), degree), "graph")
     for turn in range(rounds):
         edges = graph.df
         reverse = _reverse(edges, F.xxhash64("a", "b", F.lit(seed + turn)), degree)
@@ -185,8 +219,8 @@ def build(codes: DataFrame, *, degree: int = DEGREE, rounds: int = ROUNDS, seed:
             .distinct()
         )
         full = F.when(F.count(F.lit(1)) >= degree, F.min("near"))
-        bars = edges.groupBy(F.col("a").alias("id")).agg(F.coalesce(full, F.lit(-2.0)).cast("double").alias("bar"))
-        members = codes.join(bars, "id", "left").withColumn("bar", F.coalesce("bar", F.lit(-2.0)))
+        bars = edges.groupBy(F.col("a").alias("id")).agg(F.coalesce(full, far).cast("double").alias("bar"))
+        members = codes.join(bars, "id", "left").withColumn("bar", F.coalesce("bar", far))
         following = Stored(_nearest(meeting(places, members, degree // 3).unionByName(edges), degree), "graph")
         changed = following.df.join(edges, ["a", "b"], "left_anti").count()
         graph.delete()
@@ -263,13 +297,27 @@ def nearest(
         F.col(id_column).cast("long").alias("id"), F.col(vector_column).alias("vector"), is_query.alias("query")
     ).where(F.col("id").isNotNull() & usable(F.col("vector")) & F.exists(F.col("vector"), lambda x: x != 0))
     single = ids.groupBy("id").agg(F.min(F.struct("vector", "query")).alias("v")).select("id", "v.vector", "v.query")
-    vectors = Stored(single, "vectors").df
+    whole = Stored(single, "whole").df
+    # Equal vectors are one in the graph, the one with the least id; of the others the first that
+    # can be answers stand by it.
+    place = Window.partitionBy("vector").orderBy("id")
+    first = whole.groupBy("vector").agg(F.min("id").alias("first"), F.max(F.col("query").cast("int")).alias("query"))
+    firsts = first.select(F.col("first").alias("id"), "vector", (F.coalesce("query", F.lit(0)) == 1).alias("query"))
+    vectors = Stored(firsts, "vectors").df
+    copies = whole.withColumn("n", F.row_number().over(place)).where(F.col("n") <= k + 1).select("vector", F.col("id").alias("copy"))
+    copies = Stored(copies.join(first.select("vector", "first"), "vector").select(F.col("first").alias("id"), "copy"), "copies").df
+    asking = whole.where("query").select("vector", F.col("id").alias("query_id"))
+    asking = Stored(asking.join(first.select("vector", "first"), "vector").select(F.col("first").alias("query"), "query_id"), "asking").df
     width = vectors.agg(F.max(F.size("vector"))).first()[0] or 0
     codes = Stored(coded(vectors, width), "codes").df
     graph = build(codes, degree=degree, rounds=rounds)
     queries = vectors.where("query").select(F.col("id").alias("query"))
-    found = search(vectors.select("id", "vector"), graph, queries, k=k, beam=beam)
-    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "id")
-    return found.select(
-        F.col("query").alias("query_id"), F.row_number().over(order).alias("rank"), F.col("id").alias("vec_id"), "score"
-    )
+    pairs = vectors.select("id", "vector")
+    others = search(pairs, graph, queries, k=k, beam=beam)
+    itself = _measure(queries.withColumn("id", F.col("query")), pairs)
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
+    each = others.unionByName(itself).join(copies, "id").select("query", F.col("copy").alias("vec_id"), "score")
+    answers = each.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1).drop("n")
+    found = asking.join(answers, "query").where("query_id <> vec_id").drop("query")
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")))
+    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
