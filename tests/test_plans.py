@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidelog.operators import replay
 from tidelog.plans.interval import covering
 from tidelog.plans.prefix import Scan, prefix
 from tidelog.plans.scratch import drop_scratch, new_folder, shared_folder, written
@@ -123,3 +124,19 @@ def test_dropping_scratch_removes_only_what_was_made(spark, tmp_path):
     assert other.exists()
     assert never not in [str(p) for p in tmp_path.iterdir()]
     assert drop_scratch(spark) == 0
+
+
+def test_starts_of_many_shards_are_resolved_in_all_partitions(spark):
+    stream = F.concat(F.lit("s"), (F.col("id") % 1).cast("string")).alias("stream")
+    shards = spark.range(20_000).select(stream, F.col("id").cast("string").alias("shard_id"))
+    points = shards.withColumn("checkpoint", F.lit("5")).where("shard_id like '%7'")
+    installed = spark.createDataFrame([("s0", "horizon", None)], "stream string, kind string, ts_ms long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for position in (None, installed):
+            starts = replay.resolve_starts(shards, points, position, "recover")
+            held = starts.groupBy(F.spark_partition_id().alias("part")).count().collect()
+            assert sum(r["count"] for r in held) == 20_000, held
+            assert max(r["count"] for r in held) < 10_000, held
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidelog.functions import positions as P
 from tidelog.functions.sequence import order_key, with_order_key
 from tidelog.plans.scratch import written
-from tidelog.plans.spread import join_spread
+from tidelog.plans.spread import deal, join_spread
 from tidelog.schema import SHARD_END, SHARD_KEYS
 
 _MAX_TIMESTAMP_MS = (1 << 63) // 1000 - 1
@@ -86,9 +86,8 @@ def resolve_starts(
     ``recover`` for one that lost its place. A finished shard has a null kind: it is skipped.
     """
     reason = why if isinstance(why, Column) else F.lit(why)
-    joined = shards.join(
-        checkpoints.select(*SHARD_KEYS, "checkpoint"), SHARD_KEYS, "left"
-    )
+    points = checkpoints.select(*SHARD_KEYS, "checkpoint")
+    joined = deal(shards, SHARD_KEYS).join(deal(points, SHARD_KEYS), SHARD_KEYS, "left")
     if installed is None:
         joined = joined.withColumns(
             {"kind": F.lit(None).cast("string"), "ts_ms": F.lit(None).cast("long")}

@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 SALTS = 64
 
 
+def deal(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``rows`` dealt by ``by`` over all shuffle partitions.
+
+    Keys and states of shards shrink to little in a shuffle, and AQE, which goes by those bytes,
+    would bring most of a large table into a task or two; a number that is asked for it keeps.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def join_spread(
     rows: DataFrame, table: DataFrame, on: Sequence[str], by: Sequence[str], salts: int = SALTS
 ) -> DataFrame:
@@ -20,4 +29,5 @@ def join_spread(
     """
     dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int"))
     parts = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
-    return dealt.join(table.select("*", parts), [*on, "_salt"], "left").drop("_salt")
+    keys = [*on, "_salt"]
+    return deal(dealt, keys).join(deal(table.select("*", parts), keys), keys, "left").drop("_salt")
