@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidelog.operators import leases
@@ -304,3 +305,48 @@ def test_a_marker_skips_the_backlog_of_later_batches(spark, tmp_path):
     assert sorted((r.stream, r.at) for r in rows) == [
         ("s", 1), ("s", 3), ("s", 4), ("s", 10), ("s", 12), ("t", 2), ("t", 8), ("t", 11), ("t", 13),
     ]
+
+
+class CountedState:
+    """The calls of one key's state; every call of a running stream goes to the JVM and back."""
+
+    def __init__(self):
+        self.value, self.map, self.writes = None, {}, 0
+
+    def get(self):
+        return self.value
+
+    def exists(self):
+        return self.value is not None
+
+    def update(self, value):
+        self.value, self.writes = value, self.writes + 1
+
+    def updateValue(self, key, value):
+        self.map[key], self.writes = value, self.writes + 1
+
+    def iterator(self):
+        return iter(list(self.map.items()))
+
+    def keys(self):
+        return iter(list(self.map))
+
+    def clear(self):
+        self.map = {}
+
+
+def test_children_of_a_finished_parent_are_not_stored():
+    listed = Row(child=None, parents=None, closed=True, checkpoint=None)
+    ended = Row(child=None, parents=None, closed=None, checkpoint="SHARD_END")
+    children = [Row(child=f"c{n}", parents=1, closed=None, checkpoint=None) for n in range(20)]
+    gate = lineage_gate.ParentGate(False)
+    gate._state, gate._children = CountedState(), CountedState()
+    woken = [r.shard_id for r in gate.handleInputRows(("s", "p"), iter([*children[:10], listed, ended]), None)]
+    woken += [r.shard_id for r in gate.handleInputRows(("s", "p"), iter(children[10:]), None)]
+    assert woken == [f"c{n}" for n in range(20)]
+    assert gate._children.writes == 0 and gate._state.writes == 1
+    child = lineage_gate.ChildGate()
+    child._released, child._done = CountedState(), CountedState()
+    both = [Row(parent_id=p, parents=2) for p in "pq"]
+    assert [len(list(child.handleInputRows(("s", "c"), iter(both), None))) for _ in range(2)] == [1, 0]
+    assert child._done.writes == 0

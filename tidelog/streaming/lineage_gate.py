@@ -22,6 +22,7 @@ _PARENT = T.StructType(
         T.StructField("closed", T.BooleanType()),
         T.StructField("checkpoint", T.StringType()),
         T.StructField("done", T.BooleanType()),
+        T.StructField("waiting", T.BooleanType()),
     ]
 )
 _NAME = T.StructType([T.StructField("shard_id", T.StringType())])
@@ -30,6 +31,8 @@ _WAKE = T.StructType(
     [*_SHARD, T.StructField("parent_id", T.StringType()), T.StructField("parents", T.IntegerType())]
 )
 
+HELD = 1_000  # children of a parent kept in memory until it is known whether it is done
+
 
 class ParentGate(StatefulProcessor):
     """Per parent: whether it is done, and the children that wait for it."""
@@ -43,22 +46,37 @@ class ParentGate(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         stream, parent = key
-        listed, closed, checkpoint, done = self._state.get() if self._state.exists() else (False, False, None, False)
+        listed, closed, checkpoint, done, waiting = self._state.get() or (False, False, None, False, False)
+        known, held = (listed, closed, checkpoint, done, waiting), []
         for row in rows:
-            if row.child is not None:
-                self._children.updateValue((row.child,), (row.parents,))
-            elif row.checkpoint is not None:
-                checkpoint = row.checkpoint
+            if row.child is None:
+                if row.checkpoint is not None:
+                    checkpoint = row.checkpoint
+                else:
+                    listed, closed = True, closed or row.closed
+            elif done:  # a parent that is done stays so: its children need no place in the state
+                yield Row(stream=stream, shard_id=row.child, parent_id=parent, parents=row.parents)
+            elif len(held) < HELD:
+                held.append((row.child, row.parents))
             else:
-                listed, closed = True, closed or row.closed
+                waiting = True
+                self._children.updateValue((row.child,), (row.parents,))
         skipped = checkpoint is None and closed and self._from_tip
         done = done or checkpoint == SHARD_END or skipped or not listed
-        self._state.update((listed, closed, checkpoint, done and listed))
         if done:
-            woken = [(child, count) for (child,), (count,) in self._children.iterator()]
-            self._children.clear()
-            for child, count in woken:
+            for child, count in held:
                 yield Row(stream=stream, shard_id=child, parent_id=parent, parents=count)
+            if waiting:
+                woken = [(child, count) for (child,), (count,) in self._children.iterator()]
+                self._children.clear()
+                for child, count in woken:
+                    yield Row(stream=stream, shard_id=child, parent_id=parent, parents=count)
+        else:
+            for child, count in held:
+                self._children.updateValue((child,), (count,))
+        now = (listed, closed, checkpoint, done and listed, not done and (waiting or bool(held)))
+        if now != known:
+            self._state.update(now)
 
     def close(self) -> None:
         pass
@@ -72,14 +90,21 @@ class ChildGate(StatefulProcessor):
         self._released = handle.getValueState("released", T.StructType([T.StructField("yes", T.BooleanType())]))
 
     def handleInputRows(self, key, rows, timerValues):
-        needed = 0
+        if self._released.exists():
+            return
+        needed, parents = 0, set()
         for row in rows:
             needed = row.parents
-            self._done.updateValue((row.parent_id,), (1,))
-        if not self._released.exists() and sum(1 for _ in self._done.keys()) >= needed:
-            self._released.update((True,))
+            parents.add(row.parent_id)
+        # two parents at most; only one that came alone is kept until the other is done
+        if len(parents) < needed:
+            for parent in parents:
+                self._done.updateValue((parent,), (1,))
+            if sum(1 for _ in self._done.keys()) < needed:
+                return
             self._done.clear()
-            yield Row(stream=key[0], shard_id=key[1])
+        self._released.update((True,))
+        yield Row(stream=key[0], shard_id=key[1])
 
     def close(self) -> None:
         pass
