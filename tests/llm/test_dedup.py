@@ -189,6 +189,104 @@ def test_passages_are_found_and_clean_texts_left_alone(spark):
         assert r.similarity >= 0.8
 
 
+def edited_passages(groups: int, seed: int):
+    """rows (doc_id, text): passages of 60 words, each in three documents as it is and in six with
+    one word replaced, dropped or put in, among other words."""
+    rng, rows = np.random.default_rng(seed), []
+    for g in range(groups):
+        passage = prose(7_000 + 100 * seed + g, 60).split()
+        for n in range(9):
+            told, at = list(passage), int(rng.integers(3, 57))
+            if n > 2:
+                told[at : at + n % 2] = [f"edit{g}x{n}"] if n < 7 else []
+            rows.append((f"{prose(int(rng.integers(1, 2**40)), 30)} {' '.join(told)} {prose(int(rng.integers(1, 2**40)), 30)}"))
+    places = rng.permutation(len(rows))
+    return [(int(places[n]), text) for n, text in enumerate(rows)], [places[9 * g : 9 * g + 9].tolist() for g in range(groups)]
+
+
+def shingle_runs(text, least=46):
+    told = words(lower(text))
+    shingles = [tuple(told[k : k + 5]) for k in range(len(told) - 4)]
+    return [frozenset(shingles[k : k + least]) for k in range(len(shingles) - least + 1)]
+
+
+def alike(one, two, similarity=0.8):
+    """Whether two texts hold passages of 50 words each that are similar enough, by trying all."""
+    one, two = shingle_runs(one), shingle_runs(two)
+    if len(frozenset().union(*one) & frozenset().union(*two)) < similarity * min(map(len, [*one, *two])):
+        return False
+    return any(len(x & y) >= similarity * len(x | y) for x in one for y in two)
+
+
+@pytest.mark.parametrize("piece", [4, 1024])
+def test_edited_passages_are_linked_whichever_is_the_first(spark, piece):
+    rows, groups = edited_passages(40, 1)
+    found = passages.near_passages(spark.createDataFrame(sorted(rows), "doc_id long, text string"), piece=piece).collect()
+    by = classes(range(len(rows)), [(r.doc_id, r.other_id) for r in found])
+    assert all(len({by[i] for i in docs}) == 1 for docs in groups)
+    assert len({by[docs[0]] for docs in groups}) == len(groups)
+
+
+def test_passages_equal_brute_force(spark):
+    rng = np.random.default_rng(8)
+    rows = edited_passages(2, 2)[0]
+    line = prose(71, 30)  # too short for a passage, in many documents
+    base = [prose(60 + n, 58).split() for n in range(3)]
+    for n in range(24):
+        told = list(base[n % 3])
+        for at in rng.integers(0, len(told), n % 4):  # up to three edits: some match, some do not
+            told[at] = f"word{n}x{at}"
+        if n % 5 == 0:
+            told = told[:54]
+        rows.append((100 + n, f"{prose(300 + n, n)} {line} {' '.join(told)} {prose(400 + n, 40)}"))
+    texts = dict(rows)
+    links = [(a, b) for a in texts for b in texts if a < b and alike(texts[a], texts[b])]
+    found = passages.near_passages(spark.createDataFrame(rows, "doc_id long, text string"), rows=16, piece=8).collect()
+    by = classes(texts, [(r.doc_id, r.other_id) for r in found])
+    assert len(links) > 60
+    assert all(by[a] == by[b] for a, b in links)
+    for r in found:
+        sets = []
+        for i, a, b in ((r.doc_id, r.start, r.stop), (r.other_id, r.other_start, r.other_stop)):
+            told = words(lower(texts[i]))[a:b]
+            sets.append({tuple(told[k : k + 5]) for k in range(len(told) - 4)})
+        assert r.stop - r.start >= 50
+        assert len(sets[0] & sets[1]) / len(sets[0] | sets[1]) == pytest.approx(r.similarity)
+        assert r.similarity >= 0.8
+
+
+def test_passages_at_the_edge_and_after_their_own_half(spark):
+    whole, edge, long = prose(901, 70).split(), prose(902, 52).split(), prose(903, 150).split()
+    other, third = list(edge), list(long)
+    other[1] = "changed"
+    for at in (40, 85, 120):
+        third[at] = "changed"
+    rows = [
+        (1, f"{prose(1, 40)} {' '.join(whole)} {prose(2, 40)}"),
+        (2, f"{prose(3, 40)} {' '.join(whole[:35])} {prose(4, 90)} {' '.join(whole)} {prose(5, 40)}"),
+        (3, f"{prose(6, 40)} {' '.join(edge)} {prose(7, 40)}"),
+        (4, f"{prose(8, 40)} {' '.join(other)} {prose(9, 40)}"),
+        (5, f"{prose(10, 40)} {' '.join(long)} {prose(11, 40)}"),
+        (6, f"{prose(12, 40)} {' '.join(third)} {prose(13, 40)}"),
+    ]
+    texts = dict(rows)
+    assert all(alike(texts[i], texts[i + 1]) for i in (1, 3, 5))
+    found = passages.near_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {tuple(sorted((r.doc_id, r.other_id))) for r in found} == {(1, 2), (3, 4), (5, 6)}
+
+
+def test_seeds_are_in_common_for_certain():
+    assert passages.seed_shape(46, 0.8) == (14, 10)
+    assert passages.seed_shape(46, 1.0) == (30, 21)
+    rng = np.random.default_rng(4)
+    for values in (rng.integers(1, 2**63, 300), rng.integers(1, 4, 300)):
+        values = values.astype(np.uint64)
+        kept = set(values[passages.centres(values, 10)].tolist())
+        assert all(int(values[i : i + 10].min()) in kept for i in range(291))
+        assert kept == set(values[passages.compact_windows(values, 10)[1]].tolist())
+    assert len(passages.centres(np.arange(5, dtype=np.uint64), 10)) == 0
+
+
 def test_shared_runs_of_the_table_are_linked(spark, sf):
     documents = table(spark, sf, "documents")
     texts = {r.doc_id: r.text for r in documents.collect()}

@@ -4,20 +4,26 @@ A text is a sequence of shingles. Under one hash function the Cartesian tree ove
 hashes cuts all subsequences of ``min_words`` or more into few compact windows: window (l, c, r)
 stands for every subsequence that starts in [l, c] and ends in [c, r], and all of them have the
 hash at c as their min-hash. Windows of different documents with one min-hash share a signature.
-Within such a group, windows that also agree on what surrounds c are joined to one of them, and
-these representatives to one of theirs, so a passage in n documents makes about n pairs and not
-n squared. Documents paired under enough hash functions are compared over the hull of their
-windows, and passages are reported whose shingle sets are similar enough.
+
+Min-hashes agree by chance only. But a passage that is similar enough also holds a run of words
+without any change (``seed_shape``), so the same windows are taken over longer runs of words: the
+min-hashes of all unchanged runs, seeds, agree for certain. A group of equal seeds is first
+compared with one of its documents, so a passage in n documents makes about n pairs and not n
+squared. What does not match that one is compared with the others of the group, until it is
+linked to them or none is left. Documents that agree under enough hash functions are compared
+as well.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.blocks import BLOCK_ROWS, Blocked, in_blocks
@@ -31,6 +37,10 @@ ENOUGH = 2
 AROUND = 5  # shingles on either side of a window's centre that tell its surroundings
 GAP = 3 * WIDTH  # shingles two matches may lie apart within one passage
 MEMBERS = 256  # documents compared with one copy of their representative
+PIECE = 1024  # documents of a group that are compared in one piece
+BREAK = 7  # shingles, of both texts, that an edit within a passage costs at least
+SMALL = 512  # shingles up to which all passages of two texts are tried at once
+OCCURRENCES = 8  # places of a shingle that are all tried as starts of a run
 
 _SPREAD = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -56,32 +66,50 @@ def _power(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
-def shingle_hashes(text: str | None) -> np.ndarray:
-    """A hash of every run of ``WIDTH`` words: a polynomial of its bytes, mixed.
+def run_hashes(text: str | None, widths: tuple[int, ...]) -> list[np.ndarray]:
+    """For each width a hash of every run of so many words: a polynomial of its bytes, mixed.
 
     The polynomials of all runs are differences of one running sum.
     """
     joined, starts, ends = word_bytes(text, lower=True)
-    if len(starts) < WIDTH:
-        return np.empty(0, np.uint64)
+    if len(starts) < min(widths):
+        return [np.empty(0, np.uint64) for _ in widths]
     letters = np.frombuffer(joined, np.uint8).astype(np.uint64) + np.uint64(1)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(letters * _power(_BASE, len(letters)))))
-    begin, end = starts[: len(starts) - WIDTH + 1], ends[WIDTH - 1 :]
     shift = _power(pow(_BASE, -1, 2**64), len(letters))
-    return mixed((sums[end] - sums[begin]) * shift[begin], HASHES + 97)
+    found = []
+    for width in widths:
+        begin, end = starts[: max(len(starts) - width + 1, 0)], ends[width - 1 :]
+        found.append(mixed((sums[end] - sums[begin]) * shift[begin], HASHES + 97))
+    return found
 
 
-def compact_windows(values: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The windows (l, c, r) that hold runs of ``least`` values or more, without zeros in them.
+def shingle_hashes(text: str | None) -> np.ndarray:
+    """A hash of every run of ``WIDTH`` words."""
+    return run_hashes(text, (WIDTH,))[0]
 
-    These are the inner nodes of the Cartesian tree that are wide enough. Their values are the
-    minima of all runs of exactly ``least`` values; equal minima of neighbouring runs make one
-    node, and a node reaches to the nearest smaller minima on either side. A zero cuts the
-    values. Equal values may share a window.
+
+def seed_shape(least: int, similarity: float) -> tuple[int, int]:
+    """(words of a seed, seeds in a row of which one is kept), so that two passages of ``least``
+    shingles or more with this similarity have a kept seed in common.
+
+    With c shingles in common at most c (1 / similarity - 1) are not, and every edit between two
+    unchanged runs costs ``BREAK`` of them or more, unless the passage repeats its own words
+    there. So c shingles lie in few runs, and the longest is no shorter than computed here.
     """
-    none = np.empty(0, np.int64)
-    if len(values) < least:
-        return none, none, none
+    fewest = math.ceil(similarity * least - 1e-9)
+    run, edits = fewest, 1
+    while similarity < 1 and edits < least:
+        run = min(run, math.ceil(max(fewest, BREAK * edits * similarity / (1 - similarity)) / (edits + 1) - 1e-9))
+        edits += 1
+    words = run + WIDTH - 1
+    width = max(WIDTH, round(0.6 * words))
+    return width, words - width + 1
+
+
+def _minima(values: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(minimum, first run, last run, its place) of all runs of ``least`` values, where equal
+    minima of neighbouring runs are one."""
     low, size = values, 1
     while 2 * size <= least:
         low, size = np.minimum(low[:-size], low[size:]), 2 * size
@@ -105,6 +133,29 @@ def compact_windows(values: np.ndarray, least: int) -> tuple[np.ndarray, np.ndar
     hit = np.flatnonzero(values[at] == np.repeat(node[unknown], many))
     owner = np.searchsorted(ends, hit, "right")
     centre[unknown[owner]] = at[hit]
+    return node, first, last, centre
+
+
+def centres(values: np.ndarray, least: int) -> np.ndarray:
+    """The centres of the compact windows alone."""
+    if len(values) < least:
+        return np.empty(0, np.int64)
+    node, _, _, centre = _minima(values, least)
+    return centre[node > 0]
+
+
+def compact_windows(values: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows (l, c, r) that hold runs of ``least`` values or more, without zeros in them.
+
+    These are the inner nodes of the Cartesian tree that are wide enough. Their values are the
+    minima of all runs of exactly ``least`` values; equal minima of neighbouring runs make one
+    node, and a node reaches to the nearest smaller minima on either side. A zero cuts the
+    values. Equal values may share a window.
+    """
+    none = np.empty(0, np.int64)
+    if len(values) < least:
+        return none, none, none
+    node, first, last, centre = _minima(values, least)
     left, right = np.zeros(len(node), np.int64), np.full(len(node), len(values) - 1)
     stack: list[int] = []
     told = node.tolist()
@@ -121,14 +172,15 @@ def compact_windows(values: np.ndarray, least: int) -> tuple[np.ndarray, np.ndar
     return left[real], centre[real], right[real]
 
 
-def _windows_of(texts: list[str | None], hashes: int, least: int) -> list[np.ndarray]:
-    """Columns (place of the text, k, key, sig, l, c, r) of the windows of some texts."""
-    found = [shingle_hashes(t) for t in texts]
-    starts = np.cumsum([0, *(len(f) + 1 for f in found)])[:-1]
+def _windows_of(texts: list[str | None], hashes: int, least: int, seed: tuple[int, int]) -> list[np.ndarray]:
+    """Columns (place of the text, k, key, sig, l, r) of the windows of some texts, and with k =
+    ``hashes`` of their seeds, whose l and r are the shingle at which they begin."""
+    found = [run_hashes(t, (WIDTH, seed[0])) for t in texts]
+    starts = np.cumsum([0, *(len(f) + 1 for f, _ in found)])[:-1]
     cut = np.zeros(1, np.uint64)
-    shingles = np.concatenate([x for f in found for x in (f, cut)])
+    shingles = np.concatenate([x for f, _ in found for x in (f, cut)])
     walls = starts[1:] - 1
-    ends = starts + [len(f) for f in found]
+    ends = starts + [len(f) for f, _ in found]
     sums = np.concatenate((cut, np.cumsum(mixed(shingles, HASHES + 96))))
     out = []
     for k in range(hashes):
@@ -139,27 +191,32 @@ def _windows_of(texts: list[str | None], hashes: int, least: int) -> list[np.nda
         place = np.searchsorted(starts, c, "right") - 1
         near = sums[np.minimum(c + AROUND + 1, ends[place])] - sums[np.maximum(c - AROUND, starts[place])]
         at = starts[place]
-        out.append((place, np.full(len(c), k), values[c].view(np.int64), near.view(np.int64), l - at, c - at, r - at))
+        out.append((place, np.full(len(c), k), values[c].view(np.int64), near.view(np.int64) >> 32, l - at, r - at))
+    begins = np.cumsum([0, *(len(f) + 1 for _, f in found)])[:-1]
+    values = np.concatenate([x for _, f in found for x in (np.maximum(f, np.uint64(1)), cut)])
+    c = centres(values, seed[1])
+    place = np.searchsorted(begins, c, "right") - 1
+    at = c - begins[place]
+    out.append((place, np.full(len(c), hashes), values[c].view(np.int64), np.zeros(len(c), np.int64), at, at))
     return [np.concatenate(x) for x in zip(*out, strict=True)]
 
 
-def _windows(blocked: Blocked, copies: DataFrame, hashes: int, least: int) -> DataFrame:
-    """Rows (_row, k, key, sig, l, c, r) of every distinct text."""
+def _windows(blocked: Blocked, copies: DataFrame, hashes: int, least: int, seed: tuple[int, int]) -> DataFrame:
+    """Rows (_row, key, tag, span) of every distinct text; tag holds (sig, k) and span (l, r)."""
     row_name = blocked.row
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-    names = ["_row", "k", "key", "sig", "l", "c", "r"]
+    names = ["_row", "key", "tag", "span"]
 
     def run(own: pa.Table, others: pa.Table) -> pa.Table:
         own = own.filter(pc.invert(pc.is_in(own.column(row_name), others.column("_row").combine_chunks())))
         tables = []
         for lo in range(0, own.num_rows, 64):
             part = own.slice(lo, 64)
-            place, *columns = _windows_of(part.column("text").to_pylist(), hashes, least)
-            rows = part.column(row_name).to_numpy()[place]
-            tables.append(pa.table([pa.array(c).cast(t) for c, t in zip([rows, *columns], types, strict=True)], names=names))
-        return pa.concat_tables([pa.table([pa.array([], t) for t in types], names=names), *tables])
+            place, k, key, sig, l, r = _windows_of(part.column("text").to_pylist(), hashes, least, seed)
+            columns = [part.column(row_name).to_numpy()[place], key, sig << 8 | k, l << 32 | r]
+            tables.append(pa.table([pa.array(c, pa.int64()) for c in columns], names=names))
+        return pa.concat_tables([pa.table([pa.array([], pa.int64()) for _ in names], names=names), *tables])
 
-    return blocked.with_rows(copies, run, "_row long, k int, key long, sig long, l int, c int, r int", ["text"])
+    return blocked.with_rows(copies, run, "_row long, key long, tag long, span long", ["text"])
 
 
 def _pairs(windows: DataFrame, enough: int) -> DataFrame:
@@ -180,49 +237,211 @@ def _pairs(windows: DataFrame, enough: int) -> DataFrame:
     return grouped.where(F.col("n") >= enough).drop("n")
 
 
-def matches(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -> Iterator[tuple[int, int, int, int, float]]:
+def _seeded(seeds: DataFrame) -> DataFrame:
+    """Rows (a, at, b, place): every seed of a document b with its place, and the first document
+    a of those that have it."""
+    rep = F.min(F.struct("_row", "l")).over(Window.partitionBy("key"))
+    tied = seeds.select("_row", "l", rep.alias("rep")).where("_row <> rep._row")
+    return tied.select(F.col("rep._row").alias("a"), F.col("rep.l").alias("at"), F.col("_row").alias("b"), F.col("l").alias("place"))
+
+
+def _seed_pairs(seeded: DataFrame, wide: int, reach: int) -> DataFrame:
+    """The pairs of ``seeded``, with the hulls of their seeds and what lies around these."""
+    return seeded.groupBy("a", "b").agg(
+        F.greatest(F.min("at") - reach, F.lit(0)).alias("al"),
+        (F.max("at") + wide + reach).alias("ar"),
+        F.greatest(F.min("place") - reach, F.lit(0)).alias("bl"),
+        (F.max("place") + wide + reach).alias("br"),
+    )
+
+
+def _last_seen(values: np.ndarray) -> np.ndarray:
+    """Where each value was seen last before; -1 if never."""
+    order = np.argsort(values, kind="stable")
+    seen = np.full(len(values), -1)
+    same = values[order[1:]] == values[order[:-1]]
+    seen[order[1:][same]] = order[:-1][same]
+    return seen
+
+
+def _fewest(values: np.ndarray, least: int) -> float:
+    """The fewest distinct values in ``least`` neighbouring ones; infinite if there are not so many."""
+    if len(values) < least:
+        return math.inf
+    seen = np.lib.stride_tricks.sliding_window_view(_last_seen(values), least)
+    return int((seen < np.arange(len(seen))[:, None]).sum(1).min())
+
+
+def _distinct(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """At (n, e) the number of distinct values from starts[n] to e inclusive."""
+    n, starts = np.arange(len(values)), starts[:, None]
+    seen = _last_seen(values)
+    if seen.max() < 0:
+        return n - starts + 1
+    return np.cumsum((seen < starts) & (n >= starts), 1)
+
+
+def _nearest(a: np.ndarray, b: np.ndarray, diagonal: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (p, q) of the values of ``a`` that ``b`` has, of several the one closest to the diagonal."""
+    order = np.argsort(b, kind="stable")
+    held = b[order]
+    if (held[1:] != held[:-1]).all():
+        at = np.minimum(np.searchsorted(held, a), len(b) - 1)
+        p = np.flatnonzero(held[at] == a)
+        return p, order[at[p]]
+    far = len(a) + len(b)
+    drift = np.abs(np.arange(len(b))[None, :] - np.arange(len(a))[:, None] - diagonal)
+    drift[a[:, None] != b[None, :]] = far
+    q = drift.argmin(1)
+    p = np.flatnonzero(drift[np.arange(len(a)), q] < far)
+    return p, q[p]
+
+
+def _jaccard(one: np.ndarray, two: np.ndarray) -> float:
+    one, two = np.unique(one), np.unique(two)
+    common = len(np.intersect1d(one, two, assume_unique=True))
+    return common / (len(one) + len(two) - common)
+
+
+def _longest(
+    a: np.ndarray, b: np.ndarray, diagonal: int, least: int, similarity: float
+) -> tuple[int, int, int, int, float] | None:
+    """The longest passage of all that begin and end with shared runs. If they are shorter than
+    ``least`` in both texts, they are filled up to it."""
+    p, q = _nearest(a, b, diagonal)
+    if not len(p):
+        return None
+    # Longer is better as long as shingles go on alike in both: passages hold whole runs.
+    cut = (np.diff(p) != 1) | (np.diff(q) != 1)
+    first, last = np.flatnonzero(np.concatenate(([True], cut))), np.flatnonzero(np.concatenate((cut, [True])))
+    n = np.arange(len(first))
+    later = n[None, :] >= n[:, None]
+    left = np.minimum.accumulate(np.where(later, q[first][None, :], len(b) - 1), 1)
+    right = np.maximum.accumulate(np.where(later, q[last][None, :], 0), 1)
+    common = _distinct(a[p], first)[:, last]
+    begins = np.unique(np.concatenate((q[first], [len(b) - 1])))
+    deepest = _distinct(b, begins)[np.searchsorted(begins, left), right]
+    union = _distinct(a, p[first])[:, p[last]] + deepest - common
+    wide, deep = p[last][None, :] - p[first][:, None] + 1, right - left + 1
+    short = np.maximum(wide, deep) < least
+    filled = np.where(short, np.maximum(least - wide, 0) + np.maximum(least - deep, 0), 0)
+    right_size = ~short if min(len(a), len(b)) < least else True
+    good = later & right_size & (common >= similarity * (union + filled))
+    if not good.any():
+        return None
+    x, y = np.unravel_index(np.where(good, wide + deep, 0).argmax(), good.shape)
+    s, e, t, u = int(p[first[x]]), int(p[last[y]]) + 1, int(left[x, y]), int(right[x, y]) + 1
+    if short[x, y]:
+        e, u = min(max(e, s + least), len(a)), min(max(u, t + least), len(b))
+        s, t = min(s, e - least), min(t, u - least)
+    return s, e, t, u, _jaccard(a[s:e], b[t:u])
+
+
+def _around(
+    a: np.ndarray, b: np.ndarray, i: int, j: int, size: int, least: int, similarity: float
+) -> tuple[int, int, int, int, float] | None:
+    """The longest passage around a run that ``a`` has at i and ``b`` at j."""
+    lo, base = max(i - least - GAP, 0), max(j - least - GAP, 0)
+    near = a[lo : i + size + least + GAP], b[base : j + size + least + GAP]
+    found = _longest(*near, j - base - (i - lo), least, similarity)
+    return found and (found[0] + lo, found[1] + lo, found[2] + base, found[3] + base, found[4])
+
+
+def _lacking(present: np.ndarray, fewest: int, similarity: float, share: float) -> np.ndarray:
+    """At e the best sum of ``fewest`` values or more that end with e, where one that is shared
+    counts 1 and one that is not takes off so much that at least 0 remains if those that are not
+    make up the ``share`` of what the similarity allows. Along the last axis."""
+    loss = similarity / (1 - similarity) / share if similarity < 1 else present.shape[-1] + 1
+    sums = np.cumsum(np.where(present, 1.0, -loss), -1)
+    sums = np.concatenate((np.zeros((*sums.shape[:-1], 1)), sums), -1)
+    if sums.shape[-1] <= fewest:
+        return np.full((*sums.shape[:-1], 1), -np.inf)
+    return sums[..., fewest:] - np.minimum.accumulate(sums, -1)[..., :-fewest]
+
+
+def matches(
+    a: np.ndarray, b: np.ndarray, least: int, similarity: float, anchor: int
+) -> Iterator[tuple[int, int, int, int, float]]:
     """Passages (start, stop in a, start, stop in b, similarity), in shingles, of ``least`` or
-    more in ``a``: runs of shared shingles whose sets have at least that Jaccard similarity."""
-    held, first = np.unique(b, return_index=True)
-    if not len(held) or not len(a):
-        return
-    at = np.minimum(np.searchsorted(held, a), len(held) - 1)
-    shared = np.flatnonzero(held[at] == a)
-    if not len(shared):
+    more in one of them, whose sets have at least that Jaccard similarity: first whole runs of
+    shared shingles, then what lies around unchanged runs of ``anchor`` or more that are in none."""
+    order = np.argsort(b, kind="stable")
+    held = b[order]
+    lo, hi = np.searchsorted(held, a, "left"), np.searchsorted(held, a, "right")
+    many = hi - lo
+    common = len(np.unique(a[many > 0]))
+    if not common or common < similarity * least and common < similarity * min(_fewest(a, least), _fewest(b, least)):
         return
-    place = first[at[shared]]
+    if max(len(a), len(b)) <= SMALL:
+        # Where no shingle repeats, there is one way only to place them.
+        if (held[1:] != held[:-1]).all():
+            if not _longest(a, b, 0, least, similarity):
+                return
+        elif len(np.unique(a)) == len(a) and not _longest(b, a, 0, least, similarity):
+            return
+    take = np.where(many > OCCURRENCES, 2, many)
+    i = np.repeat(np.arange(len(a)), take)
+    nth = np.arange(len(i)) - np.repeat(np.cumsum(take) - take, take)
+    at = np.repeat(lo, take) + nth
+    ends = (nth == 1) & (np.repeat(many, take) > OCCURRENCES)
+    at[ends] = np.repeat(hi, take)[ends] - 1
+    j = order[at]
+    # Runs lie on one diagonal.
+    order = np.lexsort((i, j - i))
+    i, j = i[order], j[order]
+    new = np.concatenate(([True], (np.diff(i) != 1) | (np.diff(j) != 1)))
+    begin = np.flatnonzero(new)
+    size = np.diff([*begin, len(i)])
+    # Of several places in b the one in the longest run.
+    order = np.lexsort((j, -np.repeat(size, size), i))
+    order = order[np.concatenate(([True], np.diff(i[order]) > 0))]
+    shared, place = i[order], j[order]
     # A passage goes on while its matches lie close to each other in both texts. One that is
     # not similar enough is cut where they lie farthest apart.
     apart = np.maximum(np.diff(shared), np.abs(np.diff(place)))
     cuts = np.flatnonzero(apart > GAP) + 1
     parts = list(zip([0, *cuts], [*cuts, len(shared)], strict=True))
+    known = []
     while parts:
         lo, hi = parts.pop()
         s, e = int(shared[lo]), int(shared[hi - 1]) + 1
-        if e - s < least:
-            continue
         t, u = int(place[lo:hi].min()), int(place[lo:hi].max()) + 1
-        one, two = np.unique(a[s:e]), np.unique(b[t:u])
-        common = len(np.intersect1d(one, two, assume_unique=True))
-        score = common / (len(one) + len(two) - common)
+        if max(e - s, u - t) < least:
+            continue
+        score = _jaccard(a[s:e], b[t:u])
         if score >= similarity:
+            known.append((s, e, t, u))
             yield s, e, t, u, score
         elif hi - lo > 1:
             at = lo + 1 + int(apart[lo : hi - 1].argmax())
             parts += [(lo, at), (at, hi)]
+    long = np.flatnonzero(size >= anchor)
+    for n in long[np.argsort(-size[long], kind="stable")]:
+        x, y, many = int(i[begin[n]]), int(j[begin[n]]), int(size[n])
+        if any(s <= x and x + many <= e for s, e, _, _ in known) and any(t <= y and y + many <= u for _, _, t, u in known):
+            continue
+        found = (x, x + many, y, y + many, 1.0) if many >= least else _around(a, b, x, y, many, least, similarity)
+        if found:
+            known.append(found[:4])
+            yield found
 
 
-def _verified(blocked: Blocked, pairs: DataFrame, rows: int, least: int, similarity: float) -> DataFrame:
-    """Compares pairs: every representative is sent once for some members, each member once."""
-    sizes = pairs.groupBy("a").count()
-    dealt = pairs.join(sizes, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("count") / MEMBERS)).cast("int"))
-    dealt = Stored(dealt, "pairs").df
-    reps = dealt.groupBy("a", "salt").agg(F.min("al").alias("l"), F.max("ar").alias("r"))
-    wanted = reps.select("a", "salt", F.lit(0).alias("side"), F.col("a").alias("_row"), "l", "r").unionByName(
-        dealt.select("a", "salt", F.lit(1).alias("side"), F.col("b").alias("_row"), F.col("bl").alias("l"), F.col("br").alias("r"))
-    )
+NAMES = ["doc_id", "start", "stop", "other_id", "other_start", "other_stop", "similarity"]
+
+
+def _told(doc, l: int, other, start: int, found: tuple[int, int, int, int, float], least: int) -> tuple:
+    """A passage as a row of ``NAMES``; the text in which it is long enough comes first."""
+    s, e, t, u, score = found
+    one, two = (doc, l + s, l + e + WIDTH - 1), (other, start + t, start + u + WIDTH - 1)
+    return (*one, *two, score) if e - s >= least else (*two, *one, score)
+
+
+def _regions(blocked: Blocked, wanted: DataFrame, rows: int, carried: str) -> DataFrame:
+    """The rows of ``wanted`` (_row, l, r and ``carried``, a schema) with the document's id and
+    its shingles from l to r."""
     wanted = wanted.withColumn("_block", F.floor(F.col("_row") / rows).cast("long"))
     row_name = blocked.row
+    names = [c.split()[0] for c in carried.split(", ")]
 
     def cut(own: pa.Table, others: pa.Table) -> pa.Table:
         places = {r: i for i, r in enumerate(own.column(row_name).to_pylist())}
@@ -235,36 +454,154 @@ def _verified(blocked: Blocked, pairs: DataFrame, rows: int, least: int, similar
                 last, shingles = row, shingle_hashes(texts[places[row]].as_py()).astype(np.uint32)
             regions.append(shingles[l : r + 1].tobytes())
             docs.append(ids[places[row]].as_py())
-        kept = asked.select(["a", "salt", "side", "l"])
+        kept = asked.select([*names, "_row", "l"])
         return kept.append_column("doc", pa.array(docs, ids.type)).append_column("region", pa.array(regions, pa.binary()))
 
-    id_type = next(f.dataType.simpleString() for f in blocked.table.schema.fields if f.name == "doc_id")
-    regions = blocked.with_rows(wanted, cut, f"a long, salt int, side int, l int, doc {id_type}, region binary", ["doc_id", "text"])
+    schema = f"{carried}, _row long, l int, doc {_id_type(blocked)}, region binary"
+    return blocked.with_rows(wanted, cut, schema, ["doc_id", "text"])
+
+
+def _id_type(blocked: Blocked) -> str:
+    return next(f.dataType.simpleString() for f in blocked.table.schema.fields if f.name == "doc_id")
+
+
+def _rows_of(out: list[tuple], doc: pa.DataType) -> tuple[list[pa.Array], list[str]]:
+    types = [doc, pa.int32(), pa.int32(), doc, pa.int32(), pa.int32(), pa.float64()]
+    columns = list(zip(*out, strict=True)) if out else [[]] * len(types)
+    return [pa.array(c, t) for c, t in zip(columns, types, strict=True)], NAMES
+
+
+def _schema(blocked: Blocked) -> str:
+    ids = _id_type(blocked)
+    return f"doc_id {ids}, start int, stop int, other_id {ids}, other_start int, other_stop int, similarity double"
+
+
+def _verified(blocked: Blocked, pairs: DataFrame, rows: int, least: int, similarity: float, anchor: int) -> DataFrame:
+    """Compares pairs: every representative is sent once for some members, each member once.
+
+    Besides ``NAMES`` the rows have the pair (a, b) and the shingles (first, last) of b."""
+    sizes = pairs.groupBy("a").count()
+    dealt = pairs.join(sizes, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("count") / MEMBERS)).cast("int"))
+    dealt = Stored(dealt, "pairs").df
+    reps = dealt.groupBy("a", "salt").agg(F.min("al").alias("l"), F.max("ar").alias("r"))
+    wanted = reps.select("a", "salt", F.lit(0).alias("side"), F.col("a").alias("_row"), "l", "r").unionByName(
+        dealt.select("a", "salt", F.lit(1).alias("side"), F.col("b").alias("_row"), F.col("bl").alias("l"), F.col("br").alias("r"))
+    )
+    regions = _regions(blocked, wanted, rows, "a long, salt int, side int")
     ordered = regions.repartition("a", "salt").sortWithinPartitions("a", "salt", "side")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rep = None
         for batch in batches:
-            out = []
-            for a, salt, side, l, doc, region in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            out, pair = [], []
+            for a, _, side, b, l, doc, region in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 shingles = np.frombuffer(region, np.uint32)
                 if side == 0:
                     rep = (l, doc, shingles)
                     continue
                 start, other, held = rep
-                for s, e, t, u, score in matches(shingles, held, least, similarity):
-                    out.append((doc, l + s, l + e + WIDTH - 1, other, start + t, start + u + WIDTH - 1, score))
-            columns = list(zip(*out, strict=True)) if out else [[]] * 7
-            types = [batch.schema.field("doc").type, pa.int32(), pa.int32(), batch.schema.field("doc").type, pa.int32(), pa.int32(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=NAMES)
-
-    return ordered.mapInArrow(
-        compare,
-        f"doc_id {id_type}, start int, stop int, other_id {id_type}, other_start int, other_stop int, similarity double",
-    )
+                for found in matches(shingles, held, least, similarity, anchor):
+                    out.append(_told(doc, l, other, start, found, least))
+                    pair.append((a, b, l + found[0], l + found[1] - 1))
+            columns, names = _rows_of(out, batch.schema.field("doc").type)
+            numbers = list(zip(*pair, strict=True)) if pair else [[]] * 4
+            columns += [pa.array(c, pa.int64()) for c in numbers]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "a", "b", "first", "last"])
 
+    return ordered.mapInArrow(compare, f"{_schema(blocked)}, a long, b long, first long, last long")
 
-NAMES = ["doc_id", "start", "stop", "other_id", "other_start", "other_stop", "similarity"]
+
+def _among_others(
+    blocked: Blocked, seeded: DataFrame, found: DataFrame, rows: int, wide: int, least: int, similarity: float, anchor: int, piece: int
+) -> DataFrame:
+    """Compares documents that did not match the first one of their group with its others.
+
+    A group is what has seeds in one stretch of its first document. Its documents are dealt to
+    pieces; each piece of those without a match meets each piece of all, where a document is
+    compared until it is linked, through whatever others, to all that it may match.
+    """
+    reach = least + GAP
+    linked = found.select("a", "b", "first", "last")
+    covered = F.col("first").isNotNull() & F.col("place").between(F.col("first"), F.col("last"))
+    members = (
+        seeded.join(linked, ["a", "b"], "left")
+        .groupBy("a", F.floor(F.col("at") / least).cast("int").alias("part"), "b")
+        .agg(F.min("place").alias("l"), F.max("place").alias("r"), (~F.bool_or(covered)).alias("alone"))
+    )
+    members = Stored(members, "members").df
+    sizes = members.groupBy("a", "part").agg(
+        F.ceil(F.count(F.lit(1)) / piece).cast("int").alias("pieces"),
+        F.ceil(F.count_if("alone") / piece).cast("int").alias("asking"),
+        F.count(F.lit(1)).alias("many"),
+    )
+    among = members.join(sizes.where("asking > 0 and many > 1"), ["a", "part"])
+    mine = F.pmod(F.xxhash64("b"), F.col("pieces")).cast("int")
+    asks = F.when(F.col("alone"), F.pmod(F.xxhash64("b"), F.col("asking")).cast("int"))
+    cells = F.transform(F.sequence(F.lit(0), F.col("asking") - 1), lambda x: F.struct(x.alias("x"), F.col("mine").alias("y")))
+    further = F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda y: F.struct(F.col("asks").alias("x"), y.alias("y")))
+    dealt = among.withColumn("mine", mine).withColumn("asks", asks).withColumn(
+        "cell", F.explode(F.when(F.col("alone"), F.array_union(cells, further)).otherwise(cells))
+    )
+    wanted = dealt.select(
+        "a", "part", F.col("cell.x").alias("x"), F.col("cell.y").alias("y"), "alone",
+        F.coalesce(F.col("asks") == F.col("cell.x"), F.lit(False)).alias("asking"), (F.col("mine") == F.col("cell.y")).alias("asked"),
+        F.col("b").alias("_row"), F.greatest(F.col("l") - reach, F.lit(0)).alias("l"), (F.col("r") + wide + reach).alias("r"),
+    )
+    regions = _regions(blocked, wanted, rows, "a long, part int, x int, y int, alone boolean, asking boolean, asked boolean")
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.sort_by("_row")
+        row, l, alone, asking, asked = (group.column(c).to_numpy() for c in ("_row", "l", "alone", "asking", "asked"))
+        docs = group.column("doc").to_pylist()
+        held = [np.frombuffer(r, np.uint32) for r in group.column("region").to_pylist()]
+        fewest = np.array([_fewest(h, least) for h in held])
+        plain = np.array([len(np.unique(h)) == len(h) for h in held])
+        _, number = np.unique(np.concatenate(held), return_inverse=True)
+        ends = np.cumsum([len(h) for h in held])
+        begins = ends - [len(h) for h in held]
+        owner = np.repeat(np.arange(len(held)), ends - begins)
+        base = int(number.max(initial=0)) + 1
+        known = np.sort(owner * base + number)
+        marks = np.zeros(base, bool)
+        # Those that matched the first document are linked through it.
+        label = np.where(alone, np.arange(len(held)), -1)
+        short = math.ceil(similarity * least - 1e-9)
+        out = []
+        for x in np.flatnonzero(asking):
+            own = number[begins[x] : ends[x]]
+            marks[own] = True
+            present = marks[number]
+            marks[own] = False
+            shared = np.bincount(owner[present], minlength=len(held))
+            likely = asked & (label != label[x]) & (shared >= similarity * np.minimum(fewest, fewest[x]))
+            likely &= ~alone | (row > row[x])  # of two without a match the first one asks
+            likely = np.flatnonzero(likely)
+            # What two passages do not share is little, and in one of them at most half of it.
+            # Bounds by positions hold where no shingle repeats.
+            sure = plain[x] & plain[likely]
+            tried, chosen = likely[sure], []
+            for lo in range(0, len(tried), 256):
+                part = tried[lo : lo + 256]
+                wanted = part[:, None] * base + own[None, :]
+                mine = known[np.minimum(np.searchsorted(known, wanted), len(known) - 1)] == wanted
+                widest = int((ends - begins)[part].max())
+                at = begins[part][:, None] + np.arange(widest)[None, :]
+                inside = at < ends[part][:, None]
+                theirs = inside & present[np.minimum(at, len(present) - 1)]
+                whole = [_lacking(v, short, similarity, 1).max(1) >= -1e-6 for v in (mine, theirs)]
+                half = [_lacking(v, short, similarity, 0.5).max(1) >= -1e-6 for v in (mine, theirs)]
+                chosen.append(part[whole[0] & whole[1] & (half[0] | half[1])])
+            likely = np.concatenate([likely[~sure], *chosen])
+            for y in likely[np.argsort(-shared[likely], kind="stable")]:
+                if label[x] == label[y]:
+                    continue
+                for found in matches(held[x], held[y], least, similarity, anchor):
+                    out.append(_told(docs[x], int(l[x]), docs[y], int(l[y]), found, least))
+                    label[label == label[x]] = label[y]
+        columns, names = _rows_of(out, group.schema.field("doc").type)
+        return pa.table(columns, names=names)
+
+    return regions.groupBy("a", "part", "x", "y").applyInArrow(compare, _schema(blocked))
 
 
 def near_passages(
@@ -275,20 +612,25 @@ def near_passages(
     hashes: int = HASHES,
     enough: int = ENOUGH,
     rows: int = BLOCK_ROWS,
+    piece: int = PIECE,
 ) -> DataFrame:
     """Rows (doc_id, start, stop, other_id, other_start, other_stop, similarity): passages of
     ``min_words`` words or more that two documents share, in word positions, stop exclusive.
 
     Words are cut at ASCII white space and compared without case (A-Z). Two passages match if
-    the sets of their five-word shingles have at least the Jaccard similarity. Documents with
-    the same passage are tied to a common representative rather than to each other, and exact
-    copies of a text to the first of them, with similarity 1 over the whole text.
+    the sets of their five-word shingles have at least the Jaccard similarity; where they begin
+    and end with shared shingles, that of ``other_id`` may be a few words shorter. Documents with
+    the same passage are tied to a common representative, or to others of its group, rather than
+    all to each other, and exact copies of a text to the first of them, with similarity 1 over
+    the whole text: what all matches connect, the rows connect.
 
     Null, empty and short texts share nothing. Repeated rows are copies of each other. A
     passage repeated within one document only is not reported. A null doc_id is reported as
     null. Other columns are ignored; an empty table gives no rows. Texts are read whole.
     """
     least = max(min_words - WIDTH + 1, 1)
+    seed = seed_shape(least, similarity)
+    anchor = seed[0] - WIDTH + 1
     blocked = in_blocks(documents.select("doc_id", "text"), rows)
     text = F.col("text")
     places = F.struct(F.col(blocked.row).alias("row"), F.col("doc_id").alias("doc"))
@@ -301,13 +643,23 @@ def near_passages(
         marks.join(firsts, ["h", "h2"]).where("_row <> first.row").select("_block", "_row", "doc_id", "n", F.col("first.doc").alias("other_id")),
         "copies",
     ).df
-    everything = _windows(blocked, copies.select("_block", "_row"), hashes, least)
-    crowded = everything.groupBy("k", "key").count().where("count > 1").select("k", "key")
-    windows = Stored(everything.join(crowded, ["k", "key"]), "windows")
-    pairs = _pairs(windows.df, enough)
-    found = _verified(blocked, pairs, rows, least, similarity)
+    everything = _windows(blocked, copies.select("_block", "_row"), hashes, least, seed)
+    same = Window.partitionBy("key")
+    crowded = everything.withColumn("low", F.min("_row").over(same)).withColumn("high", F.max("_row").over(same)).where("low < high")
+    k, l, r = F.col("tag").bitwiseAND(255), F.shiftright("span", 32), F.col("span").bitwiseAND(2**32 - 1)
+    windows = Stored(
+        crowded.select(
+            "_row", "key", F.shiftright("tag", 8).alias("sig"), k.cast("int").alias("k"), l.cast("int").alias("l"), r.cast("int").alias("r")
+        ),
+        "windows",
+    )
+    seeded = Stored(_seeded(windows.df.where(F.col("k") == hashes)), "seeds").df
+    hulls = _pairs(windows.df.where(F.col("k") < hashes), enough).unionByName(_seed_pairs(seeded, anchor, least + GAP))
+    pairs = hulls.groupBy("a", "b").agg(*[F.min(c).alias(c) if c.endswith("l") else F.max(c).alias(c) for c in ("al", "ar", "bl", "br")])
+    found = Stored(_verified(blocked, pairs, rows, least, similarity, anchor), "found").df
+    further = _among_others(blocked, seeded, found, rows, anchor, least, similarity, anchor, piece)
     whole = copies.where(F.col("n") >= min_words).select(
         "doc_id", F.lit(0).alias("start"), F.col("n").alias("stop"), "other_id",
         F.lit(0).alias("other_start"), F.col("n").alias("other_stop"), F.lit(1.0).alias("similarity"),
     )
-    return found.unionByName(whole)
+    return found.select(*NAMES).unionByName(further).unionByName(whole)
