@@ -4,6 +4,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from xxhash import xxh64_intdigest
 
@@ -275,6 +276,41 @@ def test_passages_at_the_edge_and_after_their_own_half(spark):
     assert {tuple(sorted((r.doc_id, r.other_id))) for r in found} == {(1, 2), (3, 4), (5, 6)}
 
 
+@pytest.mark.parametrize("vocabulary", [3, 9, 60])
+def test_bounds_miss_no_similar_stretch(vocabulary):
+    rng = np.random.default_rng(vocabulary)
+    for similarity in (0.6, 0.8, 1.0):
+        held = [np.repeat(rng.integers(0, vocabulary, 12), rng.integers(1, 5, 12))[: rng.integers(5, 30)].astype(np.uint32) for _ in range(12)]
+        regions = passages._Regions(held)
+        for least in (6, 9):
+            for shared in (set(held[0].tolist()), set(range(vocabulary // 2))):
+                marks = np.array([v in shared for h in held for v in h.tolist()])
+                loss = similarity / (1 - similarity) if similarity < 1 else 2.0**20
+                found = passages._stretches(marks, regions.gap, regions.place, regions.size, least, loss)
+                for at, h in zip(regions.begins.tolist(), held, strict=True):
+                    for s in range(len(h) - least + 1):
+                        runs = [set(h[s:e].tolist()) for e in range(s + least, len(h) + 1)]
+                        if any(len(run & shared) >= similarity * len(run) - 1e-9 for run in runs):
+                            assert found[at + s]
+
+
+def test_documents_with_one_word_over_and_over_are_not_all_tried(monkeypatch):
+    tried = []
+    matches = passages.matches
+    monkeypatch.setattr(passages, "matches", lambda a, b, *how, **more: tried.append(1) or matches(a, b, *how, **more))
+    # A run of one word, too short for a passage, in many; some go on alike.
+    texts = [f"{prose(2_000 + i, 40)} {'the ' * (14 + i % 34)}{prose(3_000 + i, 40)}" for i in range(240)]
+    texts += [f"{prose(4_000 + i, 20)} {'the ' * 30}{prose(77, 45)} {prose(5_000 + i, 30)}" for i in range(6)]
+    regions = [passages.shingle_hashes(t).astype(np.uint32).tobytes() for t in texts]
+    many = list(range(len(texts)))
+    group = pa.table({"_row": many, "l": [0] * len(texts), "alone": [True] * len(texts), "asking": [True] * len(texts), "asked": [True] * len(texts), "doc": many, "region": pa.array(regions, pa.binary())})
+    found = passages._compared(group, 46, 0.8, 10).to_pylist()
+    by = classes(many, [(r["doc_id"], r["other_id"]) for r in found])
+    assert {by[i] for i in many[240:]} == {240}
+    assert all(by[i] == i for i in many[:240])
+    assert len(tried) < len(texts)  # of 30,135 pairs
+
+
 def test_seeds_are_in_common_for_certain():
     assert passages.seed_shape(46, 0.8) == (14, 10)
     assert passages.seed_shape(46, 1.0) == (30, 21)

@@ -347,31 +347,21 @@ def _around(
     return found and (found[0] + lo, found[1] + lo, found[2] + base, found[3] + base, found[4])
 
 
-def _lacking(present: np.ndarray, fewest: int, similarity: float, share: float) -> np.ndarray:
-    """At e the best sum of ``fewest`` values or more that end with e, where one that is shared
-    counts 1 and one that is not takes off so much that at least 0 remains if those that are not
-    make up the ``share`` of what the similarity allows. Along the last axis."""
-    loss = similarity / (1 - similarity) / share if similarity < 1 else present.shape[-1] + 1
-    sums = np.cumsum(np.where(present, 1.0, -loss), -1)
-    sums = np.concatenate((np.zeros((*sums.shape[:-1], 1)), sums), -1)
-    if sums.shape[-1] <= fewest:
-        return np.full((*sums.shape[:-1], 1), -np.inf)
-    return sums[..., fewest:] - np.minimum.accumulate(sums, -1)[..., :-fewest]
-
-
 def matches(
-    a: np.ndarray, b: np.ndarray, least: int, similarity: float, anchor: int
+    a: np.ndarray, b: np.ndarray, least: int, similarity: float, anchor: int, bounded: bool = False
 ) -> Iterator[tuple[int, int, int, int, float]]:
     """Passages (start, stop in a, start, stop in b, similarity), in shingles, of ``least`` or
     more in one of them, whose sets have at least that Jaccard similarity: first whole runs of
-    shared shingles, then what lies around unchanged runs of ``anchor`` or more that are in none."""
+    shared shingles, then what lies around unchanged runs of ``anchor`` or more that are in none.
+    ``bounded`` tells that bounds were tried before."""
     order = np.argsort(b, kind="stable")
     held = b[order]
     lo, hi = np.searchsorted(held, a, "left"), np.searchsorted(held, a, "right")
     many = hi - lo
-    common = len(np.unique(a[many > 0]))
-    if not common or common < similarity * least and common < similarity * min(_fewest(a, least), _fewest(b, least)):
-        return
+    if not bounded:
+        common = len(np.unique(a[many > 0]))
+        if not common or common < similarity * least and common < similarity * min(_fewest(a, least), _fewest(b, least)):
+            return
     if max(len(a), len(b)) <= SMALL:
         # Where no shingle repeats, there is one way only to place them.
         if (held[1:] != held[:-1]).all():
@@ -511,6 +501,135 @@ def _verified(blocked: Blocked, pairs: DataFrame, rows: int, least: int, similar
     return ordered.mapInArrow(compare, f"{_schema(blocked)}, a long, b long, first long, last long")
 
 
+def _stretches(shared: np.ndarray, gap: np.ndarray, place: np.ndarray, size: np.ndarray, least: int, loss: float) -> np.ndarray:
+    """Whether a stretch of ``least`` shingles or more (or a whole region that has fewer) that begins
+    here may hold so many shared ones that they make up for its others, of which each takes off
+    ``loss``. Each value counts once.
+
+    The regions follow each other: ``place`` and ``size`` tell where in a region a shingle lies and
+    how many this has, ``gap`` how far back the value was before (beyond the region if it was not).
+    The first ``least`` shingles are counted exactly, of what follows only what is new for certain
+    is taken off. So no stretch that is similar enough is missed.
+    """
+    at = np.arange(len(shared))
+    weight = np.where(shared, 1.0, -loss)
+    # A value is the first one of its kind for the stretches that begin after it was before.
+    change = np.bincount(at - np.minimum(gap, least) + 1, weight, len(shared)).astype(np.float64)
+    change[1:] -= weight[:-1]
+    begun = np.cumsum(change)
+    after = np.cumsum(np.where(shared, gap > least, np.where(gap > place, -loss, 0.0)))
+    # Regions lie so far apart in height that none sees into the next.
+    height = (after.max(initial=0) - after.min(initial=0) + 1) * np.cumsum(place == 0)
+    after -= height
+    highest = np.maximum.accumulate(after[::-1])[::-1]
+    least = np.minimum(least, size)
+    whole = np.flatnonzero(place + least <= size)
+    last = whole + least[whole] - 1
+    found = np.zeros(len(shared), bool)
+    found[whole] = begun[whole] + highest[last] - after[last] >= -1e-3
+    return found
+
+
+class _Regions:
+    """Regions of documents one after the other: for each shingle its number, its region, its place
+    in it, how many the region has and how far back the same one was before."""
+
+    def __init__(self, held: list[np.ndarray]):
+        _, self.number = np.unique(np.concatenate([np.empty(0, np.uint32), *held]), return_inverse=True)
+        self.sizes = np.array([len(h) for h in held], np.int64)
+        self.ends = np.cumsum(self.sizes)
+        self.begins = self.ends - self.sizes
+        self.owner = np.repeat(np.arange(len(held)), self.sizes)
+        at = np.arange(len(self.number))
+        self.place, self.size = at - self.begins[self.owner], self.sizes[self.owner]
+        self.base = int(self.number.max(initial=0)) + 1
+        self.known = self.owner * self.base + self.number
+        seen = _last_seen(self.known)
+        self.gap = np.where(seen < 0, self.place + 1, at - seen)
+        self.known.sort()
+
+    def holding(self, shared: np.ndarray, least: int, loss: float, at=slice(None)) -> np.ndarray:
+        """The regions (of the shingles ``at``, which are whole regions) that hold a stretch."""
+        found = _stretches(shared, self.gap[at], self.place[at], self.size[at], least, loss)
+        return np.unique(self.owner[at][found])
+
+    def fewest(self, least: int, loss: float) -> np.ndarray:
+        """Of each region the fewest distinct shingles in the first ``least`` of a stretch of
+        shingles that other regions have too; infinite if it has no stretch."""
+        common = np.bincount(self.number[self.gap > self.place], minlength=self.base) > 1
+        begin = np.flatnonzero(_stretches(common[self.number], self.gap, self.place, self.size, least, loss))
+        change = np.bincount(np.arange(len(self.gap)) - np.minimum(self.gap, least) + 1, minlength=len(self.gap))
+        change[1:] -= 1
+        found = np.full(len(self.sizes), np.inf)
+        np.minimum.at(found, self.owner[begin], np.cumsum(change)[begin])
+        return found
+
+
+def _compared(group: pa.Table, least: int, similarity: float, anchor: int) -> pa.Table:
+    """Compares the documents of a piece that ask with those that are asked, until each is linked
+    to all that it may match.
+
+    A passage shares most of its shingles with the other one, so a document without a stretch of
+    shingles most of which others have too matches none. Without it, others may have none either.
+    """
+    short = math.ceil(similarity * least - 1e-9)
+    loss = similarity / (1 - similarity) if similarity < 1 else 2.0**20
+    doc, group = group.schema.field("doc").type, group.sort_by("_row")
+    while True:
+        held = [np.frombuffer(r, np.uint32) for r in group.column("region").to_pylist()]
+        regions = _Regions(held)
+        fewest = regions.fewest(least, loss)
+        able = np.isfinite(fewest) & (regions.sizes >= short)
+        if 10 * np.count_nonzero(~able) <= len(able):
+            break
+        group = group.filter(pa.array(able))
+    row, l, alone, asking, asked = (group.column(c).to_numpy() for c in ("_row", "l", "alone", "asking", "asked"))
+    docs = group.column("doc").to_pylist()
+    number, owner, first = regions.number, regions.owner, regions.gap > regions.place
+    asked = asked & able
+    marks = np.zeros(regions.base, bool)
+    # Those that matched the first document are linked through it.
+    label = np.where(alone, np.arange(len(held)), -1)
+    out = []
+    for x in np.flatnonzero(asking & able):
+        likely = asked & (label != label[x])
+        likely &= ~alone | (row > row[x])  # of two without a match the first one asks
+        if not likely.any():
+            continue
+        mine = slice(regions.begins[x], regions.ends[x])
+        own = number[mine]
+        marks[own] = True
+        at = np.flatnonzero(likely[owner])
+        shared = np.bincount(owner[at][marks[number[at]] & first[at]], minlength=len(held))
+        likely &= shared >= similarity * np.maximum(fewest, fewest[x])
+        # What two passages do not share is little, and in one of them at most half of it. One may
+        # be shorter than ``least``, but what it lacks then is so little that the bound holds.
+        at = np.flatnonzero(likely[owner])
+        present = marks[number[at]]
+        marks[own] = False
+        chosen = regions.holding(present, least, loss, at)
+        half = np.isin(chosen, regions.holding(present, short, 2 * loss, at))
+        kept = []
+        for lo in range(0, len(chosen), MEMBERS):
+            part = chosen[lo : lo + MEMBERS]
+            wanted = (part[:, None] * regions.base + own[None, :]).ravel()
+            present = regions.known[np.minimum(np.searchsorted(regions.known, wanted), len(regions.known) - 1)] == wanted
+            tiled = [np.tile(v[mine], len(part)) for v in (regions.gap, regions.place, regions.size)]
+            enough, less = (
+                _stretches(present, *tiled, *how).reshape(len(part), -1).any(1) for how in ((least, loss), (short, 2 * loss))
+            )
+            kept.append(part[enough & (less | half[lo : lo + MEMBERS])])
+        likely = np.concatenate([np.empty(0, np.int64), *kept])
+        for y in likely[np.argsort(-shared[likely], kind="stable")]:
+            if label[x] == label[y]:
+                continue
+            for found in matches(held[x], held[y], least, similarity, anchor, bounded=True):
+                out.append(_told(docs[x], int(l[x]), docs[y], int(l[y]), found, least))
+                label[label == label[x]] = label[y]
+    columns, names = _rows_of(out, doc)
+    return pa.table(columns, names=names)
+
+
 def _among_others(
     blocked: Blocked, seeded: DataFrame, found: DataFrame, rows: int, wide: int, least: int, similarity: float, anchor: int, piece: int
 ) -> DataFrame:
@@ -550,56 +669,7 @@ def _among_others(
     regions = _regions(blocked, wanted, rows, "a long, part int, x int, y int, alone boolean, asking boolean, asked boolean")
 
     def compare(group: pa.Table) -> pa.Table:
-        group = group.sort_by("_row")
-        row, l, alone, asking, asked = (group.column(c).to_numpy() for c in ("_row", "l", "alone", "asking", "asked"))
-        docs = group.column("doc").to_pylist()
-        held = [np.frombuffer(r, np.uint32) for r in group.column("region").to_pylist()]
-        fewest = np.array([_fewest(h, least) for h in held])
-        plain = np.array([len(np.unique(h)) == len(h) for h in held])
-        _, number = np.unique(np.concatenate(held), return_inverse=True)
-        ends = np.cumsum([len(h) for h in held])
-        begins = ends - [len(h) for h in held]
-        owner = np.repeat(np.arange(len(held)), ends - begins)
-        base = int(number.max(initial=0)) + 1
-        known = np.sort(owner * base + number)
-        marks = np.zeros(base, bool)
-        # Those that matched the first document are linked through it.
-        label = np.where(alone, np.arange(len(held)), -1)
-        short = math.ceil(similarity * least - 1e-9)
-        out = []
-        for x in np.flatnonzero(asking):
-            own = number[begins[x] : ends[x]]
-            marks[own] = True
-            present = marks[number]
-            marks[own] = False
-            shared = np.bincount(owner[present], minlength=len(held))
-            likely = asked & (label != label[x]) & (shared >= similarity * np.minimum(fewest, fewest[x]))
-            likely &= ~alone | (row > row[x])  # of two without a match the first one asks
-            likely = np.flatnonzero(likely)
-            # What two passages do not share is little, and in one of them at most half of it.
-            # Bounds by positions hold where no shingle repeats.
-            sure = plain[x] & plain[likely]
-            tried, chosen = likely[sure], []
-            for lo in range(0, len(tried), 256):
-                part = tried[lo : lo + 256]
-                wanted = part[:, None] * base + own[None, :]
-                mine = known[np.minimum(np.searchsorted(known, wanted), len(known) - 1)] == wanted
-                widest = int((ends - begins)[part].max())
-                at = begins[part][:, None] + np.arange(widest)[None, :]
-                inside = at < ends[part][:, None]
-                theirs = inside & present[np.minimum(at, len(present) - 1)]
-                whole = [_lacking(v, short, similarity, 1).max(1) >= -1e-6 for v in (mine, theirs)]
-                half = [_lacking(v, short, similarity, 0.5).max(1) >= -1e-6 for v in (mine, theirs)]
-                chosen.append(part[whole[0] & whole[1] & (half[0] | half[1])])
-            likely = np.concatenate([likely[~sure], *chosen])
-            for y in likely[np.argsort(-shared[likely], kind="stable")]:
-                if label[x] == label[y]:
-                    continue
-                for found in matches(held[x], held[y], least, similarity, anchor):
-                    out.append(_told(docs[x], int(l[x]), docs[y], int(l[y]), found, least))
-                    label[label == label[x]] = label[y]
-        columns, names = _rows_of(out, group.schema.field("doc").type)
-        return pa.table(columns, names=names)
+        return _compared(group, least, similarity, anchor)
 
     return regions.groupBy("a", "part", "x", "y").applyInArrow(compare, _schema(blocked))
 
@@ -619,7 +689,8 @@ def near_passages(
 
     Words are cut at ASCII white space and compared without case (A-Z). Two passages match if
     the sets of their five-word shingles have at least the Jaccard similarity; where they begin
-    and end with shared shingles, that of ``other_id`` may be a few words shorter. Documents with
+    and end with shared shingles, that of ``other_id`` may be shorter; no shorter ones are searched
+    for among the others of a group in texts that repeat their own words. Documents with
     the same passage are tied to a common representative, or to others of its group, rather than
     all to each other, and exact copies of a text to the first of them, with similarity 1 over
     the whole text: what all matches connect, the rows connect.
