@@ -268,7 +268,10 @@ def _fewest(values: np.ndarray, least: int) -> float:
     """The fewest distinct values in ``least`` neighbouring ones; infinite if there are not so many."""
     if len(values) < least:
         return math.inf
-    seen = np.lib.stride_tricks.sliding_window_view(_last_seen(values), least)
+    seen = _last_seen(values)
+    if seen.max() < 0:
+        return least
+    seen = np.lib.stride_tricks.sliding_window_view(seen, least)
     return int((seen < np.arange(len(seen))[:, None]).sum(1).min())
 
 
@@ -297,9 +300,15 @@ def _nearest(a: np.ndarray, b: np.ndarray, diagonal: int) -> tuple[np.ndarray, n
     return p, q[p]
 
 
+def _sorted_set(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate(([True], values[1:] != values[:-1]))]
+
+
 def _jaccard(one: np.ndarray, two: np.ndarray) -> float:
-    one, two = np.unique(one), np.unique(two)
-    common = len(np.intersect1d(one, two, assume_unique=True))
+    one, two = _sorted_set(one), _sorted_set(two)
+    both = np.sort(np.concatenate((one, two)))
+    common = np.count_nonzero(both[1:] == both[:-1])
     return common / (len(one) + len(two) - common)
 
 
@@ -311,6 +320,8 @@ def _longest(
     p, q = _nearest(a, b, diagonal)
     if not len(p):
         return None
+    if len(p) < similarity * least and len(_sorted_set(a)) == len(a) and len(_sorted_set(b)) == len(b):
+        return None  # where no shingle repeats, two passages have at least ``least`` different ones
     # Longer is better as long as shingles go on alike in both: passages hold whole runs.
     cut = (np.diff(p) != 1) | (np.diff(q) != 1)
     first, last = np.flatnonzero(np.concatenate(([True], cut))), np.flatnonzero(np.concatenate((cut, [True])))
@@ -526,7 +537,7 @@ def _stretches(shared: np.ndarray, gap: np.ndarray, place: np.ndarray, size: np.
     whole = np.flatnonzero(place + least <= size)
     last = whole + least[whole] - 1
     found = np.zeros(len(shared), bool)
-    found[whole] = begun[whole] + highest[last] - after[last] >= -1e-3
+    found[whole] = begun[whole] + highest[last] - after[last] >= -1e-3 - 1e-15 * height.max(initial=0)
     return found
 
 
@@ -601,7 +612,7 @@ def _compared(group: pa.Table, least: int, similarity: float, anchor: int) -> pa
         marks[own] = True
         at = np.flatnonzero(likely[owner])
         shared = np.bincount(owner[at][marks[number[at]] & first[at]], minlength=len(held))
-        likely &= shared >= similarity * np.maximum(fewest, fewest[x])
+        likely &= shared >= similarity * np.maximum(fewest, fewest[x]) - 1e-9
         # What two passages do not share is little, and in one of them at most half of it. One may
         # be shorter than ``least``, but what it lacks then is so little that the bound holds.
         at = np.flatnonzero(likely[owner])
