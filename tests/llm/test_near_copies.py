@@ -3,9 +3,11 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from tests.llm.conftest import prose
 from tests.llm.test_dedup import classes, lower, words
-from tidelog.llm import near_copies, simhash
-from tidelog.llm.common import table
+from tidelog.llm import kneser_ney, lines, near_copies, simhash
+from tidelog.llm.blocks import in_blocks
+from tidelog.llm.common import Stored, table
 
 
 def shingles(text):
@@ -85,3 +87,31 @@ def test_odd_rows(messy, none):
         ids = [r.doc_id for r in rows]
         assert 1 in ids and 6 not in ids
     assert near_copies.one_of_each(none).count() == 0
+
+
+def test_what_grows_with_the_input_is_not_broadcast(spark, monkeypatch):
+    """Joins of tables with a row per document, line or n-gram are shuffled, however small Spark
+    takes these for."""
+    broadcast, store = [], Stored.__init__
+
+    def watched(self, df, label):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        broadcast.extend((label, line) for line in plan.splitlines() if "BroadcastHashJoin" in line)
+        store(self, df, label)
+
+    monkeypatch.setattr(Stored, "__init__", watched)
+    rows = [(n, prose(n // 2, 60) + f" word{n}", "en") for n in range(40)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = near_copies.one_of_each(documents)
+    assert not broadcast
+    assert "BroadcastHashJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+
+    lines.intervals(in_blocks(documents.union(documents), 8), 2)
+    assert not [line for _, line in broadcast if "_block" not in line]  # prefix scans have a row per block
+
+    broadcast.clear()
+    trusted = documents.where("doc_id < 20").select("doc_id")
+    kneser_ney.accepted(documents, trusted)
+    assert {label for label, _ in broadcast} <= {"chances", "perplexities"}
+    # of the tables of n-grams those of one and two bytes
+    assert sum(label == "chances" for label, _ in broadcast) == 2 + 2 + 1

@@ -44,6 +44,15 @@ class Stored:
         delete_folder(self.spark, self.path)
 
 
+def shuffled(table: DataFrame) -> DataFrame:
+    """``table`` as a side of a join that must not be broadcast, as it grows with the input.
+
+    Spark goes by the bytes of compressed files and takes what an explode makes for as small as
+    what it reads, so a table it finds small enough may not fit the driver.
+    """
+    return table.hint("merge")
+
+
 @contextmanager
 def temporary(df: DataFrame, label: str):
     """Yields ``df`` as a stored table that is deleted at the end of the block."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import Stored
+from tidelog.llm.common import Stored, shuffled
 
 
 def _hang(edges: DataFrame) -> DataFrame:
@@ -13,14 +13,14 @@ def _hang(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return (
-        both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        both.where("v > u").join(shuffled(least), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     )
 
 
 def _pull(edges: DataFrame) -> DataFrame:
     """Every neighbour below a node, and the node itself, are hung on the least of them."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    below = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    below = edges.join(shuffled(least), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return below.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -55,6 +55,6 @@ def connected_components(links: DataFrame) -> DataFrame:
     found = current.df.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = current.df.select(F.col("v").alias("node")).distinct()
     alone = nodes.where("u = v").select(F.col("u").alias("node")).distinct()
-    lone = alone.join(found, "node", "left_anti").unionByName(roots).distinct()
+    lone = alone.join(shuffled(found), "node", "left_anti").unionByName(roots).distinct()
     first.delete()
     return found.unionByName(lone.withColumn("component", F.col("node")))

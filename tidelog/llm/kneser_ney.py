@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.llm.blocks import BLOCK_ROWS, Blocked, answered, in_blocks
-from tidelog.llm.common import Stored
+from tidelog.llm.common import Stored, shuffled
 
 ORDER = 5
 QUANTILE = 0.99
 FOLDS = 5
 SYMBOLS = 256
 PART = 1 << 18
+SHORT = 2  # bytes of n-grams of which there are few: their tables may be broadcast
 _START = b"\n" * (ORDER - 1)  # what a text is taken to follow
 
 
@@ -69,6 +70,11 @@ def _mask(order: int) -> Column:
     return F.lit((1 << (8 * order)) - 1).cast("long")
 
 
+def _looked_up(table: DataFrame, length: int) -> DataFrame:
+    """``table``, of n-grams of that many bytes, as a side of a join."""
+    return table if length <= SHORT else shuffled(table)
+
+
 class Model:
     """Tables of n-gram probabilities and of back-off weights, one of each per order."""
 
@@ -92,13 +98,13 @@ class Model:
         )
         self.weights[k] = Stored(of.select("context", "total", (F.col("freed") / F.col("total")).alias("weight")), "weights").df
         taken = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
-        own = counted.withColumn("context", context).join(self.weights[k], "context")
+        own = counted.withColumn("context", context).join(_looked_up(self.weights[k], k - 1), "context")
         seen = own.select("gram", "weight", ((F.col("c") - taken) / F.col("total")).alias("own"))
         if k == 1:
             chance = seen.select("gram", (F.col("own") + F.col("weight") / SYMBOLS).alias("p"))
         else:
             lower = self.chances[k - 1].select(F.col("gram").alias("suffix"), F.col("p").alias("below"))
-            joined = seen.join(lower, F.col("gram").bitwiseAND(_mask(k - 1)) == F.col("suffix"))
+            joined = seen.join(_looked_up(lower, k - 1), F.col("gram").bitwiseAND(_mask(k - 1)) == F.col("suffix"))
             chance = joined.select("gram", (F.col("own") + F.col("weight") * F.col("below")).alias("p"))
         self.chances[k] = Stored(chance, "chances").df
 
@@ -109,10 +115,10 @@ class Model:
         for k in range(self.order, 0, -1):
             part = F.col("key").bitwiseAND(_mask(k))
             chance = self.chances[k].select(F.col("gram").alias("g"), F.col("p").alias(f"p{k}"))
-            out = out.join(chance, part == F.col("g"), "left").drop("g")
+            out = out.join(_looked_up(chance, k), part == F.col("g"), "left").drop("g")
             if k > 1:
                 weight = self.weights[k].select("context", F.col("weight").alias(f"w{k}"))
-                out = out.join(weight, F.shiftright(part, 8) == F.col("context"), "left").drop("context")
+                out = out.join(_looked_up(weight, k - 1), F.shiftright(part, 8) == F.col("context"), "left").drop("context")
             p = F.coalesce(p, scale * F.col(f"p{k}"))
             if k > 1:
                 scale = scale * F.coalesce(F.col(f"w{k}"), F.lit(1.0))
@@ -142,7 +148,8 @@ def perplexities(blocked: Blocked, model: Model, keep: list[str]) -> DataFrame:
 
     def resolve(grouped: DataFrame) -> DataFrame:
         asked = Stored(grouped, "requests").df
-        return asked.join(model.probability(asked.select("key").distinct()), "key").select("key", "askers", (-F.log2("p")).alias("bits"))
+        chances = model.probability(asked.select("key").distinct())
+        return asked.join(shuffled(chances), "key").select("key", "askers", (-F.log2("p")).alias("bits"))
 
     def finish(own: pa.Table, answers: pa.Table | None) -> pa.Table:
         if answers is None:
@@ -188,14 +195,14 @@ def judge(documents: DataFrame, trusted: DataFrame, *, quantile: float = QUANTIL
     blocked = in_blocks(documents, rows)
     numbered = blocked.table.select(F.col(blocked.block).alias("_block"), F.col(blocked.row).alias("_row"), "doc_id")
     names = trusted.select("doc_id").where("doc_id is not null").distinct()
-    chosen = Stored(numbered.join(names, "doc_id"), "trusted").df
+    chosen = Stored(numbered.join(shuffled(names), "doc_id"), "trusted").df
     row = blocked.row
     training = chosen.where(~held_out(F.col("doc_id"))).select("_block", "_row")
     counts = blocked.with_rows(training, lambda own, other: _counted(own, other, row), T.StructType().add("gram", "long").add("count", "long"), ["text"])
     scored = perplexities(blocked, Model(counts), [blocked.block, blocked.row, "doc_id", "lang"])
     renamed = scored.withColumnsRenamed({blocked.block: "_block", blocked.row: "_row"})
     found = Stored(renamed, "perplexities").df
-    calibration = found.join(chosen.where(held_out(F.col("doc_id"))).select("_row"), "_row", "left_semi")
+    calibration = found.join(shuffled(chosen.where(held_out(F.col("doc_id"))).select("_row")), "_row", "left_semi")
     own = calibration.groupBy(F.col("lang").alias("_lang")).agg(
         F.percentile_approx("perplexity", 0.5, 10_000).alias("median"),
         F.percentile_approx("perplexity", quantile, 10_000).alias("own"),

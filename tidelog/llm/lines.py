@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.llm.blocks import BLOCK_ROWS, Blocked, in_blocks
-from tidelog.llm.common import Stored
+from tidelog.llm.common import Stored, shuffled
 from tidelog.plans.prefix import Scan, prefix
 
 _WHITE = " \t\x0b\x0c\r"
@@ -49,7 +49,7 @@ def _ranked(suffixes: DataFrame, keys: list[str]) -> DataFrame:
     groups = suffixes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     placed = prefix(groups, [], keys, {"upto": Scan("sum", F.col("n"))})
     ranks = placed.select(*keys, (F.col("upto") - F.col("n") + 1).alias("_rank"))
-    return suffixes.join(ranks, keys).drop(*keys).withColumnRenamed("_rank", "rank")
+    return suffixes.join(shuffled(ranks), keys).drop(*keys).withColumnRenamed("_rank", "rank")
 
 
 def intervals(blocked: Blocked, min_lines: int) -> DataFrame:
@@ -60,7 +60,7 @@ def intervals(blocked: Blocked, min_lines: int) -> DataFrame:
     while covered < min_lines:
         step = min(covered, min_lines - covered)
         second = suffixes.df.select("_row", (F.col("pos") - step).alias("pos"), F.col("rank").alias("rank2"))
-        following = Stored(_ranked(suffixes.df.join(second, ["_row", "pos"]), ["rank", "rank2"]), "suffixes")
+        following = Stored(_ranked(suffixes.df.join(shuffled(second), ["_row", "pos"]), ["rank", "rank2"]), "suffixes")
         suffixes.delete()
         suffixes, covered = following, covered + step
     return suffixes.df
@@ -84,7 +84,7 @@ def dedup_lines(documents: DataFrame, *, min_lines: int = 2, rows: int = BLOCK_R
     found = intervals(blocked, min_lines)
     place = F.struct(F.col("doc").isNull(), "doc", "_row", "pos")
     first = found.groupBy("rank").agg(F.min(place).alias("first"))
-    later = found.join(first, "rank").where(place != F.col("first"))
+    later = found.join(shuffled(first), "rank").where(place != F.col("first"))
     span = F.explode(F.sequence("pos", F.col("pos") + min_lines - 1)).alias("pos")
     deleted = later.select("_block", "_row", span).distinct()
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import Stored, free_name
+from tidelog.llm.common import Stored, free_name, shuffled
 from tidelog.llm.components import connected_components
 from tidelog.llm.simhash import FRONTIER, PIECE, Forest, _whole_cells, cells_within, with_fingerprint
 
@@ -131,14 +131,14 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataF
     """The rows (u, v) of ``pairs`` whose shingles, rows (fp, shingles), are similar enough."""
     sizes = pairs.groupBy("v").count()
     salt = F.pmod(F.xxhash64("u"), F.ceil(F.col("count") / PARTNERS)).cast("int")
-    dealt = Stored(pairs.join(sizes, "v").select("u", "v", salt.alias("salt")), "pairs")
+    dealt = Stored(pairs.join(shuffled(sizes), "v").select("u", "v", salt.alias("salt")), "pairs")
     ours = sets.select(F.col("fp").alias("u"), F.col("shingles").alias("x"))
     theirs = dealt.df.select("v", "salt").distinct().join(
-        sets.select(F.col("fp").alias("v"), F.col("shingles").alias("y")), "v"
+        shuffled(sets.select(F.col("fp").alias("v"), F.col("shingles").alias("y"))), "v"
     )
     common = F.size(F.array_intersect("x", "y"))
     alike = common / (F.size("x") + F.size("y") - common)
-    return dealt.df.join(ours, "u").join(theirs, ["v", "salt"]).where(alike >= similarity).select("u", "v")
+    return dealt.df.join(shuffled(ours), "u").join(shuffled(theirs), ["v", "salt"]).where(alike >= similarity).select("u", "v")
 
 
 def one_of_each(
@@ -163,19 +163,19 @@ def one_of_each(
     known = Stored(marked.groupBy(F.col(own).alias("fp")).agg(F.min("doc_id").alias("least")), "fingerprints").df
     pairs = Stored(cells_within(known.select("fp"), radius, piece).mapInArrow(_closest(radius), "u long, v long").distinct(), "pairs").df
     paired = pairs.select(F.col("u").alias("fp")).union(pairs.select("v")).distinct()
-    wanted = Stored(known.join(paired, "fp"), "paired").df
-    texts = marked.select(F.col(own).alias("fp"), "doc_id", "text").join(wanted, "fp").where(F.col("doc_id").eqNullSafe(F.col("least")))
+    wanted = Stored(known.join(shuffled(paired), "fp"), "paired").df
+    texts = marked.select(F.col(own).alias("fp"), "doc_id", "text").join(shuffled(wanted), "fp").where(F.col("doc_id").eqNullSafe(F.col("least")))
     sets = Stored(texts.dropDuplicates(["fp"]).select("fp", shingle_set(F.col("text"), width).alias("shingles")), "shingles").df
     links = Stored(similar_pairs(pairs, sets, similarity), "links").df
     parts = connected_components(links)
     most = PER_ROUND
     while True:
         labels = Stored(
-            wanted.join(parts, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component", "fp").alias("label")),
+            wanted.join(shuffled(parts), F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component", "fp").alias("label")),
             "labels",
         ).df
         crossing = Stored(cells_within(labels, radius, piece).mapInArrow(_crossing(radius, most), "u long, v long, more boolean"), "pairs").df
-        fresh = Stored(crossing.select("u", "v").distinct().join(pairs, ["u", "v"], "left_anti"), "pairs").df
+        fresh = Stored(crossing.select("u", "v").distinct().join(shuffled(pairs), ["u", "v"], "left_anti"), "pairs").df
         further = Stored(similar_pairs(fresh, sets, similarity), "links").df
         if not further.isEmpty():
             links = links.union(further)
@@ -184,16 +184,16 @@ def one_of_each(
             break
         pairs = pairs.union(fresh)
         most *= PER_ROUND
-    named = known.join(parts, known["fp"] == parts["node"], "left").select(
+    named = known.join(shuffled(parts), known["fp"] == parts["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component")
     )
     least = named.groupBy("component").agg(F.min("least").alias("smallest"))
     group, smallest = free_name(documents, "_group"), free_name(documents, "_smallest")
     classes = Stored(
-        named.join(least, "component").where(F.col("least").eqNullSafe(F.col("smallest"))).select(
+        named.join(shuffled(least), "component").where(F.col("least").eqNullSafe(F.col("smallest"))).select(
             F.col("fp").alias(own), F.col("component").alias(group), F.col("smallest").alias(smallest)
         ),
         "classes",
     ).df
-    kept = marked.join(classes, own).where(F.col("doc_id").eqNullSafe(F.col(smallest)))
+    kept = marked.join(shuffled(classes), own).where(F.col("doc_id").eqNullSafe(F.col(smallest)))
     return kept.dropDuplicates(["doc_id", group]).select(*documents.columns)

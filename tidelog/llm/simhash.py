@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import Stored, free_name, word_bytes
+from tidelog.llm.common import Stored, free_name, shuffled, word_bytes
 from tidelog.llm.components import connected_components
 
 BITS = 64
@@ -191,7 +191,7 @@ def cells_within(fingerprints: DataFrame, radius: int, piece: int = PIECE) -> Da
     sizes = spread.groupBy("shard", "key").count().where("count > 1")
     pieces = F.ceil(F.col("count") / piece).cast("int")
     cells = (
-        spread.join(sizes, ["shard", "key"])
+        spread.join(shuffled(sizes), ["shard", "key"])
         .withColumn("pieces", pieces)
         .withColumn("piece", F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
