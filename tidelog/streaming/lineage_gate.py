@@ -1,93 +1,103 @@
 """Children released by finished parents, as shards are listed and checkpoints come in.
 
 State is kept per parent: what is known of it and which children wait for it. When it is done it
-wakes them, and each child counts its parents until none is left. Nothing reads the lineage as a
-whole, and a micro-batch touches the shards it names and the children they wake.
+wakes them, and each child counts its parents until none is left. Shards share slots of the state
+(``streaming.paged``). Nothing reads the lineage as a whole, and a micro-batch touches the pages of
+the shards it names and of the children they wake.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from collections import namedtuple
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidelog.operators.lineage import is_closed
 from tidelog.schema import SHARD_END, SHARD_KEYS
+from tidelog.streaming import paged
 from tidelog.streaming.tracker import _SHARD
 
-_PARENT = T.StructType(
-    [
-        T.StructField("listed", T.BooleanType()),
-        T.StructField("closed", T.BooleanType()),
-        T.StructField("checkpoint", T.StringType()),
-        T.StructField("done", T.BooleanType()),
-        T.StructField("waiting", T.BooleanType()),
-    ]
-)
-_NAME = T.StructType([T.StructField("shard_id", T.StringType())])
-_COUNT = T.StructType([T.StructField("parents", T.IntegerType())])
 _WAKE = T.StructType(
     [*_SHARD, T.StructField("parent_id", T.StringType()), T.StructField("parents", T.IntegerType())]
 )
+_SHARD_ARROW = pa.schema([("stream", pa.string()), ("shard_id", pa.string())])
+_WAKE_ARROW = pa.schema([*_SHARD_ARROW, ("parent_id", pa.string()), ("parents", pa.int32())])
+_NEW = (False, False, None, False, False)
 
 HELD = 1_000  # children of a parent kept in memory until it is known whether it is done
 
+Wake = namedtuple("Wake", _WAKE.names)
+Shard = namedtuple("Shard", _SHARD_ARROW.names)
 
-class ParentGate(StatefulProcessor):
-    """Per parent: whether it is done, and the children that wait for it."""
 
-    def __init__(self, from_tip: bool) -> None:
+class ParentGate:
+    """A parent: whether it is done, and the children that wait for it.
+
+    ``state`` holds (listed, closed, checkpoint, done, waiting), ``children`` a map of children to
+    the number of their parents.
+    """
+
+    def __init__(self, from_tip: bool, state=None, children=None) -> None:
         self._from_tip = from_tip
+        self._state, self._children = state, children
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("parent", _PARENT)
-        self._children = handle.getMapState("children", _NAME, _COUNT)
+    def begin(self) -> None:
+        self._known = self._state.get() or _NEW
+        self._listed, self._closed, self._checkpoint, self._done, self._waiting = self._known
+        self._held: list[tuple] = []
 
-    def handleInputRows(self, key, rows, timerValues):
-        stream, parent = key
-        listed, closed, checkpoint, done, waiting = self._state.get() or (False, False, None, False, False)
-        known, held = (listed, closed, checkpoint, done, waiting), []
-        for row in rows:
-            if row.child is None:
-                if row.checkpoint is not None:
-                    checkpoint = row.checkpoint
-                else:
-                    listed, closed = True, closed or row.closed
-            elif done:  # a parent that is done stays so: its children need no place in the state
-                yield Row(stream=stream, shard_id=row.child, parent_id=parent, parents=row.parents)
-            elif len(held) < HELD:
-                held.append((row.child, row.parents))
+    def told(self, child, parents, closed, checkpoint) -> bool:
+        """Takes a row; whether it names a child that need not wait."""
+        if child is None:
+            if checkpoint is not None:
+                self._checkpoint = checkpoint
             else:
-                waiting = True
-                self._children.updateValue((row.child,), (row.parents,))
+                self._listed, self._closed = True, self._closed or closed
+        elif self._done:  # a parent that is done stays so: its children need no place in the state
+            return True
+        elif len(self._held) < HELD:
+            self._held.append((child, parents))
+        else:
+            self._waiting = True
+            self._children.updateValue((child,), (parents,))
+        return False
+
+    def end(self):
+        """Children (child, parents) that wake at the end of a micro-batch."""
+        listed, closed, checkpoint = self._listed, self._closed, self._checkpoint
         skipped = checkpoint is None and closed and self._from_tip
-        done = done or checkpoint == SHARD_END or skipped or not listed
+        done = self._done or checkpoint == SHARD_END or skipped or not listed
         if done:
-            for child, count in held:
-                yield Row(stream=stream, shard_id=child, parent_id=parent, parents=count)
-            if waiting:
-                woken = [(child, count) for (child,), (count,) in self._children.iterator()]
+            yield from self._held
+            if self._waiting:
+                for (child,), (count,) in self._children.iterator():
+                    yield child, count
                 self._children.clear()
-                for child, count in woken:
-                    yield Row(stream=stream, shard_id=child, parent_id=parent, parents=count)
         else:
-            for child, count in held:
+            for child, count in self._held:
                 self._children.updateValue((child,), (count,))
-        now = (listed, closed, checkpoint, done and listed, not done and (waiting or bool(held)))
-        if now != known:
+        now = (listed, closed, checkpoint, done and listed, not done and (self._waiting or bool(self._held)))
+        if now != self._known:
             self._state.update(now)
 
-    def close(self) -> None:
-        pass
+    def handleInputRows(self, key, rows, timerValues):
+        self.begin()
+        for row in rows:
+            if self.told(row.child, row.parents, row.closed, row.checkpoint):
+                yield Wake(key[0], row.child, key[1], row.parents)
+        for child, count in self.end():
+            yield Wake(key[0], child, key[1], count)
 
 
-class ChildGate(StatefulProcessor):
-    """Per child: the parents that are done, until it is released."""
+class ChildGate:
+    """A child: the parents that are done, until it is released."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._done = handle.getMapState("done", _NAME, _COUNT)
-        self._released = handle.getValueState("released", T.StructType([T.StructField("yes", T.BooleanType())]))
+    def __init__(self, done=None, released=None) -> None:
+        self._done, self._released = done, released
 
     def handleInputRows(self, key, rows, timerValues):
         if self._released.exists():
@@ -104,7 +114,111 @@ class ChildGate(StatefulProcessor):
                 return
             self._done.clear()
         self._released.update((True,))
-        yield Row(stream=key[0], shard_id=key[1])
+        yield Shard(*key)
+
+
+class _Value:
+    """A value that a slot keeps."""
+
+    def __init__(self, value) -> None:
+        self.value, self.changed = value, False
+
+    def get(self):
+        return self.value
+
+    def exists(self) -> bool:
+        return self.value is not None
+
+    def update(self, value) -> None:
+        self.value, self.changed = value, True
+
+
+class _Map:
+    """A map that a slot keeps: the first entries beside the value, further ones in pages."""
+
+    def __init__(self, first: dict | None, pages: paged.Pages | None = None) -> None:
+        self.first, self.pages, self.changed = first, pages, False
+
+    def updateValue(self, key, value) -> None:
+        self.changed = True
+        if self.first is None:
+            self.first = {}
+        if self.pages is None or len(self.first) < HELD or key[0] in self.first:
+            self.first[key[0]] = value[0]
+        else:
+            self.pages.put(key[0], value[0])
+
+    def iterator(self):
+        for key, value in [*(self.first or {}).items()]:
+            yield (key,), (value,)
+        if self.pages is not None and self.pages.count:
+            for key, value in self.pages.items():
+                yield (key,), (value,)
+
+    def keys(self):
+        return (key for key, _ in self.iterator())
+
+    def clear(self) -> None:
+        self.first, self.changed = None, True
+        if self.pages is not None:
+            self.pages.clear()
+
+
+class ParentSlot(StatefulProcessor):
+    """The parents of a slot."""
+
+    def __init__(self, from_tip: bool) -> None:
+        self._from_tip = from_tip
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._slot = paged.Slot(handle)
+
+    def handleInputRows(self, key, rows, timerValues):
+        entries, gates, out = self._slot.entries(), {}, paged.Packer(_WAKE_ARROW)
+        for row in rows:
+            for stream, parent, child, parents, closed, checkpoint in paged.rows(row.packed):
+                gate = gates.get((stream, parent))
+                if gate is None:
+                    state, first, size = entries.get((stream, parent)) or (None, None, (0, 0))
+                    further = paged.Pages(self._slot.pages, repr((stream, parent)), *size)
+                    gate = gates[stream, parent] = ParentGate(self._from_tip, _Value(state), _Map(first, further))
+                    gate.begin()
+                if gate.told(child, parents, closed, checkpoint):
+                    yield from out.add((stream, child, parent, parents))
+        for (stream, parent), gate in gates.items():
+            for child, parents in gate.end():
+                yield from out.add((stream, child, parent, parents))
+            state, children = gate._state, gate._children
+            if state.changed or children.changed:
+                children.pages.flush()
+                entries.put((stream, parent), (state.value, children.first, children.pages.size))
+        self._slot.keep(entries)
+        yield from out.rest()
+
+    def close(self) -> None:
+        pass
+
+
+class ChildSlot(StatefulProcessor):
+    """The children of a slot."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._slot = paged.Slot(handle)
+
+    def handleInputRows(self, key, rows, timerValues):
+        entries, woken, out = self._slot.entries(), {}, paged.Packer(_SHARD_ARROW)
+        for row in rows:
+            for wake in paged.rows(row.packed):
+                woken.setdefault(wake[:2], []).append(Wake(*wake))
+        for shard, wakes in woken.items():
+            released, done = entries.get(shard) or (None, None)
+            gate = ChildGate(_Map(done), _Value(released))
+            for found in gate.handleInputRows(shard, wakes, timerValues):
+                yield from out.add(found)
+            if gate._released.changed or gate._done.changed:
+                entries.put(shard, (gate._released.value, gate._done.first))
+        self._slot.keep(entries)
+        yield from out.rest()
 
     def close(self) -> None:
         pass
@@ -141,8 +255,10 @@ def release(happened: DataFrame, *, from_tip: bool = True) -> DataFrame:
     trimmed, and holds nothing back. What was released stays released.
     """
     roots = F.coalesce(F.col("parents") == 0, F.lit(False))
-    waiting = happened.where(~roots).groupBy("stream", "parent_id")
-    waking = waiting.transformWithState(ParentGate(from_tip), _WAKE, "Append", "None")
+    waiting = happened.where(~roots).select("stream", "parent_id", "child", "parents", "closed", "checkpoint")
+    parents = paged.in_slots(waiting, "stream", "parent_id").groupBy("slot")
+    waking = paged.unpacked(parents.transformWithState(ParentSlot(from_tip), paged.PACKED, "Append", "None"), _WAKE)
     free = happened.where(roots).select("stream", F.col("child").alias("shard_id"))
-    woken = waking.groupBy(*SHARD_KEYS).transformWithState(ChildGate(), T.StructType(_SHARD), "Append", "None")
-    return woken.unionByName(free)
+    children = paged.in_slots(waking, *SHARD_KEYS).groupBy("slot")
+    woken = children.transformWithState(ChildSlot(), paged.PACKED, "Append", "None")
+    return paged.unpacked(woken, T.StructType(_SHARD)).unionByName(free)
